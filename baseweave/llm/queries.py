@@ -11,6 +11,7 @@ import baseweave.llm
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_documents
 from .token_counts import count_tokens
@@ -51,13 +52,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op4_exact_dedup, op7_sharding, op10_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filters, op4_exact_dedup, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
 
 
 ORACLE = {
@@ -82,6 +88,20 @@ ORACLE = {
                      count(*) OVER (PARTITION BY content) AS group_size
               FROM d)
         SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(content) AS text_sha256 FROM g""",
+    "op9_minhash_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        r(id, c) AS (SELECT doc_id, doc_id FROM d
+                     UNION SELECT f.v, r.c FROM r JOIN (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e) f ON r.id = f.u),
+        m AS (SELECT id, min(c) AS component_id FROM r GROUP BY 1)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+        FROM d JOIN m ON m.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
 }
 
 
