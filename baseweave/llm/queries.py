@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_documents
+from .substring_dedup import substring_dedup
 from .token_counts import count_tokens
 from .url_filter import judge_urls, rule_table
 
@@ -44,6 +45,11 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -63,7 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op4_exact_dedup, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
 
 
 ORACLE = {
@@ -79,6 +85,17 @@ ORACLE = {
               FROM p LEFT JOIN rules x
               ON (p.host = x.host OR ends_with(p.host, '.' || x.host)) AND starts_with(p.path, x.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op3_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+        f AS (SELECT g, min(doc_id) AS first_doc FROM s GROUP BY 1),
+        h AS (SELECT DISTINCT s.doc_id, s.i + k AS i FROM s JOIN f ON s.g = f.g AND f.first_doc < s.doc_id, (SELECT unnest(generate_series(0, 12)) AS k)),
+        r AS (SELECT doc_id, list(i) AS gone FROM h GROUP BY 1)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+               sha256(coalesce(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+                               ELSE (SELECT string_agg(w[j], ' ' ORDER BY j) FROM (SELECT unnest(generate_series(1, len(w))) AS j) WHERE NOT list_contains(gone, j)) END, '')) AS kept_sha256
+        FROM d LEFT JOIN r ON r.doc_id = d.doc_id""",
     "op4_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
