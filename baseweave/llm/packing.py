@@ -9,49 +9,59 @@ lengths and checksums are shuffled, never texts or ids.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens never reach over a single space between two non-spaces.
-_BORDER = re.compile(r"(?<=\S) (?=\S)")
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Fixed value: the pre-tokens of byte-level vocabularies of this kind.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORD, _SPACE = r"[!-~\xa1-\u024f]{1,500}+", r"[\t\n\r ]{1,500}+"
+#: Texts of characters on which both encoders have the same classes, without very long runs.
+_PLAIN = re.compile(rf"(?:{_SPACE})?(?:{_WORD}(?:{_SPACE}|\Z))*+")
 
 
-class Ids(dict):
-    """Little-endian 32-bit ids by chunk of text, encoded once while they are remembered."""
+def _byte_of() -> dict[str, int]:
+    """Byte by the character that stands for it in a byte-level vocabulary: itself if printable, else 256 on in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
-    def __init__(self, tokenizer_path: str, remembered: int):
-        from tokenizers import Tokenizer
 
-        self.encode_batch = Tokenizer.from_file(tokenizer_path).encode_batch_fast
-        self.remembered = remembered
+class Encoder:
+    """Ids of a tokenizer file as little-endian bytes.
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) + len(chunks) > self.remembered:
-            self.clear()
-        new = [c for c in chunks if c not in self]
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for chunk, found in zip(part, self.encode_batch(part, add_special_tokens=False), strict=True):
-                self[chunk] = array("I", found.ids).tobytes()
+    Plain texts go through a faster encoder with the same merges; all others
+    (rare characters, very long words, special strings) through the file's own
+    library.
+    """
+
+    def __init__(self, tokenizer_path: str):
+        import tiktoken
 
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [_chunks(t) for t in texts]
-        self.learn({c for chunks in cut for c in chunks})
-        for chunks in cut:
-            yield b"".join([self[c] for c in chunks])
+        with open(tokenizer_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.path, self.own = tokenizer_path, None
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        byte_of = _byte_of()
+        ranks = {bytes(map(byte_of.__getitem__, w)): i for w, i in spec["model"]["vocab"].items() if w not in self.special}
+        self.fast = tiktoken.Encoding("plain", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
+    def encode(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        if self.own is None:
+            from tokenizers import Tokenizer
 
-def _chunks(text: str) -> list[str]:
-    """Parts of a text that are tokenised alike alone and together: each but the first begins with its space."""
-    first, *rest = _BORDER.split(text)
-    return [first, *[" " + c for c in rest]]
+            self.own = Tokenizer.from_file(self.path)
+        return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -87,7 +97,6 @@ def pack_documents(
     group_docs: int = 8192,
     id_col: str = "doc_id",
     text_col: str = "text",
-    remembered: int = 200_000,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -100,23 +109,22 @@ def pack_documents(
     read; an empty table gives no rows.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("byte_bpe_50k.json")
-        ids, end, width = Ids(path, remembered), array("I", [end_id]).tobytes(), 4 * length
+        encoder, end, width = Encoder(path), array("I", [end_id]).tobytes(), 4 * length
+        names = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part, rows = batch.iloc[at : at + 256], []
-                for doc_id, found in zip(part["doc_id"], ids.of(part["text"].tolist()), strict=True):
-                    found += end
-                    total = len(found) // 4
-                    rows += [(doc_id, b // 4, len(piece) // 4, zlib.crc32(piece), total) for b in range(0, len(found), width) for piece in (found[b : b + width],)]
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+            rows = []
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                found = encoder.encode(text.as_py()) + end
+                cuts = [found[b : b + width] for b in range(0, len(found), width)]
+                rows += [(doc_id.as_py(), k * length, len(c) // 4, zlib.crc32(c), len(found) // 4) for k, c in enumerate(cuts)]
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     def pack(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
         pieces = pieces.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable", ignore_index=True)
@@ -127,7 +135,7 @@ def pack_documents(
     n_docs = docs.select(F.col(id_col)).count()
     groups = max(1, -(-n_docs // group_docs))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInPandas(cut, PIECE_SCHEMA)
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(cut, PIECE_SCHEMA)
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "doc_tokens"), F.lit(groups)))
     packed = dealt.groupBy("group").applyInPandas(pack, f"{PIECE_SCHEMA}, group long, sequence_id long, offset long")
     return packed.drop("group")
