@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import baseweave.llm
 
 from .common import table
+from .decontamination import contaminated
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -54,6 +55,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -69,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
 
 
 ORACLE = {
@@ -105,6 +110,16 @@ ORACLE = {
                      count(*) OVER (PARTITION BY content) AS group_size
               FROM d)
         SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(content) AS text_sha256 FROM g""",
+    "op5_benchmark_decontamination": r"""
+        WITH t AS (SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark),
+        d AS (SELECT doc, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t),
+        s AS (SELECT DISTINCT doc, id, array_to_string(w[i : i + 4], ' ') AS g
+              FROM (SELECT doc, id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT id, count(*) AS n_item FROM s WHERE NOT doc GROUP BY 1),
+        p AS (SELECT a.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s a JOIN s b ON a.g = b.g WHERE a.doc AND NOT b.doc GROUP BY 1, 2)
+        SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+        FROM p JOIN n ON n.id = item_id WHERE n_shared * 100 >= n_item * 75""",
     "op9_minhash_near_dedup": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
