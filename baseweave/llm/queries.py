@@ -14,6 +14,7 @@ from .decontamination import contaminated
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .quality import score_quality
 from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 from .token_counts import count_tokens
@@ -59,6 +60,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -74,7 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
 
 
 ORACLE = {

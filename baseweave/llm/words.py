@@ -1,6 +1,7 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
-A word is a maximal run of bytes other than the six of SPACE. Its hash is a
+A word is a maximal run of bytes other than the six of SPACE, or of letters
+only (ASCII letters and all bytes of other characters). Its hash is a
 polynomial in its bytes modulo 2 ** 64, taken from running sums over a whole
 chunk of texts, and then mixed; a chunk so costs a few passes over its bytes.
 """
@@ -17,6 +18,8 @@ import pyarrow as pa
 CHUNK = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = False
 _RANDOM = np.random.default_rng(20_241)
 _VALUES = _RANDOM.integers(1, 2**64, 256, dtype=np.uint64)
 _LOWER = _VALUES.copy()
@@ -52,11 +55,19 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
+    offsets: np.ndarray
 
+    def prefixes(self, n_bytes: int) -> np.ndarray:
+        """A hash of the first bytes of each word, or of the whole word if it is no longer; differs from ``hashes``."""
+        inverse = _power_tables(len(self.data) + 1)[1]
+        ends = np.minimum(self.ends, self.starts + n_bytes)
+        return mixed((self.sums[ends] - self.sums[self.starts]) * inverse[self.starts], n_bytes)
 
-def _of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
+
+def _of(data: np.ndarray, offsets: np.ndarray, lower: bool, letters: bool) -> Words:
     n = len(data)
-    word = ~_SPACE[data]
+    word = ~(_NO_LETTER if letters else _SPACE)[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     if n:
@@ -72,11 +83,11 @@ def _of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
         hashes = mixed((sums[ends] - sums[starts]) * inverse[starts])
     else:
         starts = ends = np.zeros(0, np.int64)
-        hashes = np.zeros(0, np.uint64)
-    return Words(data, hashes, starts, ends, np.searchsorted(starts, offsets))
+        hashes = sums = np.zeros(0, np.uint64)
+    return Words(data, hashes, starts, ends, np.searchsorted(starts, offsets), sums, offsets)
 
 
-def hashed_words(texts: pa.Array, lower: bool) -> Iterator[tuple[int, int, Words]]:
+def hashed_words(texts: pa.Array, lower: bool, letters: bool = False) -> Iterator[tuple[int, int, Words]]:
     """(from, to, words) for runs of the texts, about CHUNK bytes each. Null texts are empty."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -84,7 +95,7 @@ def hashed_words(texts: pa.Array, lower: bool) -> Iterator[tuple[int, int, Words
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
-        yield at, to, _of(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], lower)
+        yield at, to, _of(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], lower, letters)
         at = to
 
 
