@@ -18,6 +18,7 @@ from .quality import score_quality
 from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
 from .url_filter import judge_urls, rule_table
 
 # Python workers need not have this package on their path.
@@ -49,7 +50,7 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(table(spark, sf_dir, "documents"), keep_text=False)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -80,7 +86,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op9_minhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op8_toxicity, op9_minhash_near_dedup, op10_token_counts)}
 
 
 ORACLE = {

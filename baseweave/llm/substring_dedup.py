@@ -21,7 +21,9 @@ text, so the number of shards grows with the input.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,13 @@ WIDTH, ANCHOR = 13, 5
 #: Windows in a segment at most; longer runs, as of one word repeated, are cut into several segments.
 LONGEST = 64
 SEEN = np.dtype([("anchor", "<u4"), ("length", "<u2"), ("start", "<i4"), ("doc", "<i8"), ("content", "<u8")])
-#: A segment of a document: its first word, number of words, hash and shard.
-SEGMENT = np.dtype([("start", "<i4"), ("length", "<i4"), ("content", "<u8"), ("shard", "<i4")])
+_PART = [("doc", "<i8"), ("start", "<i4"), ("length", "<i4"), ("content", "<u8")]
+#: A segment: its document, first word there, number of words and hash.
+PLACED = np.dtype(_PART)
+#: A segment to index in a shard.
+SEGMENT = np.dtype([*_PART, ("shard", "<i4")])
 #: Words ``begin`` to ``end`` of a document go, provided that the segment there is the one meant.
-REMOVAL = np.dtype([("start", "<i4"), ("length", "<i4"), ("content", "<u8"), ("begin", "<i4"), ("end", "<i4")])
-PLACED = np.dtype([("doc", "<i8"), ("start", "<i4"), ("length", "<i4"), ("content", "<u8")])
+REMOVAL = np.dtype([*_PART, ("begin", "<i4"), ("end", "<i4")])
 
 
 def _contents(words: Words, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -76,13 +80,21 @@ def segments(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return text[at[run]], at[run], length, mixed(least[run])
 
 
-def _packed(shard: np.ndarray, records: np.ndarray, schema_names: list[str]) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(shard, kind="stable")
-    shard, records = shard[order], records[order]
-    cut = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
-    parts = [records[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(shard)), strict=True)]
-    if parts:
-        yield pa.RecordBatch.from_arrays([pa.array(shard[cut].astype(np.int32)), pa.array(parts, pa.binary())], schema_names)
+def _packed(key: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """A row for each key: the key and its records of each column, which follow each other in ``key``'s order."""
+    every, row = np.unique(key, return_inverse=True)
+    parts, at = [], 0
+    for records in columns:
+        own = row[at : at + len(records)]
+        order = np.argsort(own, kind="stable")
+        cuts = np.searchsorted(own[order], np.arange(len(every) + 1))
+        records, at = records[order], at + len(records)
+        parts.append(pa.array([records[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
+    return [pa.array(every.astype(np.int32)), *parts]
+
+
+def _records(parts: pa.ChunkedArray | pa.Array, dtype: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(p for p in parts.to_pylist() if p), dtype)
 
 
 def _seen(shards: int):
@@ -98,206 +110,184 @@ def _seen(shards: int):
                 shard.append((anchor & np.uint64(0xFFFFFFFF)) % np.uint64(shards))
                 records.append(own)
             if records:
-                yield from _packed(np.concatenate(shard), np.concatenate(records), ["shard", "seen"])
+                yield pa.RecordBatch.from_arrays(_packed(np.concatenate(shard), np.concatenate(records)), ["shard", "seen"])
 
     return run
 
 
-def _by_doc(doc: np.ndarray, *parts: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
-    """Records of each document: ``doc`` has the document of each record of all parts, one part after the other."""
-    order = [np.argsort(d, kind="stable") for d in np.split(doc, np.cumsum([len(p) for p in parts])[:-1])]
-    docs = [d[o] for d, o in zip(np.split(doc, np.cumsum([len(p) for p in parts])[:-1]), order, strict=True)]
-    parts = tuple(p[o] for p, o in zip(parts, order, strict=True))
-    every = np.unique(doc)
-    cuts = [np.searchsorted(d, np.append(every, every[-1:] + 1)) for d in docs]
-    for k, one in enumerate(every):
-        yield int(one), [p[c[k] : c[k + 1]].tobytes() for p, c in zip(parts, cuts, strict=True)]
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared(buckets: int):
     """Of a partition's anchors those of several documents: segments to index, and whole copies."""
-    shard, records = [], []
-    for batch in batches:
-        for number, part in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
-            records.append(np.frombuffer(part.as_buffer(), SEEN))
-            shard.append(np.full(len(records[-1]), number, np.int32))
-    if not records:
-        return
-    seen, shard = np.concatenate(records), np.concatenate(shard)
-    del records
-    order = np.argsort(seen["anchor"], kind="stable")
-    anchor, doc = seen["anchor"][order], seen["doc"][order]
-    begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-    several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
-    order = order[np.repeat(several, np.diff(np.append(begin, len(order))))]
-    seen, shard = seen[order], shard[order]
-    if not len(seen):
-        return
-    order = np.lexsort([seen["doc"], seen["content"]])
-    seen, shard = seen[order], shard[order]
-    content = np.flatnonzero(np.append(True, seen["content"][1:] != seen["content"][:-1]))
-    smallest = np.repeat(seen["doc"][content], np.diff(np.append(content, len(seen))))
-    copy = seen["doc"] > smallest
-    own = np.empty((~copy).sum(), SEGMENT)
-    own["start"], own["length"], own["content"], own["shard"] = *(seen[f][~copy] for f in ("start", "length", "content")), shard[~copy]
-    gone = np.empty(copy.sum(), REMOVAL)
-    gone["start"], gone["length"], gone["content"] = (seen[f][copy] for f in ("start", "length", "content"))
-    gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
-    rows = list(_by_doc(np.concatenate([seen["doc"][~copy], seen["doc"][copy]]), own, gone))
-    for at in range(0, len(rows), 4096):
-        docs, parts = zip(*rows[at : at + 4096], strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs, pa.int64()), *(pa.array([p[k] for p in parts], pa.binary()) for k in (0, 1))], ["doc_id", "segments", "removals"]
-        )
-
 
-def _there(words: Words, k: int, records: np.ndarray) -> np.ndarray:
-    """The records of text k whose segment is really there; rows of one id may have different texts."""
-    n = words.first[k + 1] - words.first[k]
-    records = records[records["start"] + records["length"] <= n]
-    return records[_contents(words, words.first[k] + records["start"], records["length"].astype(np.int64)) == records["content"]]
-
-
-def _joined(parts: pa.Scalar, dtype: np.dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(p for p in parts.as_py() or [] if p), dtype)
-
-
-def _words_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the segments to index, packed by shard: segments' records, then their words."""
-    for batch in batches:
-        shard, records, hashes = [], [], []
-        for at, to, words in hashed_words(batch.column(1), lower=False):
-            for k in range(to - at):
-                own = _there(words, k, _joined(batch.column(2)[at + k], SEGMENT))
-                if not len(own):
-                    continue
-                placed = np.empty(len(own), PLACED)
-                placed["doc"] = batch.column(0)[at + k].as_py()
-                placed["start"], placed["length"], placed["content"] = own["start"], own["length"], own["content"]
-                first = words.first[k] + own["start"].astype(np.int64)
-                hashes += [words.hashes[a:b] for a, b in zip(first, first + own["length"], strict=True)]
-                shard.append(own["shard"])
-                records.append(placed)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, records = [], []
+        for batch in batches:
+            for number, part in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
+                records.append(np.frombuffer(part.as_buffer(), SEEN))
+                shard.append(np.full(len(records[-1]), number, np.int32))
         if not records:
-            continue
-        shard, records = np.concatenate(shard), np.concatenate(records)
-        numbers, inverse = np.unique(shard, return_inverse=True)
-        order = np.argsort(inverse, kind="stable")
-        cuts = np.searchsorted(inverse[order], np.arange(len(numbers) + 1))
-        own = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            return
+        seen, shard = np.concatenate(records), np.concatenate(shard)
+        del records
+        order = np.argsort(seen["anchor"], kind="stable")
+        anchor, doc = seen["anchor"][order], seen["doc"][order]
+        begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
+        order = order[np.repeat(several, np.diff(np.append(begin, len(order))))]
+        if not len(order):
+            return
+        seen, shard = seen[order], shard[order]
+        order = np.lexsort([seen["doc"], seen["content"]])
+        seen, shard = seen[order], shard[order]
+        content = np.flatnonzero(np.append(True, seen["content"][1:] != seen["content"][:-1]))
+        smallest = np.repeat(seen["doc"][content], np.diff(np.append(content, len(seen))))
+        copy = seen["doc"] > smallest
+        own, gone = np.empty((~copy).sum(), SEGMENT), np.empty(copy.sum(), REMOVAL)
+        for name, _ in _PART:
+            own[name], gone[name] = seen[name][~copy], seen[name][copy]
+        own["shard"] = shard[~copy]
+        gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(numbers.astype(np.int32)),
-                pa.array([records[o].tobytes() for o in own], pa.binary()),
-                pa.array([b"".join([hashes[i].tobytes() for i in o]) for o in own], pa.binary()),
-            ],
-            ["shard", "placed", "words"],
+            _packed(np.concatenate([own["doc"], gone["doc"]]) % buckets, own, gone), ["bucket", "segments", "removals"]
         )
 
-
-def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index a partition's segments, stream them through the index, report what smaller documents have."""
-    records, hashes = [], []
-    for batch in batches:
-        records += [np.frombuffer(p.as_buffer(), PLACED) for p in batch.column(1)]
-        hashes += [np.frombuffer(p.as_buffer(), np.uint64) for p in batch.column(2)]
-    if not records:
-        return
-    placed = np.concatenate(records)
-    length = placed["length"].astype(np.int64)
-    index = FMIndex(np.concatenate(hashes), length, placed["doc"], WIDTH)
-    del records, hashes
-    smallest = index.smallest_owners()
-    begins = np.concatenate([[0], index.ends[:-1] + 1])
-    of = np.repeat(np.arange(len(placed)), length + 1)
-    at = np.flatnonzero((smallest >= 0) & (smallest < placed["doc"][of]))
-    if not len(at):
-        return
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (of[at[1:]] != of[at[:-1]])
-    run = np.flatnonzero(new)
-    last = at[np.append(run[1:], len(at)) - 1]
-    segment = of[at[run]]
-    gone = np.empty(len(run), REMOVAL)
-    gone["start"], gone["length"], gone["content"] = (placed[f][segment] for f in ("start", "length", "content"))
-    gone["begin"] = gone["start"] + at[run] - begins[segment]
-    gone["end"] = gone["start"] + last - begins[segment] + WIDTH
-    rows = list(_by_doc(placed["doc"][segment], gone))
-    for k in range(0, len(rows), 4096):
-        docs, parts = zip(*rows[k : k + 4096], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array([p[0] for p in parts], pa.binary())], ["doc_id", "found"])
-
-
-def _digest(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+    return run
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        split = [t.as_buffer().to_pybytes().split() if t.is_valid else [] for t in batch.column(1).cast(pa.large_binary())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in split], pa.int64()), pa.array([_digest(s) for s in split])], ["doc_id", "n_words", "whole"]
-        )
-
+def _there(words: Words, ids: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and record for the records, sorted by document, whose segment is really there; rows of one id may differ."""
+    low, high = np.searchsorted(records["doc"], ids, "left"), np.searchsorted(records["doc"], ids, "right")
+    n = high - low
+    text = np.repeat(np.arange(len(ids)), n)
+    records = records[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
+    begin, length = words.first[text] + records["start"], records["length"].astype(np.int64)
+    inside = begin + length <= words.first[text + 1]
+    text, records, begin, length = text[inside], records[inside], begin[inside], length[inside]
+    same = _contents(words, begin, length) == records["content"]
+    return text[same], records[same]
+
+
+def _texts(rows: pa.Table, records: np.ndarray) -> Iterator[tuple[int, int, Words, np.ndarray, np.ndarray]]:
+    """Runs of a bucket's texts with their words and the records that are theirs."""
+    ids = rows["doc_id"].combine_chunks()
+    known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+    records = records[np.argsort(records["doc"], kind="stable")]
+    for at, to, words in hashed_words(rows["text"].combine_chunks(), lower=False):
+        text, own = _there(words, ids[at:to], records)
+        has_id = known[at:to][text]
+        yield at, to, words, text[has_id], own[has_id]
+
+
+def _words_out(rows: pa.Table, marks: pa.Table) -> pa.Table:
+    """The words of a bucket's segments to index, packed by shard: segments' records, and their words."""
+    shard, placed, hashes, lengths = [], [], [], []
+    for _, _, words, text, own in _texts(rows, _records(marks["segments"], SEGMENT)):
+        begin, length = words.first[text] + own["start"], own["length"].astype(np.int64)
+        hashes.append(words.hashes[np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())])
+        lengths.append(length)
+        shard.append(own["shard"])
+        part = np.empty(len(own), PLACED)
+        for name, _ in _PART:
+            part[name] = own[name]
+        placed.append(part)
+    shard, placed, hashes, lengths = (np.concatenate(x) for x in (shard, placed, hashes, lengths))
+    keys = np.concatenate([shard, np.repeat(shard, lengths)])
+    return pa.Table.from_arrays(_packed(keys, placed, hashes), ["shard", "placed", "words"])
+
+
+def _searched(buckets: int):
+    """Index a partition's segments, stream them through the index, report what smaller documents have."""
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n_removed, whole, kept_sha, kept_text = [], [], [], []
-        for _, to, words in hashed_words(batch.column(1), lower=False):
-            for k in range(len(words.first) - 1):
-                row = len(whole)
-                gone = np.concatenate([_there(words, k, _joined(batch.column(c)[row], REMOVAL)) for c in (2, 3)])
-                a, b = words.first[k], words.first[k + 1]
-                edges = np.zeros(b - a + 1, np.int64)
-                np.add.at(edges, gone["begin"], 1)
-                np.add.at(edges, gone["end"], -1)
-                keep = np.cumsum(edges[:-1]) == 0
-                text = words.data.tobytes() if k == 0 else text
-                split = [text[x:y] for x, y in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist(), strict=True)]
-                kept = [w for w, stays in zip(split, keep.tolist(), strict=True) if stays]
-                n_removed.append(len(split) - len(kept))
-                whole.append(_digest(split))
-                kept_sha.append(_digest(kept))
-                kept_text.append(b" ".join(kept).decode())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(whole), pa.array(n_removed, pa.int64()), pa.array(kept_sha), pa.array(kept_text)],
-            ["doc_id", "whole", "n_removed", "kept_sha256", "kept_text"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records, hashes = [], []
+        for batch in batches:
+            records.append(_records(batch.column(1), PLACED))
+            hashes.append(_records(batch.column(2), np.dtype("<u8")))
+        placed = np.concatenate(records) if records else []
+        if not len(placed):
+            return
+        length = placed["length"].astype(np.int64)
+        index = FMIndex(np.concatenate(hashes), length, placed["doc"], WIDTH)
+        del records, hashes
+        smallest = index.smallest_owners()
+        begins = np.concatenate([[0], index.ends[:-1] + 1])
+        of = np.repeat(np.arange(len(placed)), length + 1)
+        at = np.flatnonzero((smallest >= 0) & (smallest < placed["doc"][of]))
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (of[at[1:]] != of[at[:-1]])
+        run = np.flatnonzero(new)
+        if not len(run):
+            return
+        last = at[np.append(run[1:], len(at)) - 1]
+        segment = of[at[run]]
+        gone = np.empty(len(run), REMOVAL)
+        for name, _ in _PART:
+            gone[name] = placed[name][segment]
+        gone["begin"] = gone["start"] + at[run] - begins[segment]
+        gone["end"] = gone["start"] + last - begins[segment] + WIDTH
+        yield pa.RecordBatch.from_arrays(_packed(gone["doc"] % buckets, gone), ["bucket", "removals"])
 
+    return run
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 12 << 20) -> DataFrame:
-    """Documents that lose words: doc_id, whole (digest of all words), n_removed, kept_sha256, kept_text.
 
-    A word goes if a window of 13 words over it also starts in a document with
-    a smaller id; windows are judged on the input. ``kept_text`` has the words
-    that stay, joined by one space. Documents that keep all may be among the
-    rows. Rows with a null id neither lose words nor make others lose any.
+def _kept(rows: pa.Table, removals: pa.Table) -> pa.Table:
+    n_words, n_removed, digest, kept_text = [], [], [], []
+    for _, _, words, text, gone in _texts(rows, _records(removals["removals"], REMOVAL)):
+        edges = np.zeros(len(words.hashes) + 1, np.int64)
+        np.add.at(edges, words.first[text] + gone["begin"], 1)
+        np.add.at(edges, words.first[text] + gone["end"], -1)
+        stays = (np.cumsum(edges) == 0).tolist()
+        raw = words.data.tobytes()
+        for k in range(len(words.first) - 1):
+            split = raw[words.offsets[k] : words.offsets[k + 1]].split()
+            kept = list(compress(split, stays[words.first[k] : words.first[k + 1]]))
+            whole = b" ".join(kept)
+            n_words.append(len(split))
+            n_removed.append(len(split) - len(kept))
+            digest.append(hashlib.sha256(whole).hexdigest())
+            kept_text.append(whole)
+    columns = [rows["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest), pa.array(kept_text, pa.binary()).cast(pa.string())]
+    return pa.Table.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+
+
+def _prime(least: int) -> int:
+    """The smallest prime from ``least`` on: ids in steps of any kind then spread over so many buckets."""
+    while least < 2 or any(least % k == 0 for k in range(2, math.isqrt(least) + 1)):
+        least += 1
+    return least
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 12 << 20, keep_text: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_removed, kept_sha256, kept_text.
+
+    Words are runs of non-spaces, unchanged. A word goes if a window of 13 words
+    over it also starts in a document with a smaller id; windows are judged on
+    the input. ``kept_text`` has the words that stay, joined by one space, and
+    ``kept_sha256`` is its digest; ``keep_text=False`` leaves the text out.
+
+    Null text has no words, as has empty text; documents of fewer than 13 words
+    keep them all. Rows of one id do not make each other lose words, and repeated
+    rows have the same result. Rows with a null id neither lose words nor make
+    others lose any. Columns other than id and text are not read. An empty table
+    gives no rows.
+
+    The texts are shuffled once, into buckets of about ``shard_bytes`` by id;
+    both times that records meet their texts use that shuffle.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("doc_id is not null")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n_bytes = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-n_bytes // shard_bytes))
-    seen = source.mapInArrow(_seen(shards), "shard int, seen binary").repartition(shards, "shard")
-    marks = seen.mapInArrow(_shared, "doc_id long, segments binary, removals binary")
-    marks = marks.groupBy("doc_id").agg(F.collect_list("segments").alias("segments"), F.collect_list("removals").alias("removals"))
-    touched = written(source.join(marks, "doc_id"), "substring-touched")
-    dealt = touched.mapInArrow(_words_out, "shard int, placed binary, words binary").repartition(shards, "shard")
-    found = dealt.mapInArrow(_searched, "doc_id long, found binary").groupBy("doc_id").agg(F.collect_list("found").alias("found"))
-    met = touched.select("doc_id", "text", "removals").join(found, "doc_id", "left")
-    return met.mapInArrow(_without, "doc_id long, whole string, n_removed long, kept_sha256 string, kept_text string")
-
-
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 12 << 20) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept_sha256.
-
-    Words are runs of non-spaces, unchanged; see ``repeated_passages``. Null text
-    has no words, as has empty text; documents of fewer than 13 words keep them
-    all. Rows of one id do not make each other lose words, and repeated rows
-    have the same result. Columns other than id and text are not read. An empty
-    table gives no rows.
-    """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    whole = source.mapInArrow(_whole, "doc_id long, n_words long, whole string")
-    less = repeated_passages(docs, id_col, text_col, shard_bytes).drop("kept_text").dropDuplicates(["doc_id", "whole"])
-    return whole.join(less, ["doc_id", "whole"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept_sha256", "whole").alias("kept_sha256")
-    )
+    buckets = _prime(shards)
+    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards), "shard int, seen binary").repartition(shards, "shard")
+    marks = written(seen.mapInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
+    texts = source.withColumn("bucket", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
+    dealt = texts.groupBy("bucket").cogroup(marks.select("bucket", "segments").groupBy("bucket"))
+    dealt = dealt.applyInArrow(_words_out, "shard int, placed binary, words binary").repartition(shards, "shard")
+    found = dealt.mapInArrow(_searched(buckets), "bucket int, removals binary")
+    gone = marks.select("bucket", "removals").unionByName(found)
+    kept = texts.groupBy("bucket").cogroup(gone.groupBy("bucket"))
+    kept = kept.applyInArrow(_kept if keep_text else _counted, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
+    return kept
+
+
+def _counted(rows: pa.Table, removals: pa.Table) -> pa.Table:
+    return _kept(rows, removals).drop_columns(["kept_text"])
