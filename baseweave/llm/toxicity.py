@@ -13,7 +13,6 @@ could be disguised are decoded: any other word has a single path.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
@@ -34,19 +33,56 @@ for _k, _c in enumerate(LETTERS):
 #: The letters that a sign is used for.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "<": "c", "*": "aeiou",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "£": "l", "*": "aeiou",
 }
 #: Log costs of the channel: a sign for a letter, a sign for nothing, a letter of a run for nothing, one vowel masked by a star.
 SIGN, NOTHING, DRAWN, MASKED = -0.7, -0.7, -0.2, -2.0
-_GAPS = " .-_*~/'\"`·"
-_LETTER = r"[^\W\d_]"
-_SIGNS = re.escape("".join(c for c in LOOKALIKES if not c.isdigit()))
-#: Words that could be disguised: single letters with the same kind of gap between them; letters with signs
-#: or gaps among them; a letter three times or more.
-_DISGUISED = re.compile(
-    rf"(?<!\w)(?:{_LETTER}|[\d{_SIGNS}])(?:[ .\-_*~]{{1,2}}(?:{_LETTER}|[\d{_SIGNS}])(?!\w)){{2,}}"
-    rf"|\w*(?:{_LETTER}[\d{_SIGNS}.\-_~]|[\d{_SIGNS}]{_LETTER}|({_LETTER})\1\1)[\w{_SIGNS}.\-_~]*"
-)
+_GAPS = ".-_*~"
+_LETTER, _SIGN, _GAP, _BLANK = 1, 2, 4, 8
+_KIND = np.zeros(0x180, np.uint8)
+_KIND[[k for k in range(0x180) if chr(k).isalpha()]] = _LETTER
+for _c in LOOKALIKES:
+    _KIND[min(ord(_c), 0x17F)] |= _SIGN
+for _c in _GAPS:
+    _KIND[ord(_c)] |= _GAP
+_KIND[0x20] = _BLANK
+
+
+def disguised(texts: list[str]) -> list[list[tuple[int, int]]]:
+    """For each text the places of words that could be disguised.
+
+    These have a sign or a gap before a letter and after another character, a
+    sign at their beginning, a letter three times on end, or are three or more
+    single characters with one gap or blank between each two.
+    """
+    if not texts:
+        return []
+    code = np.frombuffer("\n".join([*texts, "\n\n\n\n"]).encode("utf-32-le", "replace"), "<u4")
+    kind = _KIND[np.minimum(code, 0x17F)]
+    letter, sign, gap = (kind & _LETTER) > 0, (kind & _SIGN) > 0, (kind & _GAP) > 0
+    between = gap | ((kind & _BLANK) > 0)
+    odd = np.zeros(len(code), bool)
+    odd[:-1] = sign[:-1] & letter[1:]
+    odd[1:-1] |= letter[:-2] & gap[1:-1] & letter[2:]
+    odd[:-2] |= letter[:-2] & (code[:-2] == code[1:-1]) & (code[:-2] == code[2:])
+    one = letter | sign & ~gap
+    alone = one.copy()
+    alone[1:] &= ~one[:-1]
+    alone[:-1] &= ~one[1:]
+    spaced = alone[:-4] & between[1:-3] & alone[2:-2] & between[3:-1] & alone[4:]
+    inside = np.zeros(len(code), bool)
+    for k in range(5):
+        inside[k : len(code) - 4 + k] |= spaced
+    odd |= inside
+    word = letter | sign | gap | inside
+    begins = np.flatnonzero(word & ~np.append(False, word[:-1]))
+    ends = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
+    running = np.concatenate([[0], np.cumsum(odd)])
+    some = running[ends] > running[begins]
+    begins, ends = begins[some], ends[some]
+    first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    cuts = np.searchsorted(begins, first)
+    return [list(zip((begins[a:b] - at).tolist(), (ends[a:b] - at).tolist(), strict=True)) for a, b, at in zip(cuts[:-1], cuts[1:], first[:-1], strict=True)]
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
@@ -94,48 +130,48 @@ class Restorer:
     def word(self, seen: str) -> str:
         """Viterbi over the lattice of one disguised word; a state is the last two letters read.
 
-        Signs outside the first and last character that can be a letter stay as they are.
+        A look-alike may stand for each of its letters; signs and gaps also for
+        nothing. Of a letter three times or more one or two are meant.
         """
         seen = seen.lower()
-        # state: (letter before last, last letter, last character read): (log probability, text)
-        states = {(0, 0, ""): (0.0, "")}
-        for c in seen:
-            reached: dict[tuple[int, int, str], tuple[float, str]] = {}
-            drawn = c in self.letter
-            options = [(c, 0.0)] if drawn else [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
-            for (a, b, before), (score, text) in states.items():
-                ways = [(x, score + cost) for x, cost in options]
-                if c in _GAPS or c in LOOKALIKES and not c.isdigit():
-                    ways.append(("", score + NOTHING))
-                elif drawn and before == c:
-                    ways.append(("", score + DRAWN))
-                if not ways:  # a sign of which nothing is known ends the word
-                    ways = [(c, score)]
-                for x, s in ways:
-                    if x:
-                        k = self.letter.get(x, 0)
-                        key, s, out = (b, k, c if drawn else ""), s + self.model[a][b][k], text + x
-                    else:
-                        key, out = (a, b, before if drawn else ""), text
+        states = {(0, 0): (0.0, "")}
+        for at, c in enumerate(seen):
+            run = len(seen[:at]) - len(seen[:at].rstrip(c)) + 1
+            long = seen[max(0, at - run + 1) :].startswith(c * 3)
+            if c in self.letter:
+                ways = [("", 0.0)] if long and run > 2 else [(c, 0.0), ("", DRAWN)] if long and run == 2 else [(c, 0.0)]
+            else:
+                ways = [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
+                if not c.isalnum():
+                    ways.append(("", NOTHING))
+            reached: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (score, text) in states.items():
+                for x, cost in ways or [(c, 0.0)]:
+                    k = self.letter.get(x, 0)
+                    key, s = ((b, k), score + cost + self.model[a][b][k]) if x else ((a, b), score + cost)
                     if key not in reached or s > reached[key][0]:
-                        reached[key] = (s, out)
+                        reached[key] = (s, text + x)
             states = reached
-        return max(((s + self.model[a][b][0], text) for (a, b, _), (s, text) in states.items()), default=(0, seen))[1]
-
-    def _plain(self, match: re.Match) -> str:
-        seen = match[0]
-        found = self.known.get(seen)
-        if found is None:
-            core = seen.strip(_GAPS + ",;:?")
-            found = seen if not core else self.word(core)
-            if len(self.known) > self.remembered:
-                self.known.clear()
-            if len(seen) < 200:
-                self.known[seen] = found
-        return f" {found} "
-
-    def text(self, text: str) -> str:
-        return _DISGUISED.sub(self._plain, text)
+        return max((s + self.model[a][b][0], text) for (a, b), (s, text) in states.items())[1]
+
+    def texts(self, texts: list[str]) -> list[str]:
+        return [self._replaced(t, places) if places else t for t, places in zip(texts, disguised(texts), strict=True)]
+
+    def _replaced(self, text: str, places: list[tuple[int, int]]) -> str:
+        parts, at = [], 0
+        for begin, end in places:
+            seen = text[begin:end]
+            found = self.known.get(seen)
+            if found is None:
+                core = seen.strip(_GAPS + " ")
+                found = self.word(core) if core else seen
+                if len(self.known) > self.remembered:
+                    self.known.clear()
+                if len(seen) < 200:
+                    self.known[seen] = found
+            parts += [text[at:begin], " ", found, " "]
+            at = end
+        return "".join([*parts, text[at:]])
 
 
 #: Bytes of a word's beginnings that are features; 0 stands for the whole word.
@@ -148,63 +184,95 @@ def _keys(words, n_bytes: int) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Features by the number of their bytes, and the toxic share of documents by mentions."""
+    """Weights of features by the number of their bytes, and the coefficients of a logistic regression."""
 
-    features: dict[int, np.ndarray]
-    share: np.ndarray
+    features: dict[int, tuple[np.ndarray, np.ndarray]]
+    coefficients: np.ndarray
 
-    def mentions(self, words) -> np.ndarray:
-        """For each text the number of words that have a feature."""
-        hit = np.zeros(len(words.hashes), bool)
-        for n_bytes, own in self.features.items():
-            hit |= np.isin(_keys(words, n_bytes), own)
-        return np.add.reduceat(np.append(hit, False), words.first[:-1]) * (np.diff(words.first) > 0)
+    def weights(self, keys: list[np.ndarray]) -> np.ndarray:
+        """For each word its heaviest feature; ``keys`` has the words' features of each kind."""
+        heaviest = np.zeros(len(keys[0]))
+        for (own, weight), key in zip(self.features.values(), keys, strict=True):
+            if len(own):
+                at = np.minimum(np.searchsorted(own, key), len(own) - 1)
+                heaviest = np.maximum(heaviest, np.where(own[at] == key, weight[at], 0))
+        return heaviest
 
     def score(self, words) -> np.ndarray:
-        found = self.mentions(words)
-        return self.share[np.minimum(found, len(self.share) - 1)] + 0.01 * np.minimum(found / np.maximum(np.diff(words.first), 1), 1)
+        running = np.concatenate([[0], np.cumsum(self.weights([_keys(words, n) for n in self.features]))])
+        z = evidence(running[words.first[1:]] - running[words.first[:-1]], np.diff(words.first)) @ self.coefficients
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def evidence(weight: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """What the regression sees of a document: the weight of its mentions against its length."""
+    weight = np.maximum(weight, 0)
+    return np.stack([np.ones(len(weight)), np.log1p(weight), np.log1p(n_words), weight > 0.5], 1)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
+    """Coefficients by Newton's method with a small penalty."""
+    c = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(c))
+        step = np.linalg.solve(curve, x.T @ (y - p) - ridge * c)
+        c += step * min(1, 4 / max(1e-9, np.abs(step).max()))
+    return c
 
 
-def choose(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int = 3) -> np.ndarray:
-    """Features that cover the toxic documents and spare the others, the one that covers most first.
+def choose(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int = 3, ratio: float = 10, sure: float = 15) -> tuple[np.ndarray, np.ndarray]:
+    """Features that tell toxic documents, the one that covers most first, and their weights.
 
     ``doc`` and ``feature`` have one entry for each mention. A feature is
-    considered if ``least`` toxic documents mention it and hardly any other. A
-    document counts by its mentions, up to five: chance features are mentioned
-    once. Each choice takes the documents that it covers out of the count, so
-    rare features of documents already covered are not learned.
+    considered if ``least`` toxic documents mention it and if it is ``ratio``
+    times as frequent in toxic documents as in others; its weight is the
+    logarithm of that ratio. A document counts by its mentions, up to five:
+    chance features are mentioned once. Each choice takes the documents that it
+    covers out of the count, so rare features of these are not learned. Features
+    of which as many documents are toxic as hardly happens by chance (a
+    log-likelihood of ``sure``) are all learned.
     """
     names, feature = np.unique(feature, return_inverse=True)
+    if not len(names) or not toxic.any():
+        return names, np.zeros(len(names))
     pair, times = np.unique(doc * len(names) + feature, return_counts=True)
-    d, f = pair // max(1, len(names)), pair % max(1, len(names))
-    bad, good = np.bincount(f[toxic[d]], minlength=len(names)), np.bincount(f[~toxic[d]], minlength=len(names))
-    fit = (bad >= least) & (bad >= 30 * good)
+    d, f = pair // len(names), pair % len(names)
+    bad, good = (np.bincount(f[toxic[d] == t], minlength=len(names)) for t in (True, False))
+    in_doc = np.unique(doc)
+    base = toxic[in_doc].mean()
+    n = bad + good
+    likely = bad * np.log(np.maximum(bad, 0.5) / n / base) + good * np.log(np.maximum(good, 0.5) / n / max(1 - base, 0.01))
+    of = [np.bincount(f[toxic[d] == t], times[toxic[d] == t], len(names)) for t in (True, False)]
+    rate = [(n + extra) / (n.sum() + 1) for n, extra in zip(of, (0, 1), strict=True)]
+    times_as = rate[0] / rate[1]
+    fit = (bad >= least) & (times_as >= ratio)
     keep = fit[f] & toxic[d]
     d, f, gain = d[keep], f[keep], np.minimum(times[keep], 5).astype(float)
-    chosen = []
+    chosen = set(np.flatnonzero(fit & (bad > base * n) & (likely >= sure)).tolist())
     while len(d):
-        total = np.bincount(f, gain, len(names))
-        best = int(total.argmax())
+        best = int(np.bincount(f, gain, len(names)).argmax())
         covered = np.unique(d[f == best])
         if len(covered) < least:
             break
-        chosen.append(names[best])
+        chosen.add(best)
         keep = ~np.isin(d, covered)
         d, f, gain = d[keep], f[keep], gain[keep]
-    return np.array(chosen, np.uint64)
+    chosen = sorted(chosen)
+    return names[chosen], np.log(times_as[chosen])
 
 
 def _mentioned(restorer: Restorer, texts: pa.Array) -> Iterator:
-    restored = pa.array([restorer.text(t.as_py()) for t in texts], pa.large_string())
-    return hashed_words(restored, lower=True, letters=True)
+    for start in range(0, len(texts), 64):
+        restored = pa.array([t.lower() for t in restorer.texts(texts.slice(start, 64).to_pylist())], pa.large_string())
+        for at, to, words in hashed_words(restored, lower=False, letters=True):
+            yield start + at, start + to, words
 
 
-def learn_lexicon(chosen: DataFrame, model, prior: float = 0.8, weight: float = 2.0) -> Lexicon:
-    """From ``chosen`` (label, text) the lexicon of two thirds of the rows, and the shares of the other third.
+def learn_lexicon(chosen: DataFrame, model, least_toxic: int = 30) -> Lexicon:
+    """From ``chosen`` (label, text) the lexicon of two thirds of the rows, and the regression of the other third.
 
-    ``prior`` is the toxic share, with the weight of two documents, where
-    nothing is known about a number of mentions; without mentions it is the
-    share of toxic documents.
+    With fewer than ``least_toxic`` toxic rows in it the regression is of all rows.
     """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,19 +289,17 @@ def learn_lexicon(chosen: DataFrame, model, prior: float = 0.8, weight: float =
     toxic = got["label"].to_numpy() == 1
     keys = [np.frombuffer(k, np.uint64).reshape(len(BEGINNINGS), -1) for k in got["keys"]]
     learn = np.arange(len(got)) % 3 != 2
-    count = [k.shape[1] if own else 0 for k, own in zip(keys, learn, strict=True)]
-    doc = np.repeat(np.arange(len(got)), [len(BEGINNINGS) * c for c in count])
+    count = [len(BEGINNINGS) * k.shape[1] if own else 0 for k, own in zip(keys, learn, strict=True)]
     every = np.concatenate([k.ravel() for k, own in zip(keys, learn, strict=True) if own] or [np.zeros(0, np.uint64)])
-    found = choose(doc, every, toxic)
-    features = {n: found[np.isin(found, np.concatenate([k[i] for k in keys] or [found[:0]]))] for i, n in enumerate(BEGINNINGS)}
-    rest = [int(sum(np.isin(k[i], features[n]) for i, n in enumerate(BEGINNINGS)).astype(bool).sum()) for k, own in zip(keys, learn, strict=True) if not own]
-    top = 6
-    seen = np.bincount(np.minimum(np.array(rest, np.int64), top - 1), minlength=top)
-    bad = np.bincount(np.minimum(np.array(rest, np.int64), top - 1), toxic[~learn], minlength=top)
-    base = np.full(top, prior)
-    base[0] = min(0.5, toxic.mean() / 2) if len(toxic) else 0.5
-    share = (bad + weight * base) / (seen + weight)
-    return Lexicon(features, np.maximum.accumulate(np.clip(share * 0.98, 0, 0.98)))
+    names, weight = choose(np.repeat(np.arange(len(got)), count), every, toxic)
+    order = np.argsort(names)
+    # A hash tells its kind, so each kind may look among all names.
+    lexicon = Lexicon({n: (names[order], weight[order]) for n in BEGINNINGS}, np.zeros(4))
+    rest = ~learn if toxic[~learn].sum() >= least_toxic else np.ones(len(got), bool)
+    found = [lexicon.weights(list(k)).sum() for k in keys]
+    seen = evidence(np.array(found), np.array([k.shape[1] for k in keys]))
+    lexicon.coefficients = logistic(seen[rest], toxic[rest]) if toxic.any() else np.array([-5.0, 0, 0, 0])
+    return lexicon
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 4000) -> DataFrame:
