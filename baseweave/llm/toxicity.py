@@ -269,11 +269,8 @@ def _mentioned(restorer: Restorer, texts: pa.Array) -> Iterator:
             yield start + at, start + to, words
 
 
-def learn_lexicon(chosen: DataFrame, model, least_toxic: int = 30) -> Lexicon:
-    """From ``chosen`` (label, text) the lexicon of two thirds of the rows, and the regression of the other third.
-
-    With fewer than ``least_toxic`` toxic rows in it the regression is of all rows.
-    """
+def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
+    """The lexicon of ``chosen`` (label, text), and the regression of what lexicons of the other folds find in each fold."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
@@ -288,18 +285,24 @@ def learn_lexicon(chosen: DataFrame, model, least_toxic: int = 30) -> Lexicon:
     got = got.drop_duplicates().sort_values(["keys", "label"], ignore_index=True)
     toxic = got["label"].to_numpy() == 1
     keys = [np.frombuffer(k, np.uint64).reshape(len(BEGINNINGS), -1) for k in got["keys"]]
-    learn = np.arange(len(got)) % 3 != 2
-    count = [len(BEGINNINGS) * k.shape[1] if own else 0 for k, own in zip(keys, learn, strict=True)]
-    every = np.concatenate([k.ravel() for k, own in zip(keys, learn, strict=True) if own] or [np.zeros(0, np.uint64)])
-    names, weight = choose(np.repeat(np.arange(len(got)), count), every, toxic)
-    order = np.argsort(names)
-    # A hash tells its kind, so each kind may look among all names.
-    lexicon = Lexicon({n: (names[order], weight[order]) for n in BEGINNINGS}, np.zeros(4))
-    rest = ~learn if toxic[~learn].sum() >= least_toxic else np.ones(len(got), bool)
-    found = [lexicon.weights(list(k)).sum() for k in keys]
-    seen = evidence(np.array(found), np.array([k.shape[1] for k in keys]))
-    lexicon.coefficients = logistic(seen[rest], toxic[rest]) if toxic.any() else np.array([-5.0, 0, 0, 0])
-    return lexicon
+    fold = np.arange(len(got)) % folds
+
+    def lexicon(own: np.ndarray) -> Lexicon:
+        count = np.array([len(BEGINNINGS) * k.shape[1] for k in keys], np.int64) * own
+        every = np.concatenate([k.ravel() for k, mine in zip(keys, own, strict=True) if mine] or [np.zeros(0, np.uint64)])
+        names, weight = choose(np.repeat(np.arange(len(got)), count), every, toxic)
+        order = np.argsort(names)
+        # A hash tells its kind, so each kind may look among all names.
+        return Lexicon({n: (names[order], weight[order]) for n in BEGINNINGS}, np.array([-5.0, 0, 0, 0]))
+
+    learned = lexicon(np.ones(len(got), bool))
+    if toxic.any():
+        found = np.zeros(len(got))
+        for k in range(folds):
+            other = lexicon(fold != k)
+            found[fold == k] = [other.weights(list(keys[i])).sum() for i in np.flatnonzero(fold == k)]
+        learned.coefficients = logistic(evidence(found, np.array([k.shape[1] for k in keys])), toxic)
+    return learned
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 4000) -> DataFrame:
