@@ -116,37 +116,26 @@ def _seen(shards: int):
 
 
 def _shared(buckets: int):
-    """Of a partition's anchors those of several documents: segments to index, and whole copies."""
+    """Of a shard's anchors those of several documents: segments to index, and whole copies."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, records = [], []
-        for batch in batches:
-            for number, part in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
-                records.append(np.frombuffer(part.as_buffer(), SEEN))
-                shard.append(np.full(len(records[-1]), number, np.int32))
-        if not records:
-            return
-        seen, shard = np.concatenate(records), np.concatenate(shard)
-        del records
+    def run(rows: pa.Table) -> pa.Table:
+        seen = _records(rows["seen"], SEEN)
         order = np.argsort(seen["anchor"], kind="stable")
         anchor, doc = seen["anchor"][order], seen["doc"][order]
         begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
         order = order[np.repeat(several, np.diff(np.append(begin, len(order))))]
-        if not len(order):
-            return
-        seen, shard = seen[order], shard[order]
-        order = np.lexsort([seen["doc"], seen["content"]])
-        seen, shard = seen[order], shard[order]
+        seen = seen[order]
+        seen = seen[np.lexsort([seen["doc"], seen["content"]])]
         content = np.flatnonzero(np.append(True, seen["content"][1:] != seen["content"][:-1]))
         smallest = np.repeat(seen["doc"][content], np.diff(np.append(content, len(seen))))
         copy = seen["doc"] > smallest
         own, gone = np.empty((~copy).sum(), SEGMENT), np.empty(copy.sum(), REMOVAL)
         for name, _ in _PART:
             own[name], gone[name] = seen[name][~copy], seen[name][copy]
-        own["shard"] = shard[~copy]
+        own["shard"] = rows["shard"][0].as_py()
         gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
-        yield pa.RecordBatch.from_arrays(
+        return pa.Table.from_arrays(
             _packed(np.concatenate([own["doc"], gone["doc"]]) % buckets, own, gone), ["bucket", "segments", "removals"]
         )
 
@@ -195,19 +184,12 @@ def _words_out(rows: pa.Table, marks: pa.Table) -> pa.Table:
 
 
 def _searched(buckets: int):
-    """Index a partition's segments, stream them through the index, report what smaller documents have."""
+    """Index a shard's segments, stream them through the index, report what smaller documents have."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records, hashes = [], []
-        for batch in batches:
-            records.append(_records(batch.column(1), PLACED))
-            hashes.append(_records(batch.column(2), np.dtype("<u8")))
-        placed = np.concatenate(records) if records else []
-        if not len(placed):
-            return
+    def run(rows: pa.Table) -> pa.Table:
+        placed = _records(rows["placed"], PLACED)
         length = placed["length"].astype(np.int64)
-        index = FMIndex(np.concatenate(hashes), length, placed["doc"], WIDTH)
-        del records, hashes
+        index = FMIndex(_records(rows["words"], np.dtype("<u8")), length, placed["doc"], WIDTH)
         smallest = index.smallest_owners()
         begins = np.concatenate([[0], index.ends[:-1] + 1])
         of = np.repeat(np.arange(len(placed)), length + 1)
@@ -215,16 +197,14 @@ def _searched(buckets: int):
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (of[at[1:]] != of[at[:-1]])
         run = np.flatnonzero(new)
-        if not len(run):
-            return
-        last = at[np.append(run[1:], len(at)) - 1]
+        last = at[np.append(run[1:], len(at))[: len(run)] - 1] if len(run) else at
         segment = of[at[run]]
         gone = np.empty(len(run), REMOVAL)
         for name, _ in _PART:
             gone[name] = placed[name][segment]
         gone["begin"] = gone["start"] + at[run] - begins[segment]
         gone["end"] = gone["start"] + last - begins[segment] + WIDTH
-        yield pa.RecordBatch.from_arrays(_packed(gone["doc"] % buckets, gone), ["bucket", "removals"])
+        return pa.Table.from_arrays(_packed(gone["doc"] % buckets, gone), ["bucket", "removals"])
 
     return run
 
@@ -256,7 +236,7 @@ def _prime(least: int) -> int:
     return least
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 12 << 20, keep_text: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 8 << 20, keep_text: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Words are runs of non-spaces, unchanged. A word goes if a window of 13 words
@@ -278,11 +258,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shards = max(1, -(-n_bytes // shard_bytes))
     buckets = _prime(shards)
     seen = source.filter("doc_id is not null").mapInArrow(_seen(shards), "shard int, seen binary").repartition(shards, "shard")
-    marks = written(seen.mapInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
+    marks = written(seen.groupBy("shard").applyInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
     texts = source.withColumn("bucket", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     dealt = texts.groupBy("bucket").cogroup(marks.select("bucket", "segments").groupBy("bucket"))
     dealt = dealt.applyInArrow(_words_out, "shard int, placed binary, words binary").repartition(shards, "shard")
-    found = dealt.mapInArrow(_searched(buckets), "bucket int, removals binary")
+    found = dealt.groupBy("shard").applyInArrow(_searched(buckets), "bucket int, removals binary")
     gone = marks.select("bucket", "removals").unionByName(found)
     kept = texts.groupBy("bucket").cogroup(gone.groupBy("bucket"))
     kept = kept.applyInArrow(_kept if keep_text else _counted, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
