@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import length, merge, overlap_bp, segments, union
+from .intervals import intersect, length, merge, overlap_bp, union
 
 #: Intervals shown for each pair of sets that overlap.
 SHOWN = 20
@@ -42,10 +42,9 @@ def positions(records: DataFrame) -> DataFrame:
 
 def _shown(**sets: DataFrame) -> list[str]:
     names, out = list(sets), []
-    parts = segments(*sets.values())
     for i in range(len(names)):
         for k in range(i + 1, len(names)):
-            met = merge(parts.filter((F.col(f"n{i}") > 0) & (F.col(f"n{k}") > 0))).orderBy("contig", "s")
+            met = intersect(sets[names[i]], sets[names[k]]).orderBy("contig", "s")
             n = met.count()
             if n:
                 out += [f"{names[i]} and {names[k]}: {r.contig} {r.s} {r.e}" for r in met.limit(SHOWN).collect()]

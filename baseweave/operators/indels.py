@@ -16,11 +16,16 @@ def large_indels(records: DataFrame, cutoff: int = DEFAULT_CUTOFF) -> DataFrame:
     return records.filter(vcf.indel_size(F.col("ref"), F.col("alt")) > cutoff)
 
 
-def dropped_intervals(large: DataFrame) -> DataFrame:
-    """Merged intervals of what the large indels take: the reference where it is the longer, else one position."""
+def dropped_spans(large: DataFrame) -> DataFrame:
+    """(contig, s, e) of what each large indel takes: the reference where it is the longer, else one position."""
     start = F.col("pos") - 1
     end = F.when(F.length("ref") > F.length("alt"), start + F.length("ref")).otherwise(F.col("pos"))
-    return merge(large.filter("pos is not null").select("contig", start.alias("s"), end.alias("e")))
+    return large.filter("pos is not null").select("contig", start.alias("s"), end.alias("e"))
+
+
+def dropped_intervals(large: DataFrame) -> DataFrame:
+    """The same, merged."""
+    return merge(dropped_spans(large))
 
 
 def drop_sites(records: DataFrame, large: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """Interval algebra on DataFrames (contig, s, e), 0-based and half-open.
 
-Everything but the union is one sweep: each set's ends become +1 and -1 at
-positions, running sums tell which sets cover a stretch, and stretches that
-satisfy a predicate are merged. No interval is compared with another one.
+Everything is one sweep: each set's ends become +1 and -1 at positions, running
+sums tell how many intervals of each set cover a stretch, and the result is
+where a predicate of these numbers holds. No interval is compared with another.
 Intervals with a null or with ``e <= s`` hold nothing and are left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,19 +21,8 @@ def proper(df: DataFrame) -> DataFrame:
     return df.select("contig", "s", "e").filter("e > s")
 
 
-def merge(intervals: DataFrame) -> DataFrame:
-    """Overlapping and adjacent intervals as one."""
-    known = running(proper(intervals), "s", {"before": ("max", F.col("e"))}, inclusive=False, ties=("e",))
-    starts = known.withColumn("start", F.when(F.col("before").isNull() | (F.col("s") > F.col("before")), F.col("s")))
-    starts = starts.select("contig", "s", "e", "start", F.col("start").isNull().alias("inner"))
-    # Of intervals with one start, the one that opens an island goes first.
-    islands = running(starts, "s", {"island": ("max", F.col("start"))}, ties=("inner",))
-    return islands.groupBy("contig", F.col("island").alias("s")).agg(F.max("e").alias("e"))
-
-
-def segments(*sets: DataFrame) -> DataFrame:
-    """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each set cover them."""
-    names = [f"n{k}" for k in range(len(sets))]
+def _events(*sets: DataFrame) -> DataFrame:
+    """(contig, x, d0, d1, ...): by how much the number of intervals of each set changes at a position."""
 
     def ends(k: int, df: DataFrame) -> DataFrame:
         sides = F.array(F.struct(F.col("s").alias("x"), F.lit(1).alias("d")), F.struct(F.col("e").alias("x"), F.lit(-1).alias("d")))
@@ -40,25 +30,51 @@ def segments(*sets: DataFrame) -> DataFrame:
         return side.select("contig", "side.x", *[(F.col("side.d") if k == i else F.lit(0)).alias(f"d{i}") for i in range(len(sets))])
 
     events = reduce(DataFrame.unionByName, [ends(k, df) for k, df in enumerate(sets)])
-    events = events.groupBy("contig", "x").agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in range(len(sets))])
-    summed = running(events, "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)})
-    return next_of(summed, "x", "e").filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
+    return events.groupBy("contig", "x").agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in range(len(sets))])
+
 
+def segments(*sets: DataFrame) -> DataFrame:
+    """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each set cover them."""
+    names = [f"n{k}" for k in range(len(sets))]
+    swept = running(_events(*sets), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)}, following="e")
+    return swept.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
 
-def _where(predicate: Column, *sets: DataFrame) -> DataFrame:
-    return merge(segments(*sets).filter(predicate))
+
+def sweep(predicate: Callable[..., Column], *sets: DataFrame) -> DataFrame:
+    """Merged stretches where ``predicate`` of the numbers of covering intervals holds, one number for each set.
+
+    At each position the numbers before and after are known, so stretches begin
+    and end where the predicate changes; each beginning is paired with the next
+    end. The predicate is false where nothing covers.
+    """
+    names = [f"n{k}" for k in range(len(sets))]
+    swept = running(_events(*sets), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)})
+    after = predicate(*[F.col(n) for n in names])
+    before = predicate(*[F.col(n) - F.col(f"d{k}") for k, n in enumerate(names)])
+    changes = swept.select("contig", "x", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
+    return next_of(changes, "x", "e").filter("begins").select("contig", F.col("x").alias("s"), "e")
+
+
+def merge(intervals: DataFrame) -> DataFrame:
+    """Overlapping and adjacent intervals as one."""
+    return sweep(lambda n: n > 0, intervals)
 
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _where(F.expr("n0 > 0 and n1 = 0"), a, b)
+    return sweep(lambda n, m: (n > 0) & (m == 0), a, b)
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _where(F.expr("n0 > 0 and n1 > 0"), a, b)
+    return sweep(lambda n, m: (n > 0) & (m > 0), a, b)
+
+
+def together(*sets: DataFrame) -> DataFrame:
+    """All intervals, not merged."""
+    return reduce(DataFrame.unionByName, [s.select("contig", "s", "e") for s in sets])
 
 
 def union(*sets: DataFrame) -> DataFrame:
-    return merge(reduce(DataFrame.unionByName, [s.select("contig", "s", "e") for s in sets]))
+    return merge(together(*sets))
 
 
 def complement(intervals: DataFrame, lengths: DataFrame) -> DataFrame:

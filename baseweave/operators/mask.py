@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from baseweave.functions import vcf
 
-from .intervals import subtract, union
+from .intervals import subtract, together
 
 
 def mask_spans(records: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def mask_spans(records: DataFrame) -> DataFrame:
 
 def filtered_mask(filtered: DataFrame, missing: DataFrame, dropped: DataFrame, invariant: DataFrame, clean: DataFrame) -> DataFrame:
     """(filtered, missing and dropped) without (invariant and clean); records are given as such, the others as intervals."""
-    return subtract(union(mask_spans(filtered), missing, dropped), union(mask_spans(invariant), mask_spans(clean)))
+    return subtract(together(mask_spans(filtered), missing, dropped), together(mask_spans(invariant), mask_spans(clean)))
 
 
 def target_contig(filtered: DataFrame, invariant: DataFrame, clean: DataFrame, missing: DataFrame) -> str | None:

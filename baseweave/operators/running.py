@@ -14,29 +14,28 @@ from pyspark.sql import functions as F
 BIN = 1 << 20
 
 
-def running(df: DataFrame, at: str, values: dict[str, tuple[str, Column]], inclusive: bool = True, ties: tuple[str, ...] = (), key: str = "contig") -> DataFrame:
+def running(df: DataFrame, at: str, values: dict[str, tuple[str, Column]], inclusive: bool = True, ties: tuple[str, ...] = (), following: str | None = None, key: str = "contig") -> DataFrame:
     """``df`` with a column for each of ``values``: name -> ("sum" or "max", expression).
 
     Rows go by ``at`` within ``key``. A value runs over the rows up to this one,
     or before it if not ``inclusive``. Sums without rows are 0, maxima null.
+    ``following`` names a column for the next row's ``at``, null for the last.
     """
     totals = {"sum": F.sum, "max": F.max}
     combine = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": lambda a, b: F.greatest(a, b)}
     binned = df.withColumns({"__bin": F.floor(F.col(at) / BIN), **{f"__v_{n}": v for n, (_, v) in values.items()}}).repartition(key, "__bin")
-    per_bin = binned.groupBy(key, "__bin").agg(*[totals[kind](f"__v_{n}").alias(n) for n, (kind, _) in values.items()])
+    per_bin = binned.groupBy(key, "__bin").agg(F.min(at).alias("__first"), *[totals[kind](f"__v_{n}").alias(n) for n, (kind, _) in values.items()])
     earlier = Window.partitionBy(key).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bin.select(key, "__bin", *[totals[kind](n).over(earlier).alias(f"__c_{n}") for n, (kind, _) in values.items()])
+    later = Window.partitionBy(key).orderBy("__bin").rowsBetween(1, Window.unboundedFollowing)
+    carried = per_bin.select(key, "__bin", F.min("__first").over(later).alias("__later"), *[totals[kind](n).over(earlier).alias(f"__c_{n}") for n, (kind, _) in values.items()])
     within = Window.partitionBy(key, "__bin").orderBy(at, *ties).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     out = binned.join(carried, [key, "__bin"]).withColumns({n: combine[kind](F.col(f"__c_{n}"), totals[kind](f"__v_{n}").over(within)) for n, (kind, _) in values.items()})
-    return out.drop("__bin", *[f"__{x}_{n}" for n in values for x in "vc"])
+    if following:
+        in_order = Window.partitionBy(key, "__bin").orderBy(at, *ties)
+        out = out.withColumn(following, F.coalesce(F.lead(at).over(in_order), F.col("__later")))
+    return out.drop("__bin", "__later", *[f"__{x}_{n}" for n in values for x in "vc"])
 
 
 def next_of(df: DataFrame, at: str, name: str, key: str = "contig") -> DataFrame:
     """``df`` with the next row's ``at`` within ``key``; null for the last. ``at`` is distinct within ``key``."""
-    binned = df.withColumn("__bin", F.floor(F.col(at) / BIN)).repartition(key, "__bin")
-    firsts = binned.groupBy(key, "__bin").agg(F.min(at).alias("__first"))
-    later = Window.partitionBy(key).orderBy("__bin").rowsBetween(1, Window.unboundedFollowing)
-    firsts = firsts.select(key, "__bin", F.min("__first").over(later).alias("__later"))
-    within = Window.partitionBy(key, "__bin").orderBy(at)
-    out = binned.join(firsts, [key, "__bin"]).withColumn(name, F.coalesce(F.lead(at).over(within), F.col("__later")))
-    return out.drop("__bin", "__later")
+    return running(df, at, {}, following=name, key=key)

@@ -43,7 +43,7 @@ LENGTHS = """
 def _merged(name: str, rows: str) -> str:
     """Common table expressions that merge the intervals of ``rows`` as ``name``."""
     return f"""
-    {name}_a AS (SELECT contig, s, e, max(e) OVER (PARTITION BY contig ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM ({rows}) WHERE e > s),
+    {name}_a AS (SELECT contig, s, e, max(e) OVER (PARTITION BY contig ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM (SELECT DISTINCT contig, s, e FROM ({rows}) WHERE e > s)),
     {name}_b AS (SELECT contig, s, e, sum(CASE WHEN b IS NULL OR s > b THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM {name}_a),
     {name} AS (SELECT contig, min(s) AS s, max(e) AS e FROM {name}_b GROUP BY contig, i)"""
 
@@ -188,9 +188,9 @@ _DROPPED = """SELECT contig, pos - 1 AS s, CASE WHEN length(ref) > length(alt) T
        plus AS (SELECT contig, s, e FROM spans_filtered UNION ALL SELECT * FROM gaps UNION ALL SELECT * FROM dropped),
        minus AS (SELECT * FROM spans_inv UNION ALL SELECT * FROM spans_clean), {_swept('m', 'plus', 'minus', 'na > 0 AND nb = 0')} SELECT * FROM m""")
 def subtract_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = sites(spark, sf_dir)
-    lost = indels.dropped_intervals(indels.large_indels(records, 4))
-    parts = [_of(spark, sf_dir, c) for c in (classify.FILTERED, classify.INVARIANT, classify.CLEAN)]
+    every = _classified(spark, sf_dir)
+    lost = indels.dropped_spans(indels.large_indels(sites(spark, sf_dir), 4))
+    parts = [every.filter(F.col("class") == c) for c in (classify.FILTERED, classify.INVARIANT, classify.CLEAN)]
     return mask.filtered_mask(parts[0], missing_gaps(spark, sf_dir), lost, parts[1], parts[2])
 
 
