@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -221,35 +222,41 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return c
 
 
-def choose(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int = 3, ratio: float = 10, sure: float = 15) -> tuple[np.ndarray, np.ndarray]:
-    """Features that tell toxic documents, the one that covers most first, and their weights.
+def telling(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int = 3, ratio: float = 10, sure: float = 15) -> pd.DataFrame:
+    """(doc, feature, times, weight, sure) of the features that tell toxic documents, in these documents.
 
-    ``doc`` and ``feature`` have one entry for each mention. A feature is
-    considered if ``least`` toxic documents mention it and if it is ``ratio``
-    times as frequent in toxic documents as in others; its weight is the
-    logarithm of that ratio. A document counts by its mentions, up to five:
-    chance features are mentioned once. Each choice takes the documents that it
-    covers out of the count, so rare features of these are not learned. Features
-    of which as many documents are toxic as hardly happens by chance (a
-    log-likelihood of ``sure``) are all learned.
+    ``doc`` and ``feature`` have one entry for each word. A feature tells if
+    ``least`` toxic documents mention it and if it is ``ratio`` times as frequent
+    in toxic documents as in others; its weight is the logarithm of that. It is
+    sure if as many of its documents are toxic as hardly happens by chance (a
+    log-likelihood of ``sure``).
     """
     names, feature = np.unique(feature, return_inverse=True)
-    if not len(names) or not toxic.any():
-        return names, np.zeros(len(names))
-    pair, times = np.unique(doc * len(names) + feature, return_counts=True)
-    d, f = pair // len(names), pair % len(names)
+    pair, times = np.unique(doc.astype(np.int64) * max(1, len(names)) + feature, return_counts=True)
+    d, f = pair // max(1, len(names)), pair % max(1, len(names))
     bad, good = (np.bincount(f[toxic[d] == t], minlength=len(names)) for t in (True, False))
-    in_doc = np.unique(doc)
-    base = toxic[in_doc].mean()
-    n = bad + good
-    likely = bad * np.log(np.maximum(bad, 0.5) / n / base) + good * np.log(np.maximum(good, 0.5) / n / max(1 - base, 0.01))
+    base = np.clip(toxic[np.unique(doc)].mean() if len(doc) else 0.5, 0.001, 0.999)
+    n = np.maximum(bad + good, 1)
+    likely = bad * np.log(np.maximum(bad, 0.5) / n / base) + good * np.log(np.maximum(good, 0.5) / n / (1 - base))
     of = [np.bincount(f[toxic[d] == t], times[toxic[d] == t], len(names)) for t in (True, False)]
-    rate = [(n + extra) / (n.sum() + 1) for n, extra in zip(of, (0, 1), strict=True)]
+    rate = [(m + extra) / (m.sum() + 1) for m, extra in zip(of, (0, 1), strict=True)]
     times_as = rate[0] / rate[1]
-    fit = (bad >= least) & (times_as >= ratio)
-    keep = fit[f] & toxic[d]
-    d, f, gain = d[keep], f[keep], np.minimum(times[keep], 5).astype(float)
-    chosen = set(np.flatnonzero(fit & (bad > base * n) & (likely >= sure)).tolist())
+    keep = ((bad >= least) & (times_as >= ratio))[f] & toxic[d]
+    d, f = d[keep], f[keep]
+    certain = (bad > base * n) & (likely >= sure)
+    return pd.DataFrame({"doc": d, "feature": names[f], "times": times[keep], "weight": np.log(times_as[f]), "sure": certain[f]})
+
+
+def choose(found: pd.DataFrame, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Sure features, and besides features that cover the toxic documents, the one that covers most first; and their weights.
+
+    A document counts by its mentions, up to five: chance features are mentioned
+    once. Each choice takes the documents that it covers out of the count, so
+    rare features of these are not learned.
+    """
+    names, first, f = np.unique(found["feature"].to_numpy(np.uint64), return_index=True, return_inverse=True)
+    d, gain = found["doc"].to_numpy(), np.minimum(found["times"].to_numpy(), 5).astype(float)
+    chosen = set(np.flatnonzero(found["sure"].to_numpy()[first]).tolist())
     while len(d):
         best = int(np.bincount(f, gain, len(names)).argmax())
         covered = np.unique(d[f == best])
@@ -259,7 +266,7 @@ def choose(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int =
         keep = ~np.isin(d, covered)
         d, f, gain = d[keep], f[keep], gain[keep]
     chosen = sorted(chosen)
-    return names[chosen], np.log(times_as[chosen])
+    return names[chosen], found["weight"].to_numpy()[first][chosen]
 
 
 def _mentioned(restorer: Restorer, texts: pa.Array) -> Iterator:
@@ -288,9 +295,10 @@ def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
     fold = np.arange(len(got)) % folds
 
     def lexicon(own: np.ndarray) -> Lexicon:
-        count = np.array([len(BEGINNINGS) * k.shape[1] for k in keys], np.int64) * own
-        every = np.concatenate([k.ravel() for k, mine in zip(keys, own, strict=True) if mine] or [np.zeros(0, np.uint64)])
-        names, weight = choose(np.repeat(np.arange(len(got)), count), every, toxic)
+        doc = np.repeat(np.arange(len(got), dtype=np.int32), np.array([k.shape[1] for k in keys], np.int64) * own)
+        # One kind of feature at a time: all of them together are several times as large.
+        kinds = (np.concatenate([k[i] for k, mine in zip(keys, own, strict=True) if mine] or [np.zeros(0, np.uint64)]) for i in range(len(BEGINNINGS)))
+        names, weight = choose(pd.concat([telling(doc, kind, toxic) for kind in kinds]))
         order = np.argsort(names)
         # A hash tells its kind, so each kind may look among all names.
         return Lexicon({n: (names[order], weight[order]) for n in BEGINNINGS}, np.array([-5.0, 0, 0, 0]))
@@ -305,7 +313,7 @@ def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
     return learned
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 4000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 3000) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted.
 
     ``score`` estimates that ``toxic`` is 1, from the whole text alone. The
