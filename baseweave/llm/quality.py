@@ -21,6 +21,8 @@ from .labelled import held_out, learnable
 from .words import Words, hashed_words
 
 BUCKETS, RANK = 1 << 14, 8
+#: Statistics of a document, see ``features``.
+STATS = 20
 _UPPER, _LOWER, _DIGIT, _MARK, _HIGH, _OTHER = range(6)
 _CLASS = np.full(256, _OTHER, np.int64)
 _CLASS[ord("A") : ord("Z") + 1], _CLASS[ord("a") : ord("z") + 1], _CLASS[ord("0") : ord("9") + 1], _CLASS[0x80:] = _UPPER, _LOWER, _DIGIT, _HIGH
@@ -126,7 +128,7 @@ class Machine:
 def fit(f: Features, labels: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.05, decay: float = 1e-4, seed: int = 6) -> Machine:
     """A machine fitted by minibatch AdaGrad; classes weigh alike. Without both classes it scores the share of ones."""
     random = np.random.default_rng(seed)
-    k = f.stats.shape[1] if len(labels) else 1
+    k = f.stats.shape[1]
     size = BUCKETS + k
     mean, scale = (f.stats.mean(0), f.stats.std(0) + 1e-3) if len(labels) else (np.zeros(k, np.float32), np.ones(k, np.float32))
     m = Machine(0.0, np.zeros(size, np.float32), random.normal(0, 0.05, (size, RANK)).astype(np.float32), mean, scale)
@@ -185,7 +187,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bo
     index = np.frombuffer(b"".join(got["index"]), np.int32)
     value = np.frombuffer(b"".join(got["value"]), np.float32)
     counts = [len(x) // 4 for x in got["index"]]
-    stats = np.frombuffer(b"".join(got["stats"]), np.float32).reshape(len(got), -1)
+    stats = np.frombuffer(b"".join(got["stats"]), np.float32).reshape(-1, STATS)
     return fit(Features(index, value, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), stats), got["label"].to_numpy())
 
 

@@ -115,6 +115,11 @@ def _seen(shards: int):
     return run
 
 
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
 def _shared(buckets: int):
     """Of a shard's anchors those of several documents: segments to index, and whole copies."""
 
@@ -122,12 +127,12 @@ def _shared(buckets: int):
         seen = _records(rows["seen"], SEEN)
         order = np.argsort(seen["anchor"], kind="stable")
         anchor, doc = seen["anchor"][order], seen["doc"][order]
-        begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        begin = _runs(anchor)
         several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
         order = order[np.repeat(several, np.diff(np.append(begin, len(order))))]
         seen = seen[order]
         seen = seen[np.lexsort([seen["doc"], seen["content"]])]
-        content = np.flatnonzero(np.append(True, seen["content"][1:] != seen["content"][:-1]))
+        content = _runs(seen["content"])
         smallest = np.repeat(seen["doc"][content], np.diff(np.append(content, len(seen))))
         copy = seen["doc"] > smallest
         own, gone = np.empty((~copy).sum(), SEGMENT), np.empty(copy.sum(), REMOVAL)
@@ -168,7 +173,7 @@ def _texts(rows: pa.Table, records: np.ndarray) -> Iterator[tuple[int, int, Word
 
 def _words_out(rows: pa.Table, marks: pa.Table) -> pa.Table:
     """The words of a bucket's segments to index, packed by shard: segments' records, and their words."""
-    shard, placed, hashes, lengths = [], [], [], []
+    shard, placed, hashes, lengths = [np.zeros(0, np.int32)], [np.zeros(0, PLACED)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, words, text, own in _texts(rows, _records(marks["segments"], SEGMENT)):
         begin, length = words.first[text] + own["start"], own["length"].astype(np.int64)
         hashes.append(words.hashes[np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())])
@@ -225,7 +230,7 @@ def _kept(rows: pa.Table, removals: pa.Table) -> pa.Table:
             n_removed.append(len(split) - len(kept))
             digest.append(hashlib.sha256(whole).hexdigest())
             kept_text.append(whole)
-    columns = [rows["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest), pa.array(kept_text, pa.binary()).cast(pa.string())]
+    columns = [rows["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept_text, pa.binary()).cast(pa.string())]
     return pa.Table.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 

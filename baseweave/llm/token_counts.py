@@ -36,7 +36,7 @@ def pre_tokens(text: str) -> list[str]:
 
 
 class PieceCounts(dict):
-    """Pieces by pre-token. Those not yet known are counted together by ``learn``."""
+    """Pieces by pre-token, forgotten once there are more than ``remembered``."""
 
     def __init__(self, model_path: str, remembered: int):
         from sentencepiece import SentencePieceProcessor
@@ -45,8 +45,6 @@ class PieceCounts(dict):
         self.remembered = remembered
 
     def learn(self, new: list[str]) -> None:
-        if len(self) + len(new) > self.remembered:
-            self.clear()
         self.update(zip(new, map(len, self.encode(new, num_threads=1)), strict=True))
         self[""] = 1  # a space at the end is a piece of its own
 
@@ -57,11 +55,9 @@ class PieceCounts(dict):
             new = [p for p in freq if p not in self]
             if new:
                 self.learn(new)
-                if len(new) < len(freq):  # learning may have made room
-                    gone = [p for p in freq if p not in self]
-                    if gone:
-                        self.learn(gone)
             counts.append(sum([self[p] * n for p, n in freq.items()]))
+            if len(self) > self.remembered:
+                self.clear()
         return counts
 
 
