@@ -71,3 +71,43 @@ def trimmed(records: DataFrame) -> DataFrame:
     cut = cut.withColumn("__n", same_start)
     cut = cut.withColumns({c: F.col(c).substr(F.col("__n") + 1, F.length(c)) for c in ("ref", "alt")} | {"pos": F.col("pos") + F.col("__n")})
     return cut.drop("__n")
+
+
+def shifted(pos: int, ref: str, alt: str, before: str) -> tuple[int, str, str]:
+    """A biallelic record as far left as ``before``, the reference up to it, allows, without shared bases."""
+    while ref[-1] == alt[-1] and (min(len(ref), len(alt)) > 1 or before):
+        ref, alt = ref[:-1], alt[:-1]
+        if not (ref and alt):
+            pos, base, before = pos - 1, before[-1], before[:-1]
+            ref, alt = base + ref, base + alt
+    while min(len(ref), len(alt)) > 1 and ref[0] == alt[0]:
+        pos, ref, alt = pos + 1, ref[1:], alt[1:]
+    return pos, ref, alt
+
+
+def left_aligned(records: DataFrame, reference: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """``records`` with indels shifted left against the reference and trimmed.
+
+    ``reference`` has (contig, start, sequence) in pieces of ``chunk`` bases. A
+    record is shifted within its piece and the one before; records with symbolic
+    alleles or several of them stay as they are.
+    """
+    plain = F.col("ref").rlike("^[ACGTNacgtn]+$") & F.col("alt").rlike("^[ACGTNacgtn]+$") & F.col("pos").isNotNull()
+    pieces = reference.select("contig", (F.col("start") / chunk).cast("bigint").alias("piece"), "sequence")
+    earlier = pieces.select("contig", (F.col("piece") + 1).alias("piece"), F.col("sequence").alias("earlier"))
+    rows = records.withColumn("piece", F.floor((F.col("pos") - 1) / chunk).cast("bigint"))
+    rows = rows.join(pieces, ["contig", "piece"], "left").join(earlier, ["contig", "piece"], "left")
+    inside = F.substring("sequence", F.lit(1), ((F.col("pos") - 1) % chunk).cast("int"))
+    rows = rows.withColumn("before", F.when(plain, F.upper(F.concat(F.coalesce("earlier", F.lit("")), F.coalesce(inside, F.lit(""))))))
+    rows = rows.select(*records.columns, "before")
+    schema = records.schema
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k, before in batch["before"].items():
+                if before is not None and before == before:
+                    pos, ref, alt = (batch.at[k, c] for c in ("pos", "ref", "alt"))
+                    batch.at[k, "pos"], batch.at[k, "ref"], batch.at[k, "alt"] = shifted(int(pos), ref.upper(), alt.upper(), before)
+            yield batch.drop(columns="before")
+
+    return rows.mapInPandas(run, schema)

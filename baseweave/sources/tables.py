@@ -94,6 +94,26 @@ def fasta_lengths(lines: DataFrame) -> DataFrame:
     return rows.groupBy("file", "nth").agg(name.alias("contig"), size.cast("bigint").alias("length")).select("contig", "length")
 
 
+def reference_chunks(lines: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """(contig, start, sequence) of a FASTA file's lines in pieces of ``chunk`` bases."""
+    is_name = F.col("line").startswith(">")
+    upto = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines.withColumn("nth", F.sum(is_name.cast("int")).over(upto)).filter("nth > 0")
+    of_contig = Window.partitionBy("file", "nth").orderBy("ordinal")
+    text = F.when(is_name, F.lit("")).otherwise(F.trim("line"))
+    before = F.coalesce(F.sum(F.length(text)).over(of_contig.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    name = F.first(F.regexp_extract("line", r"^>\s*(\S+)", 1)).over(of_contig.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select(name.alias("contig"), before.alias("at"), text.alias("text")).filter("text <> ''")
+    first, last = F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.length("text") - 1) / chunk)
+    parts = rows.select("contig", "at", "text", F.explode(F.sequence(first, last)).alias("piece"))
+    begin = F.greatest(F.col("at"), F.col("piece") * chunk)
+    end = F.least(F.col("at") + F.length("text"), (F.col("piece") + 1) * chunk)
+    part = F.col("text").substr((begin - F.col("at") + 1).cast("int"), (end - begin).cast("int"))
+    parts = parts.select("contig", "piece", F.struct(begin.alias("begin"), part.alias("part")).alias("p"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["part"]), "")
+    return parts.groupBy("contig", "piece").agg(joined.alias("sequence")).select("contig", (F.col("piece") * chunk).cast("bigint").alias("start"), "sequence")
+
+
 def parse_maf(lines: DataFrame) -> DataFrame:
     """(file, block_id, seq_idx, src, start, size, strand, src_size, text) of an alignment's sequences.
 

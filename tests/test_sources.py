@@ -50,6 +50,15 @@ def test_alignment(spark, tmp_path):
     assert found == [(5, "A", "<NON_REF>", "END=7"), (8, "T", "A,<NON_REF>", "."), (8, "T", "TA,<NON_REF>", "."), (9, "A", "<NON_REF>", "END=10"), (10, "CG", "C,<NON_REF>", "."), (12, "T", "<NON_REF>", "END=12")]
 
 
+def test_left_alignment(spark, tmp_path):
+    (tmp_path / "r.fa").write_text(">c1 x\nTTGCA\nCACACATG\n>c2\nAC\n")
+    chunks = tables.reference_chunks(text.read_lines(spark, str(tmp_path / "r.fa")), chunk=6)
+    assert sorted(tuple(r) for r in chunks.collect()) == [("c1", 0, "TTGCAC"), ("c1", 6, "ACACAT"), ("c1", 12, "G"), ("c2", 0, "AC")]
+    rows = spark.createDataFrame([("c1", 9, "ACA", "A"), ("c1", 4, "C", "G"), ("c1", 2, "TG", "<DEL>"), ("c1", 5, "ACAC", "ACAT")], "contig string, pos bigint, ref string, alt string")
+    found = sorted(tuple(r) for r in alignment.left_aligned(rows, chunks, chunk=6).collect())
+    assert found == [("c1", 2, "TG", "<DEL>"), ("c1", 3, "GCA", "G"), ("c1", 4, "C", "G"), ("c1", 8, "C", "T")]
+
+
 def test_status_and_logs(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("s1\tc1\tpresent\nnoise\n")
     (tmp_path / "b.tsv").write_text("s1\tc2\tMISSING\n")
