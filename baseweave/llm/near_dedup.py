@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -41,6 +41,8 @@ SIGNATURE = "doc_id long, n_shingles long, sum1 long, sum2 long, bits0 long, bit
 BITS = ["bits0", "bits1", "bits2"]
 #: Of two sets at 0.75, 140 of the 160 bits agree on average, with a deviation of 4.2; pairs below this are not compared.
 ALIKE = 114
+#: Slots of shingle counts: a constant, so they fit the driver and a broadcast.
+SLOTS = 1 << 18
 #: Members of a bucket up to which pairs between its components are formed.
 SMALL = 32
 
@@ -91,12 +93,42 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(46)).astype(np.int64)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of a task's sets fall into each slot."""
+    total = np.zeros(SLOTS, np.int64)
     for batch in batches:
-        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(1)]
-        begins = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(begins, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "shingles"])
+        for s in batch.column(0):
+            np.add.at(total, _slot(np.frombuffer(s.as_buffer(), np.uint64)), 1)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
+
+
+def _prefixes(counts):
+    """Of each set its rarest shingles, with their place and whether they are enough for the smaller set of a pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes, parts, places = [], [], [], []
+            for one, s in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                tokens = np.frombuffer(s.as_buffer(), np.uint64)
+                n = len(tokens)
+                seen = counts.value[_slot(tokens)]
+                place = np.lexsort([tokens, seen])[: n - -(-3 * n // 4) + 1]
+                shared = np.flatnonzero(seen[place] > 1)
+                ids.append(np.full(len(shared), one))
+                sizes.append(np.full(len(shared), n))
+                parts.append(tokens[place[shared]])
+                places.append(shared + 1)
+            ids, sizes, parts, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, sizes, parts, places))
+            first = places <= sizes + (-6 * sizes // 7) + 1
+            columns = [pa.array(ids), pa.array(sizes), pa.array(parts.view(np.int64)), pa.array(places), pa.array(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "shingle", "place", "first"])
+
+    return run
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,21 +171,26 @@ def _rare_pairs(ids: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     Two sets at or over 0.75 overlap in at least 3/4 of the larger and 6/7 of
     the smaller. The rarest shingles of each, as many as it may lack and one
     more, so cannot be free of the other's. The order is the same for all: by
-    the number of nodes that have a shingle, then by the shingle.
+    how often a shingle occurs, then by the shingle. What two sets
+    have after their first common shingle bounds their overlap, and a pair is
+    formed only where that is enough.
+
+    Rarity is by counts of shingles in a fixed number of slots. Slots shared by
+    different shingles only make the order less sharp; it stays one order.
     """
-    rows = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(_tokens, "id long, shingles array<long>")
-    rows = rows.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    rows = written(rows, "near-tokens")
-    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    ranked = rows.join(shared, "shingle").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("df", "shingle")))
-    rare = ranked.filter("place <= n - ceil(3 * n / 4) + 1 and df > 1").select("id", "n", "shingle", (F.expr("place <= n - ceil(6 * n / 7) + 1")).alias("first"))
+    own = sets.join(ids, "id", "left_semi").select("id", "shingles")
+    got = own.select("shingles").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+    rare = own.mapInArrow(_prefixes(ids.sparkSession.sparkContext.broadcast(counts)), "id long, n long, shingle long, place long, first boolean")
     rare = written(_labelled(rare, found, "id", "component"), "near-rare")
     # Shingles within one component need no pairs.
     mixed_up = rare.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
     rare = rare.join(mixed_up, "shingle")
-    other = rare.filter("first").select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    other = rare.filter("first").select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("place").alias("place_b"), F.col("component").alias("other"))
+    enough = 7 * (1 + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b"))) >= 3 * (F.col("n") + F.col("m"))
     smaller = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") < F.col("id")))
-    met = rare.join(other, "shingle").filter(smaller & (4 * F.col("m") >= 3 * F.col("n")) & (F.col("component") != F.col("other")))
+    met = rare.join(other, "shingle").filter(smaller & (4 * F.col("m") >= 3 * F.col("n")) & enough & (F.col("component") != F.col("other")))
     return met.select(F.col("id").alias("a"), "b").distinct()
 
 
