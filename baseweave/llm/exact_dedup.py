@@ -55,18 +55,14 @@ def exact_dedup(
     # The content itself is compared above; it is not needed again unless two contents share a digest.
     winners = written(groups.select("digest", *of_group), "exact-winners")
     clash = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
-    if clash.isEmpty():
-        joined = base.select("doc_id", "points", "digest").join(winners, "digest")
-    else:
-        joined = base.join(groups.select("digest", "content", *of_group), ["digest", "content"]).drop("content")
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
-    # Repeats of one row share its id, so this window is as narrow as the id is.
-    same = Window.partitionBy("digest", "keep_id", "doc_id", "first").orderBy("points")
-    return (
-        joined.withColumn("first", first)
-        .withColumn("kept", F.col("first") & (F.row_number().over(same) == 1))
-        .select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
-    )
+    keys = ["digest"]
+    if not clash.isEmpty():
+        keys, winners = ["digest", "content"], groups.select("digest", "content", *of_group)
+    # Repeats of one row are numbered first: what follows the join needs no group's rows together, so Spark may split a hot one.
+    same = Window.partitionBy("doc_id", "points", *keys).orderBy("doc_id")
+    rows = base.select("doc_id", "points", *keys).withColumn("nth", F.row_number().over(same))
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")) & (F.col("nth") == 1)
+    return rows.join(winners, keys).select("doc_id", "keep_id", "group_size", first.alias("kept"), F.col("digest").alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
