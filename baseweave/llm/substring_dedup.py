@@ -7,8 +7,8 @@ anchor: equal windows meet in one shard, and work grows with the input only.
 
 1. Segments' anchors (not their words) are dealt out. An anchor of one document
    only cannot belong to a repeated window, and goes no further. Of segments
-   with the same words, the smallest document's stands for all; the others are
-   whole copies of it.
+   with the same words, the smallest document's stands for all, first within a
+   batch of documents, then within the shard; the others are whole copies of it.
 2. The words of the segments left are dealt to their shards. A shard builds a
    compressed FM-index of them, streams the same segments through it by backward
    search, and reports where the window is a smaller document's too.
@@ -98,6 +98,12 @@ def _records(parts: pa.ChunkedArray | pa.Array, dtype: np.dtype) -> np.ndarray:
 
 
 def _seen(shards: int):
+    """Segments' anchors, packed by shard. Of equal segments of a batch the smallest document's stands for all.
+
+    What the others lose is known at once; it travels under a key below 0, apart
+    from the shard's anchors, so copies do not pile up there.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, shard, records = batch.column(0).to_numpy(), [], []
@@ -107,14 +113,35 @@ def _seen(shards: int):
                 own["anchor"], own["length"], own["doc"] = anchor >> np.uint64(32), length, ids[at:to][text]
                 own["start"] = begin - words.first[text]
                 own["content"] = _contents(words, begin, length)
-                shard.append((anchor & np.uint64(0xFFFFFFFF)) % np.uint64(shards))
+                shard.append(((anchor & np.uint64(0xFFFFFFFF)) % np.uint64(shards)).astype(np.int64))
                 records.append(own)
             if records:
-                yield pa.RecordBatch.from_arrays(_packed(np.concatenate(shard), np.concatenate(records)), ["shard", "seen"])
+                key, found = np.concatenate(shard), np.concatenate(records)
+                order, copy = _copies(found)
+                gone = _lost(found[order[copy]])
+                keys = np.concatenate([key[order[~copy]], -1 - key[order[copy]]])
+                yield pa.RecordBatch.from_arrays(_packed(keys, found[order[~copy]], gone), ["shard", "seen", "removals"])
 
     return run
 
 
+def _copies(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by content and document, and in it which segments a smaller document has too."""
+    order = np.lexsort([seen["doc"], seen["content"]])
+    begin = _runs(seen["content"][order])
+    doc = seen["doc"][order]
+    return order, doc > np.repeat(doc[begin], np.diff(np.append(begin, len(doc))))
+
+
+def _lost(seen: np.ndarray) -> np.ndarray:
+    """Removals of whole segments."""
+    gone = np.empty(len(seen), REMOVAL)
+    for name, _ in _PART:
+        gone[name] = seen[name]
+    gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
+    return gone
+
+
 def _runs(values: np.ndarray) -> np.ndarray:
     """Where each run of equal values begins."""
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
@@ -124,25 +151,21 @@ def _shared(buckets: int):
     """Of a shard's anchors those of several documents: segments to index, and whole copies."""
 
     def run(rows: pa.Table) -> pa.Table:
-        seen = _records(rows["seen"], SEEN)
-        order = np.argsort(seen["anchor"], kind="stable")
-        anchor, doc = seen["anchor"][order], seen["doc"][order]
-        begin = _runs(anchor)
-        several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
-        order = order[np.repeat(several, np.diff(np.append(begin, len(order))))]
-        seen = seen[order]
-        seen = seen[np.lexsort([seen["doc"], seen["content"]])]
-        content = _runs(seen["content"])
-        smallest = np.repeat(seen["doc"][content], np.diff(np.append(content, len(seen))))
-        copy = seen["doc"] > smallest
-        own, gone = np.empty((~copy).sum(), SEGMENT), np.empty(copy.sum(), REMOVAL)
+        shard = rows["shard"][0].as_py()
+        seen, known = _records(rows["seen"], SEEN), _records(rows["removals"], REMOVAL)
+        seen = seen[np.argsort(seen["anchor"], kind="stable")]
+        begin = _runs(seen["anchor"])
+        several = np.minimum.reduceat(seen["doc"], begin) < np.maximum.reduceat(seen["doc"], begin) if len(begin) else np.zeros(0, bool)
+        seen = seen[np.repeat(several, np.diff(np.append(begin, len(seen))))]
+        order, copy = _copies(seen)
+        first = seen[order[~copy]]
+        own = np.empty(len(first), SEGMENT)
         for name, _ in _PART:
-            own[name], gone[name] = seen[name][~copy], seen[name][copy]
-        own["shard"] = rows["shard"][0].as_py()
-        gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
-        return pa.Table.from_arrays(
-            _packed(np.concatenate([own["doc"], gone["doc"]]) % buckets, own, gone), ["bucket", "segments", "removals"]
-        )
+            own[name] = first[name]
+        own["shard"] = shard
+        gone = np.concatenate([known, _lost(seen[order[copy]])])
+        keys = np.concatenate([own["doc"], gone["doc"]]) % buckets
+        return pa.Table.from_arrays(_packed(keys, own, gone), ["bucket", "segments", "removals"])
 
     return run
 
@@ -262,7 +285,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_bytes = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-n_bytes // shard_bytes))
     buckets = _prime(shards)
-    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards), "shard int, seen binary").repartition(shards, "shard")
+    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards), "shard int, seen binary, removals binary").repartition(shards, "shard")
     marks = written(seen.groupBy("shard").applyInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
     texts = source.withColumn("bucket", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     dealt = texts.groupBy("bucket").cogroup(marks.select("bucket", "segments").groupBy("bucket"))
