@@ -21,51 +21,56 @@ def proper(df: DataFrame) -> DataFrame:
     return df.select("contig", "s", "e").filter("e > s")
 
 
-def _events(*sets: DataFrame) -> DataFrame:
-    """(contig, x, d0, d1, ...): by how much the number of intervals of each set changes at a position."""
+def tagged(*sets: DataFrame) -> DataFrame:
+    """(contig, s, e, tag): the intervals of all sets, tagged by the set's number."""
+    return reduce(DataFrame.unionByName, [proper(df).withColumn("tag", F.lit(k)) for k, df in enumerate(sets)])
 
-    def ends(k: int, df: DataFrame) -> DataFrame:
-        sides = F.array(F.struct(F.col("s").alias("x"), F.lit(1).alias("d")), F.struct(F.col("e").alias("x"), F.lit(-1).alias("d")))
-        side = proper(df).select("contig", F.explode(sides).alias("side"))
-        return side.select("contig", "side.x", *[(F.col("side.d") if k == i else F.lit(0)).alias(f"d{i}") for i in range(len(sets))])
 
-    events = reduce(DataFrame.unionByName, [ends(k, df) for k, df in enumerate(sets)])
-    return events.groupBy("contig", "x").agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in range(len(sets))])
+def _events(spans: DataFrame, n: int) -> DataFrame:
+    """(contig, x, d0, d1, ...): by how much the number of intervals of each tag changes at a position."""
+    sides = F.array(F.struct(F.col("s").alias("x"), F.lit(1).alias("d")), F.struct(F.col("e").alias("x"), F.lit(-1).alias("d")))
+    side = spans.filter("e > s").select("contig", "tag", F.explode(sides).alias("side"))
+    changes = [F.sum(F.when(F.col("tag") == k, F.col("side.d")).otherwise(0)).alias(f"d{k}") for k in range(n)]
+    return side.groupBy("contig", F.col("side.x").alias("x")).agg(*changes)
 
 
 def segments(*sets: DataFrame) -> DataFrame:
     """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each set cover them."""
     names = [f"n{k}" for k in range(len(sets))]
-    swept = running(_events(*sets), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)}, following="e")
+    swept = running(_events(tagged(*sets), len(sets)), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)}, following="e")
     return swept.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
 
 
-def sweep(predicate: Callable[..., Column], *sets: DataFrame) -> DataFrame:
-    """Merged stretches where ``predicate`` of the numbers of covering intervals holds, one number for each set.
+def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int) -> DataFrame:
+    """Merged stretches where ``predicate`` of the numbers of covering intervals holds, one number for each of ``n`` tags.
 
     At each position the numbers before and after are known, so stretches begin
     and end where the predicate changes; each beginning is paired with the next
     end. The predicate is false where nothing covers.
     """
-    names = [f"n{k}" for k in range(len(sets))]
-    swept = running(_events(*sets), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)})
-    after = predicate(*[F.col(n) for n in names])
-    before = predicate(*[F.col(n) - F.col(f"d{k}") for k, n in enumerate(names)])
+    swept = running(_events(spans, n), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)})
+    after = predicate(*[F.col(f"n{k}") for k in range(n)])
+    before = predicate(*[F.col(f"n{k}") - F.col(f"d{k}") for k in range(n)])
     changes = swept.select("contig", "x", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
     return next_of(changes, "x", "e").filter("begins").select("contig", F.col("x").alias("s"), "e")
 
 
 def merge(intervals: DataFrame) -> DataFrame:
     """Overlapping and adjacent intervals as one."""
-    return sweep(lambda n: n > 0, intervals)
+    return sweep(lambda n: n > 0, tagged(intervals), 1)
+
+
+def without(spans: DataFrame) -> DataFrame:
+    """What intervals of tag 0 cover and those of tag 1 do not."""
+    return sweep(lambda n, m: (n > 0) & (m == 0), spans, 2)
 
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    return sweep(lambda n, m: (n > 0) & (m == 0), a, b)
+    return without(tagged(a, b))
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    return sweep(lambda n, m: (n > 0) & (m > 0), a, b)
+    return sweep(lambda n, m: (n > 0) & (m > 0), tagged(a, b), 2)
 
 
 def together(*sets: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from baseweave.functions import vcf
 
-from .intervals import subtract, together
+from .classify import FILTERED
+from .intervals import subtract, together, without
 
 
 def mask_spans(records: DataFrame) -> DataFrame:
@@ -21,6 +24,14 @@ def filtered_mask(filtered: DataFrame, missing: DataFrame, dropped: DataFrame, i
     return subtract(together(mask_spans(filtered), missing, dropped), together(mask_spans(invariant), mask_spans(clean)))
 
 
+def class_mask(classified: DataFrame, *lost: DataFrame) -> DataFrame:
+    """The same mask from records with their ``class``, read once, and the lost intervals (missing, dropped)."""
+    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
+    tag = F.when(F.col("class") == FILTERED, 0).otherwise(1)
+    spans = classified.filter("pos is not null").select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.alias("tag"))
+    return without(reduce(DataFrame.unionByName, [spans, *[df.select("contig", "s", "e").withColumn("tag", F.lit(0)) for df in lost]]))
+
+
 def target_contig(filtered: DataFrame, invariant: DataFrame, clean: DataFrame, missing: DataFrame) -> str | None:
     """The contig that a set of files is about: of the filtered records, else the first of the others that has any.
 

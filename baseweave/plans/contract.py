@@ -188,10 +188,8 @@ _DROPPED = """SELECT contig, pos - 1 AS s, CASE WHEN length(ref) > length(alt) T
        plus AS (SELECT contig, s, e FROM spans_filtered UNION ALL SELECT * FROM gaps UNION ALL SELECT * FROM dropped),
        minus AS (SELECT * FROM spans_inv UNION ALL SELECT * FROM spans_clean), {_swept('m', 'plus', 'minus', 'na > 0 AND nb = 0')} SELECT * FROM m""")
 def subtract_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = _classified(spark, sf_dir)
     lost = indels.dropped_spans(indels.large_indels(sites(spark, sf_dir), 4))
-    parts = [every.filter(F.col("class") == c) for c in (classify.FILTERED, classify.INVARIANT, classify.CLEAN)]
-    return mask.filtered_mask(parts[0], missing_gaps(spark, sf_dir), lost, parts[1], parts[2])
+    return mask.class_mask(_classified(spark, sf_dir), missing_gaps(spark, sf_dir), lost)
 
 
 @query(f"WITH {SITES}, {FLAGS}, {CLASSES}, {SPANS}, {_swept('m', 'spans_filtered', 'spans_inv', 'na > 0 AND nb > 0')} SELECT * FROM m")

@@ -43,6 +43,7 @@ class Split:
     clean: DataFrame
     missing: DataFrame
     counts: DataFrame
+    classified: DataFrame | None = None
 
 
 def split(records: DataFrame, lengths: DataFrame | None = None, filter_multiallelic: bool = False) -> Split:
@@ -51,10 +52,12 @@ def split(records: DataFrame, lengths: DataFrame | None = None, filter_multialle
     classified = classify.classify(records, filter_multiallelic=filter_multiallelic)
     of = {c: classified.filter(F.col("class") == c) for c in (classify.INVARIANT, classify.FILTERED, classify.CLEAN)}
     missing = merge(gaps.missing(gaps.record_spans(tables.with_positions(usable)), lengths))
-    return Split(of["inv"], of["filtered"], classify.reformatted(classified), missing, classify.class_counts(classified))
+    return Split(of["inv"], of["filtered"], classify.reformatted(classified), missing, classify.class_counts(classified), classified)
 
 
 def mask_of(parts: Split, dropped: DataFrame) -> DataFrame:
+    if parts.classified is not None:
+        return mask.class_mask(tables.with_positions(parts.classified), parts.missing, dropped)
     kept = [tables.with_positions(p) for p in (parts.filtered, parts.invariant, parts.clean)]
     return mask.filtered_mask(kept[0], parts.missing, dropped, kept[1], kept[2])
 
