@@ -8,14 +8,17 @@ anchor: equal windows meet in one shard, and work grows with the input only.
 1. Segments' anchors (not their words) are dealt out. An anchor of one document
    only cannot belong to a repeated window, and goes no further. Of segments
    with the same words, the smallest document's stands for all, first within a
-   batch of documents, then within the shard; the others are whole copies of it.
+   task, then within the shard; the others are whole copies of it.
 2. The words of the segments left are dealt to their shards. A shard builds a
    compressed FM-index of them, streams the same segments through it by backward
    search, and reports where the window is a smaller document's too.
 3. Reports meet their documents, where they are checked against the text.
 
 Segments travel packed, many to a row; a shard holds about ``shard_bytes`` of
-text, so the number of shards grows with the input.
+text, so the number of shards grows with the input. A passage that very many
+documents have in different surroundings would crowd the shards of its anchors.
+Anchors are therefore counted first, in a fixed number of slots; windows of a
+crowded slot go by the hash of all their words instead, wherever they stand.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ from .fm_index import FMIndex
 from .words import Words, _power_tables, hashed_words, mixed, runs_of
 
 WIDTH, ANCHOR = 13, 5
+#: Slots of anchor counts: a constant, so they fit the driver and a broadcast.
+SLOTS = 1 << 18
+#: Records of a task that are combined at once.
+COMBINED = 200_000
 #: Windows in a segment at most; longer runs, as of one word repeated, are cut into several segments.
 LONGEST = 64
 SEEN = np.dtype([("anchor", "<u4"), ("length", "<u2"), ("start", "<i4"), ("doc", "<i8"), ("content", "<u8")])
@@ -56,8 +63,16 @@ def _contents(words: Words, begin: np.ndarray, length: np.ndarray) -> np.ndarray
     return mixed((sums[begin + length] - sums[begin]) * inverse[begin] + length.astype(np.uint64))
 
 
-def segments(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first word in the chunk, number of words and anchor of each segment."""
+def _slot(anchor: np.ndarray) -> np.ndarray:
+    return (anchor >> np.uint64(46)).astype(np.int64)
+
+
+def segments(words: Words, crowded: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word in the chunk, number of words and anchor of each segment.
+
+    Where an anchor's slot is ``crowded``, each window is a segment of its own
+    and its anchor is the hash of all its words.
+    """
     none = np.zeros(0, np.int64)
     anchors = runs_of(words.hashes, ANCHOR)
     if len(words.hashes) < WIDTH:
@@ -70,14 +85,29 @@ def segments(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     at = np.flatnonzero(text[: len(least)] == text[WIDTH - 1 :])
     if not len(at):
         return none, none, none, none.astype(np.uint64)
-    least = least[at]
+    anchor = mixed(least[at])
     new = np.ones(len(at), bool)
-    new[1:] = (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
     run = np.flatnonzero(new)
     new |= (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % LONGEST == 0
+    if crowded is not None and crowded.any():
+        alone = crowded[_slot(anchor)]
+        new |= alone
+        anchor[alone] = runs_of(words.hashes, WIDTH)[at[alone]]
     run = np.flatnonzero(new)
     length = np.diff(np.append(run, len(at))) + WIDTH - 1
-    return text[at[run]], at[run], length, mixed(least[run])
+    return text[at[run]], at[run], length, anchor[run]
+
+
+def _crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many segments of a task's texts have their anchor in each slot; slot -1 has the bytes of text."""
+    total, n_bytes = np.zeros(SLOTS, np.int64), 0
+    for batch in batches:
+        for _, _, words in hashed_words(batch.column(0), lower=False):
+            n_bytes += len(words.data)
+            total += np.bincount(_slot(segments(words)[3]), minlength=SLOTS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], n_bytes))], ["slot", "n"])
 
 
 def _packed(key: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
@@ -97,30 +127,37 @@ def _records(parts: pa.ChunkedArray | pa.Array, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(p for p in parts.to_pylist() if p), dtype)
 
 
-def _seen(shards: int):
-    """Segments' anchors, packed by shard. Of equal segments of a batch the smallest document's stands for all.
+def _seen(shards: int, crowded):
+    """Segments' anchors, packed by shard. Of equal segments of a task the smallest document's stands for all.
 
     What the others lose is known at once; it travels under a key below 0, apart
     from the shard's anchors, so copies do not pile up there.
     """
 
+    def combined(shard: list[np.ndarray], records: list[np.ndarray]) -> pa.RecordBatch:
+        key, found = np.concatenate(shard), np.concatenate(records)
+        order, copy = _copies(found)
+        keys = np.concatenate([key[order[~copy]], -1 - key[order[copy]]])
+        return pa.RecordBatch.from_arrays(_packed(keys, found[order[~copy]], _lost(found[order[copy]])), ["shard", "seen", "removals"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, records, n = [], [], 0
         for batch in batches:
-            ids, shard, records = batch.column(0).to_numpy(), [], []
+            ids = batch.column(0).to_numpy()
             for at, to, words in hashed_words(batch.column(1), lower=False):
-                text, begin, length, anchor = segments(words)
+                text, begin, length, anchor = segments(words, crowded.value)
                 own = np.empty(len(text), SEEN)
                 own["anchor"], own["length"], own["doc"] = anchor >> np.uint64(32), length, ids[at:to][text]
                 own["start"] = begin - words.first[text]
                 own["content"] = _contents(words, begin, length)
                 shard.append(((anchor & np.uint64(0xFFFFFFFF)) % np.uint64(shards)).astype(np.int64))
                 records.append(own)
-            if records:
-                key, found = np.concatenate(shard), np.concatenate(records)
-                order, copy = _copies(found)
-                gone = _lost(found[order[copy]])
-                keys = np.concatenate([key[order[~copy]], -1 - key[order[copy]]])
-                yield pa.RecordBatch.from_arrays(_packed(keys, found[order[~copy]], gone), ["shard", "seen", "removals"])
+                n += len(own)
+                if n >= COMBINED:
+                    yield combined(shard, records)
+                    shard, records, n = [], [], 0
+        if n:
+            yield combined(shard, records)
 
     return run
 
@@ -264,7 +301,9 @@ def _prime(least: int) -> int:
     return least
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 8 << 20, keep_text: bool = True) -> DataFrame:
+def substring_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 8 << 20, crowd: int = 100_000, keep_text: bool = True
+) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Words are runs of non-spaces, unchanged. A word goes if a window of 13 words
@@ -278,14 +317,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others lose any. Columns other than id and text are not read. An empty table
     gives no rows.
 
+    ``crowd`` is the number of segments from which on a slot of anchors counts as
+    crowded; results do not depend on it.
+
     The texts are shuffled once, into buckets of about ``shard_bytes`` by id;
     both times that records meet their texts use that shuffle.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n_bytes = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    got = source.filter("doc_id is not null").select("text").mapInArrow(_crowds, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = dict(zip(got["slot"], got["n"], strict=True))
+    n_bytes = int(counts.pop(-1, 0))
+    crowded = np.zeros(SLOTS, bool)
+    crowded[[k for k, n in counts.items() if n > crowd]] = True
+    crowded = source.sparkSession.sparkContext.broadcast(crowded)
     shards = max(1, -(-n_bytes // shard_bytes))
     buckets = _prime(shards)
-    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards), "shard int, seen binary, removals binary").repartition(shards, "shard")
+    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards, crowded), "shard int, seen binary, removals binary").repartition(shards, "shard")
     marks = written(seen.groupBy("shard").applyInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
     texts = source.withColumn("bucket", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     dealt = texts.groupBy("bucket").cogroup(marks.select("bucket", "segments").groupBy("bucket"))

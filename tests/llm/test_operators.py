@@ -153,8 +153,8 @@ def test_substring(spark, corpus):
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
         expected[(i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept)] += 1
     columns = ("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
-    for size in (1 << 20, 2_000):
-        assert by_rows(substring_dedup.substring_dedup(docs(spark, corpus), shard_bytes=size), *columns) == expected
+    for size, crowd in ((1 << 20, 100_000), (2_000, 100_000), (5_000, 3)):
+        assert by_rows(substring_dedup.substring_dedup(docs(spark, corpus), shard_bytes=size, crowd=crowd), *columns) == expected
     assert substring_dedup.substring_dedup(docs(spark, NONE)).collect() == []
 
 
