@@ -35,9 +35,9 @@ RULES = [
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts may be long: Python workers get fewer rows and bytes at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Texts may be long: rows go to Python few at a time, as their buffers are beyond the JVM's heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
