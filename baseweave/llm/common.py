@@ -27,15 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
+    ``compact`` is for results much smaller than what they are made of: Spark
+    gathers them into files of its advisory size instead of one for each task.
+
     It cuts the lineage: what follows survives lost executors without running
     the work before it again, and is not computed twice by two readers.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

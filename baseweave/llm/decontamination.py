@@ -71,7 +71,7 @@ def contaminated(
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
     items = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter("item_id is not null")
     wanted = _grams(items, "item_id", words).withColumn("hash", _gram_hash(F.col("gram")))
-    wanted = written(wanted, "items")
+    wanted = written(wanted, "items", compact=True)
 
     sized = wanted.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
     # Items of 2 ** k up to 2 ** (k + 1) - 1 shingles are one class, with the sketch that its largest needs.
@@ -80,13 +80,13 @@ def contaminated(
     sized = sized.select("item_id", "n_item", (missing + 1).cast("int").alias("entries"))
     smallest = F.row_number().over(Window.partitionBy("item_id").orderBy("hash", "gram"))
     sketch = wanted.join(sized, "item_id").withColumn("place", smallest).filter("place <= entries").select("hash").distinct()
-    sketch = written(sketch, "sketch")
+    sketch = written(sketch, "sketch", compact=True)
     if sketch.count() <= BROADCAST_ENTRIES:
         sketch = F.broadcast(sketch)
 
     found = _hashes(docs, "doc_id", words).join(sketch, "hash").select("doc_id", "hash").distinct()
     hits = found.join(wanted.select("hash", "item_id").distinct(), "hash").select("doc_id", "item_id").distinct()
-    hits = written(hits, "candidates")
+    hits = written(hits, "candidates", compact=True)
     # Verification on the shingles themselves, of candidates only.
     texts = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     shared = _grams(texts, "doc_id", words).join(wanted.select("item_id", "gram"), "gram")

@@ -53,7 +53,7 @@ def exact_dedup(
     groups = salted.groupBy("digest", "content").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     of_group = [F.col("best.id").alias("keep_id"), (-F.col("best.less")).alias("keep_points"), F.col("n").alias("group_size")]
     # The content itself is compared above; it is not needed again unless two contents share a digest.
-    winners = written(groups.select("digest", *of_group), "exact-winners")
+    winners = written(groups.select("digest", *of_group), "exact-winners", compact=True)
     clash = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
     keys = ["digest"]
     if not clash.isEmpty():
@@ -70,7 +70,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows repeated with one id and text are one document: one of them stays.
     """
-    marks = written(exact_dedup(docs, id_col, text_col).select("doc_id", "kept"), "exact-marks")
+    marks = written(exact_dedup(docs, id_col, text_col).select("doc_id", "kept"), "exact-marks", compact=True)
     stay = marks.filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
     if not marks.groupBy("doc_id").count().filter("count > 1").isEmpty():
         docs = docs.dropDuplicates([id_col, text_col])

@@ -157,7 +157,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with whether their sets are at or over the threshold."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-    return written(both.select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long, linked boolean"), "near-pairs")
+    return written(both.select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long, linked boolean"), "near-pairs", compact=True)
 
 
 def _labelled(nodes: DataFrame, found: DataFrame, col: str, label: str) -> DataFrame:
@@ -183,7 +183,7 @@ def _rare_pairs(ids: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     counts = np.zeros(SLOTS, np.int64)
     counts[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     rare = own.mapInArrow(_prefixes(ids.sparkSession.sparkContext.broadcast(counts)), "id long, n long, shingle long, place long, first boolean")
-    rare = written(_labelled(rare, found, "id", "component"), "near-rare")
+    rare = written(_labelled(rare, found, "id", "component"), "near-rare", compact=True)
     # Shingles within one component need no pairs.
     mixed_up = rare.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
     rare = rare.join(mixed_up, "shingle")
@@ -215,14 +215,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     member = nodes.select("id", F.explode("bands").alias("key"))
     bucket = member.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    member = written(member.join(bucket, "key"), "near-members")
+    member = written(member.join(bucket, "key"), "near-members", compact=True)
     texts = source.join(member.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = written(texts.mapInArrow(_sets, "id long, shingles binary"), "near-sets")
     # Rows of one id are one document: of several texts under one id, one stands for it.
     sets = sets.groupBy("id").agg(F.min("shingles").alias("shingles")) if _repeats(sets) else sets
 
     stars = member.filter("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    pairs = written(_plausible(stars, nodes), "near-candidates")
+    pairs = written(_plausible(stars, nodes), "near-candidates", compact=True)
     best = pairs.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("less"))).alias("best")).select("a", (-F.col("best.less")).alias("b"))
     links = confirmed(best, sets)
     found = components(links.filter("linked"))
@@ -235,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # What is left: members of one bucket that are in different components and were compared with its pivot only.
     named = _labelled(member, found, "id", "of")
     several = named.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).filter("x < y").select("key")
-    named = written(named.join(several, "key"), "near-open")
+    named = written(named.join(several, "key"), "near-open", compact=True)
     small, large = named.filter(F.col("members") <= SMALL), named.filter(F.col("members") > SMALL)
     other = small.select("key", F.col("id").alias("b"), F.col("of").alias("of_b"))
     last = small.join(other, "key").filter("id > b and of <> of_b and b <> pivot").select(F.col("id").alias("a"), "b").distinct()
