@@ -260,9 +260,6 @@ def drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indels.drop_counts(sites(spark, sf_dir), 4)
 
 
-_NORMAL = """CASE WHEN x = '' THEN '0' ELSE x END"""
-
-
 def _normal(name: str) -> str:
     bare = f"regexp_replace(lower(regexp_replace({name}, '^\\s+|\\s+$', '', 'g')), '^chr', '')"
     short = f"CASE WHEN regexp_matches({bare}, '[0-9]$') THEN regexp_replace({bare}, '^(.*?)0*([0-9]+)$', '\\1\\2') ELSE regexp_replace({bare}, '^0+', '') END"
