@@ -16,14 +16,13 @@ def components(links: DataFrame) -> DataFrame:
     with a null and links of a node to itself say nothing and are left out.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    edges = written(edges, "links")
     while True:
         seen = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = seen.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = seen.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo"))
-        edges = written(small.filter("hi > lo").distinct(), "links")
+        edges = written(small.filter("hi > lo").distinct(), "links", compact=True)
         many = edges.groupBy("hi").count().filter("count > 1")
         deep = edges.join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi")
         if many.isEmpty() and deep.isEmpty():
