@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 10_000
 
+def file_ploidy(blocks: DataFrame, max_blocks: int | None = None) -> DataFrame:
+    """(file, ploidy): the most sequences besides the reference among a file's blocks, 1 at least.
 
-def file_ploidy(blocks: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """(file, ploidy): the most sequences besides the reference among a file's first blocks, 1 at least.
-
-    ``blocks`` has a row (file, block_id) for each sequence.
+    ``blocks`` has a row (file, block_id) for each sequence. With ``max_blocks``
+    only so many blocks of each file count, those with the smallest ids.
     """
-    per_block = blocks.filter(F.col("block_id") < max_blocks).groupBy("file", "block_id").agg(F.count(F.lit(1)).alias("n"))
+    per_block = blocks.groupBy("file", "block_id").agg(F.count(F.lit(1)).alias("n"))
+    if max_blocks is not None:
+        nth = F.row_number().over(Window.partitionBy("file").orderBy("block_id"))
+        per_block = per_block.withColumn("nth", nth).filter(F.col("nth") <= max_blocks)
     return per_block.groupBy("file").agg(F.greatest(F.max("n") - 1, F.lit(1)).cast("bigint").alias("ploidy"))
 
 

@@ -93,3 +93,12 @@ def test_landing(spark, tmp_path):
     landing.write_partitioned(landing.landing_records(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert row.is_inv and row.pos == 3 and row.contig == "c1"
+
+
+def test_ploidy_counts_blocks_within_each_file(spark):
+    sizes = {("a", 7): 2, ("a", 20_000): 3, ("a", 30_000): 5, ("b", 10_000): 4, ("c", 1): 1}
+    blocks = spark.createDataFrame([k for k, n in sizes.items() for _ in range(n)], "file string, block_id bigint")
+    found = lambda most: {r.file: r.ploidy for r in ploidy.file_ploidy(blocks, most).collect()}
+    assert {r.file: r.ploidy for r in ploidy.file_ploidy(blocks).collect()} == {"a": 4, "b": 3, "c": 1}
+    assert found(2) == {"a": 2, "b": 3, "c": 1}
+    assert found(1) == {"a": 1, "b": 3, "c": 1}
