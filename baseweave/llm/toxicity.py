@@ -8,7 +8,8 @@ texts are scored by a lexicon of words and word beginnings that tell toxic
 documents, learned from labels.
 
 The character model counts every letter of every document. Only words that
-could be disguised are decoded: any other word has a single path.
+could be disguised are decoded: any other word has a single path, as it has no
+look-alike beside its letters, no gap between them and no letter twice on end.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "£": "l", "*": "aeiou",
 }
-#: Log costs of the channel: a sign for a letter, a sign for nothing, a letter of a run for nothing, one vowel masked by a star.
-SIGN, NOTHING, DRAWN, MASKED = -0.7, -0.7, -0.2, -2.0
+#: Log costs of the channel: a sign for a letter, a sign for nothing, a letter of a run for nothing, one vowel masked by a star,
+#: a sign for itself, the second of two equal letters for nothing.
+SIGN, NOTHING, DRAWN, MASKED, ITSELF, DOUBLED = -0.7, -0.7, -0.2, -2.0, -6.0, -2.0
 _GAPS = ".-_*~"
 _LETTER, _SIGN, _GAP, _BLANK = 1, 2, 4, 8
 _KIND = np.zeros(0x180, np.uint8)
@@ -52,9 +54,9 @@ _KIND[0x20] = _BLANK
 def disguised(texts: list[str]) -> list[list[tuple[int, int]]]:
     """For each text the places of words that could be disguised.
 
-    These have a sign or a gap before a letter and after another character, a
-    sign at their beginning, a letter three times on end, or are three or more
-    single characters with one gap or blank between each two.
+    These have a letter, and besides a sign next to a letter or to another sign,
+    gaps between two of these, or a letter twice on end; or they are three or
+    more single characters with gaps or blanks between each two.
     """
     if not texts:
         return []
@@ -62,24 +64,32 @@ def disguised(texts: list[str]) -> list[list[tuple[int, int]]]:
     kind = _KIND[np.minimum(code, 0x17F)]
     letter, sign, gap = (kind & _LETTER) > 0, (kind & _SIGN) > 0, (kind & _GAP) > 0
     between = gap | ((kind & _BLANK) > 0)
-    odd = np.zeros(len(code), bool)
-    odd[:-1] = sign[:-1] & letter[1:]
-    odd[1:-1] |= letter[:-2] & gap[1:-1] & letter[2:]
-    odd[:-2] |= letter[:-2] & (code[:-2] == code[1:-1]) & (code[:-2] == code[2:])
+    n = len(code)
+    either = letter | sign
+    odd = np.zeros(n, bool)
+    odd[:-1] = sign[:-1] & either[1:]
+    odd[1:] |= sign[1:] & either[:-1]
+    # A gap's run is between two characters if one stands before its first sign and one after its last.
+    plain = np.flatnonzero(~gap)
+    apart = np.flatnonzero((np.diff(plain) > 1) & either[plain[:-1]] & either[plain[1:]])
+    odd[plain[apart] + 1] = True
+    same = _CLASS[np.minimum(code, 0x17F)]
+    odd[:-1] |= letter[:-1] & ((code[:-1] == code[1:]) | (same[:-1] > 0) & (same[:-1] == same[1:]))
     one = letter | sign & ~gap
     alone = one.copy()
     alone[1:] &= ~one[:-1]
     alone[:-1] &= ~one[1:]
-    spaced = alone[:-4] & between[1:-3] & alone[2:-2] & between[3:-1] & alone[4:]
-    inside = np.zeros(len(code), bool)
-    for k in range(5):
-        inside[k : len(code) - 4 + k] |= spaced
-    odd |= inside
+    single = np.flatnonzero(alone)
+    others = np.concatenate([[0], np.cumsum(~between)])
+    linked = others[single[1:]] == others[single[:-1] + 1]
+    three = np.flatnonzero(linked[:-1] & linked[1:])
+    edges = np.bincount(single[three], minlength=n + 1) - np.bincount(single[three + 2] + 1, minlength=n + 1)
+    inside = np.cumsum(edges)[:n] > 0
     word = letter | sign | gap | inside
     begins = np.flatnonzero(word & ~np.append(False, word[:-1]))
     ends = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
-    running = np.concatenate([[0], np.cumsum(odd)])
-    some = running[ends] > running[begins]
+    odd, lettered, spaced = (np.concatenate([[0], np.cumsum(x)]) for x in (odd, letter, inside))
+    some = (odd[ends] > odd[begins]) & (lettered[ends] > lettered[begins]) | (spaced[ends] > spaced[begins])
     begins, ends = begins[some], ends[some]
     first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     cuts = np.searchsorted(begins, first)
@@ -131,8 +141,9 @@ class Restorer:
     def word(self, seen: str) -> str:
         """Viterbi over the lattice of one disguised word; a state is the last two letters read.
 
-        A look-alike may stand for each of its letters; signs and gaps also for
-        nothing. Of a letter three times or more one or two are meant.
+        A look-alike may stand for each of its letters, signs and gaps also for
+        nothing, and all of them for themselves. Of a letter twice or more, as
+        written or as read, one or two are meant.
         """
         seen = seen.lower()
         states = {(0, 0): (0.0, "")}
@@ -141,17 +152,22 @@ class Restorer:
             long = seen[max(0, at - run + 1) :].startswith(c * 3)
             if c in self.letter:
                 ways = [("", 0.0)] if long and run > 2 else [(c, 0.0), ("", DRAWN)] if long and run == 2 else [(c, 0.0)]
+            elif c.isalpha():
+                ways = [(c, 0.0)]
             else:
-                ways = [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
+                ways = [(c, ITSELF)] + [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
                 if not c.isalnum():
                     ways.append(("", NOTHING))
             reached: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, text) in states.items():
-                for x, cost in ways or [(c, 0.0)]:
+                for x, cost in ways:
                     k = self.letter.get(x, 0)
                     key, s = ((b, k), score + cost + self.model[a][b][k]) if x else ((a, b), score + cost)
                     if key not in reached or s > reached[key][0]:
                         reached[key] = (s, text + x)
+                    # However its two letters are written, a word is read as one.
+                    if k and k == b and score + cost + DOUBLED > reached.get((a, b), (-np.inf,))[0]:
+                        reached[a, b] = (score + cost + DOUBLED, text)
             states = reached
         return max((s + self.model[a][b][0], text) for (a, b), (s, text) in states.items())[1]
 
@@ -164,7 +180,7 @@ class Restorer:
             seen = text[begin:end]
             found = self.known.get(seen)
             if found is None:
-                core = seen.strip(_GAPS + " ")
+                core = seen.strip(_GAPS.replace("*", " "))
                 found = self.word(core) if core else seen
                 if len(self.known) > self.remembered:
                     self.known.clear()

@@ -375,3 +375,18 @@ def test_restoring(seen):
     model = toxicity.char_model(counts.reshape((toxicity.N,) * 3))
     assert toxicity.Restorer(model).texts([f"the {seen} of"])[0].split() == ["the", "idiot", "of"]
     assert toxicity.Restorer(model).texts(["plain words, kept. As they are"]) == ["plain words, kept. As they are"]
+
+
+LATE_SIGNS = {"id107": "idiot", "idio7": "idiot", "a$$": "ass", "sh1+": "shit", "i--d--i--o--t": "idiot", "i  d  i  o  t": "idiot", "i-.d-.i-.o-.t": "idiot", "idiiot": "idiot", "iddiot": "idiot", "IDIoOT": "idiot"}
+
+
+@pytest.mark.parametrize("seen", LATE_SIGNS)
+def test_restoring_signs_anywhere(seen):
+    text = "the idiot and the shit of that ass sat with the idiom at this street and the class must pass it is the idea for the dot in it "
+    c = toxicity._CLASS[np.frombuffer(f"  {text * 20}".encode("utf-32-le"), "<u4")]
+    counts = np.zeros(toxicity.N**3)
+    np.add.at(counts, c[:-2] * toxicity.N**2 + c[1:-1] * toxicity.N + c[2:], 1)
+    restorer = toxicity.Restorer(toxicity.char_model(counts.reshape((toxicity.N,) * 3)))
+    plain, found = (restorer.texts([f"the {w} of"])[0].split() for w in (LATE_SIGNS[seen], seen))
+    assert found == plain == ["the", LATE_SIGNS[seen], "of"]
+    assert restorer.texts(["Signs alone 107 2024-01 -- and * stay"]) == ["Signs alone 107 2024-01 -- and * stay"]
