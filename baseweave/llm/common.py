@@ -49,6 +49,12 @@ def without_space(text: Column) -> Column:
     return text
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A digest of id and text, by which a row is found again where ids are null or repeated."""
+    of_id, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, text_col))
+    return F.unhex(F.sha2(F.concat(of_id, F.lit("\x00"), text), 256))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

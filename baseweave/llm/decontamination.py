@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, written
+from .common import SPACE, ascii_lower, row_key, written
 
 WORDS = 5
 #: Sketch entries up to which the items' side of the search is broadcast.
@@ -97,6 +97,10 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns."""
-    bad = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("__bad_id"), "left_anti")
+    """The rows of ``docs`` that contain no item, with all their columns.
+
+    Each row is judged by its own text, whether or not its id is null or repeated.
+    """
+    rows = docs.select(row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    bad = contaminated(rows, items, "row", "text").select(F.col("doc_id").alias("__bad_row")).distinct()
+    return docs.join(bad, row_key(id_col, text_col) == F.col("__bad_row"), "left_anti")

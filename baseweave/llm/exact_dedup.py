@@ -39,6 +39,11 @@ def exact_dedup(
     ``digest`` exists for tests: with a digest that collides, rows are matched
     by content, so results do not depend on it.
     """
+    return _marked(docs, id_col, text_col, salts, digest).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, salts: int = 16, digest: Callable[[Column], Column] = _sha256) -> DataFrame:
+    """The columns of ``exact_dedup``, the text's code points, and whether the row repeats one that is kept."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     content = without_space(text)
     base = docs.select(
@@ -61,17 +66,25 @@ def exact_dedup(
     # Repeats of one row are numbered first: what follows the join needs no group's rows together, so Spark may split a hot one.
     same = Window.partitionBy("doc_id", "points", *keys).orderBy("doc_id")
     rows = base.select("doc_id", "points", *keys).withColumn("nth", F.row_number().over(same))
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")) & (F.col("nth") == 1)
-    return rows.join(winners, keys).select("doc_id", "keep_id", "group_size", first.alias("kept"), F.col("digest").alias("text_sha256"))
+    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
+    kept, again = (best & (F.col("nth") == 1)).alias("kept"), (best & (F.col("nth") > 1)).alias("again")
+    return rows.join(winners, keys).select("doc_id", "keep_id", "group_size", kept, F.col("digest").alias("text_sha256"), "points", again)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows repeated with one id and text are one document: one of them stays.
+    Rows are told apart by id, text without white space and code points, so a
+    null or repeated id keeps no copies of other documents.
     """
-    marks = written(exact_dedup(docs, id_col, text_col).select("doc_id", "kept"), "exact-marks", compact=True)
-    stay = marks.filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    if not marks.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        docs = docs.dropDuplicates([id_col, text_col])
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    marks = _marked(docs, id_col, text_col).filter("kept or again")
+    marks = written(marks.select("doc_id", "points", F.unhex("text_sha256").alias("sha256"), "again"), "exact-marks", compact=True)
+    stay = marks.filter("not again").select(*[F.col(c).alias(f"__kept_{c}") for c in ("doc_id", "points", "sha256")])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = {"__id": F.col(id_col).cast("long"), "__points": F.length(text), "__sha256": F.unhex(_sha256(without_space(text)))}
+    same = F.col("__id").eqNullSafe(F.col("__kept_doc_id")) & (F.col("__points") == F.col("__kept_points")) & (F.col("__sha256") == F.col("__kept_sha256"))
+    left = docs.withColumns(own).join(stay, same, "left_semi")
+    if not marks.filter("again").isEmpty():
+        left = left.dropDuplicates(list(own))
+    return left.drop(*own)

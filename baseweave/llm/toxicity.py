@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_key
 from .labelled import held_out, learnable
 from .words import hashed_words
 
@@ -329,7 +330,11 @@ def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
     return learned
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 3000) -> DataFrame:
+#: Labelled documents to learn from, at most, and the score from which a document counts as toxic.
+BOUND, SURE = 3000, 0.7
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted.
 
     ``score`` estimates that ``toxic`` is 1, from the whole text alone. The
@@ -339,7 +344,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     scores. Without usable labels nothing is predicted toxic. Columns other
     than id and text are not read. An empty table gives no rows.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    predicted = (F.col("score") >= SURE).cast("int").alias("predicted")
+    return _scored(docs, labels, id_col, text_col, bound).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bound: int = BOUND, keys: bool = False) -> DataFrame:
+    """One row per input row: doc_id, score; with ``keys`` also the key of its row."""
+    columns = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
+    source = docs.select(*columns)
     context = source.sparkSession.sparkContext
     model = context.broadcast(char_model(char_counts(source)))
     lexicon = learn_lexicon(learnable(source, labels, "toxic", bound), model)
@@ -350,13 +362,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in batches:
             for at, to, words in _mentioned(restorer, batch.column(1)):
                 scores = pa.array(learned.score(words).astype(np.float64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), scores], ["doc_id", "score"])
+                own = [batch.column(k).slice(at, to - at) for k in (0, 2)[: 1 + keys]]
+                yield pa.RecordBatch.from_arrays([*own, scores], ["doc_id", "row", "score"] if keys else ["doc_id", "score"])
 
-    scored = source.mapInArrow(score, "doc_id long, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    if keys:
+        source = docs.select(*columns, row_key(id_col, text_col).alias("row"))
+    return source.mapInArrow(score, "doc_id long, row binary, score double" if keys else "doc_id long, score double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    bad = score_toxicity(docs, labels, id_col, text_col).filter("predicted = 1").select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("__bad_id"), "left_anti")
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.
+
+    Each row is judged by its own text, whether or not its id is null or repeated.
+    """
+    scored = _scored(docs, labels, id_col, text_col, keys=True)
+    bad = scored.filter(F.col("score") >= SURE).select(F.col("row").alias("__bad_row")).distinct()
+    return docs.join(bad, row_key(id_col, text_col) == F.col("__bad_row"), "left_anti")

@@ -390,3 +390,22 @@ def test_restoring_signs_anywhere(seen):
     plain, found = (restorer.texts([f"the {w} of"])[0].split() for w in (LATE_SIGNS[seen], seen))
     assert found == plain == ["the", LATE_SIGNS[seen], "of"]
     assert restorer.texts(["Signs alone 107 2024-01 -- and * stay"]) == ["Signs alone 107 2024-01 -- and * stay"]
+
+
+def test_dropping_decides_by_row(spark):
+    rows, labels = labelled(random.Random(8))
+    bad, good = "you idiotic moronic thing of w1 w2 idiotic moronic", "w1 w2 w3 plain words of no harm"
+    rows += [(None, bad), (None, good), (700, bad), (700, good)]
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int, score double")
+    left = [(r.doc_id, r.text) for r in toxicity.drop_toxic(docs(spark, rows), table).collect() if r.doc_id in (None, 700)]
+    assert sorted(left, key=str) == [(700, good), (None, good)]
+
+    rows = [(1, "a b"), (None, "a b"), (None, "own"), (2, "ab c"), (2, "abc"), (3, "abc"), (None, "own"), (3, "x y"), (4, "x y"), (3, "x y")]
+    left = [(r.doc_id, r.text) for r in exact_dedup.drop_exact_duplicates(docs(spark, rows)).collect()]
+    assert sorted(left, key=str) == [(1, "a b"), (2, "ab c"), (3, "x y"), (None, "own")]
+
+    item = " ".join(f"q{k}" for k in range(20))
+    rows = [(None, f"a {item} b"), (None, good), (5, f"c {item}"), (5, good), (6, None)]
+    left = decontamination.drop_contaminated(docs(spark, rows), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert sorted([(r.doc_id, r.text) for r in left.collect()], key=str) == [(5, good), (6, None), (None, good)]
+    assert left.columns == docs(spark, rows).columns
