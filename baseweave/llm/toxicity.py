@@ -331,7 +331,7 @@ def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
 
 
 #: Labelled documents to learn from, at most, and the score from which a document counts as toxic.
-BOUND, SURE = 3000, 0.7
+BOUND, SURE = 4000, 0.7
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:

@@ -409,3 +409,7 @@ def test_dropping_decides_by_row(spark):
     left = decontamination.drop_contaminated(docs(spark, rows), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
     assert sorted([(r.doc_id, r.text) for r in left.collect()], key=str) == [(5, good), (6, None), (None, good)]
     assert left.columns == docs(spark, rows).columns
+
+
+def test_labelled_sample_is_whole():
+    assert toxicity.score_toxicity.__defaults__[-1] == 4000
