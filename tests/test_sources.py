@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from baseweave.functions import names
 from baseweave.operators import alignment, contigs, ploidy
+from baseweave.plans import contract
 from baseweave.sources import sinks, tables, text
 from baseweave.streaming import landing
 
@@ -102,3 +103,10 @@ def test_ploidy_counts_blocks_within_each_file(spark):
     assert {r.file: r.ploidy for r in ploidy.file_ploidy(blocks).collect()} == {"a": 4, "b": 3, "c": 1}
     assert found(2) == {"a": 2, "b": 3, "c": 1}
     assert found(1) == {"a": 1, "b": 3, "c": 1}
+
+
+def test_presence_is_judged_on_all_records(spark):
+    sf = "/root/testdata/sf0.01"
+    have = {(r.file, r.contig) for r in contract.sites(spark, sf).select("file", "contig").distinct().collect()}
+    found = contract.queries()["sample_presence"](spark, sf).collect()
+    assert {(r.base, r.contig) for r in found if r.status == "present"} == have
