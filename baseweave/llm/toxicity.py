@@ -14,8 +14,10 @@ look-alike beside its letters, no gap between them and no letter twice on end.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key
+from .common import row_key, written
 from .labelled import held_out, learnable
 from .words import hashed_words
 
@@ -144,33 +146,49 @@ class Restorer:
 
         A look-alike may stand for each of its letters, signs and gaps also for
         nothing, and all of them for themselves. Of a letter twice or more, as
-        written or as read, one or two are meant.
+        written or as read, one or two are meant. A state keeps its likeliest
+        path as a chain of characters with the one before, so time and memory
+        are in proportion to the word.
         """
-        seen = seen.lower()
-        states = {(0, 0): (0.0, "")}
-        for at, c in enumerate(seen):
-            run = len(seen[:at]) - len(seen[:at].rstrip(c)) + 1
-            long = seen[max(0, at - run + 1) :].startswith(c * 3)
-            if c in self.letter:
-                ways = [("", 0.0)] if long and run > 2 else [(c, 0.0), ("", DRAWN)] if long and run == 2 else [(c, 0.0)]
-            elif c.isalpha():
-                ways = [(c, 0.0)]
-            else:
-                ways = [(c, ITSELF)] + [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
-                if not c.isalnum():
-                    ways.append(("", NOTHING))
-            reached: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for c, nth, n in self._runs(seen.lower()):
+            ways = self._ways(c, nth, n)
+            reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in states.items():
                 for x, cost in ways:
                     k = self.letter.get(x, 0)
                     key, s = ((b, k), score + cost + self.model[a][b][k]) if x else ((a, b), score + cost)
                     if key not in reached or s > reached[key][0]:
-                        reached[key] = (s, text + x)
+                        reached[key] = (s, (x, path) if x else path)
                     # However its two letters are written, a word is read as one.
                     if k and k == b and score + cost + DOUBLED > reached.get((a, b), (-np.inf,))[0]:
-                        reached[a, b] = (score + cost + DOUBLED, text)
+                        reached[a, b] = (score + cost + DOUBLED, path)
             states = reached
-        return max((s + self.model[a][b][0], text) for (a, b), (s, text) in states.items())[1]
+        path = max(((s + self.model[a][b][0], path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])[1]
+        read = []
+        while path:
+            read.append(path[0])
+            path = path[1]
+        return "".join(reversed(read))
+
+    @staticmethod
+    def _runs(seen: str) -> Iterator[tuple[str, int, int]]:
+        """Each character, which of its run of equal ones it is, and the length of that run."""
+        for c, run in groupby(seen):
+            n = sum(1 for _ in run)
+            for nth in range(1, n + 1):
+                yield c, nth, n
+
+    def _ways(self, c: str, nth: int, n: int) -> list[tuple[str, float]]:
+        """What a character may stand for, and at what cost."""
+        if c in self.letter:
+            if n < 3 or nth == 1:
+                return [(c, 0.0)]
+            return [(c, 0.0), ("", DRAWN)] if nth == 2 else [("", 0.0)]
+        if c.isalpha():
+            return [(c, 0.0)]
+        ways = [(c, ITSELF)] + [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
+        return ways if c.isalnum() else [*ways, ("", NOTHING)]
 
     def texts(self, texts: list[str]) -> list[str]:
         return [self._replaced(t, places) if places else t for t, places in zip(texts, disguised(texts), strict=True)]
@@ -194,6 +212,8 @@ class Restorer:
 
 #: Bytes of a word's beginnings that are features; 0 stands for the whole word.
 BEGINNINGS = (0, 3, 4, 5, 6)
+#: Toxic documents of the sample that a feature needs.
+LEAST = 3
 
 
 def _keys(words, n_bytes: int) -> np.ndarray:
@@ -239,32 +259,29 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return c
 
 
-def telling(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, least: int = 3, ratio: float = 10, sure: float = 15) -> pd.DataFrame:
-    """(doc, feature, times, weight, sure) of the features that tell toxic documents, in these documents.
+def telling(counts: pd.DataFrame, docs: np.ndarray, words: np.ndarray, own: list[int], least: int = LEAST, ratio: float = 10, sure: float = 15) -> pd.DataFrame:
+    """(feature, weight, sure) of the features that tell toxic documents, by the documents of the folds ``own``.
 
-    ``doc`` and ``feature`` have one entry for each word. A feature tells if
-    ``least`` toxic documents mention it and if it is ``ratio`` times as frequent
-    in toxic documents as in others; its weight is the logarithm of that. It is
-    sure if as many of its documents are toxic as hardly happens by chance (a
-    log-likelihood of ``sure``).
+    ``counts`` has for each feature its documents and its mentions by fold and
+    label (``_columns``); ``docs`` and ``words`` have all documents' numbers by
+    fold and label. A feature tells if ``least`` toxic documents mention it and
+    if it is ``ratio`` times as frequent in toxic documents as in others; its
+    weight is the logarithm of that. It is sure if as many of its documents are
+    toxic as hardly happens by chance (a log-likelihood of ``sure``).
     """
-    names, feature = np.unique(feature, return_inverse=True)
-    pair, times = np.unique(doc.astype(np.int64) * max(1, len(names)) + feature, return_counts=True)
-    d, f = pair // max(1, len(names)), pair % max(1, len(names))
-    bad, good = (np.bincount(f[toxic[d] == t], minlength=len(names)) for t in (True, False))
-    base = np.clip(toxic[np.unique(doc)].mean() if len(doc) else 0.5, 0.001, 0.999)
+    (good, bad), (mild, harsh) = ([sum((counts[f"{kind}{k}{t}"].to_numpy(float) for k in own), np.zeros(len(counts))) for t in (0, 1)] for kind in "dm")
+    n_good, n_bad = docs[own].sum(0)
+    base = np.clip(n_bad / max(1, n_good + n_bad), 0.001, 0.999)
     n = np.maximum(bad + good, 1)
     likely = bad * np.log(np.maximum(bad, 0.5) / n / base) + good * np.log(np.maximum(good, 0.5) / n / (1 - base))
-    of = [np.bincount(f[toxic[d] == t], times[toxic[d] == t], len(names)) for t in (True, False)]
-    rate = [(m + extra) / (m.sum() + 1) for m, extra in zip(of, (0, 1), strict=True)]
-    times_as = rate[0] / rate[1]
-    keep = ((bad >= least) & (times_as >= ratio))[f] & toxic[d]
-    d, f = d[keep], f[keep]
-    certain = (bad > base * n) & (likely >= sure)
-    return pd.DataFrame({"doc": d, "feature": names[f], "times": times[keep], "weight": np.log(times_as[f]), "sure": certain[f]})
+    rate = [(m + extra) / (total + 1) for m, extra, total in ((mild, 1, words[own, 0].sum()), (harsh, 0, words[own, 1].sum()))]
+    times_as = rate[1] / rate[0]
+    tells = (bad >= least) & (times_as >= ratio)
+    found = pd.DataFrame({"feature": counts["feature"], "weight": np.log(np.maximum(times_as, 1e-9)), "sure": (bad > base * n) & (likely >= sure)})
+    return found[tells]
 
 
-def choose(found: pd.DataFrame, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def choose(found: pd.DataFrame, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Sure features, and besides features that cover the toxic documents, the one that covers most first; and their weights.
 
     A document counts by its mentions, up to five: chance features are mentioned
@@ -293,8 +310,13 @@ def _mentioned(restorer: Restorer, texts: pa.Array) -> Iterator:
             yield start + at, start + to, words
 
 
-def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
-    """The lexicon of ``chosen`` (label, text), and the regression of what lexicons of the other folds find in each fold."""
+def _columns(folds: int) -> list[str]:
+    """Names of a feature's counts: documents (d) and mentions (m) by fold and label."""
+    return [f"{kind}{k}{t}" for kind in "dm" for k in range(folds) for t in (0, 1)]
+
+
+def _sample(chosen: DataFrame, model, folds: int) -> DataFrame:
+    """(doc, fold, label, keys) of each distinct document: the features of all its words, decoded once and written."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
@@ -302,34 +324,107 @@ def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
             for at, to, words in _mentioned(restorer, batch.column(1)):
                 keys = [_keys(words, n) for n in BEGINNINGS]
                 rows = [np.concatenate([k[a:b] for k in keys]).tobytes() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(rows, pa.binary())], ["label", "keys"])
+                label = batch.column(0).slice(at, to - at)
+                docs = [int.from_bytes(hashlib.blake2b(bytes([t]) + r, digest_size=8).digest(), "little", signed=True) for t, r in zip(label.to_pylist(), rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), label, pa.array(rows, pa.binary())], ["doc", "label", "keys"])
 
-    got = chosen.select("label", "text").mapInArrow(extract, "label int, keys binary").toPandas()
+    made = chosen.select("label", "text").mapInArrow(extract, "doc long, label int, keys binary")
     # Copies say nothing new.
-    got = got.drop_duplicates().sort_values(["keys", "label"], ignore_index=True)
-    toxic = got["label"].to_numpy() == 1
-    keys = [np.frombuffer(k, np.uint64).reshape(len(BEGINNINGS), -1) for k in got["keys"]]
-    fold = np.arange(len(got)) % folds
-
-    def lexicon(own: np.ndarray) -> Lexicon:
-        doc = np.repeat(np.arange(len(got), dtype=np.int32), np.array([k.shape[1] for k in keys], np.int64) * own)
-        # One kind of feature at a time: all of them together are several times as large.
-        kinds = (np.concatenate([k[i] for k, mine in zip(keys, own, strict=True) if mine] or [np.zeros(0, np.uint64)]) for i in range(len(BEGINNINGS)))
-        names, weight = choose(pd.concat([telling(doc, kind, toxic) for kind in kinds]))
+    made = made.dropDuplicates(["doc"]).select("doc", F.pmod("doc", F.lit(folds)).cast("int").alias("fold"), "label", "keys")
+    return written(made, "toxicity-sample")
+
+
+def _counted(sample: DataFrame, folds: int) -> DataFrame:
+    """For each feature of the sample its documents and mentions by fold and label, added up within batches before the shuffle."""
+    names = _columns(folds)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = np.array(batch.column(0)) * 2 + np.array(batch.column(1))
+            each = [np.unique(np.frombuffer(k.as_buffer(), np.uint64), return_counts=True) for k in batch.column(2)]
+            if not each:
+                continue
+            feature, place = np.unique(np.concatenate([f for f, _ in each]), return_inverse=True)
+            of = np.repeat(group, [len(f) for f, _ in each])
+            total = np.zeros((len(names), len(feature)), np.int64)
+            np.add.at(total, (of, place), 1)
+            np.add.at(total, (of + 2 * folds, place), np.concatenate([m for _, m in each]))
+            yield pa.RecordBatch.from_arrays([pa.array(feature.view(np.int64)), *map(pa.array, total)], ["feature", *names])
+
+    schema = "feature long, " + ", ".join(f"{n} long" for n in names)
+    return sample.select("fold", "label", "keys").mapInArrow(count, schema).groupBy("feature").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _covering(sample: DataFrame, features: np.ndarray) -> pd.DataFrame:
+    """(doc, fold, feature, times): which of the features toxic documents mention, and how often."""
+    features = sample.sparkSession.sparkContext.broadcast(np.sort(features))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, fold, keys in zip(*(batch.column(k) for k in range(3)), strict=True):
+                own, times = np.unique(np.frombuffer(keys.as_buffer(), np.uint64), return_counts=True)
+                known = np.isin(own, features.value)
+                n = int(known.sum())
+                columns = [np.full(n, doc.as_py()), np.full(n, fold.as_py(), np.int32), own[known].view(np.int64), times[known]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "fold", "feature", "times"])
+
+    found = sample.filter("label = 1").select("doc", "fold", "keys").mapInArrow(find, "doc long, fold int, feature long, times long").toPandas()
+    return found.assign(feature=found["feature"].to_numpy(np.int64).view(np.uint64)).sort_values(["doc", "feature"], ignore_index=True)
+
+
+def _cross_weighed(sample: DataFrame, lexicons: list[Lexicon]) -> pd.DataFrame:
+    """(label, weight, words) of each document: what the lexicon of the other folds finds in it, and its number of words."""
+    parts = sample.sparkSession.sparkContext.broadcast([_parts(x) for x in lexicons])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [Lexicon(*p) for p in parts.value]
+        for batch in batches:
+            keys = [np.frombuffer(k.as_buffer(), np.uint64).reshape(len(BEGINNINGS), -1) for k in batch.column(2)]
+            weight = [float(known[fold].weights(list(k)).sum()) for fold, k in zip(batch.column(0).to_pylist(), keys, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(weight, pa.float64()), pa.array([k.shape[1] for k in keys], pa.int64())], ["label", "weight", "words"])
+
+    rows = sample.select("fold", "label", "keys").mapInArrow(weigh, "label int, weight double, words long").toPandas()
+    return rows.sort_values(["words", "weight", "label"], ignore_index=True)
+
+
+def learn_lexicon(chosen: DataFrame, model, folds: int = 3) -> Lexicon:
+    """The lexicon of ``chosen`` (label, text), and the regression of what lexicons of the other folds find in each fold.
+
+    Executors decode the sample once, add up its features by fold and label and
+    find where telling ones are mentioned; one pass serves all folds. The driver
+    gets the features that may tell, their mentions in toxic documents, and two
+    numbers for each document.
+    """
+    sample = _sample(chosen, model, folds)
+    totals = np.zeros((2, folds, 2))
+    for r in sample.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("keys") / (8 * len(BEGINNINGS))).alias("words")).collect():
+        totals[:, r["fold"], r["label"]] = r["docs"], r["words"]
+    toxic = sum((F.col(f"d{k}1") for k in range(folds)), F.lit(0))
+    # A feature that tells in no more documents than this tells in none of the folds' shares either.
+    counts = _counted(sample, folds).filter(toxic >= LEAST).toPandas()
+    counts = counts.assign(feature=counts["feature"].to_numpy(np.int64).view(np.uint64)).sort_values("feature", ignore_index=True)
+    every = list(range(folds))
+    own = [every, *[[k for k in every if k != out] for out in every]]
+    tell = [telling(counts, *totals, folds_of, LEAST) for folds_of in own]
+    found = _covering(sample, np.unique(np.concatenate([t["feature"].to_numpy(np.uint64) for t in tell])))
+
+    def lexicon(folds_of: list[int], tells: pd.DataFrame) -> Lexicon:
+        names, weight = choose(found[found["fold"].isin(folds_of)].merge(tells, on="feature"))
         order = np.argsort(names)
         # A hash tells its kind, so each kind may look among all names.
         return Lexicon({n: (names[order], weight[order]) for n in BEGINNINGS}, np.array([-5.0, 0, 0, 0]))
 
-    learned = lexicon(np.ones(len(got), bool))
-    if toxic.any():
-        found = np.zeros(len(got))
-        for k in range(folds):
-            other = lexicon(fold != k)
-            found[fold == k] = [other.weights(list(keys[i])).sum() for i in np.flatnonzero(fold == k)]
-        learned.coefficients = logistic(evidence(found, np.array([k.shape[1] for k in keys])), toxic)
+    learned, *others = [lexicon(f, t) for f, t in zip(own, tell, strict=True)]
+    if totals[0, :, 1].sum():
+        rows = _cross_weighed(sample, others)
+        learned.coefficients = logistic(evidence(rows["weight"].to_numpy(), rows["words"].to_numpy()), rows["label"].to_numpy() == 1)
     return learned
 
 
+def _parts(lexicon: Lexicon) -> list:
+    return [getattr(lexicon, f.name) for f in fields(Lexicon)]
+
+
 #: Labelled documents to learn from, at most, and the score from which a document counts as toxic.
 BOUND, SURE = 4000, 0.7
 
@@ -339,7 +434,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     ``score`` estimates that ``toxic`` is 1, from the whole text alone. The
     character model is of all documents; the lexicon is of labelled documents
-    that are not held out, ``bound`` at most. Null text counts as empty; an
+    that are not held out, ``bound`` at most, one text for each id. Null text counts as empty; an
     empty text has no mentions and the score of such. Repeated rows have equal
     scores. Without usable labels nothing is predicted toxic. Columns other
     than id and text are not read. An empty table gives no rows.
@@ -355,7 +450,7 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, boun
     context = source.sparkSession.sparkContext
     model = context.broadcast(char_model(char_counts(source)))
     lexicon = learn_lexicon(learnable(source, labels, "toxic", bound), model)
-    parts = context.broadcast([getattr(lexicon, f.name) for f in fields(Lexicon)])
+    parts = context.broadcast(_parts(lexicon))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, learned = Restorer(model.value), Lexicon(*parts.value)
@@ -373,7 +468,9 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, boun
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns.
 
-    Each row is judged by its own text, whether or not its id is null or repeated.
+    Each row is judged by its own text, whether or not its id is null or
+    repeated; repeated rows stay or go together. Null and empty texts have no
+    mentions and stay. Columns may have any names. An empty table stays empty.
     """
     scored = _scored(docs, labels, id_col, text_col, keys=True)
     bad = scored.filter(F.col("score") >= SURE).select(F.col("row").alias("__bad_row")).distinct()
