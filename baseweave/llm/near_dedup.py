@@ -31,57 +31,71 @@ from .components import components
 from .words import hashed_words, mixed, shingle_sets
 
 WORDS = 5
-#: Bands and hash functions in each. At a similarity of 0.75 a link is missed with probability 0.684 ** 40 = 3e-7.
+#: Bands and hash functions in each. Of two sets at a similarity of 0.75 the smallest and the largest value agree with a
+#: probability of 0.75 * 0.75 where sets are large, so all bands miss with (1 - 0.316) ** 40 = 3e-7. In small sets the two
+#: are never one shingle, and they agree less often (0.5 for three of four shingles): sets of up to ``FEW`` shingles have
+#: further bands of one function each, which all miss with 0.5 ** 40 = 1e-12 at most. Each pair meets in one kind of bands
+#: at least: where the larger has more than ``FEW`` shingles, the smaller has more than three quarters of that.
 BANDS, FUNCTIONS = 40, 2
+SINGLE, FEW, MANY = 40, 40, 30
 _RANDOM = np.random.default_rng(9_090)
 _TIMES = _RANDOM.integers(0, 2**63, BANDS * FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RANDOM.integers(0, 2**64, BANDS * FUNCTIONS, dtype=np.uint64)
 ENTRIES = 2 * BANDS * FUNCTIONS
-SIGNATURE = "doc_id long, n_shingles long, sum1 long, sum2 long, bits0 long, bits1 long, bits2 long, bands array<long>"
+SIGNATURE = "doc_id long, hash long, n_shingles long, sum1 long, sum2 long, bits0 long, bits1 long, bits2 long, bands array<long>"
 BITS = ["bits0", "bits1", "bits2"]
-#: Of two sets at 0.75, 140 of the 160 bits agree on average, with a deviation of 4.2; pairs below this are not compared.
-ALIKE = 114
+#: Of two sets at 0.75 or more, each of the 160 bits agrees with a probability of 0.875; pairs below this number are not
+#: compared. By Chernoff's bound such a pair is lost with 2.5e-12 at most.
+ALIKE = 104
 #: Slots of shingle counts: a constant, so they fit the driver and a broadcast.
 SLOTS = 1 << 18
 #: Members of a bucket up to which pairs between its components are formed.
 SMALL = 32
 
 
-def min_max_bands(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A row of band keys and one of sketch bits for each text; every text has a shingle."""
-    keys = np.zeros((len(begins), BANDS), np.uint64)
+def min_max_bands(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row of band keys, one of which keys count, and one of sketch bits for each text; every text has a shingle."""
+    keys = np.zeros((len(begins), BANDS + SINGLE), np.uint64)
     bits = np.zeros((3, len(begins)), np.uint64)
     for band in range(BANDS):
         key = np.full(len(begins), band, np.uint64)
         for k in range(band * FUNCTIONS, (band + 1) * FUNCTIONS):
             values = (hashes ^ _PLUS[k]) * _TIMES[k]
-            for side, entry in enumerate((np.minimum.reduceat(values, begins), np.maximum.reduceat(values, begins))):
+            both = np.minimum.reduceat(values, begins), np.maximum.reduceat(values, begins)
+            for side, entry in enumerate(both):
                 key = mixed(key ^ entry)
                 bit = 2 * k + side
                 bits[bit // 64] |= (mixed(entry) & np.uint64(1)) << np.uint64(bit % 64)
+            if k < SINGLE:
+                keys[:, BANDS + k] = mixed(mixed(both[0], BANDS + k) ^ both[1])
         keys[:, band] = key
-    return keys, bits
+    n = np.diff(np.append(begins, len(hashes)))[:, None]
+    single = np.arange(BANDS + SINGLE) >= BANDS
+    return keys, np.where(single, n <= FEW, n > MANY), bits
+
+
+def _sums(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Two sums over each set (with a shingle each), by which sets are told apart: 128 bits."""
+    return np.stack([np.add.reduceat(mixed(hashes, salt), begins) for salt in (1, 2)])
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for at, to, words in hashed_words(texts, lower=True):
+        for at, to, words in hashed_words(batch.column(2), lower=True):
             hashes, begins = shingle_sets(words, WORDS)
             n = np.diff(begins)
             full = n > 0
             sums = np.zeros((2, len(n)), np.uint64)
-            keys, bits = np.zeros((0, BANDS), np.uint64), np.zeros((3, len(n)), np.uint64)
+            keys, bits, counts = np.zeros(0, np.uint64), np.zeros((3, len(n)), np.uint64), np.zeros(len(n), np.int64)
             if full.any():
                 own = begins[:-1][full]
-                sums[:, full] = [np.add.reduceat(mixed(hashes, salt), own) for salt in (1, 2)]
-                keys, bits[:, full] = min_max_bands(hashes, own)
-            lists = pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32), pa.array(keys.ravel().view(np.int64))
-            )
+                sums[:, full] = _sums(hashes, own)
+                keys, used, bits[:, full] = min_max_bands(hashes, own)
+                keys, counts[full] = keys[used], used.sum(1)
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, to - at), pa.array(n), *(pa.array(x.view(np.int64)) for x in (*sums, *bits)), lists],
-                ["doc_id", "n_shingles", "sum1", "sum2", *BITS, "bands"],
+                [*(batch.column(k).slice(at, to - at) for k in (0, 1)), pa.array(n), *(pa.array(x.view(np.int64)) for x in (*sums, *bits)), lists],
+                ["doc_id", "hash", "n_shingles", "sum1", "sum2", *BITS, "bands"],
             )
 
 
@@ -194,6 +208,18 @@ def _rare_pairs(ids: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     return met.select(F.col("id").alias("a"), "b").distinct()
 
 
+def _of_one_id(real: DataFrame, nodes: DataFrame, same: list[str]) -> DataFrame | None:
+    """Links (a, b) between the nodes of an id that stands on rows with different sets; none where no id does."""
+    node = F.struct(*same)
+    several = real.groupBy("doc_id").agg(F.min(node).alias("x"), F.max(node).alias("y")).filter("x <> y").select("doc_id")
+    several = written(several, "near-repeated-ids", compact=True)
+    if several.isEmpty():
+        return None
+    of = written(real.join(several, "doc_id", "left_semi").join(nodes, same).select("doc_id", "id").distinct(), "near-of-ids", compact=True)
+    first = of.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return of.join(first, "doc_id").filter("id <> b").select(F.col("id").alias("a"), "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -202,30 +228,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked at a Jaccard similarity of 0.75 or more. A component's
     id is its smallest document id, and that document is kept. Null text counts
     as empty; documents without words have an empty set and are linked with
-    nothing. Repeated rows have the same component; rows of one id count as one
-    document. Null ids are linked to nothing and kept. Columns other than id and
-    text are not read. An empty table gives no rows.
+    nothing. Repeated rows have the same component. Rows of one id are one
+    document: each text has its own set and links, and all texts with words of
+    one id are of one component. Null ids are linked to nothing and kept. Columns
+    other than id and text are not read. An empty table gives no rows.
+
+    Shingles are told apart by 64-bit hashes (see ``words``), sets by the number
+    and two 64-bit sums of these.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = written(source.mapInArrow(_signatures, SIGNATURE), "near-signatures")
     same = ["n_shingles", "sum1", "sum2"]
     real = signed.filter("n_shingles > 0 and doc_id is not null")
-    nodes = real.groupBy(*same).agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in (*BITS, "bands")])
+    # A node is a set; its text is that of its first row by id and the text's hash.
+    nodes = real.groupBy(*same).agg(F.min(F.struct("doc_id", "hash")).alias("row"), *[F.first(c).alias(c) for c in (*BITS, "bands")])
+    nodes = nodes.select(F.monotonically_increasing_id().alias("id"), "row.doc_id", "row.hash", *same, *BITS, "bands")
     nodes = written(nodes, "near-nodes")
+    given = _of_one_id(real, nodes.select("id", *same), same)
 
     member = nodes.select("id", F.explode("bands").alias("key"))
     bucket = member.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     member = written(member.join(bucket, "key"), "near-members", compact=True)
-    texts = source.join(member.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    asked = nodes.select("id", "doc_id", "hash").join(member.select("id").distinct(), "id", "left_semi")
+    texts = source.join(asked, ["doc_id", "hash"]).select("id", "text")
     sets = written(texts.mapInArrow(_sets, "id long, shingles binary"), "near-sets")
-    # Rows of one id are one document: of several texts under one id, one stands for it.
-    sets = sets.groupBy("id").agg(F.min("shingles").alias("shingles")) if _repeats(sets) else sets
+    # Rows repeated with one id and text give one set again.
+    sets = sets.dropDuplicates(["id"]) if _repeats(sets) else sets
 
     stars = member.filter("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     pairs = written(_plausible(stars, nodes), "near-candidates", compact=True)
     best = pairs.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("less"))).alias("best")).select("a", (-F.col("best.less")).alias("b"))
     links = confirmed(best, sets)
-    found = components(links.filter("linked"))
+    sure = links.filter("linked").select("a", "b")
+    found = components(sure if given is None else sure.unionByName(given))
 
     rest = pairs.select("a", "b").join(links, ["a", "b"], "left_anti")
     rest = _labelled(_labelled(rest, found, "a", "of_a"), found, "b", "of_b").filter("of_a <> of_b").select("a", "b")
@@ -245,9 +281,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = last.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti")
     found = _extended(found, confirmed(_plausible(last, nodes), sets))
 
-    # Every row meets its node by its set and its component by its node.
-    named = _labelled(nodes.select(*same, "id"), found, "id", "component").select(*same, "component")
-    out = signed.select("doc_id", *same).join(named, same, "left")
+    # Every row meets its node by its set, and its component's smallest document by its node.
+    of = _labelled(nodes.select(*same, "id", F.col("doc_id").alias("doc")), found, "id", "component")
+    grown = found.select(F.explode(F.array("id", "component")).alias("id"), "component").distinct()
+    least = nodes.select("id", "doc_id").join(grown, "id").groupBy("component").agg(F.min("doc_id").alias("least"))
+    of = of.join(least, "component", "left").select(*same, F.coalesce("least", "doc").alias("component"))
+    out = signed.select("doc_id", *same).join(of, same, "left")
     whole = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     out = out.withColumn("component_id", whole)
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -263,6 +302,11 @@ def _extended(found: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` of which each component keeps its smallest id, with all their columns."""
-    stay = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of ``docs`` of which each component keeps its smallest id, with all their columns.
+
+    Rows of one id are one document and stay or go together, those without words
+    too. Rows with null ids stay, as do documents without words. An empty table
+    stays empty.
+    """
+    found = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__near_copy")).distinct()
+    return docs.join(found, F.col(id_col).cast("long") == F.col("__near_copy"), "left_anti")

@@ -2,28 +2,40 @@
 
 A pre-token is a maximal run of spaces with the non-spaces after it. No piece
 of the vocabulary joins a non-space to a later space, so merges never cross
-that border and a text's count is the sum over its pre-tokens. Each worker
-counts a distinct pre-token's pieces once, joins these counts to the
-per-document pre-token frequencies, and sums.
-
-The join is local to the task: frequencies of a corpus hold about as many rows
-as the corpus has words, and a shuffle of them would move several times the
-input. A worker's memory of counts is bounded (``remembered``).
+that border and a text's count is the sum over its pre-tokens.
+
+1. Texts become frequencies of pre-tokens. Those of neighbouring documents are
+   packed into one row, a chunk, which numbers its distinct pre-tokens.
+2. The pre-tokens of all chunks are made distinct, and each one's pieces are
+   counted once.
+3. These counts are joined to the chunks' pre-tokens by text, and what a chunk
+   so knows to its frequencies by chunk, where they are multiplied and summed.
+
+A chunk sends each of its pre-tokens once, however often its documents have it,
+so the first join moves a small share of the input, and no pre-token has more
+rows than there are chunks. The second join has one row on each side.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: The character by which the vocabulary's library writes a space; in a text it is treated alike.
 META_SPACE = "▁"
 _BORDER = re.compile(r"(?<=[^ ]) ")
+#: ``tokens`` and ``times`` are whole numbers of as many bytes as they need, ``sizes`` says how many of them each document has.
+CHUNKS = "chunk long, doc_ids array<long>, n_bytes array<long>, sizes array<int>, tokens binary, times binary, vocabulary array<string>"
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -35,30 +47,77 @@ def pre_tokens(text: str) -> list[str]:
     return text.split(" ")
 
 
-class PieceCounts(dict):
-    """Pieces by pre-token, forgotten once there are more than ``remembered``."""
+def _narrow(values: array) -> bytes:
+    """Whole numbers in the fewest of 1, 2 or 4 bytes that hold the largest."""
+    found = np.frombuffer(values, np.uint32)
+    return found.astype(np.min_scalar_type(int(found.max(initial=0)))).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // max(1, n) or 1}").astype(np.int64)
+
+
+def _chunked(chunk_bytes: int):
+    """Documents' frequencies of pre-tokens, packed for about ``chunk_bytes`` of text."""
 
-    def __init__(self, model_path: str, remembered: int):
+    def packed(rows: list[tuple], tokens: array, times: array, local: dict[str, int], number: int) -> pa.RecordBatch:
+        ids, n_bytes, sizes = (list(c) for c in zip(*rows, strict=True))
+        one = [[number], [ids], [n_bytes], [sizes], [_narrow(tokens)], [_narrow(times)], [list(local)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)], [c.split()[0] for c in CHUNKS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        rows, tokens, times, local, held = [], array("I"), array("I"), {}, 0
+        for batch in batches:
+            for doc_id, n_bytes, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                found = Counter(pre_tokens(text)) if text else {}
+                tokens.extend([local.setdefault(p, len(local)) for p in found])
+                times.extend(found.values())
+                rows.append((doc_id, n_bytes, len(found)))
+                held += n_bytes + 64
+                if held >= chunk_bytes:
+                    yield packed(rows, tokens, times, local, number)
+                    number += 1
+                    rows, tokens, times, local, held = [], array("I"), array("I"), {}, 0
+        if rows:
+            yield packed(rows, tokens, times, local, number)
+
+    return run
+
+
+def _pieces(model_path: str | None):
+    """The number of pieces of each distinct pre-token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sentencepiece import SentencePieceProcessor
 
-        self.encode = SentencePieceProcessor(model_file=model_path).encode
-        self.remembered = remembered
+        path = model_path
+        if path is None:
+            import public_tokenizers
+
+            path = public_tokenizers.path("piece_bpe_32k.model")
+        encode = SentencePieceProcessor(model_file=path).encode
+        for batch in batches:
+            tokens = batch.column(0).to_pylist()
+            # A space at the end is a piece of its own.
+            counts = [n if t else 1 for t, n in zip(tokens, map(len, encode(tokens, num_threads=1)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32())], ["token", "pieces"])
+
+    return run
 
-    def learn(self, new: list[str]) -> None:
-        self.update(zip(new, map(len, self.encode(new, num_threads=1)), strict=True))
-        self[""] = 1  # a space at the end is a piece of its own
 
-    def of(self, texts: pd.Series) -> list[int]:
-        counts = []
-        for text in texts:
-            freq = Counter(pre_tokens(text)) if text else {}
-            new = [p for p in freq if p not in self]
-            if new:
-                self.learn(new)
-            counts.append(sum([self[p] * n for p, n in freq.items()]))
-            if len(self) > self.remembered:
-                self.clear()
-        return counts
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, n_bytes, sizes, tokens, times, pieces = (batch.column(k) for k in range(6))
+        for k in range(batch.num_rows):
+            size = np.array(sizes[k].values, np.int64)
+            n = int(size.sum())
+            known = np.array(pieces[k].values, np.int64) if pieces[k].is_valid else np.zeros(0, np.int64)
+            each = known[_wide(tokens[k].as_py(), n)] * _wide(times[k].as_py(), n)
+            total, ends = np.concatenate([[0], np.cumsum(each)]), np.cumsum(size)
+            columns = [ids[k].values, n_bytes[k].values, pa.array(total[ends] - total[ends - size])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 
 
 def count_tokens(
@@ -67,30 +126,23 @@ def count_tokens(
     limit: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
-    remembered: int = 400_000,
+    chunk_bytes: int = 8 << 20,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
     Counts are those of the library for ``model_path`` without begin, end or
     added tokens; control symbols inside a text are ordinary text. Null text
-    counts as empty: no bytes, no tokens. Whole texts are read, however long.
-    Repeated rows give repeated results; columns other than id and text are not
+    counts as empty: no bytes, no tokens. Whole texts are read, however long; a
+    text of more than ``chunk_bytes`` is a chunk of its own. Repeated rows give
+    repeated results, null ids stay null; columns other than id and text are not
     read; an empty table gives no rows.
     """
-
-    @F.pandas_udf("long")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        path = model_path
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path("piece_bpe_32k.model")
-        counts = PieceCounts(path, remembered)
-        for texts in batches:
-            yield pd.Series(counts.of(texts), dtype="int64")
-
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counted = docs.select(
-        F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), tokens(text).alias("n_tokens")
-    )
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    chunks = written(source.mapInArrow(_chunked(chunk_bytes), CHUNKS), "token-chunks")
+    used = chunks.select("chunk", F.posexplode("vocabulary").alias("place", "token"))
+    pieces = used.select("token").distinct().mapInArrow(_pieces(model_path), "token string, pieces int")
+    known = used.join(pieces, "token").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "pieces"))).alias("known"))
+    known = known.select("chunk", F.col("known.pieces").alias("pieces"))
+    both = chunks.join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "pieces")
+    return both.mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -259,8 +259,8 @@ def test_token_counts(spark, corpus):
 
     rows = [*corpus, *((700 + k, t) for k, t in enumerate(ODD))]
     encode = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")).encode
-    for remembered in (400_000, 20):
-        found = token_counts.count_tokens(docs(spark, rows), limit=50, remembered=remembered)
+    for chunk_bytes in (8 << 20, 500):
+        found = token_counts.count_tokens(docs(spark, rows), limit=50, chunk_bytes=chunk_bytes)
         expected = Counter((i, len((t or "").encode()), len(encode(t or "")), len(encode(t or "")) > 50) for i, t in rows)
         assert by_rows(found, "doc_id", "n_bytes", "n_tokens", "over_limit") == expected
     assert token_counts.count_tokens(docs(spark, NONE)).collect() == []
