@@ -3,8 +3,8 @@
 Documents are tokenised where they are read and cut at multiples of the
 sequence length: whole pieces fill a sequence each, and each document's rest is
 packed by first-fit decreasing with a tournament tree of bin capacities. That
-runs in randomised groups of documents, independent of each other; only piece
-lengths and checksums are shuffled, never texts or ids.
+runs in randomised groups of documents, independent of each other; only the
+rests' lengths and checksums are shuffled, never texts or ids.
 """
 
 from __future__ import annotations
@@ -17,10 +17,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Sequences that a single whole piece fills are numbered from here on.
+WHOLE = 1 << 62
 #: Fixed value: the pre-tokens of byte-level vocabularies of this kind.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD, _SPACE = r"[!-~\xa1-\u024f]{1,500}+", r"[\t\n\r ]{1,500}+"
@@ -35,27 +40,45 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def merges_by_rank(spec: dict) -> bool:
+    """Whether a tokenizer file is byte-level BPE whose merges stand in the order of their ids, with nothing before or beside them.
+
+    Only then are merges by vocabulary order and ``PRE_TOKENS`` what the file says.
+    """
+    model, before = spec["model"], spec["pre_tokenizer"] or {}
+    if spec["normalizer"] or (before.get("type"), before.get("add_prefix_space"), before.get("use_regex")) != ("ByteLevel", False, True):
+        return False
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if model["type"] != "BPE" or any(model.get(k) for k in odd):
+        return False
+    vocab, byte_of = model["vocab"], _byte_of()
+    made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [vocab.get(w, -1) for w in made]
+    return all(a < b for a, b in zip(ids, ids[1:])) and vocab.keys() - {t["content"] for t in spec["added_tokens"]} == byte_of.keys() | set(made)
+
+
 class Encoder:
     """Ids of a tokenizer file as little-endian bytes.
 
-    Plain texts go through a faster encoder with the same merges; all others
-    (rare characters, very long words, special strings) through the file's own
-    library.
+    Plain texts go through a faster encoder with the same merges, if the file is
+    one that it can stand for (``merges_by_rank``); all others (rare characters,
+    very long words, special strings) go through the file's own library.
     """
 
     def __init__(self, tokenizer_path: str):
-        import tiktoken
-
         with open(tokenizer_path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.path, self.own = tokenizer_path, None
+        self.path, self.own, self.fast = tokenizer_path, None, None
         self.special = [t["content"] for t in spec["added_tokens"]]
-        byte_of = _byte_of()
-        ranks = {bytes(map(byte_of.__getitem__, w)): i for w, i in spec["model"]["vocab"].items() if w not in self.special}
-        self.fast = tiktoken.Encoding("plain", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+        if merges_by_rank(spec):
+            import tiktoken
+
+            byte_of = _byte_of()
+            ranks = {bytes(map(byte_of.__getitem__, w)): i for w, i in spec["model"]["vocab"].items() if w not in self.special}
+            self.fast = tiktoken.Encoding("plain", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+        if self.fast and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         if self.own is None:
             from tokenizers import Tokenizer
@@ -102,11 +125,13 @@ def pack_documents(
 
     A document is its ids and ``end_id``. Null text counts as empty and makes a
     document of that one id, as does empty text. Each id lies in one piece;
-    pieces of a sequence follow each other from offset 0 without gaps. Groups
-    hold about ``group_docs`` documents each, dealt by a hash of id and text
-    length, so a group's packing fits one task at every corpus size. Repeated
-    rows are documents of their own; columns other than id and text are not
-    read; an empty table gives no rows.
+    pieces of a sequence follow each other from offset 0 without gaps. Pieces of
+    ``length`` are a sequence by themselves. The rests, one at most of a document,
+    are dealt to groups of about ``group_docs`` by a hash of the row's number in
+    its task, so neither a hot id nor repeated rows gather in one group, and a
+    group's packing fits one task at every corpus size. Repeated rows are
+    documents of their own, null ids stay null; columns other than id and text
+    are not read; an empty table gives no rows.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,26 +141,32 @@ def pack_documents(
 
             path = public_tokenizers.path("byte_bpe_50k.json")
         encoder, end, width = Encoder(path), array("I", [end_id]).tobytes(), 4 * length
-        names = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
+        names = [c.split()[0] for c in f"{PIECE_SCHEMA}, row long".split(", ")]
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 found = encoder.encode(text.as_py()) + end
-                cuts = [found[b : b + width] for b in range(0, len(found), width)]
-                rows += [(doc_id.as_py(), k * length, len(c) // 4, zlib.crc32(c), len(found) // 4) for k, c in enumerate(cuts)]
+                for b in range(0, len(found), width):
+                    c = found[b : b + width]
+                    rows.append((doc_id.as_py(), b // 4, len(c) // 4, zlib.crc32(c), len(found) // 4, row))
+                    row += 1
             columns = zip(*rows, strict=True) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    def pack(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-        pieces = pieces.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable", ignore_index=True)
-        bins, offsets = first_fit_decreasing(pieces["length"].tolist(), length)
+    def pack(key: tuple, rests: pd.DataFrame) -> pd.DataFrame:
+        rests = rests.sort_values("row", ignore_index=True)
+        bins, offsets = first_fit_decreasing(rests["length"].tolist(), length)
         first = int(key[0]) << 32
-        return pieces.assign(sequence_id=[first + b for b in bins], offset=offsets)
+        return rests.drop(columns="row").assign(sequence_id=[first + b for b in bins], offset=offsets)
 
     n_docs = docs.select(F.col(id_col)).count()
     groups = max(1, -(-n_docs // group_docs))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(cut, PIECE_SCHEMA)
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "doc_tokens"), F.lit(groups)))
-    packed = dealt.groupBy("group").applyInPandas(pack, f"{PIECE_SCHEMA}, group long, sequence_id long, offset long")
-    return packed.drop("group")
+    # Written, as numbers of rows must not change between the readers.
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(cut, f"{PIECE_SCHEMA}, row long")
+    pieces = written(pieces, "pieces")
+    whole = pieces.filter(F.col("length") == length).withColumns({"sequence_id": F.lit(WHOLE) + F.col("row"), "offset": F.lit(0).cast("long")}).drop("row")
+    dealt = pieces.filter(F.col("length") < length).withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
+    packed = dealt.groupBy("group").applyInPandas(pack, f"{PIECE_SCHEMA}, group long, sequence_id long, offset long").drop("group")
+    return packed.unionByName(whole)
