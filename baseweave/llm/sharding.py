@@ -68,8 +68,7 @@ def shard_documents(
     shards: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
-    pieces: int = 64,
-    prefix_digits: int = 3,
+    block_rows: int = 100_000,
 ) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -77,13 +76,14 @@ def shard_documents(
     text counts as empty and equals it. Groups of equal texts are never parted.
     They stand by size class (powers of two), larger ones first, so that fine
     grains come last, then by digest. ``slot`` counts from 0 within the shard
-    without gaps, in that order, then by a hash of the id and the id. Null ids
-    sort first and repeated rows get slots of their own. An empty table gives no
+    without gaps, in that order, then by a hash of id and row and by the id. Null
+    ids are no special case and repeated rows get slots of their own. An empty table gives no
     rows; with fewer groups than shards some shards are empty.
 
-    Prefix sums are made in blocks (size class and ``prefix_digits`` hex digits
-    of the digest), a number that does not grow with the data, and a group's
-    rows are numbered in ``pieces`` parts, so no window holds a whole hot group.
+    Prefix sums are made in blocks: a size class and as many hex digits of the
+    digest, by the counted rows, that blocks hold about ``block_rows`` groups. A
+    group's rows are numbered in parts of about as many rows too, so no window
+    holds a whole hot group, and windows do not grow with the data.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -91,17 +91,27 @@ def shard_documents(
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.sha2(text, 256).alias("key"),
-    ).withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int"))
+        F.monotonically_increasing_id().alias("row"),
+    )
     rows = written(rows, "shard-rows")
+    n_rows = rows.count()
+    pieces, prefix_digits = 64, 3
+    while pieces * block_rows < n_rows:
+        pieces *= 2
+    while 16**prefix_digits * block_rows < n_rows:
+        prefix_digits += 1
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "row"), F.lit(pieces)).cast("int"))
     cells = rows.groupBy("key", "piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("key", "piece", "bytes", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     groups = cells.groupBy("key").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
     size_class = (F.lit(63) - F.floor(F.log2(F.col("bytes")))).cast("int")
     groups = groups.withColumn("block", F.concat(F.lpad(size_class.cast("string"), 2, "0"), F.substring("key", 1, prefix_digits)))
+    # In the order of blocks, so that the search for cuts reads few row groups of the written result.
+    groups = groups.repartitionByRange("block")
     running = Window.partitionBy("block").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     groups = groups.select("block", "key", "bytes", "n", F.sum("bytes").over(running).alias("b"), F.sum("n").over(running).alias("r"))
-    # At most 64 classes of 16 ** prefix_digits blocks: a constant, so one task and a broadcast can hold them.
+    # A block holds some 100,000 groups, so for 10 ** 10 of them one task and a broadcast still hold all blocks.
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = groups.groupBy("block").agg(F.sum("bytes").alias("block_bytes"), F.sum("n").alias("block_rows"))
     blocks = blocks.select(

@@ -73,7 +73,9 @@ def judge_urls(
     rank = F.struct(F.length("rule").alias("size"), (F.col("verdict") == "block").alias("blocks"), "rule", "verdict")
     verdicts = hit.groupBy("url").agg(F.max(rank).alias("best"))
     left = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
-    return left.join(verdicts, "url", "left").select(
+    # Rows without a URL meet no rule; they stay out of the join, where they would all have one key.
+    none = left.filter("url is null").withColumn("best", F.lit(None).cast(verdicts.schema["best"].dataType))
+    return left.filter("url is not null").join(verdicts, "url", "left").unionByName(none).select(
         "page_id",
         url_host(F.col("url")).alias("host"),
         url_path(F.col("url")).alias("path"),
