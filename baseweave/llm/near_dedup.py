@@ -34,13 +34,13 @@ WORDS = 5
 #: Bands and hash functions in each. Of two sets at a similarity of 0.75 the smallest and the largest value agree with a
 #: probability of 0.75 * 0.75 where sets are large, so all bands miss with (1 - 0.316) ** 40 = 3e-7. In small sets the two
 #: are never one shingle, and they agree less often (0.5 for three of four shingles): sets of up to ``FEW`` shingles have
-#: further bands of one function each, which all miss with 0.5 ** 40 = 1e-12 at most. Each pair meets in one kind of bands
-#: at least: where the larger has more than ``FEW`` shingles, the smaller has more than three quarters of that.
-BANDS, FUNCTIONS = 40, 2
-SINGLE, FEW, MANY = 40, 40, 30
+#: ``FURTHER`` bands besides, and all miss with (1 - 0.25) ** 72 = 1e-9 at most. Of two sets that could be linked the
+#: larger decides which bands they share, so where it has more than ``FEW`` shingles the first figure holds.
+BANDS, FURTHER, FUNCTIONS = 40, 32, 2
+FEW = 40
 _RANDOM = np.random.default_rng(9_090)
-_TIMES = _RANDOM.integers(0, 2**63, BANDS * FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RANDOM.integers(0, 2**64, BANDS * FUNCTIONS, dtype=np.uint64)
+_TIMES = _RANDOM.integers(0, 2**63, (BANDS + FURTHER) * FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _RANDOM.integers(0, 2**64, (BANDS + FURTHER) * FUNCTIONS, dtype=np.uint64)
 ENTRIES = 2 * BANDS * FUNCTIONS
 SIGNATURE = "doc_id long, hash long, n_shingles long, sum1 long, sum2 long, bits0 long, bits1 long, bits2 long, bands array<long>"
 BITS = ["bits0", "bits1", "bits2"]
@@ -53,25 +53,42 @@ SLOTS = 1 << 18
 SMALL = 32
 
 
-def min_max_bands(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A row of band keys, one of which keys count, and one of sketch bits for each text; every text has a shingle."""
-    keys = np.zeros((len(begins), BANDS + SINGLE), np.uint64)
-    bits = np.zeros((3, len(begins)), np.uint64)
-    for band in range(BANDS):
+def min_max_bands(hashes: np.ndarray, begins: np.ndarray, bands: range = range(BANDS)) -> tuple[np.ndarray, np.ndarray]:
+    """A row of band keys and one of signature entries for each text; every text has a shingle."""
+    keys = np.zeros((len(begins), len(bands)), np.uint64)
+    entries = np.zeros((2 * FUNCTIONS * len(bands), len(begins)), np.uint64)
+    for nth, band in enumerate(bands):
         key = np.full(len(begins), band, np.uint64)
-        for k in range(band * FUNCTIONS, (band + 1) * FUNCTIONS):
-            values = (hashes ^ _PLUS[k]) * _TIMES[k]
-            both = np.minimum.reduceat(values, begins), np.maximum.reduceat(values, begins)
-            for side, entry in enumerate(both):
-                key = mixed(key ^ entry)
-                bit = 2 * k + side
-                bits[bit // 64] |= (mixed(entry) & np.uint64(1)) << np.uint64(bit % 64)
-            if k < SINGLE:
-                keys[:, BANDS + k] = mixed(mixed(both[0], BANDS + k) ^ both[1])
-        keys[:, band] = key
-    n = np.diff(np.append(begins, len(hashes)))[:, None]
-    single = np.arange(BANDS + SINGLE) >= BANDS
-    return keys, np.where(single, n <= FEW, n > MANY), bits
+        for k in range(FUNCTIONS):
+            function = band * FUNCTIONS + k
+            values = (hashes ^ _PLUS[function]) * _TIMES[function]
+            at = 2 * (nth * FUNCTIONS + k)
+            entries[at], entries[at + 1] = np.minimum.reduceat(values, begins), np.maximum.reduceat(values, begins)
+            key = mixed(mixed(key ^ entries[at]) ^ entries[at + 1])
+        keys[:, nth] = key
+    return keys, entries
+
+
+def _sketch(entries: np.ndarray) -> np.ndarray:
+    """A bit of each signature entry."""
+    bits = np.zeros((3, entries.shape[1]), np.uint64)
+    for k, entry in enumerate(entries):
+        bits[k // 64] |= (mixed(entry) & np.uint64(1)) << np.uint64(k % 64)
+    return bits
+
+
+def _band_lists(hashes: np.ndarray, begins: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The band keys of each text, more of them for small sets, and its sketch."""
+    keys, entries = min_max_bands(hashes, begins)
+    n = np.diff(np.append(begins, len(hashes)))
+    few = n <= FEW
+    lists = list(keys)
+    if few.any():
+        own = np.cumsum(n[few]) - n[few]
+        more, _ = min_max_bands(hashes[np.repeat(few, n)], own, range(BANDS, BANDS + FURTHER))
+        for k, row in zip(np.flatnonzero(few), more, strict=True):
+            lists[k] = np.concatenate([lists[k], row])
+    return lists, _sketch(entries)
 
 
 def _sums(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -86,13 +103,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.diff(begins)
             full = n > 0
             sums = np.zeros((2, len(n)), np.uint64)
-            keys, bits, counts = np.zeros(0, np.uint64), np.zeros((3, len(n)), np.uint64), np.zeros(len(n), np.int64)
+            keys, bits, counts = [np.zeros(0, np.uint64)], np.zeros((3, len(n)), np.uint64), np.zeros(len(n), np.int64)
             if full.any():
                 own = begins[:-1][full]
                 sums[:, full] = _sums(hashes, own)
-                keys, used, bits[:, full] = min_max_bands(hashes, own)
-                keys, counts[full] = keys[used], used.sum(1)
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(keys.view(np.int64)))
+                keys, bits[:, full] = _band_lists(hashes, own)
+                counts[full] = [len(k) for k in keys]
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(np.concatenate(keys).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k).slice(at, to - at) for k in (0, 1)), pa.array(n), *(pa.array(x.view(np.int64)) for x in (*sums, *bits)), lists],
                 ["doc_id", "hash", "n_shingles", "sum1", "sum2", *BITS, "bands"],
@@ -247,9 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = written(nodes, "near-nodes")
     given = _of_one_id(real, nodes.select("id", *same), same)
 
-    member = nodes.select("id", F.explode("bands").alias("key"))
-    bucket = member.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    member = written(member.join(bucket, "key"), "near-members", compact=True)
+    member = nodes.select("id", "doc_id", F.explode("bands").alias("key"))
+    # The smallest document is the pivot: what is copied is mostly there before its copies.
+    bucket = member.groupBy("key").agg(F.min(F.struct("doc_id", "id"))["id"].alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    member = written(member.drop("doc_id").join(bucket, "key"), "near-members", compact=True)
     asked = nodes.select("id", "doc_id", "hash").join(member.select("id").distinct(), "id", "left_semi")
     texts = source.join(asked, ["doc_id", "hash"]).select("id", "text")
     sets = written(texts.mapInArrow(_sets, "id long, shingles binary"), "near-sets")

@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -140,6 +139,7 @@ class Restorer:
     def __init__(self, model: np.ndarray, remembered: int = 100_000):
         self.model, self.known, self.remembered = model.tolist(), {}, remembered
         self.letter = {c: k + 1 for k, c in enumerate(LETTERS)}
+        self.ways: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
 
     def word(self, seen: str) -> str:
         """Viterbi over the lattice of one disguised word; a state is the last two letters read.
@@ -150,19 +150,31 @@ class Restorer:
         path as a chain of characters with the one before, so time and memory
         are in proportion to the word.
         """
+        seen = seen.lower()
+        nothing = (-np.inf, None)
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for c, nth, n in self._runs(seen.lower()):
-            ways = self._ways(c, nth, n)
+        before, nth = "", 0
+        for at, c in enumerate(seen):
+            nth = nth + 1 if c == before else 1
+            before = c
+            drawn = 0 if nth == 1 or nth == 2 and seen[at + 1 : at + 2] != c else min(nth, 3) - 1
+            ways = self.ways.get((c, drawn)) or self._ways(c, drawn)
             reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (score, path) in states.items():
-                for x, cost in ways:
-                    k = self.letter.get(x, 0)
-                    key, s = ((b, k), score + cost + self.model[a][b][k]) if x else ((a, b), score + cost)
-                    if key not in reached or s > reached[key][0]:
-                        reached[key] = (s, (x, path) if x else path)
+            for state, (score, path) in states.items():
+                a, b = state
+                after = self.model[a][b]
+                for x, k, cost in ways:
+                    s = score + cost
+                    if not x:
+                        if s > reached.get(state, nothing)[0]:
+                            reached[state] = (s, path)
+                        continue
                     # However its two letters are written, a word is read as one.
-                    if k and k == b and score + cost + DOUBLED > reached.get((a, b), (-np.inf,))[0]:
-                        reached[a, b] = (score + cost + DOUBLED, path)
+                    if k and k == b and s + DOUBLED > reached.get(state, nothing)[0]:
+                        reached[state] = (s + DOUBLED, path)
+                    s += after[k]
+                    if s > reached.get((b, k), nothing)[0]:
+                        reached[b, k] = (s, (x, path))
             states = reached
         path = max(((s + self.model[a][b][0], path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])[1]
         read = []
@@ -171,24 +183,20 @@ class Restorer:
             path = path[1]
         return "".join(reversed(read))
 
-    @staticmethod
-    def _runs(seen: str) -> Iterator[tuple[str, int, int]]:
-        """Each character, which of its run of equal ones it is, and the length of that run."""
-        for c, run in groupby(seen):
-            n = sum(1 for _ in run)
-            for nth in range(1, n + 1):
-                yield c, nth, n
+    def _ways(self, c: str, drawn: int) -> list[tuple[str, int, float]]:
+        """What a character may stand for, the letter's number, and at what cost.
 
-    def _ways(self, c: str, nth: int, n: int) -> list[tuple[str, float]]:
-        """What a character may stand for, and at what cost."""
+        ``drawn`` is 1 for the second and 2 for a later one of three or more equal characters.
+        """
         if c in self.letter:
-            if n < 3 or nth == 1:
-                return [(c, 0.0)]
-            return [(c, 0.0), ("", DRAWN)] if nth == 2 else [("", 0.0)]
-        if c.isalpha():
-            return [(c, 0.0)]
-        ways = [(c, ITSELF)] + [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
-        return ways if c.isalnum() else [*ways, ("", NOTHING)]
+            ways = [[(c, 0.0)], [(c, 0.0), ("", DRAWN)], [("", 0.0)]][drawn]
+        elif c.isalpha():
+            ways = [(c, 0.0)]
+        else:
+            ways = [(c, ITSELF)] + [(x, MASKED if c == "*" else SIGN) for x in LOOKALIKES.get(c, "")]
+            ways += [] if c.isalnum() else [("", NOTHING)]
+        self.ways[c, drawn] = [(x, self.letter.get(x, 0), cost) for x, cost in ways]
+        return self.ways[c, drawn]
 
     def texts(self, texts: list[str]) -> list[str]:
         return [self._replaced(t, places) if places else t for t, places in zip(texts, disguised(texts), strict=True)]
