@@ -69,8 +69,8 @@ def contaminated(
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
     items = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter("item_id is not null")
-    gram = _each(words, lambda i: F.struct(_hash(words)(i).alias("hash"), _gram(words)(i).alias("gram"))).alias("g")
-    grams = written(_words(items, "item_id").select("item_id", gram).select("item_id", "g.*").distinct(), "items", compact=True)
+    both = _each(words, lambda i: F.struct(_hash(words)(i).alias("hash"), _gram(words)(i).alias("gram"))).alias("g")
+    grams = written(_words(items, "item_id").select("item_id", both).select("item_id", "g.*").distinct(), "items", compact=True)
 
     # Items with equal sets are searched for once, by the smallest id.
     content = F.sha2(F.array_join(F.sort_array(F.collect_list("gram")), "\n"), 256)
@@ -98,8 +98,7 @@ def contaminated(
     # Verification on the shingles themselves: each candidate asks its document for the item's.
     asked = hits.join(grams.select("item_id", "hash", "gram"), "item_id")
     texts = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
-    both = F.struct(_hash(words)(F.col("i")).alias("hash"), _gram(words)(F.col("i")).alias("gram"))
-    own = _words(texts, "doc_id").select("doc_id", "w", _each(words, lambda i: i).alias("i")).select("doc_id", both.alias("g")).select("doc_id", "g.*")
+    own = _words(texts, "doc_id").select("doc_id", both).select("doc_id", "g.*")
     own = own.join(_small(asked.select("hash").distinct()), "hash", "left_semi").select("doc_id", "gram").distinct()
     shared = asked.join(own, ["doc_id", "gram"]).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
     verified = shared.join(sized.select("item_id", "n_item", "content"), "item_id").filter(F.col("n_shared") * 100 >= F.col("n_item") * percent)
