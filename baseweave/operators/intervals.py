@@ -14,24 +14,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .running import next_of, running
+from .running import paired, running
 
 
-def proper(df: DataFrame) -> DataFrame:
-    return df.select("contig", "s", "e").filter("e > s")
+CONTIG = ("contig",)
 
 
-def tagged(*sets: DataFrame) -> DataFrame:
-    """(contig, s, e, tag): the intervals of all sets, tagged by the set's number."""
-    return reduce(DataFrame.unionByName, [proper(df).withColumn("tag", F.lit(k)) for k, df in enumerate(sets)])
+def proper(df: DataFrame, keys: tuple[str, ...] = CONTIG) -> DataFrame:
+    return df.select(*keys, "s", "e").filter("e > s")
 
 
-def _events(spans: DataFrame, n: int) -> DataFrame:
-    """(contig, x, d0, d1, ...): by how much the number of intervals of each tag changes at a position."""
+def tagged(*sets: DataFrame, keys: tuple[str, ...] = CONTIG) -> DataFrame:
+    """(keys, s, e, tag): the intervals of all sets, tagged by the set's number."""
+    return reduce(DataFrame.unionByName, [proper(df, keys).withColumn("tag", F.lit(k)) for k, df in enumerate(sets)])
+
+
+def _events(spans: DataFrame, n: int, keys: tuple[str, ...] = CONTIG) -> DataFrame:
+    """(keys, x, d0, d1, ...): by how much the number of intervals of each tag changes at a position."""
     sides = F.array(F.struct(F.col("s").alias("x"), F.lit(1).alias("d")), F.struct(F.col("e").alias("x"), F.lit(-1).alias("d")))
-    side = spans.filter("e > s").select("contig", "tag", F.explode(sides).alias("side"))
+    side = spans.filter("e > s").select(*keys, "tag", F.explode(sides).alias("side"))
     changes = [F.sum(F.when(F.col("tag") == k, F.col("side.d")).otherwise(0)).alias(f"d{k}") for k in range(n)]
-    return side.groupBy("contig", F.col("side.x").alias("x")).agg(*changes)
+    return side.groupBy(*keys, F.col("side.x").alias("x")).agg(*changes)
 
 
 def segments(*sets: DataFrame) -> DataFrame:
@@ -41,23 +44,23 @@ def segments(*sets: DataFrame) -> DataFrame:
     return swept.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
 
 
-def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int) -> DataFrame:
+def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int, keys: tuple[str, ...] = CONTIG) -> DataFrame:
     """Merged stretches where ``predicate`` of the numbers of covering intervals holds, one number for each of ``n`` tags.
 
     At each position the numbers before and after are known, so stretches begin
     and end where the predicate changes; each beginning is paired with the next
     end. The predicate is false where nothing covers.
     """
-    swept = running(_events(spans, n), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)})
+    swept = running(_events(spans, n, keys), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)}, keys=keys, bin_name="bin")
     after = predicate(*[F.col(f"n{k}") for k in range(n)])
     before = predicate(*[F.col(f"n{k}") - F.col(f"d{k}") for k in range(n)])
-    changes = swept.select("contig", "x", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
-    return next_of(changes, "x", "e").filter("begins").select("contig", F.col("x").alias("s"), "e")
+    changes = swept.select(*keys, "x", "bin", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
+    return paired(changes, "x", "begins", "e", "bin", keys).select(*keys, F.col("x").alias("s"), "e")
 
 
-def merge(intervals: DataFrame) -> DataFrame:
-    """Overlapping and adjacent intervals as one."""
-    return sweep(lambda n: n > 0, tagged(intervals), 1)
+def merge(intervals: DataFrame, keys: tuple[str, ...] = CONTIG) -> DataFrame:
+    """Overlapping and adjacent intervals of the same ``keys`` as one."""
+    return sweep(lambda n: n > 0, tagged(intervals, keys=keys), 1, keys)
 
 
 def without(spans: DataFrame) -> DataFrame:
@@ -124,17 +127,15 @@ def partition_check(lengths: DataFrame, **sets: DataFrame) -> DataFrame:
     return out.select("contig", covered.alias("covered_bp"), overlap.alias("overlap_bp"), "length", exact.alias("exact"))
 
 
-def points_within(points: DataFrame, intervals: DataFrame, pos: str = "pos") -> DataFrame:
-    """The rows of ``points`` (contig, 1-based ``pos``) that lie in an interval.
+def points_within(points: DataFrame, intervals: DataFrame, pos: str = "pos", keys: tuple[str, ...] = CONTIG) -> DataFrame:
+    """The rows of ``points`` (keys, 1-based ``pos``) that lie in an interval of the same ``keys``.
 
-    Merged intervals and points go along the contig together: a point is inside
-    if the last interval that starts at or before it ends after it.
+    Intervals and points go along the contig together: a point is inside if some
+    interval that starts at or before it ends after it.
     """
     cols = points.columns
     x = F.col(pos) - 1
-    marked = points.select("contig", F.struct(*cols).alias("row"), x.alias("x"), F.lit(None).cast("bigint").alias("end"), F.lit(1).alias("kind"))
-    spans = merge(intervals).select("contig", F.lit(None).cast(marked.schema["row"].dataType).alias("row"), F.col("s").alias("x"), F.col("e").alias("end"), F.lit(0).alias("kind"))
-    both = running(marked.unionByName(spans), "x", {"reach": ("max", F.col("end"))}, ties=("kind",))
+    marked = points.select(*keys, F.struct(*cols).alias("row"), x.alias("x"), F.lit(None).cast("bigint").alias("end"), F.lit(1).alias("kind"))
+    spans = proper(intervals, keys).select(*keys, F.lit(None).cast(marked.schema["row"].dataType).alias("row"), F.col("s").alias("x"), F.col("e").alias("end"), F.lit(0).alias("kind"))
+    both = running(marked.unionByName(spans), "x", {"reach": ("max", F.col("end"))}, ties=("kind",), keys=keys)
     return both.filter("kind = 1 and reach > x").select("row.*")
-
-
