@@ -13,10 +13,17 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
+
+from baseweave.functions import vcf
+from baseweave.sources.tables import as_records
+
+from .stored import stored
 
 SCHEMA = "file string, contig string, pos bigint, ref string, alt string, info string"
+BASES, PAIRED = "ACGTacgt", "TGCAtgca"
 
 
 def walk(reference: str, other: str, start: int) -> Iterator[tuple[int, str, str, str]]:
@@ -36,8 +43,17 @@ def walk(reference: str, other: str, start: int) -> Iterator[tuple[int, str, str
         before = r[-1] if r else before
 
 
+def _forward(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with the reference on its forward strand: where it is on the other one, all texts of the block are turned."""
+    turned = F.max(F.when((F.col("seq_idx") == 0) & (F.col("strand") == "-"), True)).over(Window.partitionBy("file", "block_id"))
+    other = F.reverse(F.translate("text", BASES, PAIRED))
+    start = F.when(turned & (F.col("seq_idx") == 0), F.col("src_size") - F.col("start") - F.col("size")).otherwise(F.col("start"))
+    return blocks.withColumns({"text": F.when(turned, other).otherwise(F.col("text")), "start": start})
+
+
 def maf_to_gvcf(blocks: DataFrame) -> DataFrame:
     """Records (file, contig, pos, ref, alt, info) of alignment blocks as ``sources.tables.parse_maf`` has them."""
+    blocks = _forward(blocks)
     first = blocks.filter("seq_idx = 0").select("file", "block_id", F.col("src").alias("contig"), F.col("start").alias("at"), F.col("text").alias("reference"))
     pairs = blocks.filter("seq_idx > 0").select("file", "block_id", "text").join(first, ["file", "block_id"])
     pairs = pairs.filter(F.length("text") == F.length("reference")).select("file", "contig", "at", "reference", "text")
@@ -52,6 +68,16 @@ def maf_to_gvcf(blocks: DataFrame) -> DataFrame:
     return pairs.mapInPandas(run, SCHEMA)
 
 
+def sample_records(blocks: DataFrame) -> DataFrame:
+    """The same as records of VCF_SCHEMA, one sample for each alignment file: ``0`` in blocks, ``1`` at variants.
+
+    ``file`` is the alignment's name without its endings, which is the sample's.
+    """
+    rows = maf_to_gvcf(blocks).withColumn("file", F.regexp_extract("file", r"([^/]+?)(?:\.maf)?(?:\.gz)?$", 1))
+    call = F.when(F.col("alt") == vcf.NON_REF, "0").otherwise("1")
+    return as_records(rows.withColumns({"format": F.lit("GT"), "samples": F.array(call)}))
+
+
 def trimmed(records: DataFrame) -> DataFrame:
     """Biallelic records without bases that REF and ALT share at the end, then at the beginning, one base kept."""
     both = F.least(F.length("ref"), F.length("alt")) - 1
@@ -88,26 +114,43 @@ def shifted(pos: int, ref: str, alt: str, before: str) -> tuple[int, str, str]:
 def left_aligned(records: DataFrame, reference: DataFrame, chunk: int = 10_000) -> DataFrame:
     """``records`` with indels shifted left against the reference and trimmed.
 
-    ``reference`` has (contig, start, sequence) in pieces of ``chunk`` bases. A
-    record is shifted within its piece and the one before; records with symbolic
-    alleles or several of them stay as they are.
+    ``reference`` has (contig, start, sequence) in pieces of ``chunk`` bases.
+    Records with symbolic alleles or several of them stay as they are. A round
+    shifts records within their piece and the one before; those that reached its
+    beginning go on in the next round, until none does.
     """
+    pieces = stored(reference.select("contig", (F.col("start") / chunk).cast("bigint").alias("piece"), "sequence"), "reference")
+    left, done = records, None
+    while True:
+        moved = stored(_shifted_once(left, pieces, chunk), "shifted")
+        settled = moved.filter("not __border").drop("__border")
+        done = settled if done is None else done.unionByName(settled)
+        left = moved.filter("__border").drop("__border")
+        if left.isEmpty():
+            return done
+
+
+def _shifted_once(records: DataFrame, pieces: DataFrame, chunk: int) -> DataFrame:
+    """One round, with ``__border`` for records that moved as far as the reference at hand went."""
     plain = F.col("ref").rlike("^[ACGTNacgtn]+$") & F.col("alt").rlike("^[ACGTNacgtn]+$") & F.col("pos").isNotNull()
-    pieces = reference.select("contig", (F.col("start") / chunk).cast("bigint").alias("piece"), "sequence")
     earlier = pieces.select("contig", (F.col("piece") + 1).alias("piece"), F.col("sequence").alias("earlier"))
     rows = records.withColumn("piece", F.floor((F.col("pos") - 1) / chunk).cast("bigint"))
     rows = rows.join(pieces, ["contig", "piece"], "left").join(earlier, ["contig", "piece"], "left")
     inside = F.substring("sequence", F.lit(1), ((F.col("pos") - 1) % chunk).cast("int"))
-    rows = rows.withColumn("before", F.when(plain, F.upper(F.concat(F.coalesce("earlier", F.lit("")), F.coalesce(inside, F.lit(""))))))
-    rows = rows.select(*records.columns, "before")
-    schema = records.schema
+    before = F.when(plain, F.upper(F.concat(F.coalesce("earlier", F.lit("")), F.coalesce(inside, F.lit("")))))
+    rows = rows.select(*records.columns, before.alias("before"))
+    schema = StructType([*records.schema.fields, StructField("__border", BooleanType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            border = []
             for k, before in batch["before"].items():
+                reached = False
                 if before is not None and before == before:
                     pos, ref, alt = (batch.at[k, c] for c in ("pos", "ref", "alt"))
                     batch.at[k, "pos"], batch.at[k, "ref"], batch.at[k, "alt"] = shifted(int(pos), ref.upper(), alt.upper(), before)
-            yield batch.drop(columns="before")
+                    reached = len(before) > 0 and int(pos) - int(batch.at[k, "pos"]) == len(before) and batch.at[k, "pos"] > 1
+                border.append(reached)
+            yield batch.drop(columns="before").assign(__border=border)
 
     return rows.mapInPandas(run, schema)

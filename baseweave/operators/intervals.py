@@ -37,11 +37,16 @@ def _events(spans: DataFrame, n: int, keys: tuple[str, ...] = CONTIG) -> DataFra
     return side.groupBy(*keys, F.col("side.x").alias("x")).agg(*changes)
 
 
+def swept(spans: DataFrame, n: int) -> DataFrame:
+    """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each tag cover them."""
+    names = [f"n{k}" for k in range(n)]
+    found = running(_events(spans, n), "x", {c: ("sum", F.col(f"d{k}")) for k, c in enumerate(names)}, following="e")
+    return found.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
+
+
 def segments(*sets: DataFrame) -> DataFrame:
-    """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each set cover them."""
-    names = [f"n{k}" for k in range(len(sets))]
-    swept = running(_events(tagged(*sets), len(sets)), "x", {n: ("sum", F.col(f"d{k}")) for k, n in enumerate(names)}, following="e")
-    return swept.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
+    """The same of sets, each with its own tag."""
+    return swept(tagged(*sets), len(sets))
 
 
 def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int, keys: tuple[str, ...] = CONTIG) -> DataFrame:
@@ -51,10 +56,10 @@ def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int, keys: tupl
     and end where the predicate changes; each beginning is paired with the next
     end. The predicate is false where nothing covers.
     """
-    swept = running(_events(spans, n, keys), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)}, keys=keys, bin_name="bin")
+    found = running(_events(spans, n, keys), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)}, keys=keys, bin_name="bin")
     after = predicate(*[F.col(f"n{k}") for k in range(n)])
     before = predicate(*[F.col(f"n{k}") - F.col(f"d{k}") for k in range(n)])
-    changes = swept.select(*keys, "x", "bin", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
+    changes = found.select(*keys, "x", "bin", after.alias("begins"), before.alias("holds")).filter("begins <> holds")
     return paired(changes, "x", "begins", "e", "bin", keys).select(*keys, F.col("x").alias("s"), "e")
 
 

@@ -43,5 +43,6 @@ def target_contig(filtered: DataFrame, invariant: DataFrame, clean: DataFrame, m
     for other in (invariant, clean, missing):
         if found:
             break
-        found = [r["contig"] for r in other.select("contig").limit(1).collect()]
+        first = F.min_by("contig", "ordinal") if "ordinal" in other.columns else F.min("contig")
+        found = [r["contig"] for r in other.agg(first.alias("contig")).collect() if r["contig"] is not None]
     return found[0] if found else None

@@ -4,17 +4,21 @@ Samples come as records with ``file`` naming the sample. Where any sample has a
 variant there is one row: the longest reference text, all called alleles in
 order with the symbol for any other one last, and each sample's call: its own
 genotype, ``0`` where one of its reference blocks covers the position, else
-``.``. Stretches of reference blocks keep the number of samples that cover them.
+``.``. Between these loci, stretches of reference blocks are blocks again.
+
+One sweep along the contigs tells at every stretch and locus which samples'
+blocks are over it; samples and loci are never paired before that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baseweave.functions import vcf
+from baseweave.sources.tables import as_records
 
-from .intervals import points_within, segments
+from .intervals import segments, swept
 from .mask import mask_spans
 
 
@@ -26,27 +30,93 @@ def reference_blocks(records: DataFrame) -> DataFrame:
     return records.filter(vcf.extract_end(F.col("info")).isNotNull() | vcf.is_invariant(F.col("alt")))
 
 
-def _by_sample(df: DataFrame) -> DataFrame:
-    """Contigs as keys of their own in each sample."""
-    return df.withColumn("contig", F.to_json(F.struct("file", "contig")))
+def sample_names(records: DataFrame) -> list[str]:
+    """Samples in order. Every merged row has a call for each, so the list fits wherever a row does."""
+    return sorted(r["file"] for r in records.select("file").distinct().collect())
+
+
+def _covered(records: DataFrame, loci: DataFrame, names: list[str]) -> DataFrame:
+    """(contig, s, e, covers, locus): stretches, whether each sample has a block there, and whether it is a locus."""
+    blocks = reference_blocks(records).filter("pos is not null")
+    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
+    tag = (F.array_position(F.array(*map(F.lit, names)), F.col("file")) - 1).cast("int")
+    spans = blocks.select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.alias("tag"))
+    spans = spans.unionByName(loci.select("contig", (F.col("pos") - 1).alias("s"), F.col("pos").alias("e"), F.lit(len(names)).alias("tag")))
+    found = swept(spans, len(names) + 1)
+    covers = F.array(*[F.col(f"n{k}") > 0 for k in range(len(names))])
+    return found.select("contig", "s", "e", covers.alias("covers"), (F.col(f"n{len(names)}") > 0).alias("locus"))
+
+
+def _calls(own: Column, names: list[str]) -> list[Column]:
+    """The call of each sample from its own genotypes (a map) and the blocks over the locus."""
+    covered = [F.when(F.get("covers", F.lit(k)), "0").otherwise(".") for k in range(len(names))]
+    return [F.coalesce(F.element_at(own, F.lit(n)), c) for n, c in zip(names, covered, strict=True)]
 
 
 def merge_samples(records: DataFrame) -> DataFrame:
-    """(contig, pos, ref, alt, calls): calls by sample."""
-    called = variants(records).select("file", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt"))
-    longest = F.max(F.struct(F.length("ref").alias("n"), "ref"))["ref"]
-    alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_set(vcf.called_alleles(F.col("alt"))))))
-    loci = called.groupBy("contig", "pos").agg(longest.alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"))
-    own = called.groupBy("contig", "pos", "file").agg(F.min("gt").alias("gt"))
-    asked = loci.select("contig", "pos").crossJoin(records.select("file").distinct())
-    blocks = _by_sample(reference_blocks(records))
-    spans = mask_spans(blocks)
-    covered = points_within(_by_sample(asked), spans).select(F.from_json("contig", "file string, contig string").alias("k"), "pos")
-    covered = covered.select("k.file", "k.contig", "pos", F.lit("0").alias("block"))
-    calls = asked.join(own, ["contig", "pos", "file"], "left").join(covered, ["contig", "pos", "file"], "left")
-    call = F.struct("file", F.coalesce("gt", "block", F.lit(".")).alias("gt"))
-    calls = calls.groupBy("contig", "pos").agg(F.map_from_entries(F.sort_array(F.collect_list(call))).alias("calls"))
-    return loci.join(calls, ["contig", "pos"])
+    """(contig, pos, ref, alt, calls): each sample's own genotype as it stands, by sample."""
+    names = sample_names(records)
+    called = variants(records).select("file", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt")).repartition("contig", "pos")
+    one = called.groupBy("contig", "pos", "file").agg(F.min("gt").alias("gt"), F.max(F.struct(F.length("ref").alias("n"), "ref")).alias("longest"), F.flatten(F.collect_set(vcf.called_alleles(F.col("alt")))).alias("alleles"))
+    alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_list("alleles"))))
+    known = F.map_from_entries(F.filter(F.collect_list(F.struct("file", "gt")), lambda c: c["gt"].isNotNull()))
+    loci = one.groupBy("contig", "pos").agg(F.max("longest")["ref"].alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), known.alias("own"))
+    over = _covered(records, loci, names).filter("locus").select("contig", (F.col("s") + 1).alias("pos"), "covers")
+    both = loci.join(over, ["contig", "pos"])
+    entries = [F.struct(F.lit(n).alias("file"), c.alias("gt")) for n, c in zip(names, _calls(F.col("own"), names), strict=True)]
+    calls = F.map_from_entries(F.array(*entries)) if names else F.create_map().cast("map<string,string>")
+    return both.select("contig", "pos", "ref", "alt", calls.alias("calls"))
+
+
+def _longer(allele: Column, ref: Column, longest: Column) -> Column:
+    """An allele of ``ref`` as one of the locus's longest reference; symbols stay."""
+    return F.when(allele.rlike("^[ACGTNacgtn]+$"), F.concat(allele, F.substr(longest, F.length(ref) + 1))).otherwise(allele)
+
+
+def _renumbered(gt: Column, own: Column, every: Column) -> Column:
+    """A genotype by the locus's alleles instead of the sample's own; an allele that is not called there is ``.``."""
+    number = lambda t: F.array_position(every, F.get(own, t.try_cast("int") - 1)).cast("string")
+    parts = F.transform(F.split(gt, "(?<=[/|])|(?=[/|])"), lambda t: F.when(t.rlike("^[1-9][0-9]*$"), F.coalesce(number(t), F.lit("."))).otherwise(t))
+    return F.array_join(parts, "")
+
+
+def merged_records(records: DataFrame, file: str = "merged") -> DataFrame:
+    """One gVCF of all samples, as records like any others: loci with variants, and blocks with END between them.
+
+    Alleles are those of the longest reference of a locus, and genotypes are
+    numbered by them. Samples stand in the order of their names. A block is one
+    stretch over which the same samples have blocks; its base is not known here
+    and is ``N``. Of several variant records of a sample at one position the
+    first by reference, alternatives and genotype gives the call.
+    """
+    names = sample_names(records)
+    gt = vcf.genotype(F.element_at("samples", 1)).alias("gt")
+    called = variants(records).select("file", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt).repartition("contig", "pos")
+    one = called.groupBy("contig", "pos", "file").agg(F.min(F.struct("ref", "alleles", "gt")).alias("call"), F.collect_set(F.struct("ref", "alleles")).alias("seen"))
+    loci = one.groupBy("contig", "pos").agg(
+        F.flatten(F.collect_list("seen")).alias("seen"),
+        F.collect_list(F.struct("file", "call")).alias("each"),
+    )
+    longest = F.array_max(F.transform("seen", lambda r: F.struct(F.length(r["ref"]).alias("n"), r["ref"].alias("ref"))))["ref"]
+    loci = loci.select("contig", "pos", longest.alias("ref"), "seen", "each")
+    every = F.flatten(F.transform("seen", lambda r: F.transform(r["alleles"], lambda a: _longer(a, r["ref"], F.col("ref")))))
+    loci = loci.withColumn("every", F.sort_array(F.array_distinct(every)))
+    own = lambda c: F.transform(c["alleles"], lambda a: _longer(a, c["ref"], F.col("ref")))
+    loci = loci.withColumn("own", F.map_from_entries(F.transform("each", lambda s: F.struct(s["file"], _renumbered(s["call"]["gt"], own(s["call"]), F.col("every"))))))
+    over = _covered(records, loci, names)
+    at = over.filter("locus").select("contig", (F.col("s") + 1).alias("pos"), "covers")
+    alt = F.array_join(F.concat("every", F.array(F.lit(vcf.NON_REF))), ",")
+    with_calls = loci.join(at, ["contig", "pos"]).select("contig", "pos", "ref", alt.alias("alt"), F.lit(".").alias("info"), F.array(*_calls(F.col("own"), names)).alias("samples"))
+    blocks = over.filter("not locus and exists(covers, c -> c)")
+    blocks = blocks.select(
+        "contig",
+        (F.col("s") + 1).alias("pos"),
+        F.lit("N").alias("ref"),
+        F.lit(vcf.NON_REF).alias("alt"),
+        F.concat(F.lit("END="), F.col("e").cast("string")).alias("info"),
+        F.transform("covers", lambda c: F.when(c, "0").otherwise(".")).alias("samples"),
+    )
+    return as_records(with_calls.unionByName(blocks).withColumns({"file": F.lit(file), "format": F.lit("GT")}))
 
 
 def joint_blocks(records: DataFrame) -> DataFrame:

@@ -32,6 +32,23 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_vcf(read_lines(spark, paths))
 
 
+def as_records(rows: DataFrame) -> DataFrame:
+    """Records of VCF_SCHEMA of rows (file, contig, pos, ref, alt, info, format, samples), in the order of their positions."""
+    dot = F.lit(".")
+    fixed = [F.col("contig"), F.col("pos").cast("string"), dot, F.col("ref"), F.col("alt"), dot, dot, F.col("info"), F.col("format")]
+    cols = F.concat(F.array(*fixed), "samples")
+    rows = rows.withColumns({"cols": cols, "n_cols": F.size(cols), "line": F.array_join(cols, "\t")})
+    ordinal = F.struct(F.col("pos").alias("part"), F.lit(0).cast("bigint").alias("row"))
+    names = ("file", "ordinal", "line", "cols", "n_cols", "contig", "pos", "ref", "alt", "info", "format", "samples")
+    return rows.withColumn("ordinal", ordinal).select(*names)
+
+
+def sample_columns(header: DataFrame) -> DataFrame:
+    """(file, nth, sample): the samples that each file's column names tell, in their order."""
+    named = header.filter(F.col("line").startswith("#CHROM")).select("file", F.slice(F.split("line", "\t"), 10, 1 << 30).alias("names"))
+    return named.select("file", F.posexplode("names").alias("nth", "sample"))
+
+
 def with_positions(records: DataFrame) -> DataFrame:
     """Records of two columns or more with a position; an absent reference counts as ``N``, absent INFO as ``.``."""
     usable = records.filter("n_cols >= 2 and pos is not null")
