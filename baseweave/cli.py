@@ -1,28 +1,47 @@
-"""Commands: ``python -m baseweave.cli split-and-mask | drop-indels | align``."""
+"""Commands: ``python -m baseweave.cli split-and-mask | drop-indels | align | merge-and-mask``."""
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from baseweave.operators import alignment, indels
+from baseweave.operators import alignment, coverage, indels
 from baseweave.plans import workflow
 from baseweave.sources import paths, sinks, tables
 
 
+def _config(args: argparse.Namespace) -> workflow.Config:
+    given = workflow.Config.read(args.config) if args.config else workflow.Config()
+    return replace(given, filter_multiallelic=given.filter_multiallelic or args.filter_multiallelic, contigs=tuple(args.contig) or given.contigs)
+
+
+def _shown(found: workflow.Outcome) -> None:
+    """The coverage of the first contigs; all are in the output folder."""
+    for r in coverage.report_lines(found.coverage).orderBy("contig", "nth").limit(7 * coverage.SHOWN).collect():
+        print(r["line"])
+    for warning in found.warnings:
+        print(f"WARNING: {warning}")
+
+
 def _split_and_mask(spark: SparkSession, args: argparse.Namespace) -> None:
-    config = workflow.Config(filter_multiallelic=args.filter_multiallelic, contigs=tuple(args.contig))
-    found = workflow.run(spark, paths.find_records(args.prefix, paths.SPLIT_ENDINGS), args.fai, args.out, config, args.dropped_bed)
-    for checked in found.coverage:
-        print("\n".join(checked.lines()))
+    _shown(workflow.run(spark, paths.find_records(args.prefix, paths.SPLIT_ENDINGS), args.fai, args.out, _config(args), args.dropped_bed))
+
+
+def _merge_and_mask(spark: SparkSession, args: argparse.Namespace) -> None:
+    config = _config(args)
+    files = [paths.alignment_of(args.folder, s) for s in paths.discover_samples(args.folder, config.samples)]
+    merged, ploidies, how = workflow.merge_alignments(spark, files)
+    facts = {"Ploidy": [f"{'set to ' + str(config.ploidy) if config.ploidy else how}", *[f"{f}: {n}" for f, n in sorted(ploidies.items())]]}
+    _shown(workflow.run(spark, merged, args.fai, args.out, config, args.dropped_bed, facts=facts))
 
 
 def _drop_indels(spark: SparkSession, args: argparse.Namespace) -> None:
     records = tables.with_positions(tables.read_vcf(spark, paths.records_in(args.folder)))
     kept, dropped = workflow.clean_samples(records, args.cutoff)
-    header = [r["line"] for r in tables.read_header(spark, paths.records_in(args.folder)).select("line").distinct().collect()]
+    header = tables.header_lines(tables.read_header(spark, paths.records_in(args.folder)))
     sinks.write_records(kept, f"{args.out}/records", sinks.ordered_header(header, []), compress=True)
     sinks.write_bed(dropped, f"{args.out}/dropped_indels.bed")
     indels.drop_counts(records, args.cutoff).show(truncate=False)
@@ -37,14 +56,19 @@ def _align(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="baseweave")
     commands = parser.add_subparsers(dest="command", required=True)
-    split = commands.add_parser("split-and-mask", help="route records, find gaps, make and prove the mask")
-    split.add_argument("prefix")
-    split.add_argument("--fai", required=True)
-    split.add_argument("--out", required=True)
-    split.add_argument("--dropped-bed")
-    split.add_argument("--contig", action="append", default=[])
-    split.add_argument("--filter-multiallelic", action="store_true")
-    split.set_defaults(run=_split_and_mask)
+    for name, about, source, act in (
+        ("split-and-mask", "route records, find gaps, make and prove the mask", "prefix", _split_and_mask),
+        ("merge-and-mask", "the same from a folder of alignments, whose samples are merged first", "folder", _merge_and_mask),
+    ):
+        split = commands.add_parser(name, help=about)
+        split.add_argument(source)
+        split.add_argument("--fai", required=True)
+        split.add_argument("--out", required=True)
+        split.add_argument("--config")
+        split.add_argument("--dropped-bed")
+        split.add_argument("--contig", action="append", default=[])
+        split.add_argument("--filter-multiallelic", action="store_true")
+        split.set_defaults(run=act)
     drop = commands.add_parser("drop-indels", help="remove sites of very large indels from each sample")
     drop.add_argument("folder")
     drop.add_argument("--cutoff", type=int, default=indels.DEFAULT_CUTOFF)

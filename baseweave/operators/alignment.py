@@ -23,6 +23,8 @@ from baseweave.sources.tables import as_records
 from .stored import stored
 
 SCHEMA = "file string, contig string, pos bigint, ref string, alt string, info string"
+#: Records handed on at once.
+RECORDS = 50_000
 BASES, PAIRED = "ACGTacgt", "TGCAtgca"
 
 
@@ -58,12 +60,18 @@ def maf_to_gvcf(blocks: DataFrame) -> DataFrame:
     pairs = blocks.filter("seq_idx > 0").select("file", "block_id", "text").join(first, ["file", "block_id"])
     pairs = pairs.filter(F.length("text") == F.length("reference")).select("file", "contig", "at", "reference", "text")
 
+    names = ["file", "contig", "pos", "ref", "alt", "info"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = []
             for row in batch.itertuples(index=False):
-                found = list(walk(row.reference, row.text, row.at))
-                out = pd.DataFrame(found, columns=["pos", "ref", "alt", "info"])
-                yield out.assign(file=row.file, contig=row.contig)[["file", "contig", "pos", "ref", "alt", "info"]]
+                for record in walk(row.reference, row.text, row.at):
+                    found.append((row.file, row.contig, *record))
+                    if len(found) >= RECORDS:
+                        yield pd.DataFrame(found, columns=names)
+                        found = []
+            yield pd.DataFrame(found, columns=names)
 
     return pairs.mapInPandas(run, SCHEMA)
 
@@ -143,14 +151,14 @@ def _shifted_once(records: DataFrame, pieces: DataFrame, chunk: int) -> DataFram
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            border = []
-            for k, before in batch["before"].items():
-                reached = False
-                if before is not None and before == before:
-                    pos, ref, alt = (batch.at[k, c] for c in ("pos", "ref", "alt"))
-                    batch.at[k, "pos"], batch.at[k, "ref"], batch.at[k, "alt"] = shifted(int(pos), ref.upper(), alt.upper(), before)
-                    reached = len(before) > 0 and int(pos) - int(batch.at[k, "pos"]) == len(before) and batch.at[k, "pos"] > 1
-                border.append(reached)
-            yield batch.drop(columns="before").assign(__border=border)
+            found = []
+            for pos, ref, alt, before in zip(batch["pos"], batch["ref"], batch["alt"], batch["before"], strict=True):
+                if before is None or before != before:
+                    found.append((pos, ref, alt, False))
+                    continue
+                at, ref, alt = shifted(int(pos), ref.upper(), alt.upper(), before)
+                found.append((at, ref, alt, 0 < len(before) == pos - at and at > 1))
+            moved = pd.DataFrame(found, columns=["pos", "ref", "alt", "__border"], index=batch.index)
+            yield batch.drop(columns="before").assign(**{c: moved[c] for c in moved})
 
     return rows.mapInPandas(run, schema)

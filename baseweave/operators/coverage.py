@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import intersect, length, merge, overlap_bp, union
+from .intervals import intersect, length, merge, overlap_bp, segments, union
+from .stored import stored
 
 #: Intervals shown for each pair of sets that overlap.
 SHOWN = 20
+EMPTY = "no clean, invariant or masked positions"
 
 
 class CoverageError(ValueError):
@@ -52,6 +54,38 @@ def _shown(**sets: DataFrame) -> list[str]:
     return out
 
 
+def coverage_by_contig(lengths: DataFrame, clean: DataFrame, invariant: DataFrame, mask: DataFrame) -> DataFrame:
+    """(contig, clean_bp, inv_bp, filtered_bed_bp, total_bp, overlap_bp, chrom_len) of all contigs, by one sweep.
+
+    ``clean`` and ``invariant`` are records, ``mask`` intervals; contigs without
+    any of these have zeros.
+    """
+    parts = segments(positions(clean), positions(invariant), mask.select("contig", "s", "e"))
+    size = F.col("e") - F.col("s")
+    over = sum(((F.col(f"n{k}") > 0).cast("int") for k in range(3)), F.lit(0))
+    held = {"clean_bp": F.col("n0") > 0, "inv_bp": F.col("n1") > 0, "filtered_bed_bp": F.col("n2") > 0, "total_bp": over > 0, "overlap_bp": over > 1}
+    sums = parts.groupBy("contig").agg(*[F.sum(F.when(c, size).otherwise(0)).cast("bigint").alias(n) for n, c in held.items()])
+    counted = lengths.join(sums, "contig", "left")
+    return counted.select("contig", *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in held], F.col("length").alias("chrom_len"))
+
+
+def report_lines(figures: DataFrame) -> DataFrame:
+    """(contig, nth, line): the report's ``key=value`` lines of each contig."""
+    names = {"chrom": "contig", "clean_bp": "clean_bp", "inv_bp": "inv_bp", "filtered_bed_bp": "filtered_bed_bp", "total_bp": "total_bp", "chrom_len": "chrom_len"}
+    lines = [F.concat(F.lit(f"{k}="), F.col(c).cast("string")) for k, c in names.items()]
+    warning = F.when(F.col("total_bp") == 0, F.array(F.lit(f"warning={EMPTY}"))).otherwise(F.array().cast("array<string>"))
+    return figures.select("contig", F.posexplode(F.concat(F.array(*lines), warning)).alias("nth", "line"))
+
+
+def check_all(lengths: DataFrame, clean: DataFrame, invariant: DataFrame, mask: DataFrame) -> DataFrame:
+    """``coverage_by_contig``; raises CoverageError if some contig with any positions is no exact partition."""
+    figures = stored(coverage_by_contig(lengths, clean, invariant, mask), "coverage")
+    wrong = figures.filter("overlap_bp > 0 or (total_bp > 0 and total_bp <> chrom_len)")
+    if found := wrong.orderBy("contig").limit(SHOWN).collect():
+        raise CoverageError("\n".join(f"{r['contig']}: {r['total_bp']} of {r['chrom_len']} positions, sets overlap at {r['overlap_bp']}" for r in found))
+    return figures
+
+
 def check_coverage(contig: str, lengths: DataFrame, clean: DataFrame, invariant: DataFrame, mask: DataFrame) -> Coverage:
     """Figures of ``contig``; raises CoverageError if the three sets are no exact partition.
 
@@ -67,7 +101,7 @@ def check_coverage(contig: str, lengths: DataFrame, clean: DataFrame, invariant:
     total = length(union(*sets.values())).agg(F.sum("bp")).first()[0] or 0
     found = Coverage(contig, bp["clean"], bp["inv"], bp["mask"], total, row["n"])
     if not any(bp.values()):
-        found.warning = "no clean, invariant or masked positions"
+        found.warning = EMPTY
         return found
     if not overlap_bp(**sets).isEmpty():
         found.overlaps = _shown(**sets)

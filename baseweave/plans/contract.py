@@ -6,13 +6,16 @@ The driver's tables hold no genomic records, so sites are derived from
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baseweave.functions import names, vcf
-from baseweave.operators import accessibility, alignment, classify, contigs, gaps, indels, intervals, mask, ploidy, samples, windows
+from baseweave.operators import accessibility, alignment, classify, contigs, coverage, gaps, indels, intervals, mask, ploidy, samples, windows
+from baseweave.operators.stored import shared_dir
+from baseweave.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER = ("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_returnflag")
@@ -395,7 +398,7 @@ def singer_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("l_linenumber", "fmt", "reformat").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH b AS (SELECT concat('f', o_custkey % 10) AS file, o_orderkey AS block_id, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey < 10000 GROUP BY ALL)
+@query("""WITH b AS (SELECT concat('f', o_custkey % 10) AS file, o_orderkey AS block_id, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)
           SELECT file, CAST(greatest(max(n) - 1, 1) AS BIGINT) AS ploidy FROM b GROUP BY file""")
 def ploidy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, line = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
@@ -403,12 +406,119 @@ def ploidy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ploidy.file_ploidy(joined.select(F.concat(F.lit("f"), (F.col("o_custkey") % 10).cast("string")).alias("file"), F.col("o_orderkey").alias("block_id")))
 
 
-@query("SELECT doc_id, n_chars FROM documents WHERE regexp_matches(text, 'WARNING|Warning')")
+_LOGGED = "CASE WHEN l_quantity > 45 THEN 'WARNING: depth ' WHEN l_quantity > 40 THEN 'Warning, depth ' WHEN l_quantity > 35 THEN 'warning ' ELSE 'depth ' END || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)"
+
+
+@query(f"WITH t AS (SELECT l_orderkey, l_linenumber, {_LOGGED} AS line FROM lineitem) SELECT * FROM t WHERE contains(line, 'WARNING') OR contains(line, 'Warning')")
 def warn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from baseweave.sources.tables import warning_lines
+    quantity = F.col("l_quantity")
+    said = F.when(quantity > 45, "WARNING: depth ").when(quantity > 40, "Warning, depth ").when(quantity > 35, "warning ").otherwise("depth ")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.concat(said, quantity.cast("bigint").cast("string")).alias("line"))
+    return tables.warning_lines(lines)
+
+
+def _text(lines: DataFrame, name: str) -> str:
+    """A folder of the lines as text, in the folder that all executors share."""
+    path = f"{shared_dir(lines.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    lines.select("line").write.text(path)
+    return path
+
+
+@query(f"WITH {SITES} SELECT contig, pos, ref, alt, info, gt, CAST(count(*) AS BIGINT) AS n FROM sites GROUP BY ALL")
+def vcf_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written by the package's writer, header and all, and read again."""
+    path = f"{shared_dir(spark)}/vcf-{uuid.uuid4().hex}"
+    header = ["##fileformat=VCFv4.2", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "x"])]
+    sinks.write_records(tables.as_records(sites(spark, sf_dir)), path, header, compress=True)
+    read = tables.read_vcf(spark, path)
+    return read.groupBy("contig", "pos", "ref", "alt", "info", F.element_at("samples", 1).alias("gt")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {SITES}, {LENGTHS} SELECT contig, length FROM lengths ORDER BY contig")
+def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs and lengths that a header declares."""
+    declared = F.concat(F.lit("##contig=<ID="), "contig", F.lit(",length="), F.col("length").cast("string"), F.lit(",md5=0>"))
+    path = _text(_lengths(spark, sf_dir).select(declared.alias("line")), "header")
+    return tables.header_contigs(tables.read_header(spark, path)).select("contig", "length").distinct()
+
+
+@query(f"WITH {SITES}, {FLAGS}, {CLASSES}, {SPANS}, {_merged('m', 'SELECT * FROM spans_inv')} SELECT * FROM m")
+def bed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals written by the package's writer and read again."""
+    path = f"{shared_dir(spark)}/bed-{uuid.uuid4().hex}"
+    sinks.write_bed(intervals.merge(mask.mask_spans(_of(spark, sf_dir, "inv"))), path)
+    return tables.read_bed(spark, path)
+
+
+@query(f"WITH {SITES}, {LENGTHS} SELECT contig, length FROM lengths")
+def fai_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index with malformed lines."""
+    good = F.concat_ws("\t", "contig", F.col("length").cast("string"), F.lit("0"), F.lit("60"), F.lit("61"))
+    bad = F.concat("contig", F.lit("\tlong"))
+    path = _text(_lengths(spark, sf_dir).select(F.explode(F.array(good, bad, F.lit(""))).alias("line")), "fai")
+    return tables.read_fai(spark, path)
+
+
+_BLOCKS = """b AS (SELECT l_orderkey * 8 AS o, concat('chr', l_linenumber) AS contig, 'ACGTACGTAC' AS r,
+                     CASE CAST(l_partkey % 4 AS INT) WHEN 0 THEN 'ACGTACGTAC' WHEN 1 THEN 'ACTTACGTAC' WHEN 2 THEN 'ACG--CGTAC' ELSE 'TCGTACGTAA' END AS t, l_partkey % 4 AS k FROM lineitem)"""
+
+
+@query(f"""WITH {_BLOCKS},
+          e AS (SELECT contig, unnest(CASE k WHEN 0 THEN [{{'p': o + 1, 'r': 'A', 'a': '<NON_REF>', 'i': concat('END=', o + 10)}}]
+                       WHEN 1 THEN [{{'p': o + 1, 'r': 'A', 'a': '<NON_REF>', 'i': concat('END=', o + 2)}}, {{'p': o + 3, 'r': 'G', 'a': 'T,<NON_REF>', 'i': '.'}}, {{'p': o + 4, 'r': 'T', 'a': '<NON_REF>', 'i': concat('END=', o + 10)}}]
+                       WHEN 2 THEN [{{'p': o + 1, 'r': 'A', 'a': '<NON_REF>', 'i': concat('END=', o + 3)}}, {{'p': o + 3, 'r': 'GTA', 'a': 'G,<NON_REF>', 'i': '.'}}, {{'p': o + 6, 'r': 'C', 'a': '<NON_REF>', 'i': concat('END=', o + 10)}}]
+                       ELSE [{{'p': o + 1, 'r': 'A', 'a': 'T,<NON_REF>', 'i': '.'}}, {{'p': o + 2, 'r': 'C', 'a': '<NON_REF>', 'i': concat('END=', o + 9)}}, {{'p': o + 10, 'r': 'C', 'a': 'A,<NON_REF>', 'i': '.'}}] END) AS x FROM b)
+          SELECT contig, CAST(x.p AS BIGINT) AS pos, x.r AS ref, x.a AS alt, x.i AS info, CASE WHEN x.i = '.' THEN '1' ELSE '0' END AS gt, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL""")
+def maf_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment text, one block for each row, read and walked into records with calls."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    text = F.element_at(F.array(*[F.lit(t) for t in ("ACGTACGTAC", "ACTTACGTAC", "ACG--CGTAC", "TCGTACGTAA")]), (F.col("l_partkey") % 4 + 1).cast("int"))
+    at, contig = (F.col("l_orderkey") * 8).cast("string"), F.concat(F.lit("chr"), F.col("l_linenumber").cast("string"))
+    reference = F.concat_ws(" ", F.lit("s"), contig, at, F.lit("10 + 99999999 ACGTACGTAC"))
+    own = F.concat_ws(" ", F.lit("s x.1 0"), F.length(F.replace(text, F.lit("-"), F.lit(""))).cast("string"), F.lit("+ 99999999"), text)
+    # A block's lines stay together as one value with line breaks.
+    path = _text(line.select(F.concat_ws("\n", F.lit("a score=1"), reference, own, F.lit("")).alias("line")), "maf")
+    found = alignment.sample_records(tables.read_maf(spark, path))
+    return found.groupBy("contig", "pos", "ref", "alt", "info", F.element_at("samples", 1).alias("gt")).agg(F.count(F.lit(1)).alias("n"))
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("text", "line")
-    return warning_lines(docs).select("doc_id", "n_chars")
+
+@query(f"""WITH {SITES}, f AS (SELECT *, concat('s', l_suppkey % 3) AS file, fin IS NULL AND alt NOT IN ('.', '<NON_REF>') AS v FROM sites),
+          l AS (SELECT contig, pos, max(length(ref)) AS longest FROM f WHERE v GROUP BY ALL),
+          a AS (SELECT l.contig, l.pos, x.a, x.ref, longest FROM l JOIN (SELECT contig, pos, ref, unnest(string_split(alt, ',')) AS a FROM f WHERE v) x ON x.contig = l.contig AND x.pos = l.pos WHERE x.a <> '<NON_REF>'),
+          n AS (SELECT contig, pos, count(DISTINCT CASE WHEN regexp_matches(a, '^[ACGT]+$') THEN a || repeat('A', longest - length(ref)) ELSE a END) AS k FROM a GROUP BY ALL),
+          c AS (SELECT DISTINCT file, contig, unnest(generate_series(pos, coalesce(fin, pos - 1 + length(ref)))) AS p FROM f WHERE NOT v),
+          m AS (SELECT contig, p, count(*) AS k FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.contig = c.contig AND l.pos = c.p) GROUP BY ALL)
+          SELECT contig, 'variant' AS kind, CAST(k AS BIGINT) AS k, CAST(count(*) AS BIGINT) AS bp FROM n GROUP BY ALL
+          UNION ALL SELECT contig, 'block', CAST(k AS BIGINT), CAST(count(*) AS BIGINT) FROM m GROUP BY ALL""")
+def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged gVCF of all samples: loci by their number of alleles, positions of blocks by the samples that have them."""
+    merged = samples.merged_records(sites(spark, sf_dir))
+    block = vcf.extract_end(F.col("info")).isNotNull()
+    called = F.size(F.filter("samples", lambda s: s == "0"))
+    k = F.when(block, called).otherwise(F.size(vcf.called_alleles(F.col("alt")))).cast("bigint")
+    bp = F.when(block, vcf.extract_end(F.col("info")) - F.col("pos") + 1).otherwise(1)
+    kinds = merged.select("contig", F.when(block, "block").otherwise("variant").alias("kind"), k.alias("k"), bp.alias("bp"))
+    return kinds.groupBy("contig", "kind", "k").agg(F.sum("bp").cast("bigint").alias("bp"))
+
+
+@query(f"""WITH {SITES}, {LENGTHS}, c AS (SELECT DISTINCT contig, pos FROM sites) SELECT lengths.contig, count(*) AS clean_bp, CAST(0 AS BIGINT) AS inv_bp, length - count(*) AS filtered_bed_bp,
+          length AS total_bp, CAST(0 AS BIGINT) AS overlap_bp, length AS chrom_len FROM lengths JOIN c ON c.contig = lengths.contig GROUP BY lengths.contig, length""")
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of all contigs where every site counts as clean and the mask is the rest."""
+    every, lengths = sites(spark, sf_dir), _lengths(spark, sf_dir)
+    rest = intervals.complement(coverage.positions(every), lengths)
+    return coverage.check_all(lengths, every, every.limit(0), rest)
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, CAST(l_orderkey % 300 + 2 AS BIGINT) AS pos, l_partkey % 3 + 1 AS k FROM lineitem)
+          SELECT l_orderkey, l_linenumber, CAST(1 AS BIGINT) AS pos, 'G' || repeat('A', k) AS ref, 'G' AS alt FROM r""")
+def left_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions within a repeat that is many reference pieces long; all of them go to its beginning."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    pos, k = (F.col("l_orderkey") % 300 + 2).cast("bigint"), (F.col("l_partkey") % 3 + 1).cast("int")
+    rows = line.select("l_orderkey", "l_linenumber", F.lit("c").alias("contig"), pos.alias("pos"), F.repeat(F.lit("A"), k + 1).alias("ref"), F.lit("A").alias("alt"))
+    pieces = spark.range(10).select(F.lit("c").alias("contig"), (F.col("id") * 32).alias("start"), F.when(F.col("id") == 0, F.concat(F.lit("G"), F.repeat(F.lit("A"), F.lit(31)))).otherwise(F.repeat(F.lit("A"), F.lit(32))).alias("sequence"))
+    return alignment.left_aligned(rows, pieces, 32).drop("contig")
 
 
 @query("""WITH t AS (SELECT l_orderkey, l_linenumber, repeat('A', l_partkey % 4 + 1) || 'C' AS ref, repeat('A', l_suppkey % 3 + 1) || 'C' AS alt FROM lineitem),
@@ -421,7 +531,7 @@ def trim_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.trimmed(rows)
 
 
-@query(f"""WITH {SITES}, d AS (SELECT DISTINCT concat('s', l_suppkey % 3) AS base, contig FROM sites WHERE l_quantity > 49 AND l_orderkey % 50 = 0),
+@query(f"""WITH {SITES}, d AS (SELECT DISTINCT concat('s', l_suppkey % 3) AS base, contig FROM sites),
        b AS (SELECT DISTINCT concat('s', l_suppkey % 3) AS base FROM sites), c AS (SELECT DISTINCT contig FROM sites)
        SELECT b.base, c.contig, CASE WHEN d.base IS NULL THEN 'missing' ELSE 'present' END AS status FROM b CROSS JOIN c LEFT JOIN d ON d.base = b.base AND d.contig = c.contig""")
 def sample_presence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baseweave.operators import accessibility, classify, contigs, coverage, gaps, indels, mask, windows
+from baseweave.operators import accessibility, alignment, classify, contigs, coverage, gaps, indels, mask, ploidy, samples, windows
 from baseweave.operators.intervals import merge
+from baseweave.operators.stored import stored
 from baseweave.sources import sinks, tables
+from baseweave.sources.text import read_lines
+
+
+#: Contigs that the report has plots of.
+PLOTTED = 50
 
 
 @dataclass(frozen=True)
@@ -33,6 +40,19 @@ class Config:
             given[name] = int(given.get(name, getattr(cls, name)))
         return cls(**given)
 
+    @classmethod
+    def read(cls, path: str) -> Config:
+        """From a settings file, JSON or YAML; settings of other tools are left out."""
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+        if path.endswith(".json"):
+            settings = json.loads(text)
+        else:
+            import yaml  # only for such files
+
+            settings = yaml.safe_load(text)
+        return cls.of({k: v for k, v in (settings or {}).items() if k in cls.__dataclass_fields__})
+
 
 @dataclass
 class Split:
@@ -47,12 +67,17 @@ class Split:
 
 
 def split(records: DataFrame, lengths: DataFrame | None = None, filter_multiallelic: bool = False) -> Split:
-    """Route records and find gaps. Invariant blocks stay unexpanded; see ``classify.expanded_positions``."""
+    """Route records and find gaps. Invariant blocks stay unexpanded; see ``classify.expanded_positions``.
+
+    Records are classified once and stored. The first clean record of each file
+    decides whether that file's clean records lose the symbol for other alleles.
+    """
     usable = records.filter("n_cols >= 2")
-    classified = classify.classify(records, filter_multiallelic=filter_multiallelic)
+    classified = stored(classify.classify(records, filter_multiallelic=filter_multiallelic), "classified")
     of = {c: classified.filter(F.col("class") == c) for c in (classify.INVARIANT, classify.FILTERED, classify.CLEAN)}
     missing = merge(gaps.missing(gaps.record_spans(tables.with_positions(usable)), lengths))
-    return Split(of["inv"], of["filtered"], classify.reformatted(classified), missing, classify.class_counts(classified), classified)
+    clean = classify.reformatted(classified, order=("ordinal",), by=("file",))
+    return Split(of["inv"], of["filtered"], clean, missing, classify.class_counts(classified), classified)
 
 
 def mask_of(parts: Split, dropped: DataFrame) -> DataFrame:
@@ -75,48 +100,88 @@ def clean_samples(records: DataFrame, cutoff: int) -> tuple[DataFrame, DataFrame
     return indels.drop_sites(records, large), indels.dropped_intervals(large)
 
 
+def merge_alignments(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, dict[str, int], str]:
+    """Merged records of alignment files, the ploidy of each file, and where the ploidy of all is from."""
+    blocks = stored(tables.read_maf(spark, paths), "alignments")
+    ploidies = ploidy.file_ploidy(blocks.select("file", "block_id"))
+    _, how = ploidy.resolve_ploidy(ploidies)
+    return samples.merged_records(alignment.sample_records(blocks)), {r["file"]: r["ploidy"] for r in ploidies.collect()}, how
+
+
+def chosen_contigs(records: DataFrame, lengths: DataFrame, wanted: tuple[str, ...]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Records and lengths of the wanted contigs (all, if none is named) under the records' names, and warnings.
+
+    Wanted names and those of the index are looked for among the records' contigs
+    as they are, else by their normal form.
+    """
+    spark, warnings = records.sparkSession, []
+    present = stored(records.select("contig").distinct(), "contigs")
+    # Of the index's names those that only differ in form take the records' name.
+    known = contigs.resolve_contigs(lengths.select("contig", F.col("contig").alias("ordinal")), present)
+    lengths = lengths.join(known.select("contig", "resolved"), "contig", "left").select(F.coalesce("resolved", "contig").alias("contig"), "length")
+    if not wanted:
+        return records, lengths, warnings
+    asked = spark.createDataFrame(list(zip(wanted, range(len(wanted)), strict=True)), "contig string, ordinal long")
+    available = present.unionByName(lengths.select("contig")).distinct()
+    found = contigs.resolve_contigs(asked, available).orderBy("ordinal").collect()
+    warnings += [f"contig {r['contig']} was asked for and is nowhere" for r in found if r["how"] == "skipped"]
+    warnings += [f"contig {r['contig']} is {r['resolved']} here" for r in found if r["how"] == "remapped"]
+    names = spark.createDataFrame([(r["resolved"],) for r in found if r["resolved"]], "contig string")
+    return records.join(F.broadcast(names), "contig", "left_semi"), lengths.join(F.broadcast(names), "contig", "left_semi"), warnings
+
+
+def plots_of(points: DataFrame, lengths: DataFrame, title: str, width: int) -> list[str]:
+    """Plots of densities of the ``PLOTTED`` longest contigs; what comes to the driver are their windows of ``width`` positions."""
+    longest = lengths.orderBy(F.desc("length"), "contig").limit(PLOTTED)
+    binned = windows.with_empty_windows(windows.bin_points(points, width), longest, "n", width)
+    of: dict[str, list[tuple[float, float]]] = {}
+    for r in binned.orderBy("contig", "bin").select("contig", "mid", "n").collect():
+        of.setdefault(r["contig"], []).append((r["mid"], r["n"]))
+    return [sinks.scatter_svg(f"{title} {c}", found) for c, found in of.items()]
+
+
 @dataclass
 class Outcome:
-    """What a run found; the report's text is made of it."""
+    """What a run found; the report's text is made of it. ``coverage`` has a row of figures for each contig."""
 
     counts: dict[str, int]
-    coverage: list[coverage.Coverage]
+    coverage: DataFrame
     warnings: list[str] = field(default_factory=list)
 
 
-def run(spark: SparkSession, vcf: str | list[str], fai: str, folder: str, config: Config = Config(), dropped_bed: str | None = None) -> Outcome:
-    """Split, mask, check and report the records of ``vcf``; results go to ``folder``."""
-    lengths = tables.read_fai(spark, fai)
-    if config.contigs:
-        lengths = lengths.filter(F.col("contig").isin(*config.contigs))
-    records = tables.read_vcf(spark, vcf)
-    if config.contigs:
-        records = records.filter(F.col("contig").isin(*config.contigs))
-    header = [r["line"] for r in tables.read_header(spark, vcf).orderBy("file", "ordinal").select("line").distinct().collect()]
+def run(spark: SparkSession, vcf: str | list[str] | DataFrame, fai: str, folder: str, config: Config = Config(), dropped_bed: str | None = None, logs: str | list[str] | None = None, facts: dict[str, list[str]] | None = None) -> Outcome:
+    """Split, mask, check and report records (files, or records themselves); results go to ``folder``.
+
+    Every step works on all contigs at once, so the number of jobs does not
+    depend on how many there are. ``facts`` are further sections of the report.
+    """
+    lengths = stored(tables.read_fai(spark, fai), "lengths")
+    given = isinstance(vcf, DataFrame)
+    records = stored(vcf if given else tables.read_vcf(spark, vcf), "records")
+    records, lengths, warnings = chosen_contigs(records, lengths, config.contigs)
+    header = ["##fileformat=VCFv4.2"] if given else tables.header_lines(tables.read_header(spark, vcf))
     dropped = tables.read_bed(spark, dropped_bed) if dropped_bed else None
     parts, masked = split_and_mask(records, lengths, dropped, config)
-    added = sinks.provenance("baseweave", "split_and_mask", [f"{folder}/{c}" for c in ("inv", "filtered", "clean")])
-    lines = sinks.ordered_header(header, added)
-    sinks.write_records(classify.expanded_positions(parts.invariant), f"{folder}/inv", lines)
-    sinks.write_records(parts.filtered, f"{folder}/filtered", lines)
-    sinks.write_records(parts.clean, f"{folder}/clean", lines)
-    sinks.write_bed(parts.missing, f"{folder}/missing.bed")
-    sinks.write_bed(masked, f"{folder}/filtered.bed")
-    inv, clean = tables.read_vcf(spark, f"{folder}/inv"), tables.read_vcf(spark, f"{folder}/clean")
-    bed = tables.read_bed(spark, f"{folder}/filtered.bed")
-    # A few contigs, each with its own verdict: a bounded loop over names, not over data.
-    names = [r["contig"] for r in lengths.select("contig").orderBy("contig").collect()]
-    checked = [coverage.check_coverage(c, lengths, clean, inv, bed) for c in names]
+    outputs = {c: f"{folder}/{c}" for c in ("inv", "filtered", "clean", "missing.bed", "filtered.bed", "coverage.txt", "summary.html")}
+    lines = sinks.ordered_header(header, sinks.provenance("baseweave", "split_and_mask", list(outputs.values())))
+    sinks.write_records(classify.expanded_positions(parts.invariant), outputs["inv"], lines)
+    sinks.write_records(parts.filtered, outputs["filtered"], lines)
+    sinks.write_records(parts.clean, outputs["clean"], lines)
+    sinks.write_bed(parts.missing, outputs["missing.bed"])
+    sinks.write_bed(masked, outputs["filtered.bed"])
+    inv, clean = tables.read_vcf(spark, outputs["inv"]), tables.read_vcf(spark, outputs["clean"])
+    figures = coverage.check_all(lengths, clean, inv, tables.read_bed(spark, outputs["filtered.bed"]))
+    sinks.write_lines(coverage.report_lines(figures), outputs["coverage.txt"], "contig", "nth")
     sites = accessibility.accessible_positions(clean, inv, lengths)
     sinks.write_masks(accessibility.accessible_runs(sites), lengths, f"{folder}/accessible").collect()
-    warnings = [f"{c.chrom}: {c.warning}" for c in checked if c.warning]
-    warnings += [f"only in {r['side']} side: {r['contig']}" for r in contigs.contig_differences(records.select("contig"), lengths).limit(10).collect()]
+    warnings += [f"{r['contig']}: {coverage.EMPTY}" for r in figures.filter("total_bp = 0").orderBy("contig").limit(coverage.SHOWN).collect()]
+    warnings += [f"only in {r['side']} side: {r['contig']}" for r in contigs.contig_differences(records.select("contig"), lengths).orderBy("side", "contig").limit(10).collect()]
     counts = {r["class"]: r["bp"] for r in parts.counts.groupBy("class").agg(F.sum("bp").alias("bp")).collect()}
-    plots = []
-    for title, points in (("invariant", inv), ("clean", clean)):
-        binned = windows.with_empty_windows(windows.bin_points(points, config.window), lengths, "n", config.window)
-        rows = binned.orderBy("contig", "bin").select("contig", "mid", "n").collect()
-        plots += [sinks.scatter_svg(f"{title} {c}", [(r["mid"], r["n"]) for r in rows if r["contig"] == c]) for c in names]
-    page = sinks.report_html("Site classes", {k: str(v) for k, v in counts.items()}, warnings, plots)
-    spark.createDataFrame([(page,)], "html string").coalesce(1).write.mode("overwrite").text(f"{folder}/summary.html")
-    return Outcome(counts, checked, warnings)
+    sections = {"Outputs": list(outputs.values()), **(facts or {})}
+    if logs:
+        found = tables.warning_lines(read_lines(spark, logs)).orderBy("file", "ordinal").limit(coverage.SHOWN)
+        sections["Log warnings"] = [r["line"] for r in found.collect()]
+    plots = [p for title, points in (("invariant", inv), ("clean", clean)) for p in plots_of(points, lengths, title, config.window)]
+    page = sinks.report_html("Site classes", {k: str(v) for k, v in counts.items()}, warnings, plots, sections)
+    spark.createDataFrame([(page,)], "html string").coalesce(1).write.mode("overwrite").text(outputs["summary.html"])
+    return Outcome(counts, figures, warnings)

@@ -47,12 +47,23 @@ def record_lines(records: DataFrame) -> DataFrame:
     return records.withColumn("line", F.when(F.col("n_cols") > 4, F.array_join(cols, "\t")).otherwise(F.col("line")))
 
 
-def write_records(records: DataFrame, path: str, header: list[str], compress: bool = False) -> None:
-    """A folder of text parts, ordered by contig, position and order in the source; the header in ``_header``."""
-    ordered = record_lines(records).repartitionByRange("contig", "pos").sortWithinPartitions("contig", "pos", "ordinal")
+def write_records(records: DataFrame, path: str, header: list[str], compress: bool = False, order: tuple[str, ...] = ("contig", "pos", "ordinal")) -> None:
+    """A folder of text parts that follow each other: the header, then records by contig, position and order in the source.
+
+    The parts in the order of their names are one valid file, plain or gzip.
+    """
+    rows = record_lines(records).select("line", "contig", "pos", F.struct(*order).alias("nth"), F.lit(1).alias("kind"), F.lit(0).alias("k"))
+    lines = records.sparkSession.createDataFrame(list(enumerate(header)), "k int, line string")
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema if f.name in ("contig", "pos", "nth")}
+    lines = lines.withColumns(absent | {"kind": F.lit(0)}).select(*rows.columns)
+    ordered = rows.unionByName(lines).repartitionByRange("kind", "contig", "pos").sortWithinPartitions("kind", "k", "contig", "pos", "nth")
     writer = ordered.select("line").write.mode("overwrite")
     (writer.option("compression", "gzip") if compress else writer).text(path)
-    records.sparkSession.createDataFrame([("\n".join(header),)], "line string").coalesce(1).write.mode("overwrite").text(f"{path}.header")
+
+
+def write_lines(rows: DataFrame, path: str, *order: str) -> None:
+    """A folder of text parts of ``line``, in order."""
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
 def write_bed(intervals: DataFrame, path: str) -> None:
@@ -128,8 +139,13 @@ def scatter_svg(title: str, points: list[tuple[float, float]], width: int = 900,
     return f'<svg width="{width}" height="{height}" font-size="10"><text x="{left}" y="16">{html.escape(title)}</text>{marks}{axis}</svg>'
 
 
-def report_html(title: str, facts: dict[str, str], warnings: list[str], plots: list[str]) -> str:
-    """A page of facts, warnings and plots; facts and warnings are escaped."""
+def report_html(title: str, facts: dict[str, str], warnings: list[str], plots: list[str], sections: dict[str, list[str]] | None = None) -> str:
+    """A page of facts, warnings, further sections of lines, and plots; all text is escaped."""
     rows = "".join(f"<tr><th>{html.escape(k)}</th><td>{html.escape(v)}</td></tr>" for k, v in facts.items())
-    notes = "".join(f"<li>{html.escape(w)}</li>" for w in warnings) or "<li>none</li>"
-    return f"<!doctype html><html><head><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table>{rows}</table><h2>Warnings</h2><ul>{notes}</ul>{''.join(plots)}</body></html>"
+    lists = "".join(_section(name, lines) for name, lines in {"Warnings": warnings, **(sections or {})}.items())
+    return f"<!doctype html><html><head><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table>{rows}</table>{lists}{''.join(plots)}</body></html>"
+
+
+def _section(name: str, lines: list[str]) -> str:
+    notes = "".join(f"<li>{html.escape(x)}</li>" for x in lines) or "<li>none</li>"
+    return f"<h2>{html.escape(name)}</h2><ul>{notes}</ul>"

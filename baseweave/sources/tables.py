@@ -60,6 +60,12 @@ def read_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return read_lines(spark, paths).filter(F.col("line").startswith("#"))
 
 
+def header_lines(header: DataFrame) -> list[str]:
+    """Distinct header lines in the order in which they first come."""
+    first = header.groupBy("line").agg(F.min(F.struct("file", "ordinal")).alias("at"))
+    return [r["line"] for r in first.orderBy("at").select("line").collect()]
+
+
 def header_contigs(header: DataFrame) -> DataFrame:
     """(file, contig, length) that a gVCF's header declares."""
     declared = header.filter(F.col("line").startswith("##contig=<ID="))
