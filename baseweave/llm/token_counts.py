@@ -6,14 +6,15 @@ that border and a text's count is the sum over its pre-tokens.
 
 1. Texts become frequencies of pre-tokens. Those of neighbouring documents are
    packed into one row, a chunk, which numbers its distinct pre-tokens.
-2. The pre-tokens of all chunks are made distinct, and each one's pieces are
-   counted once.
-3. These counts are joined to the chunks' pre-tokens by text, and what a chunk
-   so knows to its frequencies by chunk, where they are multiplied and summed.
+2. The pre-tokens of all chunks are dealt out and sorted by their text. So equal
+   ones follow each other, and each distinct pre-token's pieces are counted once
+   for all chunks that have it: a merge join of the counts with its uses.
+3. What a chunk so knows is joined to its frequencies by the chunk's number, where
+   they are multiplied and summed.
 
 A chunk sends each of its pre-tokens once, however often its documents have it,
-so the first join moves a small share of the input, and no pre-token has more
-rows than there are chunks. The second join has one row on each side.
+and no pre-token has more rows than there are chunks. The second join has one row
+on each side.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from .common import written
 #: The character by which the vocabulary's library writes a space; in a text it is treated alike.
 META_SPACE = "▁"
 _BORDER = re.compile(r"(?<=[^ ]) ")
-#: ``tokens`` and ``times`` are whole numbers of as many bytes as they need, ``sizes`` says how many of them each document has.
+#: ``tokens`` and ``times`` are whole numbers (``_narrow``), ``sizes`` says how many of them each document has.
 CHUNKS = "chunk long, doc_ids array<long>, n_bytes array<long>, sizes array<int>, tokens binary, times binary, vocabulary array<string>"
 
 
@@ -48,13 +49,18 @@ def pre_tokens(text: str) -> list[str]:
 
 
 def _narrow(values: array) -> bytes:
-    """Whole numbers in the fewest of 1, 2 or 4 bytes that hold the largest."""
+    """Whole numbers in one byte each if all of them fit, else their low and then their high halves, which compress better apart."""
     found = np.frombuffer(values, np.uint32)
-    return found.astype(np.min_scalar_type(int(found.max(initial=0)))).tobytes()
+    if found.max(initial=0) < 256:
+        return found.astype(np.uint8).tobytes()
+    return found.astype(np.uint16).tobytes() + (found >> np.uint32(16)).astype(np.uint16).tobytes()
 
 
 def _wide(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // max(1, n) or 1}").astype(np.int64)
+    if len(raw) == n:
+        return np.frombuffer(raw, np.uint8).astype(np.int64)
+    low, high = np.frombuffer(raw, np.uint16).reshape(2, n).astype(np.int64)
+    return low + (high << 16)
 
 
 def _chunked(chunk_bytes: int):
@@ -86,8 +92,8 @@ def _chunked(chunk_bytes: int):
     return run
 
 
-def _pieces(model_path: str | None):
-    """The number of pieces of each distinct pre-token."""
+def _pieces(model_path: str | None, at_once: int = 100_000):
+    """The number of pieces of each pre-token (chunk, place, token), packed by chunk; equal tokens come one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sentencepiece import SentencePieceProcessor
@@ -98,23 +104,48 @@ def _pieces(model_path: str | None):
 
             path = public_tokenizers.path("piece_bpe_32k.model")
         encode = SentencePieceProcessor(model_file=path).encode
+        last: dict[str, int] = {}
+
+        def counted(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            tokens = table["token"].combine_chunks().dictionary_encode()
+            distinct = tokens.dictionary.to_pylist()
+            new = [t for t in distinct if t not in last]
+            known = last | dict(zip(new, map(len, encode(new, num_threads=1)), strict=True)) | {"": 1}  # a space at the end is a piece of its own
+            last.clear()
+            last[distinct[-1]] = known[distinct[-1]]
+            pieces = np.array([known[t] for t in distinct], np.int32)[np.array(tokens.indices)]
+            chunk, place = table["chunk"].to_numpy(), table["place"].to_numpy().astype(np.int32)
+            order = np.argsort(chunk, kind="stable")
+            chunks, begin = np.unique(chunk[order], return_index=True)
+            cuts = list(zip(begin, np.append(begin[1:], len(order)), strict=True))
+            columns = [[x[order[a:b]].tobytes() for a, b in cuts] for x in (place, pieces)]
+            return pa.RecordBatch.from_arrays([pa.array(chunks), *(pa.array(c, pa.binary()) for c in columns)], ["chunk", "places", "pieces"])
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            tokens = batch.column(0).to_pylist()
-            # A space at the end is a piece of its own.
-            counts = [n if t else 1 for t, n in zip(tokens, map(len, encode(tokens, num_threads=1)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32())], ["token", "pieces"])
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= at_once:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
 
     return run
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, n_bytes, sizes, tokens, times, pieces = (batch.column(k) for k in range(6))
+        ids, n_bytes, sizes, tokens, times, known = (batch.column(k) for k in range(6))
         for k in range(batch.num_rows):
             size = np.array(sizes[k].values, np.int64)
             n = int(size.sum())
-            known = np.array(pieces[k].values, np.int64) if pieces[k].is_valid else np.zeros(0, np.int64)
-            each = known[_wide(tokens[k].as_py(), n)] * _wide(times[k].as_py(), n)
+            parts = known[k].as_py() or []
+            places, counts = (np.frombuffer(b"".join(p[c] for p in parts), np.int32) for c in ("places", "pieces"))
+            pieces = np.zeros(len(places), np.int64)
+            pieces[places] = counts
+            each = pieces[_wide(tokens[k].as_py(), n)] * _wide(times[k].as_py(), n)
             total, ends = np.concatenate([[0], np.cumsum(each)]), np.cumsum(size)
             columns = [ids[k].values, n_bytes[k].values, pa.array(total[ends] - total[ends - size])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
@@ -126,7 +157,7 @@ def count_tokens(
     limit: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chunk_bytes: int = 8 << 20,
+    chunk_bytes: int = 64 << 20,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
@@ -140,9 +171,8 @@ def count_tokens(
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     chunks = written(source.mapInArrow(_chunked(chunk_bytes), CHUNKS), "token-chunks")
-    used = chunks.select("chunk", F.posexplode("vocabulary").alias("place", "token"))
-    pieces = used.select("token").distinct().mapInArrow(_pieces(model_path), "token string, pieces int")
-    known = used.join(pieces, "token").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "pieces"))).alias("known"))
-    known = known.select("chunk", F.col("known.pieces").alias("pieces"))
-    both = chunks.join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "pieces")
+    used = chunks.select("chunk", F.posexplode("vocabulary").alias("place", "token")).repartition("token").sortWithinPartitions("token")
+    counted = used.mapInArrow(_pieces(model_path), "chunk long, places binary, pieces binary")
+    known = counted.groupBy("chunk").agg(F.collect_list(F.struct("places", "pieces")).alias("known"))
+    both = chunks.join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "known")
     return both.mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
