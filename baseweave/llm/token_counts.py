@@ -5,21 +5,23 @@ of the vocabulary joins a non-space to a later space, so merges never cross
 that border and a text's count is the sum over its pre-tokens.
 
 1. Texts become frequencies of pre-tokens. Those of neighbouring documents are
-   packed into one row, a chunk, which numbers its distinct pre-tokens.
-2. The pre-tokens of all chunks are dealt out and sorted by their text. So equal
-   ones follow each other, and each distinct pre-token's pieces are counted once
-   for all chunks that have it: a merge join of the counts with its uses.
+   packed into one row, a chunk, which numbers its distinct pre-tokens by buckets
+   (a hash of their text) and sends each bucket's pre-tokens as one row.
+2. Equal pre-tokens meet in their bucket. There the distinct ones are counted once
+   each, and the counts joined to the rows of all chunks that have them.
 3. What a chunk so knows is joined to its frequencies by the chunk's number, where
    they are multiplied and summed.
 
-A chunk sends each of its pre-tokens once, however often its documents have it,
-and no pre-token has more rows than there are chunks. The second join has one row
-on each side.
+A chunk sends each of its pre-tokens once, however often its documents have it.
+The number of buckets grows with the input, so that a bucket fits a task; and no
+pre-token has more entries in its bucket than there are chunks.
 """
 
 from __future__ import annotations
 
 import re
+import struct
+import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -35,8 +37,12 @@ from .common import written
 #: The character by which the vocabulary's library writes a space; in a text it is treated alike.
 META_SPACE = "▁"
 _BORDER = re.compile(r"(?<=[^ ]) ")
-#: ``tokens`` and ``times`` are whole numbers (``_narrow``), ``sizes`` says how many of them each document has.
-CHUNKS = "chunk long, doc_ids array<long>, n_bytes array<long>, sizes array<int>, tokens binary, times binary, vocabulary array<string>"
+#: A chunk's frequencies (bucket -1) or its pre-tokens of one bucket. ``tokens``, ``times`` and ``lengths`` are whole numbers
+#: (``_packed``); ``sizes`` says how many entries each document has.
+CHUNKS = "chunk long, bucket int, doc_ids array<long>, n_bytes array<long>, sizes array<int>, tokens binary, times binary, words binary, lengths binary"
+_KINDS = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 4]
+#: Bytes of text for each bucket, a few hundred thousand pre-tokens of all chunks at most.
+BUCKET_BYTES = 16 << 20
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -48,54 +54,70 @@ def pre_tokens(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _narrow(values: array) -> bytes:
-    """Whole numbers in one byte each if all of them fit, else their low and then their high halves, which compress better apart."""
-    found = np.frombuffer(values, np.uint32)
-    if found.max(initial=0) < 256:
-        return found.astype(np.uint8).tobytes()
-    return found.astype(np.uint16).tobytes() + (found >> np.uint32(16)).astype(np.uint16).tobytes()
-
-
-def _wide(raw: bytes, n: int) -> np.ndarray:
-    if len(raw) == n:
-        return np.frombuffer(raw, np.uint8).astype(np.int64)
-    low, high = np.frombuffer(raw, np.uint16).reshape(2, n).astype(np.int64)
-    return low + (high << 16)
-
-
-def _chunked(chunk_bytes: int):
-    """Documents' frequencies of pre-tokens, packed for about ``chunk_bytes`` of text."""
-
-    def packed(rows: list[tuple], tokens: array, times: array, local: dict[str, int], number: int) -> pa.RecordBatch:
-        ids, n_bytes, sizes = (list(c) for c in zip(*rows, strict=True))
-        one = [[number], [ids], [n_bytes], [sizes], [_narrow(tokens)], [_narrow(times)], [list(local)]]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.string())]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)], [c.split()[0] for c in CHUNKS.split(", ")])
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers below 2 ** 32 as compressed planes: all lowest bytes, then all second bytes and so on."""
+    planes = [zlib.compress(p.tobytes(), 1) for p in values.astype("<u4").view(np.uint8).reshape(-1, 4).T]
+    return struct.pack("<4I", *map(len, planes)) + b"".join(planes)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    ends = np.cumsum(struct.unpack("<4I", raw[:16])) + 16
+    planes = [np.frombuffer(zlib.decompress(raw[a:b]), np.uint8) for a, b in zip([16, *ends[:-1]], ends, strict=True)]
+    return np.ascontiguousarray(np.stack(planes, 1)).view("<u4").ravel().astype(np.int64)
+
+
+def _chunked(chunk_bytes: int, buckets: int):
+    """Documents' frequencies of pre-tokens, packed for about ``chunk_bytes`` of text, and the pre-tokens by bucket."""
+
+    def rows_of(number: int, docs: list[tuple], tokens: array, times: array, local: dict[str, int]) -> pa.RecordBatch:
+        words = [t.encode() for t in local]
+        bucket = np.array([zlib.crc32(w) % buckets for w in words], np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        ids, n_bytes, sizes = (list(c) for c in zip(*docs, strict=True))
+        own, often, at = place[np.frombuffer(tokens, np.uint32)], np.frombuffer(times, np.uint32).copy(), 0
+        for n in sizes:  # in order within a document, as differences, which are small
+            sort = np.argsort(own[at : at + n])
+            own[at : at + n], often[at : at + n] = np.diff(own[at : at + n][sort], prepend=0), often[at : at + n][sort]
+            at += n
+        rows = [(number, -1, ids, n_bytes, sizes, _packed(own), _packed(often), None, None)]
+        length = np.array([len(w) for w in words], np.int64)[order]
+        every, begin = np.unique(bucket[order], return_index=True)
+        for b, a, z in zip(every.tolist(), begin, np.append(begin[1:], len(order)), strict=True):
+            rows.append((number, b, None, None, None, None, None, b"".join([words[k] for k in order[a:z]]), _packed(length[a:z])))
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in CHUNKS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        rows, tokens, times, local, held = [], array("I"), array("I"), {}, 0
+        docs, tokens, times, local, held = [], array("I"), array("I"), {}, 0
         for batch in batches:
             for doc_id, n_bytes, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 found = Counter(pre_tokens(text)) if text else {}
                 tokens.extend([local.setdefault(p, len(local)) for p in found])
                 times.extend(found.values())
-                rows.append((doc_id, n_bytes, len(found)))
+                docs.append((doc_id, n_bytes, len(found)))
                 held += n_bytes + 64
                 if held >= chunk_bytes:
-                    yield packed(rows, tokens, times, local, number)
+                    yield rows_of(number, docs, tokens, times, local)
                     number += 1
-                    rows, tokens, times, local, held = [], array("I"), array("I"), {}, 0
-        if rows:
-            yield packed(rows, tokens, times, local, number)
+                    docs, tokens, times, local, held = [], array("I"), array("I"), {}, 0
+        if docs:
+            yield rows_of(number, docs, tokens, times, local)
 
     return run
 
 
-def _pieces(model_path: str | None, at_once: int = 100_000):
-    """The number of pieces of each pre-token (chunk, place, token), packed by chunk; equal tokens come one after the other."""
+def _strings(words: bytes, lengths: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(words)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pieces(model_path: str | None):
+    """The number of pieces of a bucket's pre-tokens, each distinct one counted once, for every chunk that has them."""
+
+    def run(rows: pa.Table) -> pa.Table:
         from sentencepiece import SentencePieceProcessor
 
         path = model_path
@@ -103,51 +125,38 @@ def _pieces(model_path: str | None, at_once: int = 100_000):
             import public_tokenizers
 
             path = public_tokenizers.path("piece_bpe_32k.model")
-        encode = SentencePieceProcessor(model_file=path).encode
-        last: dict[str, int] = {}
-
-        def counted(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
-            tokens = table["token"].combine_chunks().dictionary_encode()
-            distinct = tokens.dictionary.to_pylist()
-            new = [t for t in distinct if t not in last]
-            known = last | dict(zip(new, map(len, encode(new, num_threads=1)), strict=True)) | {"": 1}  # a space at the end is a piece of its own
-            last.clear()
-            last[distinct[-1]] = known[distinct[-1]]
-            pieces = np.array([known[t] for t in distinct], np.int32)[np.array(tokens.indices)]
-            chunk, place = table["chunk"].to_numpy(), table["place"].to_numpy().astype(np.int32)
-            order = np.argsort(chunk, kind="stable")
-            chunks, begin = np.unique(chunk[order], return_index=True)
-            cuts = list(zip(begin, np.append(begin[1:], len(order)), strict=True))
-            columns = [[x[order[a:b]].tobytes() for a, b in cuts] for x in (place, pieces)]
-            return pa.RecordBatch.from_arrays([pa.array(chunks), *(pa.array(c, pa.binary()) for c in columns)], ["chunk", "places", "pieces"])
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-            if sum(b.num_rows for b in held) >= at_once:
-                yield counted(held)
-                held = []
-        if held:
-            yield counted(held)
+        if path not in _MODELS:
+            _MODELS[path] = SentencePieceProcessor(model_file=path)
+        lengths = [_unpacked(x) for x in rows["lengths"].to_pylist()]
+        every = pa.concat_arrays([_strings(w, n) for w, n in zip(rows["words"].to_pylist(), lengths, strict=True)]).dictionary_encode()
+        distinct = every.dictionary.to_pylist()
+        counts = [n if t else 1 for t, n in zip(distinct, map(len, _MODELS[path].encode(distinct, num_threads=1)), strict=True)]  # a space at the end is a piece of its own
+        pieces = np.array(counts, np.int64)[np.array(every.indices)]
+        cuts = np.cumsum([len(n) for n in lengths])[:-1]
+        packed = pa.array([_packed(p) for p in np.split(pieces, cuts)], pa.binary())
+        return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "pieces": packed})
 
     return run
 
 
+#: Models that a worker has read, by path.
+_MODELS: dict = {}
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, n_bytes, sizes, tokens, times, known = (batch.column(k) for k in range(6))
         for k in range(batch.num_rows):
             size = np.array(sizes[k].values, np.int64)
-            n = int(size.sum())
-            parts = known[k].as_py() or []
-            places, counts = (np.frombuffer(b"".join(p[c] for p in parts), np.int32) for c in ("places", "pieces"))
-            pieces = np.zeros(len(places), np.int64)
-            pieces[places] = counts
-            each = pieces[_wide(tokens[k].as_py(), n)] * _wide(times[k].as_py(), n)
-            total, ends = np.concatenate([[0], np.cumsum(each)]), np.cumsum(size)
-            columns = [ids[k].values, n_bytes[k].values, pa.array(total[ends] - total[ends - size])]
+            parts = sorted(known[k].as_py() or [], key=lambda p: p["bucket"])
+            pieces = np.concatenate([np.zeros(0, np.int64), *[_unpacked(p["pieces"]) for p in parts]])
+            ends = np.cumsum(size)
+            begins = ends - size
+            # From differences within each document back to places.
+            running = np.concatenate([[0], np.cumsum(_unpacked(tokens[k].as_py()))])
+            place = running[1:] - np.repeat(running[begins], size)
+            total = np.concatenate([[0], np.cumsum(pieces[place] * _unpacked(times[k].as_py()))])
+            columns = [ids[k].values, n_bytes[k].values, pa.array(total[ends] - total[begins])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 
 
@@ -170,9 +179,11 @@ def count_tokens(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    chunks = written(source.mapInArrow(_chunked(chunk_bytes), CHUNKS), "token-chunks")
-    used = chunks.select("chunk", F.posexplode("vocabulary").alias("place", "token")).repartition("token").sortWithinPartitions("token")
-    counted = used.mapInArrow(_pieces(model_path), "chunk long, places binary, pieces binary")
-    known = counted.groupBy("chunk").agg(F.collect_list(F.struct("places", "pieces")).alias("known"))
-    both = chunks.join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "known")
+    n_bytes = source.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(16, -(-n_bytes // BUCKET_BYTES))
+    chunks = written(source.mapInArrow(_chunked(chunk_bytes, buckets), CHUNKS), "token-chunks")
+    words = chunks.filter("bucket >= 0").select("chunk", "bucket", "words", "lengths")
+    counted = words.groupBy("bucket").applyInArrow(_pieces(model_path), "chunk long, bucket int, pieces binary")
+    known = counted.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "pieces")).alias("known"))
+    both = chunks.filter("bucket < 0").join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "known")
     return both.mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
