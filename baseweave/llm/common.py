@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where it is unset one of our own, on a local master only."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="baseweave-checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
