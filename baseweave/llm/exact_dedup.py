@@ -4,18 +4,24 @@ Texts are equal when they are identical after white space is deleted. Groups
 are combined three times, each time by digest and full content: within the
 partition that read the rows (Spark's partial aggregate), within a salt of the
 digest, and over the salts. A group that holds a third of all rows so arrives
-as one row per map task and salt, and finally as one row per salt.
+as one row per map task and salt, and finally as one row per salt. Rows then
+meet the group's winner by digest and, where a group is hot, by a salt too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import without_space, written
 
+#: A group of one in so many rows, or larger, is dealt over salts where its rows meet their winner.
+SHARES = 1000
+#: Copies of one row that are made from one array.
+BLOCK = 1 << 16
+
 
 def _sha256(content: Column) -> Column:
     return F.sha2(content, 256)
@@ -60,15 +66,35 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, salts: int = 16, digest
     # The content itself is compared above; it is not needed again unless two contents share a digest.
     winners = written(groups.select("digest", *of_group), "exact-winners", compact=True)
     clash = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
+    hot = _hot(winners)
     keys = ["digest"]
     if not clash.isEmpty():
         keys, winners = ["digest", "content"], groups.select("digest", "content", *of_group)
-    # Repeats of one row are numbered first: what follows the join needs no group's rows together, so Spark may split a hot one.
-    same = Window.partitionBy("doc_id", "points", *keys).orderBy("doc_id")
-    rows = base.select("doc_id", "points", *keys).withColumn("nth", F.row_number().over(same))
+    # Equal rows meet their winner as one row with a count.
+    rows = base.groupBy("doc_id", "points", *keys).agg(F.count(F.lit(1)).alias("copies"))
+    # Rows of a hot digest are dealt over its salts, and its winner goes to each of them.
+    rows = rows.join(F.broadcast(hot), "digest", "left")
+    rows = rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "points"), F.col("parts")), F.lit(0)).cast("int"))
+    winners = winners.join(F.broadcast(hot), "digest", "left")
+    winners = winners.withColumn("part", F.explode(F.sequence(F.lit(0), (F.coalesce("parts", F.lit(1)) - 1).cast("int"))))
+    met = rows.drop("parts").join(winners.drop("parts"), [*keys, "part"])
     best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
-    kept, again = (best & (F.col("nth") == 1)).alias("kept"), (best & (F.col("nth") > 1)).alias("again")
-    return rows.join(winners, keys).select("doc_id", "keep_id", "group_size", kept, F.col("digest").alias("text_sha256"), "points", again)
+    # Copies come back in blocks, so that no row holds an array as long as the number of them.
+    met = met.withColumn("best", best).withColumn("before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(BLOCK).cast("long"))))
+    upto = F.least(F.col("copies"), F.col("before") + BLOCK)
+    met = met.withColumn("nth", F.explode(F.sequence(F.col("before") + 1, upto)))
+    kept, again = (F.col("best") & (F.col("nth") == 1)).alias("kept"), (F.col("best") & (F.col("nth") > 1)).alias("again")
+    return met.select("doc_id", "keep_id", "group_size", kept, F.col("digest").alias("text_sha256"), "points", again)
+
+
+def _hot(winners: DataFrame) -> DataFrame:
+    """(digest, parts): digests with a share of 1 / ``SHARES`` of all rows or more, and over how many salts their rows go.
+
+    There are ``SHARES`` of them at most, with twice as many salts in all, whatever the input's size.
+    """
+    total = winners.agg(F.sum("group_size")).first()[0] or 0
+    share = F.ceil(F.col("group_size") * SHARES / F.lit(max(total, 1)))
+    return winners.filter(F.col("group_size") * SHARES >= total).groupBy("digest").agg(F.max(share).cast("long").alias("parts"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -80,6 +80,19 @@ def test_exact(spark, corpus):
     assert exact_dedup.exact_dedup(docs(spark, NONE)).collect() == []
 
 
+def test_exact_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "SHARES", 10)
+    monkeypatch.setattr(exact_dedup, "BLOCK", 64)
+    rows = [(k, "one text") for k in range(1, 701)] + [(None, "other  text")] * 500 + [(k, f"text {k}") for k in range(1000, 1800)]
+    out = exact_dedup.exact_dedup(docs(spark, rows)).collect()
+    assert Counter(r.doc_id for r in out) == Counter(i for i, _ in rows)
+    assert {(r.keep_id, r.group_size) for r in out if r.doc_id is None} == {(None, 500)}
+    assert {(r.keep_id, r.group_size, r.kept) for r in out if r.doc_id and 1 < r.doc_id < 701} == {(1, 700, False)}
+    assert Counter(r.doc_id for r in out if r.kept) == Counter([None, 1, *range(1000, 1800)])
+    winners = spark.createDataFrame([("a", 700), ("b", 500), ("c", 1)], "digest string, group_size long")
+    assert {(r.digest, r.parts) for r in exact_dedup._hot(winners).collect()} == {("a", 6), ("b", 5)}
+
+
 def shingles(text):
     w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
