@@ -11,6 +11,7 @@ import baseweave.llm
 
 from .common import table
 from .decontamination import contaminated
+from .divergence import source_divergence
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -86,8 +87,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op8_toxicity, op9_minhash_near_dedup, op10_token_counts)}
+    every = (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op8_toxicity, op9_minhash_near_dedup, op10_token_counts)
+    return {f.__name__: f for f in (*every, op13_source_divergence)}
 
 
 ORACLE = {
@@ -147,6 +154,27 @@ ORACLE = {
         m AS (SELECT id, min(c) AS component_id FROM r GROUP BY 1)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
         FROM d JOIN m ON m.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+        l AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS n FROM k GROUP BY 1),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT t.lang, source, t.term, count(*) AS n FROM t JOIN k ON k.lang = t.lang AND k.term = t.term GROUP BY 1, 2, 3),
+        s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::BIGINT AS n FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY 1, 2),
+        p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::BIGINT * (coalesce(c.n, 0) + 5)) // (s.n + 5 * l.v) AS p,
+                     1 + (1000000000::BIGINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+              FROM s JOIN k ON k.lang = s.lang JOIN l ON l.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+        f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+              GROUP BY 1, 2, 4
+              UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+        WHERE part = 'pair' OR rank <= 50""",
 }
 
 
