@@ -13,6 +13,8 @@ from .common import table
 from .decontamination import contaminated
 from .divergence import source_divergence
 from .exact_dedup import exact_dedup
+from .html_extraction import extract_text
+from .lexical_search import rank_documents
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
@@ -87,6 +89,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return source_divergence(table(spark, sf_dir, "documents"))
@@ -94,7 +106,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_packing, op2_url_filters, op3_substring_dedup, op4_exact_dedup, op5_benchmark_decontamination, op6_quality_classifier, op7_sharding, op8_toxicity, op9_minhash_near_dedup, op10_token_counts)
-    return {f.__name__: f for f in (*every, op13_source_divergence)}
+    return {f.__name__: f for f in (*every, op11_lexical_search, op12_html_extraction, op13_source_divergence)}
 
 
 ORACLE = {
@@ -154,6 +166,22 @@ ORACLE = {
         m AS (SELECT id, min(c) AS component_id FROM r GROUP BY 1)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
         FROM d JOIN m ON m.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op11_lexical_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        s AS (SELECT count(*) AS nn, coalesce(sum(len(w)), 0)::BIGINT AS ll FROM d WHERE len(w) > 0),
+        t AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+        p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM t GROUP BY 1, 2, 3, 4),
+        f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+        q AS (SELECT i, item_id, unnest(w) AS term FROM b),
+        x AS (SELECT i, item_id, r, doc_id,
+                     sum(CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+                         * ((1000000000::BIGINT * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll))))::BIGINT AS score
+              FROM q JOIN p ON p.term = q.term JOIN f ON f.term = q.term, s GROUP BY 1, 2, 3, 4)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM x WHERE score > 0) WHERE rank <= 10""",
     "op13_source_divergence": r"""
         WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
