@@ -28,6 +28,8 @@ ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright discussion disqus footer gdpr header legal login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related replies reply respond share sharing sidebar signup social sponsor sponsored sponsors subscribe subscription tagcloud toolbar widget widgets".split()
 )
 HEADER_WORDS = frozenset(["header", "masthead"])
+#: Of these, words of what may hold articles of its own; the others may also tell what is around the main text (``with-sidebar``).
+APART_WORDS = frozenset("ad ads advert adverts advertisement advertisements comment comments commentlist discussion disqus related replies reply respond sponsored".split())
 
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -76,7 +78,7 @@ def _kind(tag: str, own: dict[str, str]) -> str | None:
     words = {w.lower() for w in _WORD.findall(named)} & ASIDE_WORDS if named != " " else ()
     if not words:
         return None
-    return "header" if words <= HEADER_WORDS else "named"
+    return "aside" if words & APART_WORDS and tag not in ("article", "main") else "header" if words <= HEADER_WORDS else "named"
 
 
 def parse(html: str) -> Page:
