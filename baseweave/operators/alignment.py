@@ -3,16 +3,19 @@
 The reference is the first sequence of a block. Each other sequence is compared
 with it column by column: runs of equal bases become reference blocks with END,
 single differing bases become variants, and gaps become insertions or deletions
-anchored at the base before them. Blocks are independent and are walked side by
-side, one block at a time.
+anchored at the base before them. Where blocks of a file overlap on the
+reference, one is chosen for each stretch; blocks are then independent and are
+walked side by side, one block at a time.
 """
 
 from __future__ import annotations
 
-import re
+import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -20,29 +23,48 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from baseweave.functions import vcf
 from baseweave.sources.tables import as_records
 
+from .intervals import sweep, tagged
 from .stored import stored
 
 SCHEMA = "file string, contig string, pos bigint, ref string, alt string, info string"
 #: Records handed on at once.
 RECORDS = 50_000
+GAP, SAME, DIFFERENT, GAPPED = ord("-"), 0, 1, 2
+#: Positions of a bin within which overlapping blocks are chosen from.
+CHOICE_BIN = 1 << 20
 BASES, PAIRED = "ACGTacgt", "TGCAtgca"
 
 
-def walk(reference: str, other: str, start: int) -> Iterator[tuple[int, str, str, str]]:
-    """(pos, ref, alt, info) of one aligned sequence against the reference from 0-based ``start``."""
-    kinds = "".join("=" if a == b != "-" else "x" if "-" not in (a, b) else "d" if b == "-" != a else "i" if a == "-" != b else "." for a, b in zip(reference.upper(), other.upper(), strict=True))
-    pos, before = start, ""
-    for run in re.finditer(r"=+|x|[di.]+", kinds):
-        r = reference[run.start() : run.end()].replace("-", "").upper()
-        o = other[run.start() : run.end()].replace("-", "").upper()
-        if run[0][0] == "=":
-            yield pos + 1, r[0], "<NON_REF>", f"END={pos + len(r)}"
-        elif run[0] == "x":
-            yield pos + 1, r, f"{o},<NON_REF>", "."
-        elif before and (r or o):
-            yield pos, before + r, f"{before + o},<NON_REF>", "."
-        pos += len(r)
-        before = r[-1] if r else before
+def walk(reference: str, other: str, start: int, kept: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, str, str, str]]:
+    """(pos, ref, alt, info) of one aligned sequence against the reference from 0-based ``start``.
+
+    ``kept`` are stretches of the reference, in order, to which the records are
+    confined; an insertion belongs to the base before it. Columns are compared
+    as arrays; what is gone through one by one is runs.
+    """
+    r, o = (np.frombuffer(t.upper().encode("ascii", "replace"), np.uint8) for t in (reference, other))
+    based = r != GAP
+    at = start + np.cumsum(based) - 1  # where each column's base, or the last one before it, stands
+    kind = np.select([~based | (o == GAP), r == o], [GAPPED, SAME], DIFFERENT)
+    for first, last in kept if kept is not None else [(start, start + int(based.sum()))]:
+        columns = np.flatnonzero((at >= first) & (at < last))
+        if not len(columns):
+            continue
+        k0, k1 = int(columns[0]), int(columns[-1]) + 1
+        own = kind[k0:k1]
+        edges = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (own[1:] == DIFFERENT))) + k0
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), k1], strict=True):
+            bases = r[a:b][based[a:b]].tobytes().decode()
+            begin = int(at[a]) if based[a] else int(at[a]) + 1
+            if kind[a] == SAME:
+                yield begin + 1, bases[0], "<NON_REF>", f"END={begin + b - a}"
+            elif kind[a] == DIFFERENT:
+                yield begin + 1, bases, f"{chr(o[a])},<NON_REF>", "."
+            elif begin > start:
+                put = o[a:b][o[a:b] != GAP].tobytes().decode()
+                if bases or put:
+                    before = chr(r[:a][based[:a]][-1]) if not based[a - 1] else chr(r[a - 1])
+                    yield begin, before + bases, f"{before + put},<NON_REF>", "."
 
 
 def _forward(blocks: DataFrame) -> DataFrame:
@@ -53,12 +75,70 @@ def _forward(blocks: DataFrame) -> DataFrame:
     return blocks.withColumns({"text": F.when(turned, other).otherwise(F.col("text")), "start": start})
 
 
-def maf_to_gvcf(blocks: DataFrame) -> DataFrame:
-    """Records (file, contig, pos, ref, alt, info) of alignment blocks as ``sources.tables.parse_maf`` has them."""
-    blocks = _forward(blocks)
-    first = blocks.filter("seq_idx = 0").select("file", "block_id", F.col("src").alias("contig"), F.col("start").alias("at"), F.col("text").alias("reference"))
+def _choose(key: tuple, rows: pa.Table) -> pa.Table:
+    """Of the blocks over a bin, for each stretch the one of the highest score, of equal ones the first in the file."""
+    s, e, score, block = (rows[c].to_pylist() for c in ("s", "e", "score", "block_id"))
+    order = sorted(range(len(s)), key=lambda i: s[i])
+    places = sorted({*s, *e})
+    live: list[tuple] = []
+    out: list[list] = []
+    nth = 0
+    for x, y in zip(places, places[1:], strict=False):
+        while nth < len(order) and s[order[nth]] == x:
+            i = order[nth]
+            heapq.heappush(live, (-score[i] if score[i] is not None else float("inf"), block[i], e[i]))
+            nth += 1
+        while live and live[0][2] <= x:
+            heapq.heappop(live)
+        if live:
+            if out and out[-1][0] == live[0][1] and out[-1][2] == x:
+                out[-1][2] = y
+            else:
+                out.append([live[0][1], x, y])
+    file, contig = (pa.array([k.as_py()] * len(out), pa.string()) for k in key[:2])
+    return pa.table([file, contig, *[pa.array([o[k] for o in out], pa.int64()) for k in range(3)]], names=["file", "contig", "block_id", "s", "e"])
+
+
+def chosen_stretches(blocks: DataFrame) -> DataFrame:
+    """(file, contig, block_id, s, e): which block of a file each stretch of the reference is taken from.
+
+    Where blocks overlap, the one of the highest score is taken, of equal scores
+    the first in the file; a block without a score is the last choice. Contigs
+    are worked on in bins, so none passes through one task; stretches end at bins' borders.
+    """
+    first = blocks.filter("seq_idx = 0")
+    spans = first.select("file", F.col("src").alias("contig"), "block_id", "score", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")).filter("e > s")
+    bins = F.sequence(F.floor(F.col("s") / CHOICE_BIN).cast("bigint"), F.floor((F.col("e") - 1) / CHOICE_BIN).cast("bigint"))
+    parts = spans.withColumn("bin", F.explode(bins))
+    parts = parts.withColumns({"s": F.greatest(F.col("s"), F.col("bin") * CHOICE_BIN), "e": F.least(F.col("e"), (F.col("bin") + 1) * CHOICE_BIN)})
+    return parts.groupBy("file", "contig", "bin").applyInArrow(_choose, "file string, contig string, block_id bigint, s bigint, e bigint")
+
+
+def _uncovered(first: DataFrame) -> DataFrame:
+    """Records of reference blocks where no block of a file is, on contigs that the file has: base ``N``."""
+    spans = first.select("file", "contig", F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e"))
+    whole = first.groupBy("file", "contig").agg(F.max("src_size").alias("e")).select("file", "contig", F.lit(0).cast("bigint").alias("s"), "e")
+    left = sweep(lambda n, m: (n > 0) & (m == 0), tagged(whole, spans, keys=("file", "contig")), 2, ("file", "contig"))
+    info = F.concat(F.lit("END="), F.col("e").cast("string"))
+    return left.select("file", "contig", (F.col("s") + 1).alias("pos"), F.lit("N").alias("ref"), F.lit(vcf.NON_REF).alias("alt"), info.alias("info"))
+
+
+def maf_to_gvcf(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = False) -> DataFrame:
+    """Records (file, contig, pos, ref, alt, info) of alignment blocks as ``sources.tables.parse_maf`` has them.
+
+    ``one_block`` takes each stretch of the reference from one block of a file
+    (``chosen_stretches``); else blocks that overlap all give their records.
+    ``fill_gaps`` makes reference blocks of what no block of the file is on.
+    """
+    blocks = stored(_forward(blocks), "forward")
+    first = blocks.filter("seq_idx = 0").select("file", "block_id", F.col("src").alias("contig"), F.col("start").alias("at"), "size", "src_size", F.col("text").alias("reference"))
     pairs = blocks.filter("seq_idx > 0").select("file", "block_id", "text").join(first, ["file", "block_id"])
-    pairs = pairs.filter(F.length("text") == F.length("reference")).select("file", "contig", "at", "reference", "text")
+    if one_block:
+        kept = chosen_stretches(blocks).groupBy("file", "block_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("kept"))
+        pairs = pairs.join(kept, ["file", "block_id"])
+    else:
+        pairs = pairs.withColumn("kept", F.lit(None).cast("array<struct<s: bigint, e: bigint>>"))
+    pairs = pairs.filter(F.length("text") == F.length("reference")).select("file", "contig", "at", "reference", "text", "kept")
 
     names = ["file", "contig", "pos", "ref", "alt", "info"]
 
@@ -66,22 +146,29 @@ def maf_to_gvcf(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for row in batch.itertuples(index=False):
-                for record in walk(row.reference, row.text, row.at):
+                stretches: list[tuple[int, int]] | None = None if row.kept is None else []
+                for piece in row.kept if stretches is not None else ():  # stretches that go on beyond a bin are one again
+                    s, e = int(piece["s"]), int(piece["e"])
+                    if stretches and stretches[-1][1] == s:
+                        s = stretches.pop()[0]
+                    stretches.append((s, e))
+                for record in walk(row.reference, row.text, row.at, stretches):
                     found.append((row.file, row.contig, *record))
                     if len(found) >= RECORDS:
                         yield pd.DataFrame(found, columns=names)
                         found = []
             yield pd.DataFrame(found, columns=names)
 
-    return pairs.mapInPandas(run, SCHEMA)
+    records = pairs.mapInPandas(run, SCHEMA)
+    return records.unionByName(_uncovered(first)) if fill_gaps else records
 
 
-def sample_records(blocks: DataFrame) -> DataFrame:
+def sample_records(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = False) -> DataFrame:
     """The same as records of VCF_SCHEMA, one sample for each alignment file: ``0`` in blocks, ``1`` at variants.
 
     ``file`` is the alignment's name without its endings, which is the sample's.
     """
-    rows = maf_to_gvcf(blocks).withColumn("file", F.regexp_extract("file", r"([^/]+?)(?:\.maf)?(?:\.gz)?$", 1))
+    rows = maf_to_gvcf(blocks, one_block, fill_gaps).withColumn("file", F.regexp_extract("file", r"([^/]+?)(?:\.maf)?(?:\.gz)?$", 1))
     call = F.when(F.col("alt") == vcf.NON_REF, "0").otherwise("1")
     return as_records(rows.withColumns({"format": F.lit("GT"), "samples": F.array(call)}))
 
@@ -107,23 +194,41 @@ def trimmed(records: DataFrame) -> DataFrame:
     return cut.drop("__n")
 
 
-def shifted(pos: int, ref: str, alt: str, before: str) -> tuple[int, str, str]:
-    """A biallelic record as far left as ``before``, the reference up to it, allows, without shared bases."""
-    while ref[-1] == alt[-1] and (min(len(ref), len(alt)) > 1 or before):
-        ref, alt = ref[:-1], alt[:-1]
-        if not (ref and alt):
+def shifted(pos: int, alleles: list[str], before: str) -> tuple[int, list[str]]:
+    """A record's sequence alleles, the reference first, as far left as ``before``, the reference up to it, allows, without shared bases.
+
+    All alleles roll together: as long as they end with the same base that base
+    goes, and where one would be empty all take the base before them.
+    """
+    if any(a == alleles[0] for a in alleles[1:]):
+        return pos, alleles
+    while len({a[-1] for a in alleles}) == 1 and (min(map(len, alleles)) > 1 or before):
+        alleles = [a[:-1] for a in alleles]
+        if not all(alleles):
             pos, base, before = pos - 1, before[-1], before[:-1]
-            ref, alt = base + ref, base + alt
-    while min(len(ref), len(alt)) > 1 and ref[0] == alt[0]:
-        pos, ref, alt = pos + 1, ref[1:], alt[1:]
-    return pos, ref, alt
+            alleles = [base + a for a in alleles]
+    while min(map(len, alleles)) > 1 and len({a[0] for a in alleles}) == 1:
+        pos, alleles = pos + 1, [a[1:] for a in alleles]
+    return pos, alleles
+
+
+def _moved(pos: int, ref: str, alt: str, before: str) -> tuple[int, str, str, bool]:
+    """``shifted`` for a record's fields, symbols of ALT carried along, and whether it came to the beginning of ``before``."""
+    alts = alt.split(",")
+    plain = [k for k, a in enumerate(alts) if a != "*" and not a.startswith("<")]
+    at, alleles = shifted(pos, [ref.upper(), *[alts[k].upper() for k in plain]], before)
+    for k, a in zip(plain, alleles[1:], strict=True):
+        alts[k] = a
+    return at, alleles[0], ",".join(alts), 0 < len(before) == pos - at and at > 1
 
 
 def left_aligned(records: DataFrame, reference: DataFrame, chunk: int = 10_000) -> DataFrame:
     """``records`` with indels shifted left against the reference and trimmed.
 
     ``reference`` has (contig, start, sequence) in pieces of ``chunk`` bases.
-    Records with symbolic alleles or several of them stay as they are. A round
+    All sequence alleles of a record move together; symbols (``*``, ``<...>``)
+    are carried along. Records without a sequence allele, with END, or with other
+    letters than bases stay as they are. A round
     shifts records within their piece and the one before; those that reached its
     beginning go on in the next round, until none does.
     """
@@ -140,7 +245,12 @@ def left_aligned(records: DataFrame, reference: DataFrame, chunk: int = 10_000)
 
 def _shifted_once(records: DataFrame, pieces: DataFrame, chunk: int) -> DataFrame:
     """One round, with ``__border`` for records that moved as far as the reference at hand went."""
-    plain = F.col("ref").rlike("^[ACGTNacgtn]+$") & F.col("alt").rlike("^[ACGTNacgtn]+$") & F.col("pos").isNotNull()
+    alts = F.split("alt", ",")
+    sequence = lambda a: a.rlike("^[ACGTNacgtn]+$")
+    symbol = lambda a: (a == "*") | a.rlike("^<.*>$")
+    plain = sequence(F.col("ref")) & F.exists(alts, sequence) & F.forall(alts, lambda a: sequence(a) | symbol(a)) & F.col("pos").isNotNull()
+    if "info" in records.columns:
+        plain = plain & vcf.extract_end(F.coalesce("info", F.lit("."))).isNull()
     earlier = pieces.select("contig", (F.col("piece") + 1).alias("piece"), F.col("sequence").alias("earlier"))
     rows = records.withColumn("piece", F.floor((F.col("pos") - 1) / chunk).cast("bigint"))
     rows = rows.join(pieces, ["contig", "piece"], "left").join(earlier, ["contig", "piece"], "left")
@@ -156,8 +266,7 @@ def _shifted_once(records: DataFrame, pieces: DataFrame, chunk: int) -> DataFram
                 if before is None or before != before:
                     found.append((pos, ref, alt, False))
                     continue
-                at, ref, alt = shifted(int(pos), ref.upper(), alt.upper(), before)
-                found.append((at, ref, alt, 0 < len(before) == pos - at and at > 1))
+                found.append(_moved(int(pos), ref, alt, before))
             moved = pd.DataFrame(found, columns=["pos", "ref", "alt", "__border"], index=batch.index)
             yield batch.drop(columns="before").assign(**{c: moved[c] for c in moved})
 

@@ -1,25 +1,38 @@
 """Outer merge of samples at a locus.
 
-Samples come as records with ``file`` naming the sample. Where any sample has a
-variant there is one row: the longest reference text, all called alleles in
-order with the symbol for any other one last, and each sample's call: its own
-genotype, ``0`` where one of its reference blocks covers the position, else
-``.``. Between these loci, stretches of reference blocks are blocks again.
-
-One sweep along the contigs tells at every stretch and locus which samples'
-blocks are over it; samples and loci are never paired before that.
+Samples come as records with ``file`` naming the sample. Where any sample of a
+contig has a variant there is one row: the longest reference text, all called
+alleles in order with the symbol for any other one last, and each sample's
+call: its own genotype, ``0`` where one of its reference blocks covers the
+position, else ``.``. Between these loci, stretches of reference blocks are
+blocks again. A contig has columns for the samples that have records on it.
+
+A contig is cut into bins of positions. A block is an event of its sample where
+it begins and one where it ends, and where it enters a bin. Within a bin events
+go by position, and the calls over a stretch are those of the stretch before
+with the samples changed that have an event there. So the work goes with the
+events, whatever the number of samples, and no sample is a column of its own
+before its call is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baseweave.functions import vcf
 from baseweave.sources.tables import as_records
 
-from .intervals import segments, swept
+from .intervals import segments
 from .mask import mask_spans
+from .stored import stored
+
+CALLS = "contig string, pos bigint, end bigint, ref string, alt string, calls string"
+#: Positions in a bin, fewer where there are many samples, so that a bin's events fit a task.
+BIN, LEAST_BIN, BIN_CELLS = 1 << 16, 1 << 10, 1 << 26
+COVERED, ABSENT = ord("0"), ord(".")
 
 
 def variants(records: DataFrame) -> DataFrame:
@@ -30,42 +43,132 @@ def reference_blocks(records: DataFrame) -> DataFrame:
     return records.filter(vcf.extract_end(F.col("info")).isNotNull() | vcf.is_invariant(F.col("alt")))
 
 
+def contig_samples(records: DataFrame) -> DataFrame:
+    """(contig, names): the samples with records on each contig, in order; a merged row has their calls in this order."""
+    seen = records.select("contig", "file").distinct()
+    return seen.groupBy("contig").agg(F.sort_array(F.collect_list("file")).alias("names"))
+
+
 def sample_names(records: DataFrame) -> list[str]:
-    """Samples in order. Every merged row has a call for each, so the list fits wherever a row does."""
+    """All samples in order."""
     return sorted(r["file"] for r in records.select("file").distinct().collect())
 
 
-def _covered(records: DataFrame, loci: DataFrame, names: list[str]) -> DataFrame:
-    """(contig, s, e, covers, locus): stretches, whether each sample has a block there, and whether it is a locus."""
-    blocks = reference_blocks(records).filter("pos is not null")
-    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
-    tag = (F.array_position(F.array(*map(F.lit, names)), F.col("file")) - 1).cast("int")
-    spans = blocks.select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.alias("tag"))
-    spans = spans.unionByName(loci.select("contig", (F.col("pos") - 1).alias("s"), F.col("pos").alias("e"), F.lit(len(names)).alias("tag")))
-    found = swept(spans, len(names) + 1)
-    covers = F.array(*[F.col(f"n{k}") > 0 for k in range(len(names))])
-    return found.select("contig", "s", "e", covers.alias("covers"), (F.col(f"n{len(names)}") > 0).alias("locus"))
+def _numbered(records: DataFrame, members: DataFrame) -> DataFrame:
+    """``records`` with the number ``k`` of their sample among those of their contig."""
+    return records.join(members.select("contig", F.posexplode("names").alias("k", "file")), ["contig", "file"])
 
 
-def _calls(own: Column, names: list[str]) -> list[Column]:
-    """The call of each sample from its own genotypes (a map) and the blocks over the locus."""
-    covered = [F.when(F.get("covers", F.lit(k)), "0").otherwise(".") for k in range(len(names))]
-    return [F.coalesce(F.element_at(own, F.lit(n)), c) for n, c in zip(names, covered, strict=True)]
+def _bin_of(x: Column, width: int) -> Column:
+    return F.floor(x / width).cast("bigint")
+
+
+def _events(records: DataFrame, width: int) -> DataFrame:
+    """(contig, bin, x, k, d): by how much the number of a sample's blocks changes at a position of a bin."""
+    blocks = reference_blocks(records).filter("pos is not null")
+    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
+    spans = blocks.select("contig", "k", F.greatest(F.col("pos") - 1, F.lit(0)).alias("s"), end.alias("e")).filter("e > s")
+    first, last = _bin_of(F.col("s"), width), _bin_of(F.col("e") - 1, width)
+    parts = spans.select("contig", "k", "s", "e", F.explode(F.sequence(first, last)).alias("bin"))
+    ends = F.array(F.struct(F.greatest(F.col("s"), F.col("bin") * width).alias("x"), F.lit(1).alias("d")), F.struct(F.least(F.col("e"), (F.col("bin") + 1) * width).alias("x"), F.lit(-1).alias("d")))
+    each = parts.select("contig", "bin", "k", F.explode(ends).alias("at"))
+    return each.groupBy("contig", "bin", F.col("at.x").alias("x"), "k").agg(F.sum("at.d").alias("d")).filter("d <> 0")
+
+
+def _sweep(width: int):
+    """Calls of one bin: a row for each locus, and for each stretch between loci over which some sample has a block."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        contig, start = key[0].as_py(), key[1].as_py() * width
+        rows = rows.sort_by("x")
+        n = rows["n"][0].as_py()
+        is_event = np.array(rows["k"].is_valid())
+        events, loci = rows.filter(pa.array(is_event)), rows.filter(pa.array(~is_event))
+        at, k, d = (np.array(events[c].cast(pa.int64())) for c in ("x", "k", "d"))
+        locus_at = np.array(loci["x"].cast(pa.int64()))
+        refs, alts, own_k, own_gt = (loci[c].to_pylist() for c in ("ref", "alt", "ks", "gts"))
+        cuts = np.unique(np.concatenate([at, locus_at, locus_at + 1]))
+        cuts = cuts[cuts <= start + width]
+        begins, ends = np.searchsorted(at, cuts, "left"), np.searchsorted(at, cuts, "right")
+        locus = np.searchsorted(locus_at, cuts)
+        is_locus = np.append(locus_at, -1)[locus] == cuts
+        counts = np.zeros(n, np.int32)
+        # Calls with tabs between them, ready to be written.
+        text = np.full((n, 2), ord("\t"), np.uint8)
+        text[:, 0] = ABSENT
+        covered, out = 0, []
+        for i in range(len(cuts)):
+            a, b = begins[i], ends[i]
+            if b > a:
+                who = k[a:b]
+                before = counts[who] > 0
+                counts[who] += d[a:b]
+                after = counts[who] > 0
+                text[who, 0] = np.where(after, COVERED, ABSENT)
+                covered += int(after.sum()) - int(before.sum())
+            x = int(cuts[i])
+            if is_locus[i]:
+                j = locus[i]
+                calls = text.tobytes().decode()[:-1].split("\t")
+                for s, gt in zip(own_k[j], own_gt[j], strict=True):
+                    if gt is not None:
+                        calls[s] = gt
+                out.append((x + 1, None, refs[j], alts[j], "\t".join(calls)))
+            elif covered and i + 1 < len(cuts):
+                stop, calls = int(cuts[i + 1]), text.tobytes().decode()[:-1]
+                if out and out[-1][1] == x and out[-1][4] == calls:
+                    out[-1] = (out[-1][0], stop, None, None, calls)
+                else:
+                    out.append((x + 1, stop, None, None, calls))
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.large_string()]
+        columns = [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)]
+        columns[4] = columns[4].cast(pa.string())
+        return pa.table([pa.array([contig] * len(out), pa.string()), *columns], names=["contig", "pos", "end", "ref", "alt", "calls"])
+
+    return run
+
+
+def _joined(calls: DataFrame, width: int) -> DataFrame:
+    """``calls`` with blocks that go on beyond their bin as one; of a bin these are two at most."""
+    border = F.col("end").isNotNull() & (((F.col("pos") - 1) % width == 0) | (F.col("end") % width == 0))
+    along = Window.partitionBy("contig").orderBy("pos")
+    cut = calls.filter(border)
+    goes_on = (F.lag("end").over(along) == F.col("pos") - 1) & (F.lag("calls").over(along) == F.col("calls"))
+    cut = cut.withColumn("chain", F.sum(F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).over(along))
+    whole = cut.groupBy("contig", "chain").agg(F.min("pos").alias("pos"), F.max("end").alias("end"), F.first("calls").alias("calls"))
+    none = F.lit(None).cast("string")
+    return calls.filter(~border).unionByName(whole.select("contig", "pos", "end", none.alias("ref"), none.alias("alt"), "calls"))
+
+
+def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of CALLS, calls parted by tabs: loci (without ``end``), and blocks between them from ``pos`` to ``end``.
+
+    ``records`` are numbered, ``loci`` have (contig, pos, ref, alt, ks, gts): the numbers of samples and their own genotypes.
+    """
+    most = members.agg(F.max(F.size("names"))).first()[0] or 1
+    width = max(LEAST_BIN, min(BIN, BIN_CELLS // most))
+    events = _events(records, width).select("contig", "bin", "x", F.col("k").cast("int").alias("k"), F.col("d").cast("int").alias("d"))
+    absent = {"ref": "string", "alt": "string", "ks": "array<int>", "gts": "array<string>"}
+    events = events.select("*", *[F.lit(None).cast(t).alias(c) for c, t in absent.items()])
+    x = F.col("pos") - 1
+    at = loci.select("contig", _bin_of(x, width).alias("bin"), x.alias("x"), *[F.lit(None).cast("int").alias(c) for c in ("k", "d")], *absent)
+    sizes = members.select("contig", F.size("names").alias("n"))
+    found = events.unionByName(at).join(sizes, "contig").groupBy("contig", "bin").applyInArrow(_sweep(width), CALLS)
+    return _joined(stored(found, "calls"), width)
 
 
 def merge_samples(records: DataFrame) -> DataFrame:
-    """(contig, pos, ref, alt, calls): each sample's own genotype as it stands, by sample."""
-    names = sample_names(records)
-    called = variants(records).select("file", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt")).repartition("contig", "pos")
-    one = called.groupBy("contig", "pos", "file").agg(F.min("gt").alias("gt"), F.max(F.struct(F.length("ref").alias("n"), "ref")).alias("longest"), F.flatten(F.collect_set(vcf.called_alleles(F.col("alt")))).alias("alleles"))
+    """(contig, pos, ref, alt, calls): each sample's own genotype as it stands, by sample of the contig."""
+    members = stored(contig_samples(records), "members")
+    numbered = _numbered(records, members)
+    called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt")).repartition("contig", "pos")
+    one = called.groupBy("contig", "pos", "k").agg(F.min("gt").alias("gt"), F.max(F.struct(F.length("ref").alias("n"), "ref")).alias("longest"), F.flatten(F.collect_set(vcf.called_alleles(F.col("alt")))).alias("alleles"))
     alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_list("alleles"))))
-    known = F.map_from_entries(F.filter(F.collect_list(F.struct("file", "gt")), lambda c: c["gt"].isNotNull()))
-    loci = one.groupBy("contig", "pos").agg(F.max("longest")["ref"].alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), known.alias("own"))
-    over = _covered(records, loci, names).filter("locus").select("contig", (F.col("s") + 1).alias("pos"), "covers")
-    both = loci.join(over, ["contig", "pos"])
-    entries = [F.struct(F.lit(n).alias("file"), c.alias("gt")) for n, c in zip(names, _calls(F.col("own"), names), strict=True)]
-    calls = F.map_from_entries(F.array(*entries)) if names else F.create_map().cast("map<string,string>")
-    return both.select("contig", "pos", "ref", "alt", calls.alias("calls"))
+    each = F.collect_list(F.struct("k", "gt"))
+    loci = one.groupBy("contig", "pos").agg(F.max("longest")["ref"].alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), each.alias("each"))
+    loci = loci.select("contig", "pos", "ref", "alt", F.col("each.k").alias("ks"), F.col("each.gt").alias("gts"))
+    found = _called(numbered, loci, members).filter("end is null").join(members, "contig")
+    return found.select("contig", "pos", "ref", "alt", F.map_from_arrays("names", F.split("calls", "\t", -1)).alias("calls"))
 
 
 def _longer(allele: Column, ref: Column, longest: Column) -> Column:
@@ -80,43 +183,34 @@ def _renumbered(gt: Column, own: Column, every: Column) -> Column:
     return F.array_join(parts, "")
 
 
-def merged_records(records: DataFrame, file: str = "merged") -> DataFrame:
+def merged_records(records: DataFrame, file: str = "merged", members: DataFrame | None = None) -> DataFrame:
     """One gVCF of all samples, as records like any others: loci with variants, and blocks with END between them.
 
     Alleles are those of the longest reference of a locus, and genotypes are
-    numbered by them. Samples stand in the order of their names. A block is one
-    stretch over which the same samples have blocks; its base is not known here
-    and is ``N``. Of several variant records of a sample at one position the
-    first by reference, alternatives and genotype gives the call.
+    numbered by them. A contig's rows have the samples of ``contig_samples`` in
+    order (``members`` saves looking for them again); a sample without the
+    contig has no column there. A block is one stretch over which the same
+    samples have blocks; its base is not known here and is ``N``. Of several
+    variant records of a sample at one position the first by reference,
+    alternatives and genotype gives the call. Without records there are no rows.
     """
-    names = sample_names(records)
+    members = members if members is not None else stored(contig_samples(records), "members")
+    numbered = _numbered(records, members)
     gt = vcf.genotype(F.element_at("samples", 1)).alias("gt")
-    called = variants(records).select("file", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt).repartition("contig", "pos")
-    one = called.groupBy("contig", "pos", "file").agg(F.min(F.struct("ref", "alleles", "gt")).alias("call"), F.collect_set(F.struct("ref", "alleles")).alias("seen"))
-    loci = one.groupBy("contig", "pos").agg(
-        F.flatten(F.collect_list("seen")).alias("seen"),
-        F.collect_list(F.struct("file", "call")).alias("each"),
-    )
+    called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt).repartition("contig", "pos")
+    one = called.groupBy("contig", "pos", "k").agg(F.min(F.struct("ref", "alleles", "gt")).alias("call"), F.collect_set(F.struct("ref", "alleles")).alias("seen"))
+    loci = one.groupBy("contig", "pos").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"), F.collect_list(F.struct("k", "call")).alias("each"))
     longest = F.array_max(F.transform("seen", lambda r: F.struct(F.length(r["ref"]).alias("n"), r["ref"].alias("ref"))))["ref"]
     loci = loci.select("contig", "pos", longest.alias("ref"), "seen", "each")
     every = F.flatten(F.transform("seen", lambda r: F.transform(r["alleles"], lambda a: _longer(a, r["ref"], F.col("ref")))))
     loci = loci.withColumn("every", F.sort_array(F.array_distinct(every)))
     own = lambda c: F.transform(c["alleles"], lambda a: _longer(a, c["ref"], F.col("ref")))
-    loci = loci.withColumn("own", F.map_from_entries(F.transform("each", lambda s: F.struct(s["file"], _renumbered(s["call"]["gt"], own(s["call"]), F.col("every"))))))
-    over = _covered(records, loci, names)
-    at = over.filter("locus").select("contig", (F.col("s") + 1).alias("pos"), "covers")
+    gts = F.transform("each", lambda s: _renumbered(s["call"]["gt"], own(s["call"]), F.col("every")))
     alt = F.array_join(F.concat("every", F.array(F.lit(vcf.NON_REF))), ",")
-    with_calls = loci.join(at, ["contig", "pos"]).select("contig", "pos", "ref", alt.alias("alt"), F.lit(".").alias("info"), F.array(*_calls(F.col("own"), names)).alias("samples"))
-    blocks = over.filter("not locus and exists(covers, c -> c)")
-    blocks = blocks.select(
-        "contig",
-        (F.col("s") + 1).alias("pos"),
-        F.lit("N").alias("ref"),
-        F.lit(vcf.NON_REF).alias("alt"),
-        F.concat(F.lit("END="), F.col("e").cast("string")).alias("info"),
-        F.transform("covers", lambda c: F.when(c, "0").otherwise(".")).alias("samples"),
-    )
-    return as_records(with_calls.unionByName(blocks).withColumns({"file": F.lit(file), "format": F.lit("GT")}))
+    found = _called(numbered, loci.select("contig", "pos", "ref", alt.alias("alt"), F.col("each.k").alias("ks"), gts.alias("gts")), members)
+    info = F.when(F.col("end").isNull(), ".").otherwise(F.concat(F.lit("END="), F.col("end").cast("string")))
+    rows = found.select("contig", "pos", F.coalesce("ref", F.lit("N")).alias("ref"), F.coalesce("alt", F.lit(vcf.NON_REF)).alias("alt"), info.alias("info"), F.split("calls", "\t", -1).alias("samples"))
+    return as_records(rows.withColumns({"file": F.lit(file), "format": F.lit("GT")}))
 
 
 def joint_blocks(records: DataFrame) -> DataFrame:

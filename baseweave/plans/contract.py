@@ -482,6 +482,50 @@ def maf_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("contig", "pos", "ref", "alt", "info", F.element_at("samples", 1).alias("gt")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_SCORED = """b AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk FROM lineitem GROUP BY ALL),
+          d AS (SELECT concat('chr', l_linenumber) AS contig, l_orderkey * 8 + i AS p, i, pk % 4 AS k,
+                       row_number() OVER (PARTITION BY l_linenumber, l_orderkey * 8 + i ORDER BY (pk % 50) * 10000000 + l_orderkey DESC) AS nth
+                FROM (SELECT *, unnest(generate_series(0, 9)) AS i FROM b)),
+          t AS (SELECT contig, CAST(p // 5000 AS BIGINT) AS part, CASE WHEN k = 2 AND i IN (3, 4) THEN CASE WHEN i = 3 THEN 'GTA>G' END
+                       WHEN k = 1 AND i = 2 THEN 'G>T' WHEN k = 3 AND i = 0 THEN 'A>T' WHEN k = 3 AND i = 9 THEN 'C>A' ELSE '=' END AS kind FROM d WHERE nth = 1)"""
+
+
+def _alignment(spark: SparkSession, sf_dir: str, **how: bool) -> DataFrame:
+    """Base pairs by what the records of overlapping, scored blocks say, in parts of 5000 positions."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("pk"))
+    text = F.element_at(F.array(*[F.lit(t) for t in ("ACGTACGTAC", "ACTTACGTAC", "ACG--CGTAC", "TCGTACGTAA")]), (F.col("pk") % 4 + 1).cast("int"))
+    at, contig = (F.col("l_orderkey") * 8).cast("string"), F.concat(F.lit("chr"), F.col("l_linenumber").cast("string"))
+    score = F.concat(F.lit("a score="), (F.col("pk") % 50 * 10000000 + F.col("l_orderkey")).cast("string"))
+    reference = F.concat_ws(" ", F.lit("s"), contig, at, F.lit("10 + 9999999 ACGTACGTAC"))
+    own = F.concat_ws(" ", F.lit("s x.1 0"), F.length(F.replace(text, F.lit("-"), F.lit(""))).cast("string"), F.lit("+ 99999999"), text)
+    path = _text(line.select(F.concat_ws("\n", score, reference, own, F.lit("")).alias("line")), "maf")
+    found = alignment.maf_to_gvcf(tables.read_maf(spark, path), **how)
+    end = vcf.extract_end(F.col("info"))
+    kind = F.when(F.col("ref") == "N", "N").when(end.isNotNull(), "=").otherwise(F.concat("ref", F.lit(">"), F.replace("alt", F.lit(",<NON_REF>"), F.lit(""))))
+    # A deletion stands at the base before it; here it counts where its first base is.
+    first = F.col("pos") - 1 + F.when(kind == "GTA>G", 1).otherwise(0)
+    spans = found.select("contig", kind.alias("kind"), first.alias("s"), F.coalesce(end, first + 1).alias("e"))
+    parts = spans.withColumn("part", F.explode(F.sequence(F.floor(F.col("s") / 5000), F.floor((F.col("e") - 1) / 5000))))
+    size = F.least(F.col("e"), (F.col("part") + 1) * 5000) - F.greatest(F.col("s"), F.col("part") * 5000)
+    return parts.groupBy("contig", "part", "kind").agg(F.sum(size).cast("bigint").alias("bp"))
+
+
+@query(f"WITH {_SCORED} SELECT contig, part, kind, CAST(count(*) AS BIGINT) AS bp FROM t WHERE kind IS NOT NULL GROUP BY ALL")
+def maf_one_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of overlapping blocks, each position from the block of the highest score."""
+    return _alignment(spark, sf_dir, one_block=True)
+
+
+@query(f"""WITH {_SCORED}, c AS (SELECT DISTINCT contig FROM t), n AS (SELECT contig, CAST(unnest(generate_series(0, 1999)) AS BIGINT) AS part FROM c),
+          m AS (SELECT contig, p // 5000 AS part, count(DISTINCT p) AS bp FROM d GROUP BY ALL)
+          SELECT contig, part, kind, CAST(count(*) AS BIGINT) AS bp FROM t WHERE kind IS NOT NULL GROUP BY ALL
+          UNION ALL SELECT n.contig, n.part, 'N', CAST(5000 - CASE WHEN n.part = 1999 THEN 1 ELSE 0 END - coalesce(m.bp, 0) AS BIGINT) FROM n LEFT JOIN m ON m.contig = n.contig AND m.part = n.part
+          WHERE 5000 - CASE WHEN n.part = 1999 THEN 1 ELSE 0 END > coalesce(m.bp, 0)""")
+def maf_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with reference blocks where no block is."""
+    return _alignment(spark, sf_dir, one_block=True, fill_gaps=True)
+
+
 @query(f"""WITH {SITES}, f AS (SELECT *, concat('s', l_suppkey % 3) AS file, fin IS NULL AND alt NOT IN ('.', '<NON_REF>') AS v FROM sites),
           l AS (SELECT contig, pos, max(length(ref)) AS longest FROM f WHERE v GROUP BY ALL),
           a AS (SELECT l.contig, l.pos, x.a, x.ref, longest FROM l JOIN (SELECT contig, pos, ref, unnest(string_split(alt, ',')) AS a FROM f WHERE v) x ON x.contig = l.contig AND x.pos = l.pos WHERE x.a <> '<NON_REF>'),
@@ -521,6 +565,25 @@ def left_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.left_aligned(rows, pieces, 32).drop("contig")
 
 
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_orderkey % 250 + 40 AS x, l_partkey % 3 + 1 AS k, CAST(l_suppkey % 5 AS INT) AS w FROM lineitem),
+          a AS (SELECT *, (x - x % 40) + 1 AS low FROM r)
+          SELECT l_orderkey, l_linenumber, CAST(CASE w WHEN 0 THEN low WHEN 1 THEN low WHEN 2 THEN x + 1 WHEN 3 THEN low ELSE x + 1 END AS BIGINT) AS pos,
+                 CASE w WHEN 0 THEN 'C' || repeat('A', k) WHEN 1 THEN 'C' || repeat('A', k + 1) WHEN 2 THEN 'A' WHEN 3 THEN 'C' ELSE 'A' END AS ref,
+                 CASE w WHEN 0 THEN 'C,<NON_REF>' WHEN 1 THEN 'CA,*,C,<NON_REF>' WHEN 2 THEN 'G,<NON_REF>' WHEN 3 THEN 'C' || repeat('A', k) || ',<NON_REF>' ELSE '<NON_REF>' END AS alt
+          FROM a WHERE x % 40 BETWEEN 1 AND 35""")
+def left_aligned_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of several alleles with symbols, in repeats of 39 bases after a ``C``; what is no insertion or deletion stays."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    at, k, which = F.col("l_orderkey") % 250 + 40, (F.col("l_partkey") % 3 + 1).cast("int"), (F.col("l_suppkey") % 5).cast("int")
+    rest = lambda n: F.repeat(F.lit("A"), n)
+    ref = F.when(which == 0, rest(k + 1)).when(which == 1, rest(k + 2)).otherwise("A")
+    alt = F.when(which == 0, "A,<NON_REF>").when(which == 1, "AA,*,A,<NON_REF>").when(which == 2, "G,<NON_REF>").when(which == 3, F.concat(rest(k + 1), F.lit(",<NON_REF>"))).otherwise("<NON_REF>")
+    rows = line.filter((at % 40).between(1, 35)).select("l_orderkey", "l_linenumber", F.lit("c").alias("contig"), (at + 1).cast("bigint").alias("pos"), ref.alias("ref"), alt.alias("alt"))
+    repeat = "C" + "A" * 39
+    pieces = spark.range(20).select(F.lit("c").alias("contig"), (F.col("id") * 16).alias("start"), F.substring(F.lit(repeat * 9), (F.col("id") * 16 + 1).cast("int"), F.lit(16)).alias("sequence"))
+    return alignment.left_aligned(rows, pieces, 16).drop("contig")
+
+
 @query("""WITH t AS (SELECT l_orderkey, l_linenumber, repeat('A', l_partkey % 4 + 1) || 'C' AS ref, repeat('A', l_suppkey % 3 + 1) || 'C' AS alt FROM lineitem),
           e AS (SELECT *, least(length(ref), length(alt)) - 1 AS n FROM t)
           SELECT l_orderkey, l_linenumber, left(ref, length(ref) - n) AS ref, left(alt, length(alt) - n) AS alt, CAST(l_orderkey AS BIGINT) AS pos FROM e""")

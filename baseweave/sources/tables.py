@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from baseweave.functions.vcf import as_bigint
+from baseweave.operators.stored import stored
 
-from .text import field, read_lines, split_fields
+from .text import field, in_file_order, read_lines, split_fields
 
 VCF_SCHEMA = (
     "file string, ordinal struct<part: bigint, row: bigint>, line string, cols array<string>, n_cols int, contig string, pos bigint, "
@@ -109,9 +110,7 @@ def read_fasta_contigs(spark: SparkSession, path: str) -> DataFrame:
 
 def fasta_lengths(lines: DataFrame) -> DataFrame:
     is_name = F.col("line").startswith(">")
-    # One file is one order of lines; files are read side by side.
-    upto = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("nth", F.sum(is_name.cast("int")).over(upto)).filter("nth > 0")
+    rows = in_file_order(lines, {"nth": is_name.cast("bigint")}).filter("nth > 0")
     name = F.max(F.when(is_name, F.regexp_extract("line", r"^>\s*(\S+)", 1)))
     size = F.sum(F.when(is_name, 0).otherwise(F.length(F.trim("line"))))
     return rows.groupBy("file", "nth").agg(name.alias("contig"), size.cast("bigint").alias("length")).select("contig", "length")
@@ -120,13 +119,12 @@ def fasta_lengths(lines: DataFrame) -> DataFrame:
 def reference_chunks(lines: DataFrame, chunk: int = 10_000) -> DataFrame:
     """(contig, start, sequence) of a FASTA file's lines in pieces of ``chunk`` bases."""
     is_name = F.col("line").startswith(">")
-    upto = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("nth", F.sum(is_name.cast("int")).over(upto)).filter("nth > 0")
-    of_contig = Window.partitionBy("file", "nth").orderBy("ordinal")
-    text = F.when(is_name, F.lit("")).otherwise(F.trim("line"))
-    before = F.coalesce(F.sum(F.length(text)).over(of_contig.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    name = F.first(F.regexp_extract("line", r"^>\s*(\S+)", 1)).over(of_contig.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.select(name.alias("contig"), before.alias("at"), text.alias("text")).filter("text <> ''")
+    size = F.when(is_name, 0).otherwise(F.length(F.trim("line"))).cast("bigint")
+    rows = stored(in_file_order(lines, {"nth": is_name.cast("bigint"), "upto": size}).filter("nth > 0"), "reference-lines")
+    # A sequence begins after its name, whose line has all the letters before it.
+    names = rows.filter(is_name).select("file", "nth", F.regexp_extract("line", r"^>\s*(\S+)", 1).alias("contig"), F.col("upto").alias("before"))
+    text = F.trim("line")
+    rows = rows.filter(~is_name).join(names, ["file", "nth"]).select("contig", (F.col("upto") - F.length(text) - F.col("before")).alias("at"), text.alias("text")).filter("text <> ''")
     first, last = F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.length("text") - 1) / chunk)
     parts = rows.select("contig", "at", "text", F.explode(F.sequence(first, last)).alias("piece"))
     begin = F.greatest(F.col("at"), F.col("piece") * chunk)
@@ -138,27 +136,32 @@ def reference_chunks(lines: DataFrame, chunk: int = 10_000) -> DataFrame:
 
 
 def parse_maf(lines: DataFrame) -> DataFrame:
-    """(file, block_id, seq_idx, src, start, size, strand, src_size, text) of an alignment's sequences.
+    """(file, block_id, seq_idx, src, start, size, strand, src_size, text, score) of an alignment's sequences.
 
     An ``a`` line or a blank one ends a block; blocks without sequences do not
-    count. The first sequence of a block is the reference's.
+    count. The first sequence of a block is the reference's. The score is that
+    of the block's ``a`` line, null where it has none.
     """
-    upto = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
     ends = (F.trim("line") == "") | F.col("line").startswith("a ") | (F.col("line") == "a")
-    rows = lines.withColumn("part", F.sum(ends.cast("int")).over(upto)).filter(F.col("line").startswith("s "))
-    rows = rows.withColumn("w", F.split(F.trim("line"), r"\s+"))
-    in_file = Window.partitionBy("file").orderBy("part")
+    is_row = F.col("line").startswith("s ")
+    rows = in_file_order(lines, {"part": ends.cast("bigint")}).filter(is_row | F.col("line").startswith("a "))
+    # Of the lines of one part only a few hundred can be: those of one block.
     in_block = Window.partitionBy("file", "part").orderBy("ordinal")
+    score = F.when(~is_row, F.regexp_extract("line", r"\bscore=(\S+)", 1).try_cast("double"))
+    rows = rows.withColumns({"score": F.max(score).over(Window.partitionBy("file", "part"))}).filter(is_row)
+    rows = rows.withColumn("seq_idx", (F.row_number().over(in_block) - 1).cast("int"))
+    rows = in_file_order(rows, {"block": (F.col("seq_idx") == 0).cast("bigint")}).withColumn("w", F.split(F.trim("line"), r"\s+"))
     number = {"start": 2, "size": 3, "src_size": 5}
     return rows.select(
         "file",
-        (F.dense_rank().over(in_file) - 1).cast("bigint").alias("block_id"),
-        (F.row_number().over(in_block) - 1).alias("seq_idx"),
+        (F.col("block") - 1).alias("block_id"),
+        "seq_idx",
         field("w", 1).alias("src"),
         *[as_bigint(field("w", k)).alias(n) for n, k in number.items()],
         field("w", 4).alias("strand"),
         field("w", 6).alias("text"),
-    )
+        "score",
+    ).select("file", "block_id", "seq_idx", "src", "start", "size", "strand", "src_size", "text", "score")
 
 
 def read_maf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
