@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from baseweave.operators import alignment, coverage, indels
 from baseweave.plans import workflow
 from baseweave.sources import paths, sinks, tables
+from baseweave.sources.text import base_name
 
 
 def _config(args: argparse.Namespace) -> workflow.Config:
@@ -33,16 +34,16 @@ def _split_and_mask(spark: SparkSession, args: argparse.Namespace) -> None:
 def _merge_and_mask(spark: SparkSession, args: argparse.Namespace) -> None:
     config = _config(args)
     files = [paths.alignment_of(args.folder, s) for s in paths.discover_samples(args.folder, config.samples)]
-    merged, ploidies, how = workflow.merge_alignments(spark, files)
-    facts = {"Ploidy": [f"{'set to ' + str(config.ploidy) if config.ploidy else how}", *[f"{f}: {n}" for f, n in sorted(ploidies.items())]]}
-    _shown(workflow.run(spark, merged, args.fai, args.out, config, args.dropped_bed, facts=facts))
+    _shown(workflow.run_alignments(spark, files, args.fai, args.out, config, dropped_bed=args.dropped_bed))
 
 
 def _drop_indels(spark: SparkSession, args: argparse.Namespace) -> None:
-    records = tables.with_positions(tables.read_vcf(spark, paths.records_in(args.folder)))
+    """A blocked gzip file for each sample, under its own header, and the intervals of all."""
+    files = paths.records_in(args.folder)
+    records = tables.with_positions(tables.read_vcf(spark, files))
     kept, dropped = workflow.clean_samples(records, args.cutoff)
-    header = tables.header_lines(tables.read_header(spark, paths.records_in(args.folder)))
-    sinks.write_records(kept, f"{args.out}/records", sinks.ordered_header(header, []), compress=True)
+    name = F.concat(base_name(F.col("file")), F.lit(".gvcf.gz"))
+    sinks.write_records(kept, f"{args.out}/records", tables.numbered_header(tables.read_header(spark, files)), by="file", name=name)
     sinks.write_bed(dropped, f"{args.out}/dropped_indels.bed")
     indels.drop_counts(records, args.cutoff).show(truncate=False)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .intervals import intersect, length, merge, overlap_bp, segments, union
+from .runs import position_runs
 from .stored import stored
 
 #: Intervals shown for each pair of sets that overlap.
@@ -57,10 +58,11 @@ def _shown(**sets: DataFrame) -> list[str]:
 def coverage_by_contig(lengths: DataFrame, clean: DataFrame, invariant: DataFrame, mask: DataFrame) -> DataFrame:
     """(contig, clean_bp, inv_bp, filtered_bed_bp, total_bp, overlap_bp, chrom_len) of all contigs, by one sweep.
 
-    ``clean`` and ``invariant`` are records, ``mask`` intervals; contigs without
-    any of these have zeros.
+    ``clean`` and ``invariant`` are records, or runs of their positions as intervals;
+    ``mask`` is intervals. Contigs without any of these have zeros.
     """
-    parts = segments(positions(clean), positions(invariant), mask.select("contig", "s", "e"))
+    runs = [position_runs(df) if "pos" in df.columns else df.select("contig", "s", "e") for df in (clean, invariant)]
+    parts = segments(*runs, mask.select("contig", "s", "e"))
     size = F.col("e") - F.col("s")
     over = sum(((F.col(f"n{k}") > 0).cast("int") for k in range(3)), F.lit(0))
     held = {"clean_bp": F.col("n0") > 0, "inv_bp": F.col("n1") > 0, "filtered_bed_bp": F.col("n2") > 0, "total_bp": over > 0, "overlap_bp": over > 1}

@@ -28,7 +28,9 @@ def class_mask(classified: DataFrame, *lost: DataFrame) -> DataFrame:
     """The same mask from records with their ``class``, read once, and the lost intervals (missing, dropped)."""
     end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
     tag = F.when(F.col("class") == FILTERED, 0).otherwise(1)
-    spans = classified.filter("pos is not null").select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.alias("tag"))
+    # A filtered record is masked if it has the four columns that tell its reference.
+    whole = (F.col("class") != FILTERED) | (F.col("n_cols") >= 4) if "n_cols" in classified.columns else F.lit(True)
+    spans = classified.filter(F.col("pos").isNotNull() & whole).select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.alias("tag"))
     return without(reduce(DataFrame.unionByName, [spans, *[df.select("contig", "s", "e").withColumn("tag", F.lit(0)) for df in lost]]))
 
 

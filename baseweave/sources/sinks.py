@@ -1,23 +1,18 @@
-"""Writers of records, intervals, masks and reports."""
+"""Writers of records, intervals and reports."""
 
 from __future__ import annotations
 
 import getpass
 import html
-import io
 import socket
-import struct
-import zlib
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed value: the empty block that ends a blocked gzip file.
-BGZF_END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+from .blocked import BGZF_END, bgzf, write_blocked
+
+__all__ = ["BGZF_END", "bgzf"]
 
 
 def provenance(source: str, command: str, outputs: list[str], note: str = "") -> list[str]:
@@ -47,18 +42,49 @@ def record_lines(records: DataFrame) -> DataFrame:
     return records.withColumn("line", F.when(F.col("n_cols") > 4, F.array_join(cols, "\t")).otherwise(F.col("line")))
 
 
-def write_records(records: DataFrame, path: str, header: list[str], compress: bool = False, order: tuple[str, ...] = ("contig", "pos", "ordinal")) -> None:
-    """A folder of text parts that follow each other: the header, then records by contig, position and order in the source.
-
-    The parts in the order of their names are one valid file, plain or gzip.
+def write_records(
+    records: DataFrame,
+    path: str,
+    header: list[str] | DataFrame,
+    compress: bool = False,
+    order: tuple[str, ...] = ("contig", "pos", "ordinal"),
+    by: str | None = None,
+    name: Column | None = None,
+    keep_others: bool = False,
+) -> int:
+    """Records by contig, position and order in the source, after their header; the number of records written.
+
+    The result is a folder of text parts that follow each other: the parts in
+    the order of their names are one valid file, plain or gzip. With ``by``
+    (``contig`` or ``file``) each value has a folder ``by=value`` of such parts and a
+    header of its own, where ``header`` has (by, k, line); ``keep_others`` leaves the
+    folders of values that do not occur. With ``name``, an expression over ``by``, each
+    value (all records without ``by``) is one blocked gzip file in the folder ``path`` instead.
+
+    Records are counted by the task that writes them, so counting takes no further job.
     """
-    rows = record_lines(records).select("line", "contig", "pos", F.struct(*order).alias("nth"), F.lit(1).alias("kind"), F.lit(0).alias("k"))
-    lines = records.sparkSession.createDataFrame(list(enumerate(header)), "k int, line string")
+    if isinstance(header, DataFrame):
+        lines = header
+    elif by:  # one header for all
+        lines = records.select(by).distinct().select(by, F.posexplode(F.lit(header)).alias("k", "line"))
+    else:
+        lines = records.sparkSession.createDataFrame(list(enumerate(header)), "k int, line string")
+    key = F.col(by) if by else F.lit("")
+    rows = record_lines(records).select(key.alias("key"), "line", "contig", "pos", F.struct(*order).alias("nth"), F.lit(1).alias("kind"), F.lit(0).alias("k"))
     absent = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema if f.name in ("contig", "pos", "nth")}
-    lines = lines.withColumns(absent | {"kind": F.lit(0)}).select(*rows.columns)
-    ordered = rows.unionByName(lines).repartitionByRange("kind", "contig", "pos").sortWithinPartitions("kind", "k", "contig", "pos", "nth")
-    writer = ordered.select("line").write.mode("overwrite")
-    (writer.option("compression", "gzip") if compress else writer).text(path)
+    lines = lines.withColumns({"key": key} | absent | {"kind": F.lit(0)}).select(*rows.columns)
+    ordered = rows.unionByName(lines).repartitionByRange("key", "kind", "contig", "pos").sortWithinPartitions("key", "kind", "k", "contig", "pos", "nth")
+    seen = Observation()
+    ordered = ordered.observe(seen, F.coalesce(F.sum("kind"), F.lit(0)).alias("n"))
+    if name is not None:
+        write_blocked(ordered.select(F.col("key").alias(by or "key"), "line").select(name.alias("name"), "line"), path)
+    elif by:
+        writer = ordered.select(F.col("key").alias(by), "line").write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_others else "static").partitionBy(by)
+        (writer.option("compression", "gzip") if compress else writer).text(path)
+    else:
+        writer = ordered.select("line").write.mode("overwrite")
+        (writer.option("compression", "gzip") if compress else writer).text(path)
+    return int(seen.get["n"])
 
 
 def write_lines(rows: DataFrame, path: str, *order: str) -> None:
@@ -66,60 +92,20 @@ def write_lines(rows: DataFrame, path: str, *order: str) -> None:
     rows.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
-def write_bed(intervals: DataFrame, path: str) -> None:
-    """A folder of text parts ordered by contig and start."""
+def write_bed(intervals: DataFrame, path: str, by_contig: bool = False, keep_others: bool = False) -> None:
+    """A folder of text parts ordered by contig and start; ``by_contig`` puts each contig into a folder of its own, ``keep_others`` leaves those of others."""
     ordered = intervals.repartitionByRange("contig", "s").sortWithinPartitions("contig", "s")
-    ordered.select(F.concat_ws("\t", "contig", F.col("s").cast("string"), F.col("e").cast("string")).alias("line")).write.mode("overwrite").text(path)
+    lines = ordered.select("contig", F.concat_ws("\t", "contig", F.col("s").cast("string"), F.col("e").cast("string")).alias("line"))
+    if by_contig:
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_others else "static").partitionBy("contig").text(path)
+    else:
+        lines.select("line").write.mode("overwrite").text(path)
 
 
 def write_status(status: DataFrame, path: str) -> None:
     status.select(F.concat_ws("\t", "base", "contig", "status").alias("line"), "contig").write.mode("overwrite").partitionBy("contig").text(path)
 
 
-def write_masks(runs: DataFrame, lengths: DataFrame, folder: str) -> DataFrame:
-    """(contig, n): a file ``<contig>.npz`` with a boolean array ``mask`` for each contig, and its number of true entries.
-
-    ``folder`` is one that all executors share. A contig's mask is made in one
-    task, of one byte a position.
-    """
-
-    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        import os
-
-        mask = np.zeros(int(rows["length"].iloc[0]), bool)
-        for s, e in zip(rows["s"], rows["e"], strict=True):
-            if s == s:
-                mask[int(s) : int(e)] = True
-        os.makedirs(folder, exist_ok=True)
-        np.savez_compressed(f"{folder}/{key[0]}.npz", mask=mask)
-        return pd.DataFrame({"contig": [key[0]], "n": [int(mask.sum())]})
-
-    return lengths.join(runs, "contig", "left").groupBy("contig").applyInPandas(write, "contig string, n long")
-
-
-def bgzf(data: Iterator[bytes], block: int = 65_280) -> Iterator[bytes]:
-    """Blocked gzip members of a stream of bytes, with the empty block at the end."""
-    held = io.BytesIO()
-    for part in data:
-        held.write(part)
-        if held.tell() >= block:
-            full = held.getvalue()
-            for k in range(0, len(full) - block + 1, block):
-                yield _member(full[k : k + block])
-            held = io.BytesIO()
-            held.write(full[len(full) - len(full) % block :])
-    if held.tell():
-        yield _member(held.getvalue())
-    yield BGZF_END
-
-
-def _member(raw: bytes) -> bytes:
-    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
-    body = packer.compress(raw) + packer.flush()
-    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25)
-    return head + body + struct.pack("<II", zlib.crc32(raw), len(raw))
-
-
 def scatter_svg(title: str, points: list[tuple[float, float]], width: int = 900, height: int = 240, ticks: int = 5) -> str:
     """A scatter plot; the y axis begins at 0."""
     if not points:

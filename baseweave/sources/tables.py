@@ -67,6 +67,11 @@ def header_lines(header: DataFrame) -> list[str]:
     return [r["line"] for r in first.orderBy("at").select("line").collect()]
 
 
+def numbered_header(header: DataFrame) -> DataFrame:
+    """(file, k, line): each file's header lines with their number in it."""
+    return header.select("file", (F.row_number().over(Window.partitionBy("file").orderBy("ordinal")) - 1).alias("k"), "line")
+
+
 def header_contigs(header: DataFrame) -> DataFrame:
     """(file, contig, length) that a gVCF's header declares."""
     declared = header.filter(F.col("line").startswith("##contig=<ID="))
