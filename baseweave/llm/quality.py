@@ -164,39 +164,31 @@ def fit(f: Features, labels: np.ndarray, epochs: int = 12, batch: int = 128, rat
     return m
 
 
-def _extract(entries: int):
-    """Features of documents to learn from; of their words the ``entries`` heaviest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, to, words in hashed_words(batch.column(2), lower=True):
-                f = features(words)
-                index, value = [], []
-                for a, b in zip(f.begin[:-1], f.begin[1:], strict=True):
-                    own = np.sort(np.argsort(-f.value[a:b], kind="stable")[:entries]) + a
-                    index.append(f.index[own].tobytes())
-                    value.append(f.value[own].tobytes())
-                columns = [batch.column(k).slice(at, to - at) for k in (0, 1)]
-                columns += [pa.array(x, pa.binary()) for x in (index, value, [row.tobytes() for row in f.stats])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "index", "value", "stats"])
-
-    return run
-
-
-def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 6000, entries: int = 1024) -> Machine:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of documents to learn from, all of their words."""
+    for batch in batches:
+        for at, to, words in hashed_words(batch.column(2), lower=True):
+            f = features(words)
+            columns = [batch.column(k).slice(at, to - at) for k in (0, 1)]
+            parts = [[x[a:b].tobytes() for a, b in zip(f.begin[:-1], f.begin[1:], strict=True)] for x in (f.index.astype(np.uint16), f.value)]
+            columns += [pa.array(x, pa.binary()) for x in (*parts, [row.tobytes() for row in f.stats])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "index", "value", "stats"])
+
+
+def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 6000) -> Machine:
     """A machine fitted to at most ``bound`` labelled documents (``learnable``), one row for each id.
 
-    Features are made where the documents are, statistics of whole texts and the
-    ``entries`` heaviest words. So what comes to the driver is bounded: some 2 KB
-    for a usual document, and ``bound * entries * 8`` bytes in all at most (49 MB).
+    Features are made where the documents are, of whole texts. What comes to the
+    driver is bounded, as a document has BUCKETS hashed words at most: some 2 KB for
+    a usual document, and ``bound * BUCKETS * 6`` bytes in all if each had every one.
     """
     chosen = learnable(docs, labels, label, bound).select("doc_id", "label", "text")
-    got = chosen.mapInArrow(_extract(entries), "doc_id long, label int, index binary, value binary, stats binary").dropDuplicates(["doc_id"]).toPandas()
+    got = chosen.mapInArrow(_extract, "doc_id long, label int, index binary, value binary, stats binary").dropDuplicates(["doc_id"]).toPandas()
     # A fixed order, so that the fit does not depend on how tasks ended.
     got = got.sort_values(["stats", "index", "label"], ignore_index=True)
-    index = np.frombuffer(b"".join(got["index"]), np.int32)
+    index = np.frombuffer(b"".join(got["index"]), np.uint16).astype(np.int32)
     value = np.frombuffer(b"".join(got["value"]), np.float32)
-    counts = [len(x) // 4 for x in got["index"]]
+    counts = [len(x) // 2 for x in got["index"]]
     stats = np.frombuffer(b"".join(got["stats"]), np.float32).reshape(-1, STATS)
     return fit(Features(index, value, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), stats), got["label"].to_numpy())
 

@@ -8,9 +8,11 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from baseweave.llm import divergence, dom, html_extraction, lexical_search, wrappers
+from baseweave.llm import divergence, dom, html_extraction, lexical_search, quality, wrappers
+from baseweave.llm.words import hashed_words
 
 ALNUM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 LETTERS = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -248,3 +250,54 @@ def test_pages_of_nothing(spark):
 def test_parsing_takes_linear_time():
     for odd in ("<b>" * 200_000 + "</i>" * 200_000, "<div>" * 200_000 + "</p>" * 200_000, "<a title=\"" * 3000, "<" * 100_000, "<p class='a" * 3000, "<!--" * 20_000):
         dom.parse(odd)
+
+
+# Features of the quality classifier
+
+
+def plain_features(text):
+    """The statistics and hashed words of one text, word by word."""
+    space = "[\x20\x09-\x0d]+"
+    found = [w.encode() for w in re.split(space, text) if w]
+    raw, n = text.encode(), max(len(found), 1)
+    kind = lambda c: 0 if 65 <= c <= 90 else 1 if 97 <= c <= 122 else 2 if 48 <= c <= 57 else 4 if c >= 128 else 3 if 0x21 <= c < 0x7F else 5
+    pause = b".,;:!?"
+    stats = [sum(map(len, found)), sum(kind(w[-1]) == 3 and w[-1] not in pause for w in found), sum(w[-1] in pause for w in found), sum(kind(w[0]) == 0 for w in found)]
+    stats += [sum(kind(w[0]) == 3 and len(w) == 1 for w in found), sum(kind(w[0]) == 2 for w in found), sum(len(w) > 20 for w in found)]
+    stats = [x / n for x in stats]
+    every = Counter(kind(c) for w in found for c in w)
+    stats += [every[k] / max(sum(every.values()), 1) for k in range(6)]
+    lines = raw.split(b"\n")
+    stats += [math.log1p(len(lines)), 1 - len(set(lines)) / len(lines), math.log1p(len(raw) / len(lines))]
+    counts = Counter()
+    for w in found:
+        (_, _, words), = hashed_words(pa.array([w.decode()]), lower=True)
+        counts[int(words.hashes[0]) % quality.BUCKETS] += 1
+    stats += [math.log1p(len(found)), math.log1p(len(raw)), len(counts) / n, float(not found)]
+    norm = math.sqrt(max(sum(counts.values()), 1))
+    return {k: math.sqrt(c) / norm for k, c in counts.items()}, stats
+
+
+def test_features_against_plain_recomputation():
+    rng = random.Random(9)
+    texts = ["", " \n", "One line.\nOne line.\nOther; LINE 12 $ x1 -- done!", "é É x" * 30, "w" * 50, prose(rng, 3000, 2900)]
+    got = []
+    for _, _, words in hashed_words(pa.array(texts), lower=True):
+        f = quality.features(words)
+        got += [({int(i): float(v) for i, v in zip(f.index[a:b], f.value[a:b])}, row) for a, b, row in zip(f.begin[:-1], f.begin[1:], f.stats)]
+    assert max(len(x) for x, _ in got) > 1024
+    for text, (index, stats) in zip(texts, got, strict=True):
+        own, expected = plain_features(text)
+        assert index.keys() == own.keys() and np.allclose([index[k] for k in own], list(own.values()), atol=1e-5)
+        assert np.allclose(stats, expected, atol=1e-5)
+
+
+def test_all_words_are_learned_from(spark, monkeypatch):
+    """Rare words decide, though each document has thousands of others that weigh as much or more."""
+    rng = random.Random(1)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda f, labels: seen.append(np.diff(f.begin)) or quality.Machine(0, *[None] * 4))
+    rows = [(k, prose(rng, 6000, 5000), "en", "a") for k in range(6)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id bigint, quality int")
+    quality.learn_quality(docs(spark, rows).select("doc_id", "text"), labels)
+    assert min(seen[0]) > 1024
