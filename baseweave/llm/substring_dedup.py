@@ -8,13 +8,18 @@ anchor: equal windows meet in one shard, and work grows with the input only.
 1. Segments' anchors (not their words) are dealt out. An anchor of one document
    only cannot belong to a repeated window, and goes no further. Of segments
    with the same words, the smallest document's stands for all, first within a
-   task, then within the shard; the others are whole copies of it.
-2. The words of the segments left are dealt to their shards. A shard builds a
-   compressed FM-index of them and streams the same segments through it. Backward
-   search gives for each place the longest match, up to 13 words, and the interval
-   of suffixes that begin with it; the smallest owner there tells whether an
-   earlier document has these words. Stretches of such places are reported.
-3. Reports meet their documents, where they are checked against the text.
+   task's batch, then within the shard; the others wait for what is found of it.
+2. The words of the segments that stand for all are dealt to their shards. A shard
+   builds a compressed FM-index of them and streams each of them through it.
+   Backward search gives for each place the longest match, up to 13 words (matching
+   statistics are followed to the threshold and no further), and the interval of
+   suffixes that begin with it; the smallest owner there tells whether an earlier
+   document has these words. Stretches of such places are reported.
+3. A segment that waited loses the stretches in which the one that stands for it
+   was matched: those have an earlier owner. Reports go back to the shard's copies
+   and, batch by batch, to those that never left their batch, so no number of
+   copies meets in one task.
+4. Reports meet their documents, where they are checked against the text.
 
 Segments travel packed, many to a row; a shard holds about ``shard_bytes`` of
 text, so the number of shards grows with the input. A passage that very many
@@ -32,6 +37,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +52,8 @@ SLOTS = 1 << 18
 COMBINED = 200_000
 #: Windows in a segment at most; longer runs, as of one word repeated, are cut into several segments.
 LONGEST = 64
+#: Set in the length of a segment that others of its batch wait for.
+WAITED = 1 << 15
 #: Two segments count as equal by 96 bits of two hashes: among 10 ** 12 segments not one false pair is to be expected (6e-6).
 SEEN = np.dtype([("anchor", "<u4"), ("length", "<u2"), ("start", "<i4"), ("doc", "<i8"), ("content", "<u8"), ("check", "<u4")])
 _ODD = np.array([0xD1342543DE82EF95, 0xAF251AF3B0F025B5], np.uint64)
@@ -54,6 +62,12 @@ _PART = [("doc", "<i8"), ("start", "<i4"), ("length", "<i4"), ("content", "<u8")
 PLACED = np.dtype(_PART)
 #: A segment to index in a shard.
 SEGMENT = np.dtype([*_PART, ("shard", "<i4")])
+#: A segment that waits in its batch for the one at ``place`` of what the batch sent to ``shard``.
+CLAIM = np.dtype([*_PART, ("shard", "<i4"), ("place", "<i4")])
+#: A segment that waits in its shard, or (``own``) one that stands for others; ``place`` tells who waits for it in its batch, -1 nobody.
+COPY = np.dtype([*_PART, ("batch", "<i8"), ("place", "<i4"), ("own", "u1")])
+#: Words ``begin`` to ``end`` of the segment at ``place`` of a batch's records of ``shard`` were matched.
+FOUND = np.dtype([("shard", "<i4"), ("place", "<i4"), ("begin", "<i4"), ("end", "<i4")])
 #: Words ``begin`` to ``end`` of a document go, provided that the segment there is the one meant.
 REMOVAL = np.dtype([*_PART, ("begin", "<i4"), ("end", "<i4")])
 
@@ -128,28 +142,53 @@ def _packed(key: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
         cuts = np.searchsorted(own[order], np.arange(len(every) + 1))
         records, at = records[order], at + len(records)
         parts.append(pa.array([records[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
-    return [pa.array(every.astype(np.int32)), *parts]
+    return [pa.array(every), *parts]
 
 
 def _records(parts: pa.ChunkedArray | pa.Array, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(p for p in parts.to_pylist() if p), dtype)
 
 
+def _table(schema: str, **columns: pa.Array) -> pa.RecordBatch:
+    """Rows of ``schema`` ("name type, ..."), null in the columns that are not given."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    n = len(next(iter(columns.values())))
+    found = [(name, columns[name].cast(kinds[kind]) if name in columns else pa.nulls(n, kinds[kind])) for name, kind in (c.split() for c in schema.split(", "))]
+    return pa.RecordBatch.from_arrays([c for _, c in found], [name for name, _ in found])
+
+
+SENT = "shard int, batch long, seen binary, claims binary"
+
+
 def _seen(shards: int, crowded):
-    """Segments' anchors, packed by shard. Of equal segments of a task the smallest document's stands for all.
+    """Segments' anchors, packed by shard. Of equal segments of a batch the smallest document's stands for all.
 
-    What the others lose is known at once; it travels under a key below 0, apart
-    from the shard's anchors, so copies do not pile up there.
+    The others wait in their batch, as rows under a key below 0, so copies do not
+    pile up in a shard.
     """
 
-    def combined(shard: list[np.ndarray], records: list[np.ndarray]) -> pa.RecordBatch:
+    def combined(batch: int, shard: list[np.ndarray], records: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, found = np.concatenate(shard), np.concatenate(records)
-        order, copy = _copies(found)
-        keys = np.concatenate([key[order[~copy]], -1 - key[order[copy]]])
-        return pa.RecordBatch.from_arrays(_packed(keys, found[order[~copy]], _lost(found[order[copy]])), ["shard", "seen", "removals"])
+        order, copy, first = _copies(found)
+        key, found = key[order], found[order]
+        ahead = np.cumsum(~copy) - 1
+        stands = np.unique(ahead[first[copy]])
+        sent, sent_key, waiting = found[~copy], key[~copy], found[copy]
+        sent["length"][stands] |= WAITED
+        by_key = np.argsort(sent_key, kind="stable")
+        begin = _runs(sent_key[by_key])
+        place = np.empty(len(sent), np.int64)
+        place[by_key] = np.arange(len(sent)) - np.repeat(begin, np.diff(np.append(begin, len(sent))))
+        shards_sent, seen = _packed(sent_key, sent)
+        yield _table(SENT, shard=shards_sent, batch=pa.array([batch] * len(seen), pa.int64()), seen=seen)
+        if len(waiting):
+            claims = _as(CLAIM, waiting)
+            of = ahead[first[copy]]
+            claims["shard"], claims["place"] = sent_key[of], place[of]
+            yield _table(SENT, shard=pa.array([-1 - batch % shards]), batch=pa.array([batch], pa.int64()), claims=pa.array([claims.tobytes()], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, records, n = [], [], 0
+        shard, records, n, number = [], [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for at, to, words in hashed_words(batch.column(1), lower=False):
@@ -162,29 +201,31 @@ def _seen(shards: int, crowded):
                 records.append(own)
                 n += len(own)
                 if n >= COMBINED:
-                    yield combined(shard, records)
-                    shard, records, n = [], [], 0
+                    yield from combined(number, shard, records)
+                    shard, records, n, number = [], [], 0, number + 1
         if n:
-            yield combined(shard, records)
+            yield from combined(number, shard, records)
 
     return run
 
 
-def _copies(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by content and document, and in it which segments a smaller document has too."""
+def _copies(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by content and document, and in it which segments a smaller document has too, and where the first equal one is."""
     order = np.lexsort([seen["doc"], seen["check"], seen["content"]])
     begin = _runs(seen["content"][order], seen["check"][order])
     doc = seen["doc"][order]
-    return order, doc > np.repeat(doc[begin], np.diff(np.append(begin, len(doc))))
+    first = np.repeat(begin, np.diff(np.append(begin, len(doc))))
+    return order, doc > doc[first], first
 
 
-def _lost(seen: np.ndarray) -> np.ndarray:
-    """Removals of whole segments."""
-    gone = np.empty(len(seen), REMOVAL)
+def _as(dtype: np.dtype, records: np.ndarray) -> np.ndarray:
+    """Records of another kind with the same segments."""
+    out = np.zeros(len(records), dtype)
     for name, _ in _PART:
-        gone[name] = seen[name]
-    gone["begin"], gone["end"] = gone["start"], gone["start"] + gone["length"]
-    return gone
+        out[name] = records[name]
+    if records.dtype == SEEN:
+        out["length"] &= WAITED - 1
+    return out
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -196,25 +237,40 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+MARKS = "bucket int, segments binary, shard int, copies binary, batch long, claims binary"
+
+
 def _shared(buckets: int):
-    """Of a shard's anchors those of several documents: segments to index, and whole copies."""
+    """Of a shard's anchors those of several documents: segments to index, and those that wait for them; what waits in batches goes through."""
 
     def run(rows: pa.Table) -> pa.Table:
         shard = rows["shard"][0].as_py()
-        seen, known = _records(rows["seen"], SEEN), _records(rows["removals"], REMOVAL)
-        seen = seen[np.argsort(seen["anchor"], kind="stable")]
+        if shard < 0:
+            return pa.Table.from_batches([_table(MARKS, batch=rows["batch"].combine_chunks(), claims=rows["claims"].combine_chunks())])
+        parts = [np.frombuffer(x, SEEN) for x in rows["seen"].to_pylist()]
+        seen, batch = np.concatenate(parts), np.repeat(np.array(rows["batch"]), [len(x) for x in parts])
+        place = np.concatenate([np.arange(len(x)) for x in parts])
+        by_anchor = np.argsort(seen["anchor"], kind="stable")
+        seen, batch, place = seen[by_anchor], batch[by_anchor], place[by_anchor]
         begin = _runs(seen["anchor"])
         several = np.minimum.reduceat(seen["doc"], begin) < np.maximum.reduceat(seen["doc"], begin) if len(begin) else np.zeros(0, bool)
-        seen = seen[np.repeat(several, np.diff(np.append(begin, len(seen))))]
-        order, copy = _copies(seen)
-        first = seen[order[~copy]]
-        own = np.empty(len(first), SEGMENT)
-        for name, _ in _PART:
-            own[name] = first[name]
+        several = np.repeat(several, np.diff(np.append(begin, len(seen))))
+        # What waits in a batch is of another document, though the shard may have seen one only.
+        several |= seen["length"] >= WAITED
+        seen, batch, place = seen[several], batch[several], place[several]
+        order, copy, _ = _copies(seen)
+        seen, batch, place = seen[order], batch[order], place[order]
+        own = _as(SEGMENT, seen[~copy])
         own["shard"] = shard
-        gone = np.concatenate([known, _lost(seen[order[copy]])])
-        keys = np.concatenate([own["doc"], gone["doc"]]) % buckets
-        return pa.Table.from_arrays(_packed(keys, own, gone), ["bucket", "segments", "removals"])
+        waited = seen["length"] >= WAITED
+        some = copy | waited
+        copies = _as(COPY, seen[some])
+        copies["batch"], copies["place"], copies["own"] = batch[some], np.where(waited, place, -1)[some], ~copy[some]
+        keys, packed = _packed(own["doc"] % buckets, own)
+        out = [_table(MARKS, bucket=keys, segments=packed)]
+        if len(copies):
+            out.append(_table(MARKS, shard=pa.array([shard]), copies=pa.array([copies.tobytes()], pa.binary())))
+        return pa.Table.from_batches(out)
 
     return run
 
@@ -257,35 +313,92 @@ def _words_out(rows: pa.Table, marks: pa.Table) -> pa.Table:
         placed.append(part)
     shard, placed, hashes, lengths = (np.concatenate(x) for x in (shard, placed, hashes, lengths))
     keys = np.concatenate([shard, np.repeat(shard, lengths)])
-    return pa.Table.from_arrays(_packed(keys, placed, hashes), ["shard", "placed", "words"])
+    shards, placed, hashes = _packed(keys, placed, hashes)
+    return pa.Table.from_batches([_table("shard int, placed binary, words binary", shard=shards, placed=placed, words=hashes)])
+
+
+REPORTS = "bucket int, removals binary, batch long, found binary"
 
 
 def _searched(buckets: int):
     """Index a shard's segments, stream them through the index, report the stretches that smaller documents have."""
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, waiting: pa.Table) -> pa.Table:
         placed = _records(rows["placed"], PLACED)
         words, length = _records(rows["words"], np.dtype("<u8")), placed["length"].astype(np.int64)
         _, number = np.unique(placed["doc"], return_inverse=True)
         index = FMIndex(words, length, number.ravel(), WIDTH)
         longest, owner = index.matches(words, length)
         of = np.repeat(np.arange(len(placed)), length)
-        # From these places on 13 words match, and some match is a smaller document's.
-        at = np.flatnonzero((longest >= WIDTH) & (owner < number.ravel()[of]))
-        run = _runs(at - np.arange(len(at)), of[at])
-        last = at[np.append(run[1:], len(at))[: len(run)] - 1] if len(run) else at
-        segment = of[at[run]]
         begins = np.cumsum(length) - length
-        gone = np.empty(len(run), REMOVAL)
-        for name, _ in _PART:
-            gone[name] = placed[name][segment]
-        gone["begin"] = gone["start"] + at[run] - begins[segment]
-        gone["end"] = gone["start"] + last - begins[segment] + WIDTH
-        return pa.Table.from_arrays(_packed(gone["doc"] % buckets, gone), ["bucket", "removals"])
+
+        def stretches(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Segment, first word in it and end of each run of places from which 13 words match."""
+            run = _runs(at - np.arange(len(at)), of[at])
+            last = at[np.append(run[1:], len(at))[: len(run)] - 1] if len(run) else at
+            segment = of[at[run]]
+            return segment, at[run] - begins[segment], last - begins[segment] + WIDTH
+
+        # From these places on 13 words match, and some match is a smaller document's.
+        segment, begin, end = stretches(np.flatnonzero((longest >= WIDTH) & (owner < number.ravel()[of])))
+        gone = _as(REMOVAL, placed[segment])
+        gone["begin"], gone["end"] = gone["start"] + begin, gone["start"] + end
+        # What waits for a segment is of a larger document than that, so wherever it is matched an earlier document has it.
+        copies = _records(waiting["copies"], COPY)
+        segment, begin, end = stretches(np.flatnonzero(longest >= WIDTH))
+        content = np.argsort(placed["content"], kind="stable")
+        at = np.searchsorted(placed["content"][content], copies["content"])
+        known = at < len(content)
+        known[known] = placed["content"][content[at[known]]] == copies["content"][known]
+        copies, stands = copies[known], content[at[known]]
+        low, high = np.searchsorted(segment, stands, "left"), np.searchsorted(segment, stands, "right")
+        which, nth = _expanded(low, high)
+        copies, begin, end = copies[which], begin[nth], end[nth]
+        late = (copies["own"] == 0) & (copies["doc"] > placed["doc"][stands[which]])
+        lost = _as(REMOVAL, copies[late])
+        lost["begin"], lost["end"] = lost["start"] + begin[late], lost["start"] + end[late]
+        gone = np.concatenate([gone, lost])
+        keys, removals = _packed(gone["doc"] % buckets, gone)
+        waits = copies["place"] >= 0
+        found = np.zeros(int(waits.sum()), FOUND)
+        found["shard"] = rows["shard"][0].as_py() if len(rows) else 0
+        found["place"], found["begin"], found["end"] = copies["place"][waits], begin[waits], end[waits]
+        batches, packed = _packed(copies["batch"][waits], found)
+        return pa.Table.from_batches([_table(REPORTS, bucket=keys, removals=removals), _table(REPORTS, batch=batches, found=packed)])
 
     return run
 
 
+def _expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each number from each ``low`` to its ``high``, and which of them it is of."""
+    n = high - low
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum())
+
+
+def _answered(buckets: int):
+    """Removals of what waits in a batch, from what was found of the segments it waits for."""
+
+    def run(rows: pa.Table, reports: pa.Table) -> pa.Table:
+        claims, found = _records(rows["claims"], CLAIM), _records(reports["found"], FOUND)
+        key = lambda x: (x["shard"].astype(np.int64) << 32) + x["place"]
+        found = found[np.argsort(key(found), kind="stable")]
+        which, nth = _expanded(np.searchsorted(key(found), key(claims), "left"), np.searchsorted(key(found), key(claims), "right"))
+        gone = _as(REMOVAL, claims[which])
+        gone["begin"], gone["end"] = gone["start"] + found["begin"][nth], gone["start"] + found["end"][nth]
+        keys, removals = _packed(gone["doc"] % buckets, gone)
+        return pa.Table.from_batches([_table("bucket int, removals binary", bucket=keys, removals=removals)])
+
+    return run
+
+
+def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that keep all their words."""
+    none = pa.table({"removals": pa.array([], pa.binary())})
+    for batch in batches:
+        yield from _kept(pa.Table.from_batches([batch]), none).to_batches()
+
+
 def _kept(rows: pa.Table, removals: pa.Table) -> pa.Table:
     n_words, n_removed, digest, kept_text = [], [], [], []
     for _, _, words, text, gone in _texts(rows, _records(removals["removals"], REMOVAL)):
@@ -346,16 +459,22 @@ def substring_dedup(
     crowded = source.sparkSession.sparkContext.broadcast(crowded)
     shards = max(1, -(-n_bytes // shard_bytes))
     buckets = _prime(shards)
-    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards, crowded), "shard int, seen binary, removals binary").repartition(shards, "shard")
-    marks = written(seen.groupBy("shard").applyInArrow(_shared(buckets), "bucket int, segments binary, removals binary"), "substring-marks")
-    texts = source.withColumn("bucket", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
-    dealt = texts.groupBy("bucket").cogroup(marks.select("bucket", "segments").groupBy("bucket"))
+    seen = source.filter("doc_id is not null").mapInArrow(_seen(shards, crowded), SENT).repartition(shards, "shard")
+    marks = written(seen.groupBy("shard").applyInArrow(_shared(buckets), MARKS), "substring-marks")
+    texts = source.filter("doc_id is not null").withColumn("bucket", F.pmod("doc_id", F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
+    dealt = texts.groupBy("bucket").cogroup(marks.filter("segments is not null").select("bucket", "segments").groupBy("bucket"))
     dealt = dealt.applyInArrow(_words_out, "shard int, placed binary, words binary").repartition(shards, "shard")
-    found = dealt.groupBy("shard").applyInArrow(_searched(buckets), "bucket int, removals binary")
-    gone = marks.select("bucket", "removals").unionByName(found)
-    kept = texts.groupBy("bucket").cogroup(gone.groupBy("bucket"))
-    kept = kept.applyInArrow(_kept if keep_text else _counted, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
-    return kept
+    waiting = marks.filter("copies is not null").select("shard", "copies")
+    found = written(dealt.groupBy("shard").cogroup(waiting.groupBy("shard")).applyInArrow(_searched(buckets), REPORTS), "substring-reports")
+    claims = marks.filter("claims is not null").select("batch", "claims")
+    answers = claims.groupBy("batch").cogroup(found.filter("found is not null").select("batch", "found").groupBy("batch")).applyInArrow(_answered(buckets), "bucket int, removals binary")
+    gone = found.filter("removals is not null").select("bucket", "removals").unionByName(answers)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
+    last = _kept if keep_text else _counted
+    kept = texts.groupBy("bucket").cogroup(gone.groupBy("bucket")).applyInArrow(last, schema)
+    # Rows without an id meet no report, and so no bucket.
+    apart = source.filter("doc_id is null").mapInArrow(_untouched, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return kept.unionByName(apart.select(*kept.columns))
 
 
 def _counted(rows: pa.Table, removals: pa.Table) -> pa.Table:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from baseweave.llm import divergence, dom, html_extraction, lexical_search, quality, wrappers
+from baseweave.llm import divergence, dom, html_extraction, lexical_search, quality, substring_dedup, wrappers
 from baseweave.llm.words import hashed_words
 
 ALNUM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -301,3 +301,60 @@ def test_all_words_are_learned_from(spark, monkeypatch):
     labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id bigint, quality int")
     quality.learn_quality(docs(spark, rows).select("doc_id", "text"), labels)
     assert min(seen[0]) > 1024
+
+
+# Repeated passages are decided by the index
+
+
+def repeats(rng):
+    passage = prose(rng, 60, 5000)
+    rows = [(k, f"{prose(rng, 30, 5000)} {passage} {prose(rng, 30, 5000)}") for k in range(20)]
+    return rows + [(100 + k, rows[3][1]) for k in range(30)] + [(200, passage)]
+
+
+def test_nothing_goes_without_the_index(spark, monkeypatch):
+    rows = [(*r, "en", "a") for r in repeats(random.Random(4))]
+    found = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()}
+    assert found[0] == 0 and found[200] == 60 and all(found[100 + k] == len(rows[3][1].split()) for k in range(30))
+    none = lambda self, sequences, lengths: (np.zeros(len(sequences), np.int8), np.full(len(sequences), -1, np.int64))
+    monkeypatch.setattr(substring_dedup.FMIndex, "matches", none)
+    assert {r.n_removed for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()} == {0}
+
+
+@pytest.mark.parametrize("combined", [5, 200_000])
+def test_copies_wait_in_small_batches(spark, monkeypatch, combined):
+    """The same result whether copies meet in one batch or in many; repeated rows and null ids among them."""
+    monkeypatch.setattr(substring_dedup, "COMBINED", combined)
+    rows = repeats(random.Random(4))
+    rows += [rows[2], (None, rows[3][1]), (None, None), (7, rows[3][1])]
+    first, expected = {}, Counter()
+    for i, t in rows:
+        w = (t or "").split()
+        for k in range(len(w) - 12):
+            if i is not None:
+                key = tuple(w[k : k + 13])
+                first[key] = min(first.get(key, i), i)
+    for i, t in rows:
+        w = (t or "").split()
+        gone = {k + j for k in range(len(w) - 12) for j in range(13) if i is not None and first[tuple(w[k : k + 13])] < i}
+        expected[(i, len(w), len(gone))] += 1
+    table = docs(spark, [(*r, "en", "a") for r in rows])
+    for size in (1 << 20, 3000):
+        found = substring_dedup.substring_dedup(table, shard_bytes=size).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_removed) for r in found) == expected
+
+
+def test_rows_without_an_id_share_no_bucket(spark, monkeypatch):
+    rng, sizes = random.Random(6), spark.sparkContext.accumulator(0)
+    rows = [(k if k % 3 else None, prose(rng, 40, 5000), "en", "a") for k in range(900)]
+    inner = substring_dedup._kept
+
+    def counted(rows, removals):
+        sizes.add(rows.num_rows if "bucket" in rows.column_names else 0)
+        return inner(rows, removals)
+
+    monkeypatch.setattr(substring_dedup, "_kept", counted)
+    found = substring_dedup.substring_dedup(docs(spark, rows), shard_bytes=4000)
+    assert len(found.collect()) == 900 and sizes.value == 600
+    buckets = Counter(k % substring_dedup._prime(-(-sum(len(r[1]) for r in rows if r[0] is not None) // 4000)) for k, *_ in rows if k is not None)
+    assert max(buckets.values()) < 3 * 600 / len(buckets)
