@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baseweave.functions import names, vcf
-from baseweave.operators import accessibility, alignment, classify, contigs, coverage, gaps, indels, intervals, mask, ploidy, samples, windows
-from baseweave.operators.stored import shared_dir
+from baseweave.operators import accessibility, alignment, classify, contigs, coverage, gaps, indels, intervals, mask, ploidy, runs, samples, windows
+from baseweave.operators.stored import shared_dir, stored
 from baseweave.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -602,6 +602,87 @@ def sample_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contigs.presence(records.select(F.col("file").alias("base")), records.select("contig"), records)
 
 
+@query(f"WITH {SITES}, {FLAGS}, {CLASSES} SELECT contig, CAST(sum(greatest(coalesce(fin, pos - 1 + length(ref)) - pos + 1, 0)) AS BIGINT) AS bp, CAST(count(*) AS BIGINT) AS n FROM classes GROUP BY contig")
+def interval_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of written records as masks see them; lines that are too short or have no position give none."""
+    good = tables.as_records(sites(spark, sf_dir)).select("line", "contig")
+    bad = F.explode(F.array("line", F.concat("contig", F.lit("\tpos\tx")), "contig", F.concat(F.lit("#"), "line"), F.lit("")))
+    path = _text(good.select(bad.alias("line")), "scan")
+    spans = mask.mask_spans(tables.with_positions(tables.read_vcf(spark, path)))
+    return spans.groupBy("contig").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("bp"), F.count("*").alias("n"))
+
+
+@query(f"""WITH {SITES}, {LENGTHS}, {FLAGS}, {CLASSES}, {SPANS}, {_merged('m', 'SELECT * FROM spans')}, b AS (SELECT contig, CAST(sum(e - s) AS BIGINT) AS covered, max(e) AS last FROM m GROUP BY contig)
+          SELECT lengths.contig, greatest(length, last) - covered AS missing_bp FROM lengths JOIN b ON b.contig = lengths.contig""")
+def missing_bp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.length(missing_gaps(spark, sf_dir), "missing_bp")
+
+
+@query(f"WITH {SITES}, {LENGTHS} SELECT contig, length, length % 1000 AS short FROM lengths")
+def fai_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index with repeated names: the last length counts, or the first."""
+    both = F.array(F.concat_ws("\t", "contig", (F.col("length") % 1000).cast("string")), F.concat_ws("\t", "contig", F.col("length").cast("string")))
+    path = _text(_lengths(spark, sf_dir).select(F.explode(both).alias("line")), "fai")
+    first = tables.read_fai(spark, path, first=True).withColumnRenamed("length", "short")
+    return tables.read_fai(spark, path).join(first, "contig")
+
+
+@query("SELECT concat('c', n_nationkey) AS contig, CAST(n_nationkey * 7 + 61 AS BIGINT) AS length FROM nation")
+def fasta_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A FASTA file's names and lengths; of a header the first word is the name."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    bases = F.repeat(F.lit("ACGTACG"), F.col("n_nationkey").cast("int"))
+    record = F.concat_ws("\n", F.concat(F.lit("> c"), F.col("n_nationkey").cast("string"), F.lit(" "), F.col("n_name")), F.repeat(F.lit("N"), F.lit(61)), bases)
+    return tables.read_fasta_contigs(spark, _text(nation.select(record.alias("line")), "fasta"))
+
+
+@query("SELECT DISTINCT concat('chr', l_linenumber) AS contig FROM lineitem")
+def maf_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs of the first sequence of each block; those of the others do not count."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    row = lambda name: F.concat(F.lit("s "), name, F.lit(" 0 2 + 9 AC"))
+    block = F.concat_ws("\n", F.lit("a"), row(F.concat(F.lit("chr"), F.col("l_linenumber").cast("string"))), row(F.concat(F.lit("x"), F.col("l_partkey").cast("string"))), F.lit(""))
+    return tables.maf_reference_contigs(tables.read_maf(spark, _text(line.select(block.alias("line")), "maf"))).select("contig")
+
+
+@query(f"WITH {SITES}, {FLAGS}, {CLASSES} SELECT contig, CAST(count(DISTINCT pos) AS BIGINT) AS bp, CAST(count(*) AS BIGINT) AS n FROM classes GROUP BY contig")
+def run_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records' positions folded into runs in their order, and the runs merged again."""
+    ordered = sites(spark, sf_dir).repartitionByRange("contig", "pos").sortWithinPartitions("contig", "pos")
+    found = stored(runs.position_runs(ordered), "runs")
+    n = found.groupBy("contig").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("n"))
+    return intervals.length(intervals.merge(found)).join(n, "contig")
+
+
+@query("""WITH e AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 3 = 0 THEN 'x' ELSE CAST(l_partkey AS VARCHAR) END AS pos, CASE WHEN l_suppkey % 2 = 0 THEN 'END=' || l_suppkey ELSE 'END=.' END AS info,
+                 l_quantity > 25 AS whole FROM lineitem)
+          SELECT CASE WHEN NOT whole THEN 'filtered' WHEN info <> 'END=.' THEN 'inv' ELSE 'clean' END AS class, CAST(count(*) AS BIGINT) AS n FROM e
+          WHERE pos <> 'x' OR info <> 'END=.' OR NOT whole GROUP BY ALL""")
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks whose position is no number, ENDs that are none, and lines that are too short; each line is its own group."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    pos = F.when(F.col("l_partkey") % 3 == 0, "x").otherwise(F.col("l_partkey").cast("string"))
+    info = F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("END="), F.col("l_suppkey").cast("string"))).otherwise("END=.")
+    whole = F.col("l_quantity") > 25
+    contig = F.concat_ws("_", F.lit("c"), F.monotonically_increasing_id().cast("string"))
+    text = F.when(whole, F.concat_ws("\t", contig, pos, F.lit("."), F.lit("A"), F.lit("G"), F.lit("."), F.lit("."), info, F.lit("GT"), F.lit("0/1"))).otherwise(F.concat_ws("\t", contig, pos, F.lit(".")))
+    rows = line.filter((pos != "x") | (info != "END=.") | ~whole).select(text.alias("line"))
+    return classify.classify(tables.read_vcf(spark, _text(rows, "odd"))).groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {SITES}, f AS (SELECT *, concat('s', l_suppkey % 3) AS file, fin IS NULL AND alt NOT IN ('.', '<NON_REF>') AS v FROM sites),
+          r AS (SELECT * FROM f WHERE NOT (file = 's2' AND contig IN ('chr1', 'chr2')) AND NOT (file = 's0' AND contig = 'chr2'))
+          SELECT contig, CAST(count(DISTINCT file) AS BIGINT) AS n_samples, CAST(count(DISTINCT CASE WHEN v THEN pos END) AS BIGINT) AS n_loci FROM r GROUP BY contig""")
+def merged_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged records where samples lack contigs: a contig's rows have the calls of the samples that are on it."""
+    file, contig = F.col("file"), F.col("contig")
+    absent = ((file == "s2") & contig.isin("chr1", "chr2")) | ((file == "s0") & (contig == "chr2"))
+    merged = samples.merged_records(sites(spark, sf_dir).filter(~absent))
+    locus = vcf.extract_end(F.col("info")).isNull()
+    sizes = merged.select("contig", F.size("samples").cast("bigint").alias("n_samples"), locus.alias("locus"))
+    return sizes.groupBy("contig", "n_samples").agg(F.sum(F.col("locus").cast("bigint")).alias("n_loci"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
