@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from baseweave.functions.vcf import is_variant_alt
 from baseweave.operators import accessibility, alignment, classify, contigs, coverage, gaps, indels, mask, ploidy, samples, windows
-from baseweave.operators.intervals import merge
 from baseweave.operators.runs import position_runs
 from baseweave.operators.stored import stored
 from baseweave.sources import sinks, tables
@@ -97,7 +96,7 @@ def split(records: DataFrame, lengths: DataFrame | None = None, filter_multialle
     usable = records.filter("n_cols >= 2")
     classified = stored(classify.classify(records, filter_multiallelic=filter_multiallelic), "classified")
     of = {c: classified.filter(F.col("class") == c) for c in (classify.INVARIANT, classify.FILTERED, classify.CLEAN)}
-    missing = merge(gaps.missing(gaps.record_spans(tables.with_positions(usable)), lengths))
+    missing = gaps.missing(gaps.record_spans(tables.with_positions(usable)), lengths)  # gaps part by a record, so none touch
     clean = classify.reformatted(classified, order=("ordinal",), by=("file",))
     return Split(of["inv"], of["filtered"], clean, missing, classify.class_counts(classified), classified)
 
