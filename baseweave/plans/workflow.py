@@ -355,7 +355,10 @@ def run(spark: SparkSession, vcf: str | list[str] | DataFrame | Merged, fai: str
         sinks.write_status(status, f"{folder}/status")
         lacking = contigs.missing_contigs(status).orderBy("base").collect()
         warnings += [f"{r['base']} is missing contigs: {r['preview']}" for r in lacking]
-    sections = {"Outputs": list(outputs.values()), **({"Ploidy": [f"{vcf.ploidy} ({vcf.how})", *[f"{f}: {n}" for f, n in sorted(vcf.ploidies.items())]]} if given and vcf.ploidies else {}), **(facts or {})}
+    steps = {"merge": ["combined"] if given else [], "split": ["inv", "filtered", "clean", "missing.bed"], "mask": ["filtered.bed"], "proof": ["coverage.txt"], "report": ["summary.html"]}
+    sections = {"Steps": [f"{step}: {', '.join(outputs[x] for x in made)}" for step, made in steps.items() if made] + [f"accessibility: {folder}/accessible"]}
+    sections |= {"Files for ARG estimation": [outputs["clean"], outputs["filtered.bed"], f"{folder}/accessible"]}
+    sections |= { **({"Ploidy": [f"{vcf.ploidy} ({vcf.how})", *[f"{f}: {n}" for f, n in sorted(vcf.ploidies.items())]]} if given and vcf.ploidies else {}), **(facts or {})}
     if logs:
         found = tables.warning_lines(read_lines(spark, logs)).orderBy("file", "ordinal")
         sections["Log warnings"] = [r["line"] for r in found.collect()]

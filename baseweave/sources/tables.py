@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from baseweave.functions.vcf import as_bigint
+from baseweave.functions.vcf import as_bigint, extract_end
 from baseweave.operators.stored import stored
 
 from .text import field, in_file_order, read_lines, split_fields
@@ -34,12 +34,15 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def as_records(rows: DataFrame) -> DataFrame:
-    """Records of VCF_SCHEMA of rows (file, contig, pos, ref, alt, info, format, samples), in the order of their positions."""
+    """Records of VCF_SCHEMA of rows (file, contig, pos, ref, alt, info, format, samples), in the order of their positions.
+
+    At one position blocks with END stand before the others, so groups do not depend on chance.
+    """
     dot = F.lit(".")
     fixed = [F.col("contig"), F.col("pos").cast("string"), dot, F.col("ref"), F.col("alt"), dot, dot, F.col("info"), F.col("format")]
     cols = F.concat(F.array(*fixed), "samples")
     rows = rows.withColumns({"cols": cols, "n_cols": F.size(cols), "line": F.array_join(cols, "\t")})
-    ordinal = F.struct(F.col("pos").alias("part"), F.lit(0).cast("bigint").alias("row"))
+    ordinal = F.struct(F.col("pos").alias("part"), F.when(extract_end(F.col("info")).isNotNull(), 0).otherwise(1).cast("bigint").alias("row"))
     names = ("file", "ordinal", "line", "cols", "n_cols", "contig", "pos", "ref", "alt", "info", "format", "samples")
     return rows.withColumn("ordinal", ordinal).select(*names)
 
