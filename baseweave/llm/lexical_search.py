@@ -7,8 +7,9 @@ sum over its m terms.
    bounds, and the k-th largest, t, is one of the item's k-th score.
 2. A document of at least t has a part of at least t / m from some term. So every
    list gives all entries from that threshold on. What a document may still get
-   from lists that did not give it is below the threshold each; those that so
-   cannot reach the k-th largest sum are left out.
+   from lists that did not give it is below the threshold each. The documents of
+   the largest sums of heads are looked up; what so cannot reach the k-th largest
+   of these exact scores, or of the sums of entries given, is left out.
 3. The exact scores of those left are looked up by document and term.
 
 Whole lists are read, but only what a threshold lets through is moved. Lists are
@@ -29,6 +30,10 @@ from pyspark.sql import functions as F
 from .common import written
 from .terms import terms_of
 
+#: Documents of an item whose exact scores are looked up after the first phase, for each that is wanted.
+TRIED = 4
+#: Rows (under 64 bytes each) of items' terms or of pairs that are broadcast to meet the postings; beyond that they meet by a shuffle.
+BROADCAST_ROWS = 500_000
 #: A row without a term tells the number of terms of a document that has any.
 POSTINGS = "id long, nth long, n long, term long, tf long"
 
@@ -93,30 +98,40 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     asked = written(asked.join(weights, "term").withColumn("m", F.count("*").over(Window.partitionBy("item"))), "weighed-terms")
     part = F.expr(f"w * ((1000000000L * tf) div (1000 * tf + 8 * (25 + (75 * n * {n_docs}L) div {n_terms}L)))")
 
+    def small(rows: DataFrame) -> DataFrame:
+        """Rows that every task gets, if there are few; a document's postings then stay together, and its sums are made where they are."""
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
     def lists(terms: DataFrame) -> DataFrame:
         """(doc, doc_id, term, part) of the lists of ``terms`` (term, w, least) from ``least`` on."""
-        found = postings.filter("term is not null").join(terms, "term").withColumn("part", part)
+        found = postings.filter("term is not null").join(small(terms), "term").withColumn("part", part)
         return found.filter("part >= least").select("doc", "doc_id", "term", "part")
 
     def summed(entries: DataFrame) -> DataFrame:
-        return entries.groupBy("item", "doc", "doc_id").agg(F.sum(F.col("times") * F.col("part")).alias("total"), F.count("*").alias("seen"))
+        return entries.groupBy("item", "doc").agg(F.sum(F.col("times") * F.col("part")).alias("total"), F.count("*").alias("seen"))
+
+    def looked_up(pairs: DataFrame) -> DataFrame:
+        """The exact sums of (item, doc) from the postings of these documents."""
+        own = postings.filter("term is not null").select("doc", "n", "term", "tf").join(small(pairs), "doc")
+        return summed(own.join(small(asked.select("item", "term", "times", "w")), ["item", "term"]).withColumn("part", part))
 
     by_part = [F.desc("part"), F.asc_nulls_last("doc_id"), "doc"]
     heads = _first(["term"], by_part, k, lists(asked.select("term", "w", F.lit(1).alias("least")).distinct())).drop("place")
-    bound = _kth(summed(asked.join(heads, "term")), k, "bound")
-    limits = asked.join(bound, "item").withColumn("least", F.greatest(F.expr("(bound + m * times - 1) div (m * times)"), F.lit(1)))
-    limits = written(limits, "thresholds")
+    sums = written(summed(asked.join(heads, "term")), "head-sums")
+    tried = _first(["item"], [F.desc("total"), "doc"], TRIED * k, sums)
+    floor = _kth(looked_up(written(tried.select("item", "doc"), "tried")), k, "floor")
+    limits = asked.join(_kth(sums, k, "bound"), "item").join(floor, "item")
+    limits = written(limits.withColumn("least", F.greatest(F.expr("(bound + m * times - 1) div (m * times)"), F.lit(1))), "thresholds", compact=True)
     lowest = limits.groupBy("term", "w").agg(F.min("least").alias("least"))
-    given = limits.select("item", "term", "times", F.col("least").alias("own_least")).join(lists(lowest), "term").filter("part >= own_least")
-    seen = written(summed(given), "candidates")
-    known = limits.select("item", "m", "bound").distinct()
+    asking = limits.select("item", "term", "times", F.col("least").alias("own_least"))
+    given = lists(lowest).join(small(asking), "term").filter("part >= own_least")
+    known = limits.select("item", "m", "bound", "floor").distinct()
     reach = F.col("total") + (F.col("m") - F.col("seen")) * F.greatest(F.expr("(bound - 1) div m"), F.lit(0))
-    candidates = seen.join(known, "item").join(_kth(seen, k, "floor"), "item").filter(reach >= F.col("floor"))
-    whole = candidates.filter("seen = m").select("item", "doc", "doc_id", "total")
-    partly = candidates.filter("seen < m").select("item", "doc")
-    wanted = partly.join(limits.select("item", "term", "times"), "item")
-    looked_up = postings.filter("term is not null").join(wanted, ["doc", "term"]).join(weights, "term").withColumn("part", part)
-    exact = whole.unionByName(summed(looked_up).select("item", "doc", "doc_id", "total"))
+    seen = written(summed(given).join(known, "item").withColumn("reach", reach).filter("reach >= floor").drop("bound", "floor"), "seen")
+    candidates = written(seen.join(_kth(seen, k, "floor"), "item").filter("reach >= floor"), "candidates", compact=True)
+    partly = written(candidates.filter("seen < m").select("item", "doc"), "partly", compact=True)
+    exact = candidates.filter("seen = m").select("item", "doc", "total").unionByName(looked_up(partly).select("item", "doc", "total"))
+    exact = exact.join(postings.filter("term is null").select("doc", "doc_id"), "doc")
     by_score = [F.desc("total"), F.asc_nulls_last("doc_id"), "doc"]
     best = _first(["item"], by_score, k, exact, "rank")
     names = asked.select("item", "item_id").distinct()
