@@ -56,6 +56,13 @@ def _outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in OUTLINES.split(", ")])
 
 
+def _met(rows: DataFrame, by_host: DataFrame, how: str) -> DataFrame:
+    """``rows`` with what is known of their host: broadcast if it is small, so that no host is brought together."""
+    of = [F.octet_length(f.name) if f.dataType.typeName() == "string" else 12 * F.size(f.name) if f.dataType.typeName() == "array" else F.lit(8) for f in by_host.schema]
+    size = by_host.agg(F.sum(sum(of, F.lit(64)))).first()[0] or 0
+    return rows.join(F.broadcast(by_host) if size <= BROADCAST else by_host, "host", how)
+
+
 class _Aligned:
     """Slots of pages in their references, remembered by both skeletons."""
 
@@ -94,11 +101,12 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     distinct = outlines.groupBy("host", "main").agg(F.min(F.struct("skeleton", "slots", "hashes")).alias("page"))
     distinct = written(distinct.select("host", "page.*"), "distinct-outlines", compact=True)
     sizes = distinct.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= LEAST_PAGES)
-    placed = distinct.join(references.join(sizes, "host"), "host").select("host", "skeleton", "slots", "hashes", "reference").mapInArrow(_placed, "host string, slot int, hash long")
+    references = written(references.join(sizes, "host", "left"), "references", compact=True)
+    placed = _met(distinct, references.filter("pages is not null"), "inner").select("host", "skeleton", "slots", "hashes", "reference").mapInArrow(_placed, "host string, slot int, hash long")
     times = placed.groupBy("host", "slot", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_PAGES)
     constant = times.join(sizes, "host").filter(F.col("n") >= LEAST_SHARE * F.col("pages"))
     constants = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "hash"))).alias("constants"))
-    return references.join(constants, "host")
+    return references.select("host", "reference").join(constants, "host")
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +137,6 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     wrappers = written(induce_wrappers(rows.select("host", "html")), "wrappers", compact=True)
-    size = wrappers.agg(F.sum(F.length("host") + F.length("reference") + 12 * F.size("constants") + 64)).first()[0] or 0
-    met = rows.join(F.broadcast(wrappers) if size <= BROADCAST else wrappers, "host", "left").select("page_id", "url", "html", "reference", "constants")
+    met = _met(rows, wrappers, "left").select("page_id", "url", "html", "reference", "constants")
     schema = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string"
     return met.mapInArrow(_extracted, schema).withColumn("n_chars", F.length("text").cast("long"))
