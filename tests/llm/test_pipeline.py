@@ -30,6 +30,6 @@ def test_stages(spark):
 
 def test_contract():
     known, sql = entry.queries(), entry.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in known if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in known if k.startswith("op")}
     assert "pipeline" in known and sql.keys() <= known.keys()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
