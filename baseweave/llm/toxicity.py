@@ -134,10 +134,13 @@ def char_model(counts: np.ndarray) -> np.ndarray:
 
 
 class Restorer:
-    """Texts with their disguised words replaced by the likeliest plain ones, which are remembered."""
+    """Texts with their disguised words replaced by the likeliest plain ones, which are remembered.
 
-    def __init__(self, model: np.ndarray, remembered: int = 100_000):
-        self.model, self.known, self.remembered = model.tolist(), {}, remembered
+    Restorers that are given one ``known`` have one memory, of ``remembered`` words at most.
+    """
+
+    def __init__(self, model: np.ndarray, known: dict[str, str] | None = None, remembered: int = 200_000):
+        self.model, self.known, self.remembered = model.tolist(), {} if known is None else known, remembered
         self.letter = {c: k + 1 for k, c in enumerate(LETTERS)}
         self.ways: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
 
@@ -327,7 +330,7 @@ def _sample(chosen: DataFrame, model, folds: int) -> DataFrame:
     """(doc, fold, label, keys) of each distinct document: the features of all its words, decoded once and written."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.value)
+        restorer = Restorer(*model.value)
         for batch in batches:
             for at, to, words in _mentioned(restorer, batch.column(1)):
                 keys = [_keys(words, n) for n in BEGINNINGS]
@@ -456,12 +459,13 @@ def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, boun
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
     source = docs.select(*columns)
     context = source.sparkSession.sparkContext
-    model = context.broadcast(char_model(char_counts(source)))
+    # A worker keeps what it was sent from task to task, and so in the dict what it has decoded.
+    model = context.broadcast((char_model(char_counts(source)), {}))
     lexicon = learn_lexicon(learnable(source, labels, "toxic", bound), model)
     parts = context.broadcast(_parts(lexicon))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, learned = Restorer(model.value), Lexicon(*parts.value)
+        restorer, learned = Restorer(*model.value), Lexicon(*parts.value)
         for batch in batches:
             for at, to, words in _mentioned(restorer, batch.column(1)):
                 scores = pa.array(learned.score(words).astype(np.float64))
