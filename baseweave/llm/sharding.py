@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 #: Capacities tried in one round of the search; each round divides the range by one more.
 PROBES = 31
+#: Bits of a digest that may part a size class into blocks.
+BITS = 32
+#: Blocks up to which their prefix sums are broadcast.
+BROADCAST_BLOCKS = 200_000
 
 
 def _furthest(groups: DataFrame, limits: list[tuple[int, int]]) -> list[int]:
@@ -63,6 +67,15 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     return high, best
 
 
+def _block(groups: DataFrame, block_rows: int) -> Column:
+    """The block of a group, in the order of size classes and within these of digests."""
+    number = F.conv(F.substring("key", 1, BITS // 4), 16, 10).cast("long")
+    counted = groups.groupBy("size_class").count().collect()  # a number for each power of two
+    bits = {r["size_class"]: min(BITS, math.ceil(math.log2(max(1, r["count"] / block_rows)))) for r in counted}
+    place = F.coalesce(*[F.when(F.col("size_class") == k, F.shiftright(number, BITS - n)) for k, n in bits.items()], F.lit(0))
+    return F.shiftleft("size_class", BITS) + place
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int = 8,
@@ -80,10 +93,12 @@ def shard_documents(
     ids are no special case and repeated rows get slots of their own. An empty table gives no
     rows; with fewer groups than shards some shards are empty.
 
-    Prefix sums are made in blocks: a size class and as many hex digits of the
-    digest, by the counted rows, that blocks hold about ``block_rows`` groups. A
-    group's rows are numbered in parts of about as many rows too, so no window
-    holds a whole hot group, and windows do not grow with the data.
+    Prefix sums are made in blocks: a size class and, by the counted groups of
+    that class, as many bits of the digest that blocks hold about ``block_rows``
+    groups. A group's rows are numbered in parts of about as many rows too, so no
+    window holds a whole hot group, and windows do not grow with the data. There
+    are at most two blocks for each ``block_rows`` groups, and one for each class
+    (a text of 2 ** 31 bytes and 10 ** 10 copies leave 64 of these).
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -95,23 +110,22 @@ def shard_documents(
     )
     rows = written(rows, "shard-rows")
     n_rows = rows.count()
-    pieces, prefix_digits = 64, 3
+    pieces = 64
     while pieces * block_rows < n_rows:
         pieces *= 2
-    while 16**prefix_digits * block_rows < n_rows:
-        prefix_digits += 1
     rows = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "row"), F.lit(pieces)).cast("int"))
     cells = rows.groupBy("key", "piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("key", "piece", "bytes", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     groups = cells.groupBy("key").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
-    size_class = (F.lit(63) - F.floor(F.log2(F.col("bytes")))).cast("int")
-    groups = groups.withColumn("block", F.concat(F.lpad(size_class.cast("string"), 2, "0"), F.substring("key", 1, prefix_digits)))
+    size_class = (F.lit(63) - F.floor(F.log2(F.col("bytes")))).cast("long")
+    groups = written(groups.withColumn("size_class", size_class), "shard-sums")
+    groups = groups.withColumn("block", _block(groups, block_rows))
     # In the order of blocks, so that the search for cuts reads few row groups of the written result.
     groups = groups.repartitionByRange("block")
     running = Window.partitionBy("block").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     groups = groups.select("block", "key", "bytes", "n", F.sum("bytes").over(running).alias("b"), F.sum("n").over(running).alias("r"))
-    # A block holds some 100,000 groups, so for 10 ** 10 of them one task and a broadcast still hold all blocks.
+    # One window, over blocks only: 10 ** 10 groups have at most 200,064.
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = groups.groupBy("block").agg(F.sum("bytes").alias("block_bytes"), F.sum("n").alias("block_rows"))
     blocks = blocks.select(
@@ -119,8 +133,11 @@ def shard_documents(
         F.coalesce(F.sum("block_bytes").over(so_far), F.lit(0)).alias("block_b"),
         F.coalesce(F.sum("block_rows").over(so_far), F.lit(0)).alias("block_r"),
     )
+    blocks = written(blocks, "shard-blocks", compact=True)
+    if blocks.count() <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
     end = F.col("b") + F.col("block_b")
-    placed = groups.join(F.broadcast(blocks), "block").select(
+    placed = groups.join(blocks, "block").select(
         "key",
         (end - F.col("bytes")).alias("start_bytes"),
         end.alias("end_bytes"),
