@@ -15,6 +15,8 @@ from .common import ascii_lower
 
 #: Hex digits of a digest in the join key: 32 bits.
 PREFIX = 8
+#: A URL is hot from this share of all rows on, so there are at most as many of them; rows of each are dealt over so many salts.
+HOT, SALTS = 1000, 64
 
 
 def url_host(url: Column) -> Column:
@@ -31,6 +33,13 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFr
     return spark.range(1).select(F.inline(F.array(*each)))
 
 
+def _hot(urls: DataFrame) -> Column:
+    """Whether ``url`` is one of the commonest, by its hash: at most HOT hashes come to the driver, however many rows there are."""
+    counted = urls.groupBy(F.xxhash64("url").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+    rows = urls.count()
+    return F.xxhash64("url").isin([r["hash"] for r in counted.filter(F.col("n") * HOT >= rows).collect()])
+
+
 def judge_urls(
     pages: DataFrame,
     rules: DataFrame,
@@ -50,7 +59,8 @@ def judge_urls(
 
     Expansions are bounded by the label counts and path lengths found among the
     rules, read from the rule table as two small sets. The join carries no
-    broadcast hint: Spark broadcasts the rules only when their size allows.
+    broadcast hint: Spark broadcasts the rules only when their size allows. Rows
+    of a URL that a thousandth of all rows have meet its verdict by salt.
     """
     shape = rules.select(
         F.collect_set(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")
@@ -75,7 +85,12 @@ def judge_urls(
     left = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     # Rows without a URL meet no rule; they stay out of the join, where they would all have one key.
     none = left.filter("url is null").withColumn("best", F.lit(None).cast(verdicts.schema["best"].dataType))
-    return left.filter("url is not null").join(verdicts, "url", "left").unionByName(none).select(
+    left = left.filter("url is not null")
+    hot = _hot(left)
+    dealt = F.when(hot, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))).otherwise(0).cast("int")
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    judged = left.withColumn("salt", dealt).join(verdicts.withColumn("salt", F.explode(every)), ["url", "salt"], "left").drop("salt")
+    return judged.unionByName(none).select(
         "page_id",
         url_host(F.col("url")).alias("host"),
         url_path(F.col("url")).alias("path"),
