@@ -2,15 +2,17 @@
 
 Test items are short and documents long, so resemblance says little; what counts
 is the share of an item's shingles that a document contains. Items are parted by
-size class. Each class has its own length of sketch: of an item's shingles in
-the order of a hash the first ``2 * missing + 1``, where ``missing`` is what a
-document that contains an item of the class may lack. Documents are searched for
-sketch hashes by an equi-join, matched hashes are counted for each document and
-item, and where so many match that the threshold can be reached, the candidate is
-verified on exact shingles.
-
-Shingles that many items share stand last in that order, so that a phrase of a
-third of all items is in the sketches only of items that have nothing rarer.
+size class. Each class has its own length of sketch: the ``2 * missing + 1``
+smallest hashes of an item's shingles, where ``missing`` is what a document that
+contains an item of the class may lack. Documents are searched for sketch hashes
+by an equi-join, matched hashes are counted for each document and item, and where
+so many match that the threshold can be reached, the candidate is verified on
+exact shingles.
+
+Shingles that more than ``SHARED`` items have stand behind all others, so that a
+phrase of a third of all items is in the sketches only of items that have nothing
+rarer. No item is missed by that: the bound holds for any choice of an item's
+shingles.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, SPACE_CHARS, ascii_lower, row_key, written
 
 WORDS = 5
+#: Items that may share a shingle of a sketch, where an item has others.
+SHARED = 32
 #: Hashes up to which the items' side of a join is broadcast.
 BROADCAST_ENTRIES = 200_000
 
@@ -83,7 +87,7 @@ def contaminated(
     sized = sized.select("item_id", "n_item", "content", size_class.cast("int").alias("size_class"), (2 * missing + 1).cast("int").alias("entries"))
     searched = grams.join(sized.join(first, ["content", "item_id"]), "item_id")
     shared_by = grams.groupBy("hash").agg(F.count(F.lit(1)).alias("shared_by"))
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy("shared_by", "hash", "gram"))
+    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.col("shared_by") > SHARED, "hash", "gram"))
     lacking = F.floor(F.col("n_item") * (100 - percent) / 100)
     sketch = searched.join(shared_by, "hash").withColumn("place", place).filter("place <= entries")
     sketch = sketch.select("size_class", "item_id", "hash", (F.least("entries", "n_item") - lacking).cast("int").alias("needed"))
