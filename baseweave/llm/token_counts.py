@@ -1,8 +1,9 @@
 """Token counts by distinct pre-token, without a text's token ids.
 
-A pre-token is a maximal run of spaces with the non-spaces after it. No piece
-of the vocabulary joins a non-space to a later space, so merges never cross
-that border and a text's count is the sum over its pre-tokens.
+A pre-token is a maximal run of spaces with the non-spaces after it. Where no
+piece of the vocabulary joins a non-space to a later space, merges never cross
+that border and a text's count is the sum over its pre-tokens. A model that is
+not so (``adds_up``) gets whole texts instead.
 
 1. Texts become frequencies of pre-tokens. Those of neighbouring documents are
    packed into one row, a chunk, which numbers its distinct pre-tokens by buckets
@@ -37,10 +38,14 @@ from .common import written
 #: The character by which the vocabulary's library writes a space; in a text it is treated alike.
 META_SPACE = "▁"
 _BORDER = re.compile(r"(?<=[^ ]) ")
+_INNER_SPACE = re.compile(f"[^{META_SPACE}]{META_SPACE}")
+#: Characters that a model's own rules may change: spaces of other kinds, ligatures, marks, controls.
+_CHANGEABLE = "x\xa0\u3000\u2003\ufb01\u2460e\u0301\uff21\t\n\x1c\u200b\ufeffX"
 #: A chunk's frequencies (bucket -1) or its pre-tokens of one bucket. ``tokens``, ``times`` and ``lengths`` are whole numbers
 #: (``_packed``); ``sizes`` says how many entries each document has.
 CHUNKS = "chunk long, bucket int, doc_ids array<long>, n_bytes array<long>, sizes array<int>, tokens binary, times binary, words binary, lengths binary"
 _KINDS = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 4]
+COUNTS = "doc_id long, n_bytes long, n_tokens long"
 #: Bytes of text for each bucket, a few hundred thousand pre-tokens of all chunks at most.
 BUCKET_BYTES = 16 << 20
 
@@ -114,23 +119,60 @@ def _strings(words: bytes, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(words)])
 
 
+#: Models that a worker has read, by path.
+_MODELS: dict = {}
+
+
+def _read(path: str | None):
+    from sentencepiece import SentencePieceProcessor
+
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return SentencePieceProcessor(model_file=path)
+
+
+def _model(path: str | None):
+    """The model in a worker, read once; the driver reads it by ``_read`` and so sends none along."""
+    if path not in _MODELS:
+        _MODELS[path] = _read(path)
+    return _MODELS[path]
+
+
+def adds_up(model) -> bool:
+    """Whether a text's count is the sum over its pre-tokens.
+
+    It is if the model writes a space before each text, keeps all spaces and other
+    characters as they are, has a piece for a space alone, and no piece with a space
+    after another character.
+    """
+    pieces = (model.id_to_piece(k) for k in range(model.get_piece_size()))
+    kept = model.normalize(" a  b ") == "  a  b ".replace(" ", META_SPACE) and model.normalize(_CHANGEABLE) == META_SPACE + _CHANGEABLE
+    return kept and model.piece_to_id(META_SPACE) != model.unk_id() and not any(map(_INNER_SPACE.search, pieces))
+
+
+def _whole(model_path: str | None):
+    """Counts of whole texts by the library."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(model_path)
+        for batch in batches:
+            n_tokens = pa.array([len(model.encode(t)) for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n_tokens], ["doc_id", "n_bytes", "n_tokens"])
+
+    return run
+
+
 def _pieces(model_path: str | None):
     """The number of pieces of a bucket's pre-tokens, each distinct one counted once, for every chunk that has them."""
 
     def run(rows: pa.Table) -> pa.Table:
-        from sentencepiece import SentencePieceProcessor
-
-        path = model_path
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path("piece_bpe_32k.model")
-        if path not in _MODELS:
-            _MODELS[path] = SentencePieceProcessor(model_file=path)
+        model = _model(model_path)
         lengths = [_unpacked(x) for x in rows["lengths"].to_pylist()]
         every = pa.concat_arrays([_strings(w, n) for w, n in zip(rows["words"].to_pylist(), lengths, strict=True)]).dictionary_encode()
         distinct = every.dictionary.to_pylist()
-        counts = [n if t else 1 for t, n in zip(distinct, map(len, _MODELS[path].encode(distinct, num_threads=1)), strict=True)]  # a space at the end is a piece of its own
+        counts = [n if t else 1 for t, n in zip(distinct, map(len, model.encode(distinct, num_threads=1)), strict=True)]  # a space at the end is a piece of its own
         pieces = np.array(counts, np.int64)[np.array(every.indices)]
         cuts = np.cumsum([len(n) for n in lengths])[:-1]
         packed = pa.array([_packed(p) for p in np.split(pieces, cuts)], pa.binary())
@@ -139,10 +181,6 @@ def _pieces(model_path: str | None):
     return run
 
 
-#: Models that a worker has read, by path.
-_MODELS: dict = {}
-
-
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, n_bytes, sizes, tokens, times, known = (batch.column(k) for k in range(6))
@@ -173,12 +211,16 @@ def count_tokens(
     Counts are those of the library for ``model_path`` without begin, end or
     added tokens; control symbols inside a text are ordinary text. Null text
     counts as empty: no bytes, no tokens. Whole texts are read, however long; a
-    text of more than ``chunk_bytes`` is a chunk of its own. Repeated rows give
+    text of more than ``chunk_bytes`` is a chunk of its own. A model whose counts
+    do not add up over pre-tokens counts whole texts. Repeated rows give
     repeated results, null ids stay null; columns other than id and text are not
     read; an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    over = (F.col("n_tokens") > limit).alias("over_limit")
+    if not adds_up(_read(model_path)):
+        return source.mapInArrow(_whole(model_path), COUNTS).select("*", over)
     n_bytes = source.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(16, -(-n_bytes // BUCKET_BYTES))
     chunks = written(source.mapInArrow(_chunked(chunk_bytes, buckets), CHUNKS), "token-chunks")
@@ -186,4 +228,4 @@ def count_tokens(
     counted = words.groupBy("bucket").applyInArrow(_pieces(model_path), "chunk long, bucket int, pieces binary")
     known = counted.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "pieces")).alias("known"))
     both = chunks.filter("bucket < 0").join(known, "chunk", "left").select("doc_ids", "n_bytes", "sizes", "tokens", "times", "known")
-    return both.mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return both.mapInArrow(_summed, COUNTS).select("*", over)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from baseweave.llm import decontamination, queries, sharding, toxicity, url_filter
+from baseweave.llm import decontamination, queries, sharding, token_counts, toxicity, url_filter
 from baseweave.llm.words import hashed_words
 
 TEXTS = ["", "a", "Hello, W0rld", "ÀÿŸß÷ſ İK", "\n\t x", "日本 語a", "ab" * 3000, None]
@@ -159,3 +160,31 @@ def test_shared_phrases_hide_no_item(spark, monkeypatch, shared):
     table = lambda rows, name: spark.createDataFrame(rows, f"{name} bigint, text string")
     found = decontamination.contaminated(table(held, "doc_id"), table(items, "item_id")).collect()
     assert {(r.doc_id, r.item_id) for r in found} == expected and len(expected) > 40
+
+
+class Changed:
+    """The shipped model but for some answers."""
+
+    def __init__(self, **answers):
+        self.model, self.answers = token_counts._read(None), answers
+
+    def __getattr__(self, name):
+        return self.answers.get(name) or getattr(self.model, name)
+
+
+def test_models_that_add_up():
+    model = token_counts._read(None)
+    assert token_counts.adds_up(model)
+    assert not token_counts.adds_up(Changed(id_to_piece=lambda k: "▁of▁the" if k == 500 else model.id_to_piece(k)))
+    assert not token_counts.adds_up(Changed(normalize=lambda t: model.normalize(t)[1:]))
+    assert not token_counts.adds_up(Changed(normalize=lambda t: model.normalize(" ".join(t.split()))))
+    assert not token_counts.adds_up(Changed(normalize=lambda t: unicodedata.normalize("NFKC", model.normalize(t))))
+    assert not token_counts.adds_up(Changed(piece_to_id=lambda p: model.unk_id()))
+
+
+def test_whole_texts_count_alike(spark, monkeypatch):
+    table = spark.createDataFrame([*enumerate(TEXTS), (None, " a  b "), (0, "")], "doc_id bigint, text string")
+    parts = Counter(token_counts.count_tokens(table).collect())
+    monkeypatch.setattr(token_counts, "adds_up", lambda model: False)
+    assert Counter(token_counts.count_tokens(table).collect()) == parts
+    assert token_counts.count_tokens(table.limit(0)).collect() == []
