@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from baseweave.functions import vcf
+from baseweave.sources import maf
 from baseweave.sources.tables import as_records
 
 from .intervals import sweep, tagged
 from .stored import stored
 
 SCHEMA = "file string, contig string, pos bigint, ref string, alt string, info string"
-#: Records handed on at once.
-RECORDS = 50_000
+#: Records handed on at once; columns of pairs compared at once, but for a pair that has more.
+RECORDS, COLUMNS = 50_000, 1 << 20
 GAP, SAME, DIFFERENT, GAPPED = ord("-"), 0, 1, 2
 #: Positions of a bin within which overlapping blocks are chosen from.
 CHOICE_BIN = 1 << 20
@@ -36,43 +37,89 @@ BASES, PAIRED = "ACGTacgt", "TGCAtgca"
 
 
 def walk(reference: str, other: str, start: int, kept: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, str, str, str]]:
-    """(pos, ref, alt, info) of one aligned sequence against the reference from 0-based ``start``.
+    """(pos, ref, alt, info) of one aligned sequence against the reference from 0-based ``start``; see ``walked``."""
+    _, *columns = walked([reference], [other], [start], [kept])
+    yield from zip(*columns, strict=True)
 
-    ``kept`` are stretches of the reference, in order, to which the records are
-    confined; an insertion belongs to the base before it. Columns are compared
-    as arrays; what is gone through one by one is runs.
+
+def walked(references: list[str], others: list[str], starts: list[int], kept: list[list[tuple[int, int]] | None]) -> tuple[list, ...]:
+    """(which pair, pos, ref, alt, info) of aligned pairs of one length each, as columns.
+
+    ``kept`` are stretches of the reference, in order, to which a pair's records
+    are confined; an insertion belongs to the base before it. All pairs are
+    compared as one array; what is gone through one by one is gaps.
     """
-    r, o = (np.frombuffer(t.upper().encode("ascii", "replace"), np.uint8) for t in (reference, other))
+    r, o = (np.frombuffer("".join(texts).encode("ascii", "replace").upper(), np.uint8) for texts in (references, others))
+    sizes, begin_at = np.array([len(t) for t in references]), np.array(starts, np.int64)
+    first = np.cumsum(sizes) - sizes
     based = r != GAP
-    at = start + np.cumsum(based) - 1  # where each column's base, or the last one before it, stands
-    kind = np.select([~based | (o == GAP), r == o], [GAPPED, SAME], DIFFERENT)
-    for first, last in kept if kept is not None else [(start, start + int(based.sum()))]:
-        columns = np.flatnonzero((at >= first) & (at < last))
-        if not len(columns):
+    bases = np.append(0, np.cumsum(based))
+    pair = np.repeat(np.arange(len(sizes)), sizes)
+    at = begin_at[pair] + bases[1:] - bases[first][pair] - 1  # where each column's base, or the last one before it, stands
+    kind = np.full(len(r), DIFFERENT, np.int8)
+    kind[r == o] = SAME
+    kind[~based | (o == GAP)] = GAPPED
+
+    # Columns of all stretches, which begin and end where their positions do.
+    n_bases = bases[first + sizes] - bases[first]
+    spans = [(k, s, e) for k, own in enumerate(kept) for s, e in (own if own is not None else [(starts[k], starts[k] + int(n_bases[k]))])]
+    if not spans or not len(r):
+        return [], [], [], [], []
+    of, s, e = (np.array(c, np.int64) for c in zip(*spans, strict=True))
+    # Positions by pair in one order: those of a pair begin where the pair before ends.
+    shift = np.append(0, np.cumsum(n_bases + 2)[:-1])
+    key = at - begin_at[pair] + 1 + shift[pair]
+    bound = lambda x: np.searchsorted(key, np.clip(x - begin_at[of] + 1, 0, n_bases[of] + 1) + shift[of], "left")
+    k0, k1 = bound(s), bound(e)
+    k0, k1 = k0[k1 > k0], k1[k1 > k0]
+    if not len(k0):
+        return [], [], [], [], []
+    edge = np.append(True, kind[1:] != kind[:-1]) | (kind == DIFFERENT)
+    edge[k0] = True
+    a = np.flatnonzero(edge)
+    within = np.searchsorted(k0, a, "right") - 1
+    a, within = a[(within >= 0) & (a < k1[within])], within[(within >= 0) & (a < k1[within])]
+    b = np.minimum(np.append(a[1:], len(r)), k1[within])
+
+    same, own, base, put = kind[a] == SAME, pair[a], r[a], o[a]
+    pos = at[a] + 1
+    chars = [chr(c) for c in range(256)]
+    alts = [f"{c},{vcf.NON_REF}" for c in chars]
+    refs, alt, info = [chars[c] for c in base.tolist()], [vcf.NON_REF if x else alts[c] for x, c in zip(same.tolist(), put.tolist(), strict=True)], ["."] * len(a)
+    ends = (at[a] + b - a).tolist()
+    for j in np.flatnonzero(same).tolist():
+        info[j] = f"END={ends[j]}"
+    lost = []
+    for j in np.flatnonzero(kind[a] == GAPPED).tolist():
+        x, y = int(a[j]), int(b[j])
+        before_at = int(at[x]) if based[x] else int(at[x]) + 1
+        held, new = r[x:y][based[x:y]], o[x:y][o[x:y] != GAP]
+        if before_at <= begin_at[own[j]] or not len(held) + len(new):
+            lost.append(j)
             continue
-        k0, k1 = int(columns[0]), int(columns[-1]) + 1
-        own = kind[k0:k1]
-        edges = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (own[1:] == DIFFERENT))) + k0
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), k1], strict=True):
-            bases = r[a:b][based[a:b]].tobytes().decode()
-            begin = int(at[a]) if based[a] else int(at[a]) + 1
-            if kind[a] == SAME:
-                yield begin + 1, bases[0], "<NON_REF>", f"END={begin + b - a}"
-            elif kind[a] == DIFFERENT:
-                yield begin + 1, bases, f"{chr(o[a])},<NON_REF>", "."
-            elif begin > start:
-                put = o[a:b][o[a:b] != GAP].tobytes().decode()
-                if bases or put:
-                    before = chr(r[:a][based[:a]][-1]) if not based[a - 1] else chr(r[a - 1])
-                    yield begin, before + bases, f"{before + put},<NON_REF>", "."
+        z = x - 1
+        while not based[z]:
+            z -= 1
+        before = chars[r[z]]
+        pos[j], refs[j], alt[j] = before_at, before + held.tobytes().decode(), f"{before}{new.tobytes().decode()},{vcf.NON_REF}"
+    columns = [own.tolist(), pos.tolist(), refs, alt, info]
+    if lost:
+        gone = set(lost)
+        columns = [[v for j, v in enumerate(c) if j not in gone] for c in columns]
+    return tuple(columns)
 
 
 def _forward(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with the reference on its forward strand: where it is on the other one, all texts of the block are turned."""
-    turned = F.max(F.when((F.col("seq_idx") == 0) & (F.col("strand") == "-"), True)).over(Window.partitionBy("file", "block_id"))
-    other = F.reverse(F.translate("text", BASES, PAIRED))
-    start = F.when(turned & (F.col("seq_idx") == 0), F.col("src_size") - F.col("start") - F.col("size")).otherwise(F.col("start"))
-    return blocks.withColumns({"text": F.when(turned, other).otherwise(F.col("text")), "start": start})
+    """Blocks (file, block_id, score, rows) with the reference on its forward strand, as (file, block_id, contig, at, size, src_size, reference, texts, score).
+
+    Where the reference is on the other strand all texts of the block are turned.
+    """
+    first = F.get("rows", F.lit(0))
+    turned = F.coalesce(first["strand"] == "-", F.lit(False))
+    forward = lambda t: F.when(turned, F.reverse(F.translate(t, BASES, PAIRED))).otherwise(t)
+    start = F.when(turned, first["src_size"] - first["start"] - first["size"]).otherwise(first["start"])
+    texts = F.transform(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0))), lambda r: forward(r["text"]))
+    return blocks.select("file", "block_id", first["src"].alias("contig"), start.alias("at"), first["size"].alias("size"), first["src_size"].alias("src_size"), forward(first["text"]).alias("reference"), texts.alias("texts"), "score")
 
 
 def _choose(key: tuple, rows: pa.Table) -> pa.Table:
@@ -99,15 +146,16 @@ def _choose(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table([file, contig, *[pa.array([o[k] for o in out], pa.int64()) for k in range(3)]], names=["file", "contig", "block_id", "s", "e"])
 
 
-def chosen_stretches(blocks: DataFrame) -> DataFrame:
+def chosen_stretches(first: DataFrame) -> DataFrame:
     """(file, contig, block_id, s, e): which block of a file each stretch of the reference is taken from.
 
-    Where blocks overlap, the one of the highest score is taken, of equal scores
-    the first in the file; a block without a score is the last choice. Contigs
-    are worked on in bins, so none passes through one task; stretches end at bins' borders.
+    ``first`` has (file, contig, block_id, score, at, size) of each block's
+    reference. Where blocks overlap, the one of the highest score is taken, of
+    equal scores the first in the file; a block without a score is the last
+    choice. Contigs are worked on in bins, so none passes through one task;
+    stretches end at bins' borders.
     """
-    first = blocks.filter("seq_idx = 0")
-    spans = first.select("file", F.col("src").alias("contig"), "block_id", "score", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")).filter("e > s")
+    spans = first.select("file", "contig", "block_id", "score", F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e")).filter("e > s")
     bins = F.sequence(F.floor(F.col("s") / CHOICE_BIN).cast("bigint"), F.floor((F.col("e") - 1) / CHOICE_BIN).cast("bigint"))
     parts = spans.withColumn("bin", F.explode(bins))
     parts = parts.withColumns({"s": F.greatest(F.col("s"), F.col("bin") * CHOICE_BIN), "e": F.least(F.col("e"), (F.col("bin") + 1) * CHOICE_BIN)})
@@ -124,43 +172,54 @@ def _uncovered(first: DataFrame) -> DataFrame:
 
 
 def maf_to_gvcf(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = False) -> DataFrame:
-    """Records (file, contig, pos, ref, alt, info) of alignment blocks as ``sources.tables.parse_maf`` has them.
+    """Records (file, contig, pos, ref, alt, info) of alignment blocks as ``sources.maf.parse_blocks`` has them, or rows as ``parse_maf`` has.
 
     ``one_block`` takes each stretch of the reference from one block of a file
     (``chosen_stretches``); else blocks that overlap all give their records.
     ``fill_gaps`` makes reference blocks of what no block of the file is on.
     """
-    blocks = stored(_forward(blocks), "forward")
-    first = blocks.filter("seq_idx = 0").select("file", "block_id", F.col("src").alias("contig"), F.col("start").alias("at"), "size", "src_size", F.col("text").alias("reference"))
-    pairs = blocks.filter("seq_idx > 0").select("file", "block_id", "text").join(first, ["file", "block_id"])
+    if "seq_idx" in blocks.columns:
+        blocks = maf.gathered(blocks)
+        blocks = stored(blocks, "gathered") if one_block or fill_gaps else blocks
+    first = _forward(blocks)
+    pairs = first.filter("at is not null").select("file", "block_id", "contig", "at", "reference", F.explode("texts").alias("text"))
+    pairs = pairs.filter(F.length("text") == F.length("reference"))
     if one_block:
-        kept = chosen_stretches(blocks).groupBy("file", "block_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("kept"))
+        kept = chosen_stretches(first).groupBy("file", "block_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("kept"))
         pairs = pairs.join(kept, ["file", "block_id"])
     else:
         pairs = pairs.withColumn("kept", F.lit(None).cast("array<struct<s: bigint, e: bigint>>"))
-    pairs = pairs.filter(F.length("text") == F.length("reference")).select("file", "contig", "at", "reference", "text", "kept")
+    records = pairs.select("file", "contig", "at", "reference", "text", "kept").mapInArrow(_records, SCHEMA)
+    return records.unionByName(_uncovered(first)) if fill_gaps else records
 
-    names = ["file", "contig", "pos", "ref", "alt", "info"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for row in batch.itertuples(index=False):
-                stretches: list[tuple[int, int]] | None = None if row.kept is None else []
-                for piece in row.kept if stretches is not None else ():  # stretches that go on beyond a bin are one again
-                    s, e = int(piece["s"]), int(piece["e"])
-                    if stretches and stretches[-1][1] == s:
-                        s = stretches.pop()[0]
-                    stretches.append((s, e))
-                for record in walk(row.reference, row.text, row.at, stretches):
-                    found.append((row.file, row.contig, *record))
-                    if len(found) >= RECORDS:
-                        yield pd.DataFrame(found, columns=names)
-                        found = []
-            yield pd.DataFrame(found, columns=names)
-
-    records = pairs.mapInPandas(run, SCHEMA)
-    return records.unionByName(_uncovered(first)) if fill_gaps else records
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["file", "contig", "pos", "ref", "alt", "info"]
+    for batch in batches:
+        files, contigs, starts, references, others = (batch.column(k).to_pylist() for k in range(5))
+        kept: list[list[tuple[int, int]] | None] = []
+        for pieces in batch.column(5).to_pylist():
+            stretches: list[tuple[int, int]] = []
+            for piece in pieces or ():  # stretches that go on beyond a bin are one again
+                s, e = piece["s"], piece["e"]
+                if stretches and stretches[-1][1] == s:
+                    s = stretches.pop()[0]
+                stretches.append((s, e))
+            kept.append(None if pieces is None else stretches)
+        low = 0
+        while low < len(starts):
+            high, columns = low + 1, len(references[low])
+            while high < len(starts) and columns + len(references[high]) <= COLUMNS:
+                columns += len(references[high])
+                high += 1
+            own, *found = walked(*[c[low:high] for c in (references, others, starts, kept)])
+            for k in range(0, len(own), RECORDS):
+                which = own[k : k + RECORDS]
+                kinds = [pa.int64(), pa.string(), pa.string(), pa.string()]
+                out = [pa.array([c[low + w] for w in which], pa.string()) for c in (files, contigs)]
+                out += [pa.array(c[k : k + RECORDS], kind) for c, kind in zip(found, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(out, names)
+            low = high
 
 
 def sample_records(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = False) -> DataFrame:

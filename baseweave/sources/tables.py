@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from baseweave.functions.vcf import as_bigint, extract_end
 from baseweave.operators.stored import stored
 
+from . import maf
 from .text import field, in_file_order, read_lines, split_fields
 
 VCF_SCHEMA = (
@@ -144,32 +145,8 @@ def reference_chunks(lines: DataFrame, chunk: int = 10_000) -> DataFrame:
 
 
 def parse_maf(lines: DataFrame) -> DataFrame:
-    """(file, block_id, seq_idx, src, start, size, strand, src_size, text, score) of an alignment's sequences.
-
-    An ``a`` line or a blank one ends a block; blocks without sequences do not
-    count. The first sequence of a block is the reference's. The score is that
-    of the block's ``a`` line, null where it has none.
-    """
-    ends = (F.trim("line") == "") | F.col("line").startswith("a ") | (F.col("line") == "a")
-    is_row = F.col("line").startswith("s ")
-    rows = in_file_order(lines, {"part": ends.cast("bigint")}).filter(is_row | F.col("line").startswith("a "))
-    # Of the lines of one part only a few hundred can be: those of one block.
-    in_block = Window.partitionBy("file", "part").orderBy("ordinal")
-    score = F.when(~is_row, F.regexp_extract("line", r"\bscore=(\S+)", 1).try_cast("double"))
-    rows = rows.withColumns({"score": F.max(score).over(Window.partitionBy("file", "part"))}).filter(is_row)
-    rows = rows.withColumn("seq_idx", (F.row_number().over(in_block) - 1).cast("int"))
-    rows = in_file_order(rows, {"block": (F.col("seq_idx") == 0).cast("bigint")}).withColumn("w", F.split(F.trim("line"), r"\s+"))
-    number = {"start": 2, "size": 3, "src_size": 5}
-    return rows.select(
-        "file",
-        (F.col("block") - 1).alias("block_id"),
-        "seq_idx",
-        field("w", 1).alias("src"),
-        *[as_bigint(field("w", k)).alias(n) for n, k in number.items()],
-        field("w", 4).alias("strand"),
-        field("w", 6).alias("text"),
-        "score",
-    ).select("file", "block_id", "seq_idx", "src", "start", "size", "strand", "src_size", "text", "score")
+    """(file, block_id, seq_idx, src, start, size, strand, src_size, text, score) of the sequences of ``maf.parse_blocks``."""
+    return maf.sequences(maf.parse_blocks(lines))
 
 
 def read_maf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
