@@ -37,6 +37,10 @@ def test_maf_filled_of_several_files(spark, several_files):
     assert sorted(map(tuple, contract.queries()["maf_filled"](spark, SMALL).collect())) == sorted(by_sql("maf_filled"))
 
 
+def test_maf_one_block_of_several_files(spark, several_files):
+    assert sorted(map(tuple, contract.queries()["maf_one_block"](spark, SMALL).collect())) == sorted(by_sql("maf_one_block"))
+
+
 def plainly(text):
     """[(score, [sequence start])] of an alignment's text."""
     out, score, own = [], None, []
