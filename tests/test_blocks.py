@@ -86,6 +86,12 @@ def test_records_of_blocks_need_no_shuffle(spark, tmp_path):
     assert alignment.sample_records(blocks).count() == 9
 
 
+def test_lines_are_not_sorted(spark, tmp_path):
+    (tmp_path / "x.maf").write_text("a score=1\ns c 0 4 + 9 ACGT\ns x 0 4 + 9 ACTT\n\n" * 3)
+    plan = plan_of(tables.maf_reference_contigs(tables.read_maf(spark, str(tmp_path / "x.maf"))))
+    assert "hashpartitioning(file" in plan and "__run" not in plan and "row_number" not in plan
+
+
 def plain_walk(r, o, start, kept):
     """The same by going through columns one by one."""
     out, at, c = [], [], start
