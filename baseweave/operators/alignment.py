@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -287,45 +287,52 @@ def left_aligned(records: DataFrame, reference: DataFrame, chunk: int = 10_000)
     ``reference`` has (contig, start, sequence) in pieces of ``chunk`` bases.
     All sequence alleles of a record move together; symbols (``*``, ``<...>``)
     are carried along. Records without a sequence allele, with END, or with other
-    letters than bases stay as they are. A round
-    shifts records within their piece and the one before; those that reached its
-    beginning go on in the next round, until none does.
+    letters than bases stay as they are. Records of the same position and
+    alleles move alike, so these are worked on once. A round shifts them
+    within their piece and the one before; those that reached its beginning go
+    on in the next round, until none does.
     """
     pieces = stored(reference.select("contig", (F.col("start") / chunk).cast("bigint").alias("piece"), "sequence"), "reference")
-    left, done = records, None
+    rows = stored(records.withColumn("__moves", _movable(records)), "records")
+    site, own = ("contig", "pos", "ref", "alt"), [F.col(c).alias(f"__{c}") for c in ("pos", "ref", "alt")]
+    left, done = rows.filter("__moves").select(*site).distinct().select(*site, *own), None
     while True:
         moved = stored(_shifted_once(left, pieces, chunk), "shifted")
         settled = moved.filter("not __border").drop("__border")
         done = settled if done is None else done.unionByName(settled)
         left = moved.filter("__border").drop("__border")
         if left.isEmpty():
-            return done
+            break
+    to = done.select("contig", *[F.col(f"__{c}").alias(c) for c in ("pos", "ref", "alt")], *[F.col(c).alias(f"__{c}") for c in ("pos", "ref", "alt")])
+    shifted_rows = rows.filter("__moves").join(to, list(site)).withColumns({c: F.col(f"__{c}") for c in ("pos", "ref", "alt")})
+    return rows.filter("not __moves").select(*records.columns).unionByName(shifted_rows.select(*records.columns))
 
 
-def _shifted_once(records: DataFrame, pieces: DataFrame, chunk: int) -> DataFrame:
-    """One round, with ``__border`` for records that moved as far as the reference at hand went."""
+def _movable(records: DataFrame) -> Column:
+    """Whether a record has sequence alleles that may move or lose shared bases; single bases have none to lose."""
     alts = F.split("alt", ",")
     sequence = lambda a: a.rlike("^[ACGTNacgtn]+$")
     symbol = lambda a: (a == "*") | a.rlike("^<.*>$")
     plain = sequence(F.col("ref")) & F.exists(alts, sequence) & F.forall(alts, lambda a: sequence(a) | symbol(a)) & F.col("pos").isNotNull()
     if "info" in records.columns:
         plain = plain & vcf.extract_end(F.coalesce("info", F.lit("."))).isNull()
+    single = F.col("ref").rlike("^[ACGTN]$") & F.forall(alts, lambda a: a.rlike("^[ACGTN]$") | symbol(a))
+    return F.coalesce(plain & ~single, F.lit(False))
+
+
+def _shifted_once(sites: DataFrame, pieces: DataFrame, chunk: int) -> DataFrame:
+    """One round, with ``__border`` for sites that moved as far as the reference at hand went."""
     earlier = pieces.select("contig", (F.col("piece") + 1).alias("piece"), F.col("sequence").alias("earlier"))
-    rows = records.withColumn("piece", F.floor((F.col("pos") - 1) / chunk).cast("bigint"))
+    rows = sites.withColumn("piece", F.floor((F.col("pos") - 1) / chunk).cast("bigint"))
     rows = rows.join(pieces, ["contig", "piece"], "left").join(earlier, ["contig", "piece"], "left")
     inside = F.substring("sequence", F.lit(1), ((F.col("pos") - 1) % chunk).cast("int"))
-    before = F.when(plain, F.upper(F.concat(F.coalesce("earlier", F.lit("")), F.coalesce(inside, F.lit("")))))
-    rows = rows.select(*records.columns, before.alias("before"))
-    schema = StructType([*records.schema.fields, StructField("__border", BooleanType())])
+    before = F.upper(F.concat(F.coalesce("earlier", F.lit("")), F.coalesce(inside, F.lit(""))))
+    rows = rows.select(*sites.columns, before.alias("before"))
+    schema = StructType([*sites.schema.fields, StructField("__border", BooleanType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for pos, ref, alt, before in zip(batch["pos"], batch["ref"], batch["alt"], batch["before"], strict=True):
-                if before is None or before != before:
-                    found.append((pos, ref, alt, False))
-                    continue
-                found.append(_moved(int(pos), ref, alt, before))
+            found = [_moved(int(pos), ref, alt, before) for pos, ref, alt, before in zip(batch["pos"], batch["ref"], batch["alt"], batch["before"], strict=True)]
             moved = pd.DataFrame(found, columns=["pos", "ref", "alt", "__border"], index=batch.index)
             yield batch.drop(columns="before").assign(**{c: moved[c] for c in moved})
 

@@ -339,3 +339,15 @@ def test_short_filtered_records_are_no_mask(spark):
     rows = classify.classify(records(spark, [("f", "c 5 . A *"), ("f", "c 9 x")]))
     none = spark.createDataFrame([], "contig string, s bigint, e bigint")
     assert [tuple(r) for r in mask.class_mask(tables.with_positions(rows), none).collect()] == [("c", 4, 5)]
+
+
+def test_sites_move_once(spark, monkeypatch):
+    """Many records of few sites: only the sites go through the rounds."""
+    seen, once = [], alignment._shifted_once
+    monkeypatch.setattr(alignment, "_shifted_once", lambda rows, *rest: (seen.append(rows.count()), once(rows, *rest))[1])
+    rows = spark.range(400).selectExpr("id", "'c' contig", "10 + id % 2 pos", "if(id % 3 = 0, 'A', 'AA') ref", "if(id % 3 = 0, 'c', 'A') alt", "if(id % 5 = 0, 'END=12', '.') info")
+    pieces = spark.createDataFrame([("c", 0, "CAAA"), ("c", 4, "AAAA"), ("c", 8, "AAAA")], "contig string, start bigint, sequence string")
+    found = {r.id: (r.pos, r.ref, r.alt, r.info) for r in alignment.left_aligned(rows, pieces, 4).collect()}
+    own = lambda k: (10 + k % 2, "A" if k % 3 == 0 else "AA", "c" if k % 3 == 0 else "A", "END=12" if k % 5 == 0 else ".")
+    assert found == {k: own(k) if k % 5 == 0 else (10 + k % 2, "A", "C", ".") if k % 3 == 0 else (1, "CA", "C", ".") for k in range(400)}
+    assert max(seen) == 4
