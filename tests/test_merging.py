@@ -351,3 +351,14 @@ def test_sites_move_once(spark, monkeypatch):
     own = lambda k: (10 + k % 2, "A" if k % 3 == 0 else "AA", "c" if k % 3 == 0 else "A", "END=12" if k % 5 == 0 else ".")
     assert found == {k: own(k) if k % 5 == 0 else (10 + k % 2, "A", "C", ".") if k % 3 == 0 else (1, "CA", "C", ".") for k in range(400)}
     assert max(seen) == 4
+
+
+def test_single_bases_are_no_sites(spark, monkeypatch):
+    """Records of several alleles: those with nothing to move or trim are not worked on, and keep their other columns."""
+    seen, once = [], alignment._shifted_once
+    monkeypatch.setattr(alignment, "_shifted_once", lambda rows, *rest: (seen.append({r.alt for r in rows.collect()}), once(rows, *rest))[1])
+    rows = spark.createDataFrame([(1, "c", 9, "A", "G,<NON_REF>"), (2, "c", 9, "A", "<NON_REF>"), (3, "c", 9, "AAA", "AA,*,A,<NON_REF>"), (4, "c", 9, "AAA", "AA,*,A,<NON_REF>"), (5, "c", None, "AA", "A")], "id int, contig string, pos bigint, ref string, alt string")
+    pieces = spark.createDataFrame([("c", 0, "CAAA"), ("c", 4, "AAAA"), ("c", 8, "AAAA")], "contig string, start bigint, sequence string")
+    found = sorted(alignment.left_aligned(rows, pieces, 4).collect())
+    assert [tuple(r) for r in found] == [(1, "c", 9, "A", "G,<NON_REF>"), (2, "c", 9, "A", "<NON_REF>"), *[(k, "c", 1, "CAA", "CA,*,C,<NON_REF>") for k in (3, 4)], (5, "c", None, "AA", "A")]
+    assert seen[0] == {"AA,*,A,<NON_REF>"}
