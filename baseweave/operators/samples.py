@@ -10,9 +10,9 @@ blocks again. A contig has columns for the samples that have records on it.
 A contig is cut into bins of positions. A block is an event of its sample where
 it begins and one where it ends, and where it enters a bin. Within a bin events
 go by position, and the calls over a stretch are those of the stretch before
-with the samples changed that have an event there. So the work goes with the
-events, whatever the number of samples, and no sample is a column of its own
-before its call is written.
+with the samples changed that have an event there. Calls are summed up as arrays
+over many stretches at once, so the work goes with the calls that are written, and
+no sample is a column of its own before its call is.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ CALLS = "contig string, pos bigint, end bigint, ref string, alt string, calls st
 #: Positions in a bin, fewer where there are many samples, so that a bin's events fit a task.
 BIN, LEAST_BIN, BIN_CELLS = 1 << 16, 1 << 10, 1 << 26
 COVERED, ABSENT = ord("0"), ord(".")
+#: Calls that are worked out at once.
+CELLS = 1 << 20
 
 
 def variants(records: DataFrame) -> DataFrame:
@@ -92,34 +94,43 @@ def _sweep(width: int):
         begins, ends = np.searchsorted(at, cuts, "left"), np.searchsorted(at, cuts, "right")
         locus = np.searchsorted(locus_at, cuts)
         is_locus = np.append(locus_at, -1)[locus] == cuts
-        counts = np.zeros(n, np.int32)
-        # Calls with tabs between them, ready to be written.
-        text = np.full((n, 2), ord("\t"), np.uint8)
-        text[:, 0] = ABSENT
-        covered, out = 0, []
-        for i in range(len(cuts)):
-            a, b = begins[i], ends[i]
-            if b > a:
-                who = k[a:b]
-                before = counts[who] > 0
-                counts[who] += d[a:b]
-                after = counts[who] > 0
-                text[who, 0] = np.where(after, COVERED, ABSENT)
-                covered += int(after.sum()) - int(before.sum())
-            x = int(cuts[i])
-            if is_locus[i]:
-                j = locus[i]
-                calls = text.tobytes().decode()[:-1].split("\t")
-                for s, gt in zip(own_k[j], own_gt[j], strict=True):
-                    if gt is not None:
-                        calls[s] = gt
-                out.append((x + 1, None, refs[j], alts[j], "\t".join(calls)))
-            elif covered and i + 1 < len(cuts):
-                stop, calls = int(cuts[i + 1]), text.tobytes().decode()[:-1]
-                if out and out[-1][1] == x and out[-1][4] == calls:
-                    out[-1] = (out[-1][0], stop, None, None, calls)
-                else:
-                    out.append((x + 1, stop, None, None, calls))
+        m, of = len(cuts), np.searchsorted(cuts, at)
+        last = np.arange(m) + 1 == m
+        block, goes_on = np.zeros(m, bool), np.zeros(m, bool)
+        texts: list[tuple[int, str]] = []
+        counts, held, step = np.zeros(n, np.int32), np.zeros(n, bool), max(1, CELLS // n)
+        for low in range(0, m, step):
+            high = min(m, low + step)
+            # Of a sample there is one event at a position.
+            change = np.zeros((high - low, n), np.int32)
+            change[of[begins[low] : ends[high - 1]] - low, k[begins[low] : ends[high - 1]]] = d[begins[low] : ends[high - 1]]
+            change[0] += counts
+            running = np.cumsum(change, axis=0)
+            over, counts = running > 0, running[-1]
+            here = slice(low, high)
+            block[here] = over.any(axis=1) & ~is_locus[here] & ~last[here]
+            same = (over == np.vstack([held[None], over[:-1]])).all(axis=1)
+            before = np.append(block[low - 1] if low else False, block[low : high - 1])
+            goes_on[here], held = block[here] & before & same, over[-1]
+            # Calls with tabs between them, ready to be written.
+            wanted = np.flatnonzero(is_locus[here] | (block[here] & ~goes_on[here]))
+            text = np.full((len(wanted), n, 2), ord("\t"), np.uint8)
+            text[:, :, 0] = np.where(over[wanted], COVERED, ABSENT)
+            whole = text.tobytes().decode()
+            texts += [(i, whole[2 * n * j : 2 * n * (j + 1) - 1]) for j, i in enumerate((wanted + low).tolist())]
+        stays = np.append(np.flatnonzero(~goes_on), m)
+        out = []
+        stops = stays[np.searchsorted(stays, np.arange(m), "right")].tolist()
+        places, found = cuts.tolist(), is_locus.tolist()
+        for i, calls in texts:
+            if not found[i]:
+                out.append((places[i] + 1, places[stops[i]], None, None, calls))
+                continue
+            j, each = locus[i], calls.split("\t")
+            for sample, gt in zip(own_k[j], own_gt[j], strict=True):
+                if gt is not None:
+                    each[sample] = gt
+            out.append((places[i] + 1, None, refs[j], alts[j], "\t".join(each)))
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.large_string()]
         columns = [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)]
         columns[4] = columns[4].cast(pa.string())

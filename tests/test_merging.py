@@ -362,3 +362,44 @@ def test_single_bases_are_no_sites(spark, monkeypatch):
     found = sorted(alignment.left_aligned(rows, pieces, 4).collect())
     assert [tuple(r) for r in found] == [(1, "c", 9, "A", "G,<NON_REF>"), (2, "c", 9, "A", "<NON_REF>"), *[(k, "c", 1, "CAA", "CA,*,C,<NON_REF>") for k in (3, 4)], (5, "c", None, "AA", "A")]
     assert seen[0] == {"AA,*,A,<NON_REF>"}
+
+
+@pytest.mark.parametrize("cells", [1, 7, 1 << 20])
+def test_sweep_in_pieces(monkeypatch, cells):
+    """Calls of a bin do not depend on how many stretches are worked on at once, and long bins cost little a position."""
+    import time
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(samples, "CELLS", cells)
+    rng, width, n = random.Random(3), 1 << 16, 3
+    net, loci = {}, {}
+    count = 300 if cells < 100 else 20_000
+    for _ in range(count):
+        s, k = rng.randrange(width - 60), rng.randrange(n)
+        for x, d in ((s, 1), (s + rng.randrange(1, 60), -1)):
+            net[x, k] = net.get((x, k), 0) + d
+        if rng.random() < 0.3:
+            loci[rng.randrange(width)] = ([rng.randrange(n)], ["1"])
+    rows = [("c", 0, x, k, d, None, None, None, None, n) for (x, k), d in net.items() if d]
+    rows += [("c", 0, x, None, None, "A", "C", ks, gts, n) for x, (ks, gts) in loci.items()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int32()]
+    names = ["contig", "bin", "x", "k", "d", "ref", "alt", "ks", "gts", "n"]
+    table = pa.table([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], names=names)
+    began = time.process_time()
+    found = samples._sweep(width)((pa.scalar("c"), pa.scalar(0)), table).to_pylist()
+    took = time.process_time() - began
+    expected, live, cuts = [], [0] * n, sorted({x for x, _ in net if any(net.get((x, k)) for k in range(n))} | set(loci) | {x + 1 for x in loci})
+    for x, y in zip(cuts, [*cuts[1:], None]):
+        live = [v + net.get((x, k), 0) for k, v in enumerate(live)]
+        calls = ["0" if v else "." for v in live]
+        if x in loci:
+            calls[loci[x][0][0]] = "1"
+            expected.append([x + 1, None, "\t".join(calls)])
+        elif any(live) and y is not None:
+            if expected and expected[-1][1] == x and expected[-1][2] == "\t".join(calls):
+                expected[-1][1] = y
+            else:
+                expected.append([x + 1, y, "\t".join(calls)])
+    assert [[r["pos"], r["end"], r["calls"]] for r in found] == expected
+    assert cells < 100 or took < 10e-6 * len(cuts)
