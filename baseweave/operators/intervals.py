@@ -103,10 +103,14 @@ def length(intervals: DataFrame, name: str = "bp") -> DataFrame:
 
 def overlap_bp(**sets: DataFrame) -> DataFrame:
     """(contig, left, right, bp) for each two of the named sets that overlap."""
-    names = list(sets)
+    return tagged_overlap_bp(tagged(*sets.values()), list(sets))
+
+
+def tagged_overlap_bp(spans: DataFrame, names: list[str]) -> DataFrame:
+    """The same of intervals (contig, s, e, tag), whose tag is the number of their set in ``names``."""
     pairs = [(i, k) for i in range(len(names)) for k in range(i + 1, len(names))]
     both = F.array(*[F.struct(F.lit(names[i]).alias("left"), F.lit(names[k]).alias("right"), ((F.col(f"n{i}") > 0) & (F.col(f"n{k}") > 0)).alias("met")) for i, k in pairs])
-    found = segments(*sets.values()).select("contig", "s", "e", F.explode(both).alias("p")).filter("p.met")
+    found = swept(spans, len(names)).select("contig", "s", "e", F.explode(both).alias("p")).filter("p.met")
     return found.groupBy("contig", "p.left", "p.right").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("bp"))
 
 

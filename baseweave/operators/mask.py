@@ -19,6 +19,14 @@ def mask_spans(records: DataFrame) -> DataFrame:
     return records.filter("pos is not null").select("contig", (F.col("pos") - 1).alias("s"), end.alias("e")).filter("e > s")
 
 
+def class_spans(classified: DataFrame, classes: list[str]) -> DataFrame:
+    """(contig, s, e, tag) of records of the named classes, read once; the tag is the class's number."""
+    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
+    tag = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("class")) - 1
+    rows = classified.filter(F.col("pos").isNotNull() & F.col("class").isin(classes))
+    return rows.select("contig", (F.col("pos") - 1).alias("s"), end.alias("e"), tag.cast("int").alias("tag")).filter("e > s")
+
+
 def filtered_mask(filtered: DataFrame, missing: DataFrame, dropped: DataFrame, invariant: DataFrame, clean: DataFrame) -> DataFrame:
     """(filtered, missing and dropped) without (invariant and clean); records are given as such, the others as intervals."""
     return subtract(together(mask_spans(filtered), missing, dropped), together(mask_spans(invariant), mask_spans(clean)))

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import random
 
 import pytest
@@ -68,3 +70,20 @@ def test_windows(spark):
     assert spine == [(0, 0, 10, 5), (1, 10, 20, 15), (2, 20, 25, 22)]
     bp = windows.bin_intervals(spark.createDataFrame([("a", 5, 30)], SCHEMA), lengths, 10)
     assert {r.bin: r.bp for r in bp.collect()} == {0: 5, 1: 10, 2: 5}
+
+
+def test_overlap_of_classes_reads_records_once(spark, monkeypatch):
+    from baseweave.operators import running
+    from baseweave.plans import contract
+
+    seen, keep = [], running.stored
+
+    def watched(df, name):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        seen.append(out.getvalue().count("Scan parquet"))
+        return keep(df, name)
+
+    monkeypatch.setattr(running, "stored", watched)
+    contract.queries()["overlap_bp"](spark, "/root/testdata/sf0.001")
+    assert seen == [1]
