@@ -7,9 +7,9 @@ call: its own genotype, ``0`` where one of its reference blocks covers the
 position, else ``.``. Between these loci, stretches of reference blocks are
 blocks again. A contig has columns for the samples that have records on it.
 
-A contig is cut into bins of positions. A block is an event of its sample where
-it begins and one where it ends, and where it enters a bin. Within a bin events
-go by position, and the calls over a stretch are those of the stretch before
+A contig is cut into bins of positions, and blocks with it. A block is an event
+of its sample where it begins and one where it ends. Within a bin events go by
+position, and the calls over a stretch are those of the stretch before
 with the samples changed that have an event there. Calls are summed up as arrays
 over many stretches at once, so the work goes with the calls that are written, and
 no sample is a column of its own before its call is.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from .stored import stored
 CALLS = "contig string, pos bigint, end bigint, ref string, alt string, calls string"
 #: Positions in a bin, fewer where there are many samples, so that a bin's events fit a task.
 BIN, LEAST_BIN, BIN_CELLS = 1 << 16, 1 << 10, 1 << 26
-COVERED, ABSENT = ord("0"), ord(".")
+COVERED, ABSENT = "0", "."
 #: Calls that are worked out at once.
 CELLS = 1 << 20
 
@@ -65,16 +66,14 @@ def _bin_of(x: Column, width: int) -> Column:
     return F.floor(x / width).cast("bigint")
 
 
-def _events(records: DataFrame, width: int) -> DataFrame:
-    """(contig, bin, x, k, d): by how much the number of a sample's blocks changes at a position of a bin."""
+def _parts(records: DataFrame, width: int) -> DataFrame:
+    """(contig, bin, x, e, k): where in a bin each of a sample's blocks begins and ends."""
     blocks = reference_blocks(records).filter("pos is not null")
     end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
     spans = blocks.select("contig", "k", F.greatest(F.col("pos") - 1, F.lit(0)).alias("s"), end.alias("e")).filter("e > s")
     first, last = _bin_of(F.col("s"), width), _bin_of(F.col("e") - 1, width)
     parts = spans.select("contig", "k", "s", "e", F.explode(F.sequence(first, last)).alias("bin"))
-    ends = F.array(F.struct(F.greatest(F.col("s"), F.col("bin") * width).alias("x"), F.lit(1).alias("d")), F.struct(F.least(F.col("e"), (F.col("bin") + 1) * width).alias("x"), F.lit(-1).alias("d")))
-    each = parts.select("contig", "bin", "k", F.explode(ends).alias("at"))
-    return each.groupBy("contig", "bin", F.col("at.x").alias("x"), "k").agg(F.sum("at.d").alias("d")).filter("d <> 0")
+    return parts.select("contig", "bin", F.greatest(F.col("s"), F.col("bin") * width).alias("x"), F.least(F.col("e"), (F.col("bin") + 1) * width).alias("e"), "k")
 
 
 def _sweep(width: int):
@@ -82,13 +81,20 @@ def _sweep(width: int):
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         contig, start = key[0].as_py(), key[1].as_py() * width
-        rows = rows.sort_by("x")
         n = rows["n"][0].as_py()
-        is_event = np.array(rows["k"].is_valid())
-        events, loci = rows.filter(pa.array(is_event)), rows.filter(pa.array(~is_event))
-        at, k, d = (np.array(events[c].cast(pa.int64())) for c in ("x", "k", "d"))
+        is_block = np.array(rows["k"].is_valid())
+        blocks, loci = rows.filter(pa.array(is_block)), rows.filter(pa.array(~is_block)).sort_by("x")
+        at, k = (np.concatenate([np.array(blocks[c].cast(pa.int64())) for c in both]) for both in (("x", "e"), ("k", "k")))
+        d = np.repeat([1, -1], len(blocks))
+        order = np.argsort(at, kind="stable")
+        at, k, d = at[order], k[order], d[order]
         locus_at = np.array(loci["x"].cast(pa.int64()))
-        refs, alts, own_k, own_gt = (loci[c].to_pylist() for c in ("ref", "alt", "ks", "gts"))
+        # Own genotypes of all loci one after another: whose locus and sample each is. Calls are taken from these and the two others.
+        ks, gts = (loci[c].combine_chunks() for c in ("ks", "gts"))
+        first = np.append(0, np.cumsum(np.array(pc.list_value_length(ks), np.int64)))
+        own_locus, own_k, gts = np.repeat(np.arange(len(ks)), np.diff(first)), np.array(ks.flatten(), np.int64), gts.flatten()
+        is_own = np.array(gts.is_valid(), bool)
+        choices = pa.concat_arrays([pa.array([COVERED, ABSENT]), gts.cast(pa.string())])
         cuts = np.unique(np.concatenate([at, locus_at, locus_at + 1]))
         cuts = cuts[cuts <= start + width]
         begins, ends = np.searchsorted(at, cuts, "left"), np.searchsorted(at, cuts, "right")
@@ -97,13 +103,12 @@ def _sweep(width: int):
         m, of = len(cuts), np.searchsorted(cuts, at)
         last = np.arange(m) + 1 == m
         block, goes_on = np.zeros(m, bool), np.zeros(m, bool)
-        texts: list[tuple[int, str]] = []
+        rows_of, texts = [np.zeros(0, np.int64)], [pa.array([], pa.string())]
         counts, held, step = np.zeros(n, np.int32), np.zeros(n, bool), max(1, CELLS // n)
         for low in range(0, m, step):
             high = min(m, low + step)
-            # Of a sample there is one event at a position.
-            change = np.zeros((high - low, n), np.int32)
-            change[of[begins[low] : ends[high - 1]] - low, k[begins[low] : ends[high - 1]]] = d[begins[low] : ends[high - 1]]
+            change, seen = np.zeros((high - low, n), np.int32), slice(begins[low], ends[high - 1])
+            np.add.at(change, (of[seen] - low, k[seen]), d[seen])
             change[0] += counts
             running = np.cumsum(change, axis=0)
             over, counts = running > 0, running[-1]
@@ -112,28 +117,25 @@ def _sweep(width: int):
             same = (over == np.vstack([held[None], over[:-1]])).all(axis=1)
             before = np.append(block[low - 1] if low else False, block[low : high - 1])
             goes_on[here], held = block[here] & before & same, over[-1]
-            # Calls with tabs between them, ready to be written.
             wanted = np.flatnonzero(is_locus[here] | (block[here] & ~goes_on[here]))
-            text = np.full((len(wanted), n, 2), ord("\t"), np.uint8)
-            text[:, :, 0] = np.where(over[wanted], COVERED, ABSENT)
-            whole = text.tobytes().decode()
-            texts += [(i, whole[2 * n * j : 2 * n * (j + 1) - 1]) for j, i in enumerate((wanted + low).tolist())]
+            call = np.where(over[wanted], 0, 1)
+            at_locus = np.flatnonzero(is_locus[here][wanted])
+            if len(at_locus):
+                j = locus[low + wanted[at_locus]]  # one after another
+                own = slice(first[j[0]], first[j[-1] + 1])
+                own = np.flatnonzero(is_own[own]) + own.start
+                call[at_locus[own_locus[own] - j[0]], own_k[own]] = 2 + own
+            offsets = pa.array(np.arange(len(wanted) + 1) * n, pa.int32())
+            texts.append(pc.binary_join(pa.ListArray.from_arrays(offsets, choices.take(pa.array(call.ravel()))), "\t"))
+            rows_of.append(low + wanted)
         stays = np.append(np.flatnonzero(~goes_on), m)
-        out = []
-        stops = stays[np.searchsorted(stays, np.arange(m), "right")].tolist()
-        places, found = cuts.tolist(), is_locus.tolist()
-        for i, calls in texts:
-            if not found[i]:
-                out.append((places[i] + 1, places[stops[i]], None, None, calls))
-                continue
-            j, each = locus[i], calls.split("\t")
-            for sample, gt in zip(own_k[j], own_gt[j], strict=True):
-                if gt is not None:
-                    each[sample] = gt
-            out.append((places[i] + 1, None, refs[j], alts[j], "\t".join(each)))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.large_string()]
-        columns = [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)]
-        columns[4] = columns[4].cast(pa.string())
+        stops = np.minimum(stays[np.searchsorted(stays, np.arange(m), "right")], m - 1)
+        out = np.concatenate(rows_of)
+        is_call = is_locus[out]
+        which = pa.array(locus[out], mask=~is_call)
+        end = pa.array(cuts[stops[out]], pa.int64(), mask=is_call)
+        refs, alts = (loci[c].combine_chunks().cast(pa.string()).take(which) for c in ("ref", "alt"))
+        columns = [pa.array(cuts[out] + 1, pa.int64()), end, refs, alts, pa.concat_arrays(texts)]
         return pa.table([pa.array([contig] * len(out), pa.string()), *columns], names=["contig", "pos", "end", "ref", "alt", "calls"])
 
     return run
@@ -151,6 +153,11 @@ def _joined(calls: DataFrame, width: int) -> DataFrame:
     return calls.filter(~border).unionByName(whole.select("contig", "pos", "end", none.alias("ref"), none.alias("alt"), "calls"))
 
 
+def _first_of_each(found: str) -> Column:
+    """Of an array of structs in order of their sample ``k``, the first of each sample."""
+    return F.filter(found, lambda s, i: (i == 0) | (F.get(F.col(found), i - 1)["k"] != s["k"]))
+
+
 def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of CALLS, calls parted by tabs: loci (without ``end``), and blocks between them from ``pos`` to ``end``.
 
@@ -158,13 +165,13 @@ def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFram
     """
     most = members.agg(F.max(F.size("names"))).first()[0] or 1
     width = max(LEAST_BIN, min(BIN, BIN_CELLS // most))
-    events = _events(records, width).select("contig", "bin", "x", F.col("k").cast("int").alias("k"), F.col("d").cast("int").alias("d"))
+    blocks = _parts(records, width)
     absent = {"ref": "string", "alt": "string", "ks": "array<int>", "gts": "array<string>"}
-    events = events.select("*", *[F.lit(None).cast(t).alias(c) for c, t in absent.items()])
+    blocks = blocks.select("*", *[F.lit(None).cast(t).alias(c) for c, t in absent.items()])
     x = F.col("pos") - 1
-    at = loci.select("contig", _bin_of(x, width).alias("bin"), x.alias("x"), *[F.lit(None).cast("int").alias(c) for c in ("k", "d")], *absent)
+    at = loci.select("contig", _bin_of(x, width).alias("bin"), x.alias("x"), F.lit(None).cast("bigint").alias("e"), F.lit(None).cast("int").alias("k"), *absent)
     sizes = members.select("contig", F.size("names").alias("n"))
-    found = events.unionByName(at).join(sizes, "contig").groupBy("contig", "bin").applyInArrow(_sweep(width), CALLS)
+    found = blocks.unionByName(at).join(sizes, "contig").groupBy("contig", "bin").applyInArrow(_sweep(width), CALLS)
     return _joined(stored(found, "calls"), width)
 
 
@@ -173,10 +180,11 @@ def merge_samples(records: DataFrame) -> DataFrame:
     members = stored(contig_samples(records), "members")
     numbered = _numbered(records, members)
     called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt")).repartition("contig", "pos")
-    one = called.groupBy("contig", "pos", "k").agg(F.min("gt").alias("gt"), F.max(F.struct(F.length("ref").alias("n"), "ref")).alias("longest"), F.flatten(F.collect_set(vcf.called_alleles(F.col("alt")))).alias("alleles"))
-    alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_list("alleles"))))
-    each = F.collect_list(F.struct("k", "gt"))
-    loci = one.groupBy("contig", "pos").agg(F.max("longest")["ref"].alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), each.alias("each"))
+    alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_set(vcf.called_alleles(F.col("alt"))))))
+    longest = F.max(F.struct(F.length("ref").alias("n"), "ref"))["ref"]
+    each = F.collect_set(F.when(F.col("gt").isNotNull(), F.struct("k", "gt")))
+    loci = called.groupBy("contig", "pos").agg(longest.alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), F.sort_array(each).alias("each"))
+    loci = loci.withColumn("each", _first_of_each("each"))
     loci = loci.select("contig", "pos", "ref", "alt", F.col("each.k").alias("ks"), F.col("each.gt").alias("gts"))
     found = _called(numbered, loci, members).filter("end is null").join(members, "contig")
     return found.select("contig", "pos", "ref", "alt", F.map_from_arrays("names", F.split("calls", "\t", -1)).alias("calls"))
@@ -209,8 +217,9 @@ def merged_records(records: DataFrame, file: str = "merged", members: DataFrame
     numbered = _numbered(records, members)
     gt = vcf.genotype(F.element_at("samples", 1)).alias("gt")
     called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt).repartition("contig", "pos")
-    one = called.groupBy("contig", "pos", "k").agg(F.min(F.struct("ref", "alleles", "gt")).alias("call"), F.collect_set(F.struct("ref", "alleles")).alias("seen"))
-    loci = one.groupBy("contig", "pos").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"), F.collect_list(F.struct("k", "call")).alias("each"))
+    loci = called.groupBy("contig", "pos").agg(F.sort_array(F.collect_set(F.struct("k", F.struct("ref", "alleles", "gt").alias("call")))).alias("each"))
+    seen = F.array_distinct(F.transform("each", lambda s: s["call"].dropFields("gt")))
+    loci = loci.select("contig", "pos", seen.alias("seen"), _first_of_each("each").alias("each"))
     longest = F.array_max(F.transform("seen", lambda r: F.struct(F.length(r["ref"]).alias("n"), r["ref"].alias("ref"))))["ref"]
     loci = loci.select("contig", "pos", longest.alias("ref"), "seen", "each")
     every = F.flatten(F.transform("seen", lambda r: F.transform(r["alleles"], lambda a: _longer(a, r["ref"], F.col("ref")))))

@@ -403,3 +403,10 @@ def test_sweep_in_pieces(monkeypatch, cells):
                 expected.append([x + 1, y, "\t".join(calls)])
     assert [[r["pos"], r["end"], r["calls"]] for r in found] == expected
     assert cells < 100 or took < 10e-6 * len(cuts)
+
+
+def test_a_block_reaches_a_bin_as_one_row(spark):
+    rows = [("a", "c 5 . A <NON_REF> . . END=40 GT 0/0"), ("b", "c 41 . A <NON_REF> . . END=70 GT 0/0")]
+    numbered = samples._numbered(records(spark, rows), samples.contig_samples(records(spark, rows)))
+    found = sorted((r.bin, r.x, r.e, r.k) for r in samples._parts(numbered, 32).collect())
+    assert found == [(0, 4, 32, 0), (1, 32, 40, 0), (1, 40, 64, 1), (2, 64, 70, 1)]
