@@ -1,6 +1,8 @@
 """Joint records of samples against brute force, and runs whose contigs have files of their own."""
 
+import contextlib
 import gzip
+import io
 import random
 import zipfile
 
@@ -410,3 +412,18 @@ def test_a_block_reaches_a_bin_as_one_row(spark):
     numbered = samples._numbered(records(spark, rows), samples.contig_samples(records(spark, rows)))
     found = sorted((r.bin, r.x, r.e, r.k) for r in samples._parts(numbered, 32).collect())
     assert found == [(0, 4, 32, 0), (1, 32, 40, 0), (1, 40, 64, 1), (2, 64, 70, 1)]
+
+
+def test_loci_are_summed_up_once(spark, monkeypatch):
+    """A locus's records meet in one aggregate, and of each sample the first call by reference, alternatives and genotype stays."""
+    seen = []
+    monkeypatch.setattr(samples, "_called", lambda numbered, loci, members, called=samples._called: (seen.append(loci), called(numbered, loci, members))[1])
+    row = "c 5 . {} {},<NON_REF> . . . GT {}"
+    rows = [("a", row.format("AC", "A", "1/1")), ("a", row.format("A", "T", "0/1")), ("a", row.format("A", "G", "1/1")), ("b", row.format("A", "T", "1"))]
+    merged, outer = samples.merged_records(records(spark, rows)).first(), samples.merge_samples(records(spark, rows)).first()
+    assert (merged.ref, merged.alt, merged.samples) == ("AC", "A,GC,TC,<NON_REF>", ["2/2", "3"])
+    assert (outer.ref, outer.alt, outer.calls) == ("AC", "A,G,T,<NON_REF>", {"a": "0/1", "b": "1"})
+    for loci in seen:
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            loci.explain()
+        assert plan.getvalue().count("ObjectHashAggregate") == 2  # before and after
