@@ -30,17 +30,17 @@ def tagged(*sets: DataFrame, keys: tuple[str, ...] = CONTIG) -> DataFrame:
 
 
 def _events(spans: DataFrame, n: int, keys: tuple[str, ...] = CONTIG) -> DataFrame:
-    """(keys, x, d0, d1, ...): by how much the number of intervals of each tag changes at a position."""
+    """(keys, x, d0, d1, ...): by how much an end changes the number of intervals of each tag at a position."""
     sides = F.array(F.struct(F.col("s").alias("x"), F.lit(1).alias("d")), F.struct(F.col("e").alias("x"), F.lit(-1).alias("d")))
     side = spans.filter("e > s").select(*keys, "tag", F.explode(sides).alias("side"))
-    changes = [F.sum(F.when(F.col("tag") == k, F.col("side.d")).otherwise(0)).alias(f"d{k}") for k in range(n)]
-    return side.groupBy(*keys, F.col("side.x").alias("x")).agg(*changes)
+    changes = [F.when(F.col("tag") == k, F.col("side.d")).otherwise(0).cast("bigint").alias(f"d{k}") for k in range(n)]
+    return side.select(*keys, F.col("side.x").alias("x"), *changes)
 
 
 def swept(spans: DataFrame, n: int) -> DataFrame:
     """(contig, s, e, n0, n1, ...): stretches between neighbouring ends, and how many intervals of each tag cover them."""
     names = [f"n{k}" for k in range(n)]
-    found = running(_events(spans, n), "x", {c: ("sum", F.col(f"d{k}")) for k, c in enumerate(names)}, following="e")
+    found = running(_events(spans, n), "x", {c: ("sum", F.col(f"d{k}")) for k, c in enumerate(names)}, following="e", summed=tuple(f"d{k}" for k in range(n)))
     return found.filter("e is not null").select("contig", F.col("x").alias("s"), "e", *names)
 
 
@@ -56,7 +56,7 @@ def sweep(predicate: Callable[..., Column], spans: DataFrame, n: int, keys: tupl
     and end where the predicate changes; each beginning is paired with the next
     end. The predicate is false where nothing covers.
     """
-    found = running(_events(spans, n, keys), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)}, keys=keys, bin_name="bin")
+    found = running(_events(spans, n, keys), "x", {f"n{k}": ("sum", F.col(f"d{k}")) for k in range(n)}, keys=keys, bin_name="bin", summed=tuple(f"d{k}" for k in range(n)))
     after = predicate(*[F.col(f"n{k}") for k in range(n)])
     before = predicate(*[F.col(f"n{k}") - F.col(f"d{k}") for k in range(n)])
     changes = found.select(*keys, "x", "bin", after.alias("begins"), before.alias("holds")).filter("begins <> holds")

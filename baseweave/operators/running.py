@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stored import stored
+from .stored import dealt, stored
 
 #: Positions in a bin.
 BIN = 1 << 20
@@ -28,6 +28,7 @@ def running(
     following: str | None = None,
     keys: tuple[str, ...] = ("contig",),
     bin_name: str | None = None,
+    summed: tuple[str, ...] = (),
 ) -> DataFrame:
     """``df`` with a column for each of ``values``: name -> ("sum" or "max", expression).
 
@@ -35,14 +36,20 @@ def running(
     or before it if not ``inclusive``. Sums without rows are 0, maxima null.
     ``following`` names a column for the next row's ``at``, null for the last,
     ``bin_name`` one for the row's bin, by which the result is partitioned.
+    Rows with the same ``at`` become one if ``summed`` names the other columns, which are added up.
     """
     totals = {"sum": F.sum, "max": F.max}
     combine = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": lambda a, b: F.greatest(a, b)}
-    rows = stored(df, "running").withColumns({"__bin": F.floor(F.greatest(F.col(at), F.lit(0)) / BIN), **{f"__v_{n}": v for n, (_, v) in values.items()}})
+    rows, added = stored(df, "running"), {f"__v_{n}": v for n, (_, v) in values.items()}
+    size = rows.count()
+    rows = rows.withColumns({"__bin": F.floor(F.greatest(F.col(at), F.lit(0)) / BIN), **added})
     per_bin = rows.groupBy(*keys, "__bin").agg(F.min(at).alias("__first"), *[totals[kind](f"__v_{n}").alias(n) for n, (kind, _) in values.items()])
     bins = Window.partitionBy(*keys).orderBy("__bin")
     earlier, later = bins.rowsBetween(Window.unboundedPreceding, -1), bins.rowsBetween(1, Window.unboundedFollowing)
     carried = per_bin.select(*keys, "__bin", F.min("__first").over(later).alias("__later"), *[totals[kind](n).over(earlier).alias(f"__c_{n}") for n, (kind, _) in values.items()])
+    if summed:
+        rows = dealt(rows, size, *keys, at).groupBy(*keys, at, "__bin").agg(*[F.sum(c).alias(c) for c in summed]).withColumns(added)
+    rows = dealt(rows, size, *keys, "__bin")
     in_order = Window.partitionBy(*keys, "__bin").orderBy(at, *ties)
     within = in_order.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     out = rows.join(carried, [*keys, "__bin"]).withColumns({n: combine[kind](F.col(f"__c_{n}"), totals[kind](f"__v_{n}").over(within)) for n, (kind, _) in values.items()})

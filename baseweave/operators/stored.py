@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that a task sorts or sums at once.
+TASK_ROWS = 1 << 19
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset a folder of our own, which only a local master may have."""
@@ -24,3 +27,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``rows``, of which there are ``n``, for a step by ``keys``: so many that Spark's own partitions may outgrow a task are dealt to more of them."""
+    parts = -(-n // TASK_ROWS)
+    return rows.repartition(parts, *keys) if parts > rows.sparkSession.sparkContext.defaultParallelism else rows

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from baseweave.operators import intervals, running, windows
+from baseweave.operators import intervals, running, stored, windows
 
 SCHEMA = "contig string, s bigint, e bigint"
 
@@ -87,3 +87,16 @@ def test_overlap_of_classes_reads_records_once(spark, monkeypatch):
     monkeypatch.setattr(running, "stored", watched)
     contract.queries()["overlap_bp"](spark, "/root/testdata/sf0.001")
     assert seen == [1]
+
+
+def test_partitions_grow_with_rows(spark, monkeypatch):
+    """Steps along contigs have so many partitions that none holds more than some rows, whatever Spark's own number of them is."""
+    x, px = some(spark, 9, 200)
+    y, py = some(spark, 10, 200)
+    monkeypatch.setattr(stored, "TASK_ROWS", 32)
+    found = intervals.segments(x, y)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        found.explain()
+    assert plan.getvalue().count("REPARTITION_BY_NUM") == 2  # by position, then by bin
+    both = {(r.contig, p) for r in found.filter("n0 > 0 and n1 > 0").collect() for p in range(r.s, r.e)}
+    assert both == {(c, p) for c in "ab" for p in px[c] & py[c]}
