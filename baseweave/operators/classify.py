@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from baseweave.functions import vcf
 
+from .stored import dealt
+
 INVARIANT, FILTERED, CLEAN = "inv", "filtered", "clean"
 
 
@@ -43,6 +45,7 @@ def classify(records: DataFrame, order: tuple[str, ...] = ("ordinal",), filter_m
     flagged = flagged.withColumn("__bad", F.when(bad, F.raise_error(message)).cast("int"))
     short, block = F.col("n_cols") < 8, F.col("end").isNotNull()
     apart = F.when(short, 0).when(block, 1).otherwise(2)
+    flagged = dealt(flagged, records.count(), "contig", "pos")
     at = Window.partitionBy("contig", "pos").orderBy(*order)
     flagged = flagged.withColumn("__apart", apart).withColumn("__group", F.sum((F.col("__apart") == 1).cast("int")).over(at))
     group = Window.partitionBy("contig", "pos", "__group", "__apart")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from baseweave.operators import classify, coverage, indels, samples
+from baseweave.operators import classify, coverage, indels, samples, stored
 from baseweave.plans import workflow
 from baseweave.sources import tables
 
@@ -258,3 +258,13 @@ def test_merged_genotypes_are_renumbered(spark):
         5: ("AT", "A,GT,<NON_REF>", ".", ["0/2", "1|1", "0"]),
         6: ("N", "<NON_REF>", "END=9", [".", ".", "0"]),
     }
+
+
+def test_classes_by_many_partitions(spark, monkeypatch):
+    """Records that outgrow Spark's own partitions are dealt to more of them, and go the same way."""
+    rows = records(spark, *[f"c {k // 2} . T {'A' if k % 3 else '*'} . . . GT 0/1" for k in range(2, 202)])
+    before = {(r.pos, r.alt): r["class"] for r in classify.classify(rows).collect()}
+    monkeypatch.setattr(stored, "TASK_ROWS", 10)
+    found = classify.classify(rows)
+    assert found.rdd.getNumPartitions() == 20
+    assert {(r.pos, r.alt): r["class"] for r in found.collect()} == before
