@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows that a task sorts or sums at once.
 TASK_ROWS = 1 << 19
+#: Partitions up to which Spark writes a shuffle without sorting it in memory (``spark.shuffle.sort.bypassMergeThreshold``); tasks take up to MORE times the rows before there are more.
+UNSORTED, MORE = 200, 8
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,5 +33,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def dealt(rows: DataFrame, n: int, *keys: str) -> DataFrame:
     """``rows``, of which there are ``n``, for a step by ``keys``: so many that Spark's own partitions may outgrow a task are dealt to more of them."""
-    parts = -(-n // TASK_ROWS)
+    parts = max(min(-(-n // TASK_ROWS), UNSORTED), -(-n // (MORE * TASK_ROWS)))
     return rows.repartition(parts, *keys) if parts > rows.sparkSession.sparkContext.defaultParallelism else rows
