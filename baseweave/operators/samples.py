@@ -22,15 +22,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from baseweave.functions import vcf
 from baseweave.sources.tables import as_records
 
 from .intervals import segments
 from .mask import mask_spans
-from .stored import stored
+from .stored import dealt, stored
 
 CALLS = "contig string, pos bigint, end bigint, ref string, alt string, calls string"
+LOCUS_CALLS = pa.schema([("contig", pa.string()), ("pos", pa.int64()), ("ref", pa.string()), ("alt", pa.string()), ("calls", pa.string())])
 #: Positions in a bin, fewer where there are many samples, so that a bin's events fit a task.
 BIN, LEAST_BIN, BIN_CELLS = 1 << 16, 1 << 10, 1 << 26
 COVERED, ABSENT = "0", "."
@@ -58,8 +60,13 @@ def sample_names(records: DataFrame) -> list[str]:
 
 
 def _numbered(records: DataFrame, members: DataFrame) -> DataFrame:
-    """``records`` with the number ``k`` of their sample among those of their contig."""
-    return records.join(members.select("contig", F.posexplode("names").alias("k", "file")), ["contig", "file"])
+    """``records`` with the number ``k`` of their sample among the ``n`` of their contig."""
+    return records.join(members.select("contig", F.size("names").alias("n"), F.posexplode("names").alias("k", "file")), ["contig", "file"])
+
+
+def _width(most: int) -> int:
+    """Positions in a bin where a contig has up to ``most`` samples."""
+    return max(LEAST_BIN, min(BIN, BIN_CELLS // most))
 
 
 def _bin_of(x: Column, width: int) -> Column:
@@ -164,7 +171,7 @@ def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFram
     ``records`` are numbered, ``loci`` have (contig, pos, ref, alt, ks, gts): the numbers of samples and their own genotypes.
     """
     most = members.agg(F.max(F.size("names"))).first()[0] or 1
-    width = max(LEAST_BIN, min(BIN, BIN_CELLS // most))
+    width = _width(most)
     blocks = _parts(records, width)
     absent = {"ref": "string", "alt": "string", "ks": "array<int>", "gts": "array<string>"}
     blocks = blocks.select("*", *[F.lit(None).cast(t).alias(c) for c, t in absent.items()])
@@ -175,18 +182,106 @@ def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFram
     return _joined(stored(found, "calls"), width)
 
 
+def _in_bins(numbered: DataFrame, width: int) -> DataFrame:
+    """(contig, bin, x, e, k, n, ref, alt, gt): variants with their called alleles and genotype, and blocks, which have ``e``, as parts of bins.
+
+    A record is read once: its END and its alleles tell what it is. Those that are neither have no bin.
+    """
+    pos, x = F.col("pos"), F.col("pos") - 1
+    end, alleles = vcf.extract_end(F.col("info")), vcf.called_alleles(F.col("alt"))
+    rows = numbered.select("contig", "k", "n", "pos", "ref", "samples", end.alias("fin"), vcf.masked_end(pos, F.col("ref"), F.col("info")).alias("end"), alleles.alias("alleles"))
+    none = F.size("alleles") == 0
+    own, block = pos.isNotNull() & F.col("fin").isNull() & ~none, pos.isNotNull() & (F.col("fin").isNotNull() | none)
+    s, e = F.greatest(x, F.lit(0)), F.col("end")
+    bins = F.when(own, F.array(_bin_of(x, width))).when(block & (e > s), F.sequence(_bin_of(s, width), _bin_of(e - 1, width)))
+    parts = rows.select("contig", "k", "n", "pos", "ref", "samples", "end", "alleles", own.alias("own"), F.explode(bins).alias("bin"))
+    of = lambda c: F.when(F.col("own"), c)
+    at = of(x).otherwise(F.greatest(s, F.col("bin") * width)).alias("x")
+    stop = F.when(~F.col("own"), F.least(e, (F.col("bin") + 1) * width)).alias("e")
+    gt = of(vcf.genotype(F.element_at("samples", 1))).alias("gt")
+    return parts.select("contig", "bin", at, stop, "k", "n", of(F.col("ref")).alias("ref"), of(F.array_join("alleles", ",")).alias("alt"), gt)
+
+
+def _ranked(texts: pa.ChunkedArray, key) -> tuple[np.ndarray, list]:
+    """The number of each text among the different ones in the order of ``key``, and these; null is one of them."""
+    found = texts.combine_chunks().dictionary_encode("encode")
+    values = found.dictionary.to_pylist()
+    order = sorted(range(len(values)), key=lambda i: key(values[i]))
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return rank[np.array(found.indices, np.int64)], [values[i] for i in order]
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of each stretch that has ``size`` numbers from ``first`` on, one stretch after another."""
+    return np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+
+
+def _all_alleles(of: np.ndarray, m: int, alts: pa.ChunkedArray) -> pa.Array:
+    """For each of ``m`` loci the alleles of its records (``of``: whose) in order, and the symbol for any other one."""
+    code, texts = _ranked(alts, lambda t: t or "")
+    each = [[] if t is None else t.split(",") for t in texts]
+    names = sorted({a for own in each for a in own})
+    number = {a: i for i, a in enumerate(names)}
+    size = np.array([len(own) for own in each], np.int64)
+    flat = np.array([number[a] for own in each for a in own], np.int64)
+    seen = np.unique(of * len(texts) + code)
+    locus, code = seen // len(texts), seen % len(texts)
+    first, width = np.cumsum(size) - size, len(names) + 1
+    pairs = np.repeat(locus, size[code]) * width + flat[_spread(first[code], size[code])]
+    pairs = np.unique(np.concatenate([pairs, np.arange(m) * width + len(names)]))
+    offsets = pa.array(np.searchsorted(pairs, np.arange(m + 1) * width), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array([*names, vcf.NON_REF]).take(pa.array(pairs % width))), ",")
+
+
+def _locus_calls(key: tuple, rows: pa.Table) -> pa.Table:
+    """Loci of one bin with the call of each sample: its own, or whether a block of its is over the locus."""
+    n = rows["n"][0].as_py()
+    is_block = rows["e"].is_valid()
+    blocks, own = rows.filter(is_block), rows.filter(pc.invert(is_block))
+    if not len(own):
+        return pa.Table.from_pylist([], schema=LOCUS_CALLS)
+    at, of = np.unique(np.array(own["x"], np.int64), return_inverse=True)
+    m = len(at)
+    rank, refs = _ranked(own["ref"], lambda r: (r is not None, len(r or ""), r or ""))
+    longest = np.zeros(m, np.int64)
+    np.maximum.at(longest, of, rank)
+    # Of a sample's genotypes at a locus the first by text.
+    rank, gts = _ranked(own["gt"], lambda t: (t is None, t or ""))
+    cell = of * n + np.array(own["k"], np.int64)
+    called = np.flatnonzero(np.array(own["gt"].is_valid()))
+    called = called[np.lexsort((rank[called], cell[called]))]
+    cells, nth = np.unique(cell[called], return_index=True)
+    choice = 2 + rank[called[nth]]
+    choices = pa.array([COVERED, ABSENT, *gts], pa.string())
+    # Blocks that begin up to a position less those that end there; samples stand one after another, so other samples' cancel out.
+    begin, end, k = (np.array(blocks[c], np.int64) for c in ("x", "e", "k"))
+    low = min(at[0], begin.min(initial=at[0]))
+    span = max(at[-1], end.max(initial=at[-1])) - low + 1
+    begins, ends = np.sort(k * span + begin - low), np.sort(k * span + end - low)
+    texts, step = [], max(1, CELLS // n)
+    for a in range(0, m, step):
+        b = min(m, a + step)
+        points = (np.arange(n) * span + (at[a:b] - low)[:, None]).ravel()
+        call = np.where(np.searchsorted(begins, points, "right") > np.searchsorted(ends, points, "right"), 0, 1)
+        here = slice(*np.searchsorted(cells, [a * n, b * n]))
+        call[cells[here] - a * n] = choice[here]
+        offsets = pa.array(np.arange(b - a + 1) * n, pa.int32())
+        texts.append(pc.binary_join(pa.ListArray.from_arrays(offsets, choices.take(pa.array(call))), "\t"))
+    columns = [pa.array([key[0].as_py()] * m, pa.string()), pa.array(at + 1), pa.array(refs, pa.string()).take(pa.array(longest)), _all_alleles(of, m, own["alt"]), pa.concat_arrays(texts)]
+    return pa.Table.from_arrays(columns, schema=LOCUS_CALLS)
+
+
 def merge_samples(records: DataFrame) -> DataFrame:
-    """(contig, pos, ref, alt, calls): each sample's own genotype as it stands, by sample of the contig."""
-    members = stored(contig_samples(records), "members")
-    numbered = _numbered(records, members)
-    called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", "alt", vcf.genotype(F.element_at("samples", 1)).alias("gt")).repartition("contig", "pos")
-    alleles = F.sort_array(F.array_distinct(F.flatten(F.collect_set(vcf.called_alleles(F.col("alt"))))))
-    longest = F.max(F.struct(F.length("ref").alias("n"), "ref"))["ref"]
-    each = F.collect_set(F.when(F.col("gt").isNotNull(), F.struct("k", "gt")))
-    loci = called.groupBy("contig", "pos").agg(longest.alias("ref"), F.array_join(F.concat(alleles, F.array(F.lit(vcf.NON_REF))), ",").alias("alt"), F.sort_array(each).alias("each"))
-    loci = loci.withColumn("each", _first_of_each("each"))
-    loci = loci.select("contig", "pos", "ref", "alt", F.col("each.k").alias("ks"), F.col("each.gt").alias("gts"))
-    found = _called(numbered, loci, members).filter("end is null").join(members, "contig")
+    """(contig, pos, ref, alt, calls): each sample's own genotype as it stands, by sample of the contig.
+
+    Blocks between loci are not asked for, so records meet in their bin as they are, and in one shuffle.
+    """
+    seen = stored(records.groupBy("contig", "file").agg(F.count(F.lit(1)).alias("size")), "seen")
+    members = stored(contig_samples(seen), "members")
+    size, most = seen.groupBy("contig").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("files")).agg(F.sum("size"), F.max("files")).first()
+    parts = _in_bins(_numbered(records, members), _width(most or 1))
+    found = dealt(parts, size or 0, "contig", "bin").groupBy("contig", "bin").applyInArrow(_locus_calls, from_arrow_schema(LOCUS_CALLS)).join(members, "contig")
     return found.select("contig", "pos", "ref", "alt", F.map_from_arrays("names", F.split("calls", "\t", -1)).alias("calls"))
 
 

@@ -427,3 +427,39 @@ def test_loci_are_summed_up_once(spark, monkeypatch):
         with contextlib.redirect_stdout(io.StringIO()) as plan:
             loci.explain()
         assert plan.getvalue().count("ObjectHashAggregate") == 2  # before and after
+
+
+@pytest.mark.parametrize(("seed", "width", "cells"), [(1, 1 << 16, 1 << 20), (2, 16, 1 << 20), (3, 7, 8)])
+def test_outer_merge_against_brute_force(spark, monkeypatch, seed, width, cells):
+    """Records meet in their bin in one shuffle, several of a sample at a position too, and blocks between loci are not worked out."""
+    for name, value in (("BIN", width), ("LEAST_BIN", 1), ("CELLS", cells)):
+        monkeypatch.setattr(samples, name, value)
+    rng, rows = random.Random(seed), []
+    for file in ("s2", "s0", "s1", "s10"):
+        for contig in ("a", "b") if file != "s1" else ("b",):
+            for _ in range(40):
+                pos, ref = rng.randrange(1, 90), rng.choice(["A", "A", "AC", "AG"])
+                alt = rng.choice(["<NON_REF>", ".", "G", "T,G,<NON_REF>", "*,<NON_REF>", "<DEL>"])
+                info = f"DP=1;END={pos + rng.randrange(-2, 20)}" if rng.random() < 0.2 else "DP=1"
+                rows.append((file, f"{contig} {pos} . {ref} {alt} . . {info} GT {rng.choice(['1:3', '0/1', '.', '1/1'])}"))
+    own, covered, names = {}, set(), {}
+    for file, row in rows:
+        contig, pos, _, ref, alt, _, _, info, _, gt = row.split(" ")
+        names.setdefault(contig, set()).add(file)
+        called = [a for a in alt.split(",") if a not in (".", "<NON_REF>")]
+        if "END=" in info or not called:
+            end = int(info.split("END=")[1]) if "END=" in info else int(pos) - 1 + len(ref)
+            covered |= {(contig, file, p) for p in range(int(pos), end + 1)}
+        else:
+            own.setdefault((contig, int(pos)), []).append((file, ref, called, gt.split(":")[0]))
+    expected = {}
+    for (contig, pos), each in own.items():
+        calls = {f: "0" if (contig, f, pos) in covered else "." for f in names[contig]}
+        calls |= {f: min(gt for g, _, _, gt in each if g == f) for f, *_ in each}
+        alt = ",".join([*sorted({a for _, _, called, _ in each for a in called}), "<NON_REF>"])
+        expected[contig, pos] = (max((len(r), r) for _, r, _, _ in each)[1], alt, calls)
+    merged = samples.merge_samples(records(spark, rows))
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        merged.explain()
+    assert "FlatMapGroupsInArrow" in plan.getvalue() and plan.getvalue().count("Exchange hashpartitioning(contig") == 1
+    assert {(r.contig, r.pos): (r.ref, r.alt, r.calls) for r in merged.collect()} == expected
