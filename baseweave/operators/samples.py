@@ -49,9 +49,9 @@ def reference_blocks(records: DataFrame) -> DataFrame:
 
 
 def contig_samples(records: DataFrame) -> DataFrame:
-    """(contig, names): the samples with records on each contig, in order; a merged row has their calls in this order."""
-    seen = records.select("contig", "file").distinct()
-    return seen.groupBy("contig").agg(F.sort_array(F.collect_list("file")).alias("names"))
+    """(contig, names, size): the samples with records on each contig, in order, and how many records these are; a merged row has their calls in this order."""
+    seen = records.groupBy("contig", "file").agg(F.count(F.lit(1)).alias("size"))
+    return seen.groupBy("contig").agg(F.sort_array(F.collect_list("file")).alias("names"), F.sum("size").alias("size"))
 
 
 def sample_names(records: DataFrame) -> list[str]:
@@ -69,30 +69,62 @@ def _width(most: int) -> int:
     return max(LEAST_BIN, min(BIN, BIN_CELLS // most))
 
 
+def _sizes(members: DataFrame) -> tuple[int, int]:
+    """How many samples a contig has at most, and how many records all have."""
+    most, size = members.agg(F.max(F.size("names")), F.sum("size")).first()
+    return most or 1, size or 0
+
+
 def _bin_of(x: Column, width: int) -> Column:
     return F.floor(x / width).cast("bigint")
 
 
+def _kinds(numbered: DataFrame) -> DataFrame:
+    """``numbered`` records with ``own`` for variants and ``block`` for blocks, which are from ``s`` to ``end``; what a record is, its END and its alleles tell, which are read once."""
+    pos = F.col("pos")
+    end, alleles = vcf.extract_end(F.col("info")), vcf.called_alleles(F.col("alt"))
+    rows = numbered.select("contig", "k", "n", "pos", "ref", "samples", end.alias("fin"), vcf.masked_end(pos, F.col("ref"), F.col("info")).alias("end"), alleles.alias("alleles"))
+    none, s = F.size("alleles") == 0, F.greatest(pos - 1, F.lit(0))
+    own, block = pos.isNotNull() & F.col("fin").isNull() & ~none, pos.isNotNull() & (F.col("fin").isNotNull() | none) & (F.col("end") > s)
+    return rows.select("contig", "k", "n", "pos", "ref", "samples", "end", "alleles", s.alias("s"), own.alias("own"), block.alias("block"))
+
+
+def _bins_of_block(width: int) -> Column:
+    return F.sequence(_bin_of(F.col("s"), width), _bin_of(F.col("end") - 1, width))
+
+
 def _parts(records: DataFrame, width: int) -> DataFrame:
     """(contig, bin, x, e, k): where in a bin each of a sample's blocks begins and ends."""
-    blocks = reference_blocks(records).filter("pos is not null")
-    end = vcf.masked_end(F.col("pos"), F.col("ref"), F.col("info"))
-    spans = blocks.select("contig", "k", F.greatest(F.col("pos") - 1, F.lit(0)).alias("s"), end.alias("e")).filter("e > s")
-    first, last = _bin_of(F.col("s"), width), _bin_of(F.col("e") - 1, width)
-    parts = spans.select("contig", "k", "s", "e", F.explode(F.sequence(first, last)).alias("bin"))
+    parts = _kinds(records).select("contig", "k", "s", F.col("end").alias("e"), F.explode(F.when(F.col("block"), _bins_of_block(width))).alias("bin"))
     return parts.select("contig", "bin", F.greatest(F.col("s"), F.col("bin") * width).alias("x"), F.least(F.col("e"), (F.col("bin") + 1) * width).alias("e"), "k")
 
 
+def _swept_blocks(width: int):
+    """The calls of ``_sweep`` from rows that have each block once, from ``x`` to ``e``."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        is_block = rows["k"].is_valid()
+        blocks, loci = rows.filter(is_block), rows.filter(pc.invert(is_block))
+        x, e = rows.schema.get_field_index("x"), rows.schema.get_field_index("e")
+        change = lambda part, d: part.set_column(e, "d", pa.array([d] * len(part), pa.int32()))
+        ends = blocks.set_column(x, "x", blocks["e"])
+        return _sweep(width)(key, pa.concat_tables([change(blocks, 1), change(ends, -1), change(loci, None)]))
+
+    return run
+
+
 def _sweep(width: int):
-    """Calls of one bin: a row for each locus, and for each stretch between loci over which some sample has a block."""
+    """Calls of one bin: a row for each locus, and for each stretch between loci over which some sample has a block.
+
+    Rows with ``k`` tell by how much (``d``) the number of a sample's blocks changes at ``x``, those without are loci.
+    """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         contig, start = key[0].as_py(), key[1].as_py() * width
         n = rows["n"][0].as_py()
-        is_block = np.array(rows["k"].is_valid())
-        blocks, loci = rows.filter(pa.array(is_block)), rows.filter(pa.array(~is_block)).sort_by("x")
-        at, k = (np.concatenate([np.array(blocks[c].cast(pa.int64())) for c in both]) for both in (("x", "e"), ("k", "k")))
-        d = np.repeat([1, -1], len(blocks))
+        is_event = np.array(rows["k"].is_valid())
+        events, loci = rows.filter(pa.array(is_event)), rows.filter(pa.array(~is_event)).sort_by("x")
+        at, k, d = (np.array(events[c].cast(pa.int64())) for c in ("x", "k", "d"))
         order = np.argsort(at, kind="stable")
         at, k, d = at[order], k[order], d[order]
         locus_at = np.array(loci["x"].cast(pa.int64()))
@@ -170,7 +202,7 @@ def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFram
 
     ``records`` are numbered, ``loci`` have (contig, pos, ref, alt, ks, gts): the numbers of samples and their own genotypes.
     """
-    most = members.agg(F.max(F.size("names"))).first()[0] or 1
+    most, size = _sizes(members)
     width = _width(most)
     blocks = _parts(records, width)
     absent = {"ref": "string", "alt": "string", "ks": "array<int>", "gts": "array<string>"}
@@ -178,26 +210,21 @@ def _called(records: DataFrame, loci: DataFrame, members: DataFrame) -> DataFram
     x = F.col("pos") - 1
     at = loci.select("contig", _bin_of(x, width).alias("bin"), x.alias("x"), F.lit(None).cast("bigint").alias("e"), F.lit(None).cast("int").alias("k"), *absent)
     sizes = members.select("contig", F.size("names").alias("n"))
-    found = blocks.unionByName(at).join(sizes, "contig").groupBy("contig", "bin").applyInArrow(_sweep(width), CALLS)
+    found = dealt(blocks.unionByName(at).join(sizes, "contig"), size, "contig", "bin").groupBy("contig", "bin").applyInArrow(_swept_blocks(width), CALLS)
     return _joined(stored(found, "calls"), width)
 
 
 def _in_bins(numbered: DataFrame, width: int) -> DataFrame:
     """(contig, bin, x, e, k, n, ref, alt, gt): variants with their called alleles and genotype, and blocks, which have ``e``, as parts of bins.
 
-    A record is read once: its END and its alleles tell what it is. Those that are neither have no bin.
+    Records that are neither have no bin.
     """
-    pos, x = F.col("pos"), F.col("pos") - 1
-    end, alleles = vcf.extract_end(F.col("info")), vcf.called_alleles(F.col("alt"))
-    rows = numbered.select("contig", "k", "n", "pos", "ref", "samples", end.alias("fin"), vcf.masked_end(pos, F.col("ref"), F.col("info")).alias("end"), alleles.alias("alleles"))
-    none = F.size("alleles") == 0
-    own, block = pos.isNotNull() & F.col("fin").isNull() & ~none, pos.isNotNull() & (F.col("fin").isNotNull() | none)
-    s, e = F.greatest(x, F.lit(0)), F.col("end")
-    bins = F.when(own, F.array(_bin_of(x, width))).when(block & (e > s), F.sequence(_bin_of(s, width), _bin_of(e - 1, width)))
-    parts = rows.select("contig", "k", "n", "pos", "ref", "samples", "end", "alleles", own.alias("own"), F.explode(bins).alias("bin"))
+    x = F.col("pos") - 1
+    bins = F.when(F.col("own"), F.array(_bin_of(x, width))).when(F.col("block"), _bins_of_block(width))
+    parts = _kinds(numbered).select("contig", "k", "n", "pos", "ref", "samples", "s", "end", "alleles", "own", F.explode(bins).alias("bin"))
     of = lambda c: F.when(F.col("own"), c)
-    at = of(x).otherwise(F.greatest(s, F.col("bin") * width)).alias("x")
-    stop = F.when(~F.col("own"), F.least(e, (F.col("bin") + 1) * width)).alias("e")
+    at = of(x).otherwise(F.greatest("s", F.col("bin") * width)).alias("x")
+    stop = F.when(~F.col("own"), F.least("end", (F.col("bin") + 1) * width)).alias("e")
     gt = of(vcf.genotype(F.element_at("samples", 1))).alias("gt")
     return parts.select("contig", "bin", at, stop, "k", "n", of(F.col("ref")).alias("ref"), of(F.array_join("alleles", ",")).alias("alt"), gt)
 
@@ -277,11 +304,10 @@ def merge_samples(records: DataFrame) -> DataFrame:
 
     Blocks between loci are not asked for, so records meet in their bin as they are, and in one shuffle.
     """
-    seen = stored(records.groupBy("contig", "file").agg(F.count(F.lit(1)).alias("size")), "seen")
-    members = stored(contig_samples(seen), "members")
-    size, most = seen.groupBy("contig").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("files")).agg(F.sum("size"), F.max("files")).first()
-    parts = _in_bins(_numbered(records, members), _width(most or 1))
-    found = dealt(parts, size or 0, "contig", "bin").groupBy("contig", "bin").applyInArrow(_locus_calls, from_arrow_schema(LOCUS_CALLS)).join(members, "contig")
+    members = stored(contig_samples(records), "members")
+    most, size = _sizes(members)
+    parts = _in_bins(_numbered(records, members), _width(most))
+    found = dealt(parts, size, "contig", "bin").groupBy("contig", "bin").applyInArrow(_locus_calls, from_arrow_schema(LOCUS_CALLS)).join(members, "contig")
     return found.select("contig", "pos", "ref", "alt", F.map_from_arrays("names", F.split("calls", "\t", -1)).alias("calls"))
 
 
@@ -311,7 +337,9 @@ def merged_records(records: DataFrame, file: str = "merged", members: DataFrame
     members = members if members is not None else stored(contig_samples(records), "members")
     numbered = _numbered(records, members)
     gt = vcf.genotype(F.element_at("samples", 1)).alias("gt")
-    called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt).repartition("contig", "pos")
+    called = variants(numbered).filter("pos is not null").select("k", "contig", "pos", "ref", vcf.called_alleles(F.col("alt")).alias("alleles"), gt)
+    _, size = _sizes(members)
+    called = dealt(called.repartition("contig", "pos"), size, "contig", "pos")
     loci = called.groupBy("contig", "pos").agg(F.sort_array(F.collect_set(F.struct("k", F.struct("ref", "alleles", "gt").alias("call")))).alias("each"))
     seen = F.array_distinct(F.transform("each", lambda s: s["call"].dropFields("gt")))
     loci = loci.select("contig", "pos", seen.alias("seen"), _first_of_each("each").alias("each"))

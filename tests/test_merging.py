@@ -463,3 +463,24 @@ def test_outer_merge_against_brute_force(spark, monkeypatch, seed, width, cells)
         merged.explain()
     assert "FlatMapGroupsInArrow" in plan.getvalue() and plan.getvalue().count("Exchange hashpartitioning(contig") == 1
     assert {(r.contig, r.pos): (r.ref, r.alt, r.calls) for r in merged.collect()} == expected
+
+
+def test_merges_are_dealt_by_records(spark, monkeypatch):
+    """Both shuffles of a merge have partitions by the number of records, so a task's memory does not go with the input."""
+    from baseweave.operators import stored as dealing
+
+    monkeypatch.setattr(dealing, "TASK_ROWS", 5)
+    plans = []
+
+    def plan_of(df):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        plans.append(out.getvalue())
+        return df
+
+    monkeypatch.setattr(samples, "_called", lambda numbered, loci, members, called=samples._called: called(numbered, plan_of(loci), members))
+    monkeypatch.setattr(samples, "stored", lambda df, name, stored=samples.stored: stored(plan_of(df) if name == "calls" else df, name))
+    rows = [(f"s{k % 2}", f"c {k + 1} . A G,<NON_REF> . . . GT 1") for k in range(60)]
+    assert samples.merged_records(records(spark, rows)).count() == 60
+    assert plan_of(samples.merge_samples(records(spark, rows))).count() == 60
+    assert len(plans) == 3 and all(", 12), REPARTITION_BY_NUM" in plan for plan in plans)
