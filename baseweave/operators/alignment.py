@@ -16,7 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -34,6 +35,11 @@ GAP, SAME, DIFFERENT, GAPPED = ord("-"), 0, 1, 2
 #: Positions of a bin within which overlapping blocks are chosen from.
 CHOICE_BIN = 1 << 20
 BASES, PAIRED = "ACGTacgt", "TGCAtgca"
+TURNED = str.maketrans(BASES, PAIRED)
+UPPER = np.frombuffer(bytes(range(256)).upper(), np.uint8)
+LETTERS = pa.array([chr(c) for c in range(128)])
+#: What a base differs to, by its letter, and the symbol where it does not.
+ALTS = pa.array([f"{chr(c)},{vcf.NON_REF}" for c in range(128)] + [vcf.NON_REF])
 
 
 def walk(reference: str, other: str, start: int, kept: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, str, str, str]]:
@@ -43,70 +49,104 @@ def walk(reference: str, other: str, start: int, kept: list[tuple[int, int]] | N
 
 
 def walked(references: list[str], others: list[str], starts: list[int], kept: list[list[tuple[int, int]] | None]) -> tuple[list, ...]:
+    """(which pair, pos, ref, alt, info) of aligned pairs of one length each, as columns; see ``_walked``."""
+    own, pos, *texts = _walked(pa.array(references, pa.string()), pa.array(others, pa.string()), np.array(starts, np.int64), kept)
+    return own.tolist(), pos.tolist(), *[t.to_pylist() for t in texts]
+
+
+def _columns(texts: pa.Array) -> np.ndarray:
+    """The letters of texts in one row, in upper case."""
+    _, at, text = texts.buffers()
+    at = np.frombuffer(at, np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else [0]
+    letters = np.frombuffer(text or b"", np.uint8)[at[0] : at[-1]]
+    if (letters > 127).any():
+        letters = np.frombuffer("".join(texts.to_pylist()).encode("ascii", "replace"), np.uint8)
+    return UPPER[letters]
+
+
+def _texts(first: np.ndarray, sizes: np.ndarray, rest: np.ndarray) -> pa.Array:
+    """Texts of a letter of ``first`` and ``sizes`` letters of ``rest``, which are in one row."""
+    at = np.append(0, np.cumsum(sizes + 1)).astype(np.int32)
+    letters, after = np.empty(at[-1], np.uint8), np.ones(at[-1], bool)
+    after[at[:-1]] = False
+    letters[at[:-1]], letters[after] = first, rest
+    return pa.StringArray.from_buffers(len(first), pa.py_buffer(at), pa.py_buffer(letters))
+
+
+def _walked(references: pa.Array, others: pa.Array, starts: np.ndarray, kept: list[list[tuple[int, int]] | None] | None = None) -> tuple:
     """(which pair, pos, ref, alt, info) of aligned pairs of one length each, as columns.
 
     ``kept`` are stretches of the reference, in order, to which a pair's records
     are confined; an insertion belongs to the base before it. All pairs are
-    compared as one array; what is gone through one by one is gaps.
+    compared as one array, and records are made as columns.
     """
-    r, o = (np.frombuffer("".join(texts).encode("ascii", "replace").upper(), np.uint8) for texts in (references, others))
-    sizes, begin_at = np.array([len(t) for t in references]), np.array(starts, np.int64)
+    r, o = _columns(references), _columns(others)
+    none = (np.array([], np.int64), np.array([], np.int64), *[pa.array([], pa.string())] * 3)
+    if not len(r):
+        return none
+    sizes = np.array(pc.utf8_length(references), np.int64)
     first = np.cumsum(sizes) - sizes
     based = r != GAP
-    bases = np.append(0, np.cumsum(based))
+    bases, base_at = np.append(0, np.cumsum(based)), np.flatnonzero(based)
     pair = np.repeat(np.arange(len(sizes)), sizes)
-    at = begin_at[pair] + bases[1:] - bases[first][pair] - 1  # where each column's base, or the last one before it, stands
+    at = (starts - bases[first] - 1)[pair] + bases[1:]  # where each column's base, or the last one before it, stands
     kind = np.full(len(r), DIFFERENT, np.int8)
     kind[r == o] = SAME
     kind[~based | (o == GAP)] = GAPPED
 
     # Columns of all stretches, which begin and end where their positions do.
     n_bases = bases[first + sizes] - bases[first]
-    spans = [(k, s, e) for k, own in enumerate(kept) for s, e in (own if own is not None else [(starts[k], starts[k] + int(n_bases[k]))])]
-    if not spans or not len(r):
-        return [], [], [], [], []
-    of, s, e = (np.array(c, np.int64) for c in zip(*spans, strict=True))
-    # Positions by pair in one order: those of a pair begin where the pair before ends.
-    shift = np.append(0, np.cumsum(n_bases + 2)[:-1])
-    key = at - begin_at[pair] + 1 + shift[pair]
-    bound = lambda x: np.searchsorted(key, np.clip(x - begin_at[of] + 1, 0, n_bases[of] + 1) + shift[of], "left")
-    k0, k1 = bound(s), bound(e)
+    if kept is None or all(own is None for own in kept):
+        some = n_bases > 0
+        k0, k1 = base_at[bases[first[some]]], (first + sizes)[some]
+    else:
+        spans = [(k, s, e) for k, own in enumerate(kept) for s, e in (own if own is not None else [(int(starts[k]), int(starts[k] + n_bases[k]))])]
+        if not spans:
+            return none
+        of, s, e = (np.array(c, np.int64) for c in zip(*spans, strict=True))
+        # Positions by pair in one order: those of a pair begin where the pair before ends.
+        shift = np.append(0, np.cumsum(n_bases + 2)[:-1])
+        key = at - starts[pair] + 1 + shift[pair]
+        bound = lambda x: np.searchsorted(key, np.clip(x - starts[of] + 1, 0, n_bases[of] + 1) + shift[of], "left")
+        k0, k1 = bound(s), bound(e)
     k0, k1 = k0[k1 > k0], k1[k1 > k0]
     if not len(k0):
-        return [], [], [], [], []
+        return none
     edge = np.append(True, kind[1:] != kind[:-1]) | (kind == DIFFERENT)
     edge[k0] = True
     a = np.flatnonzero(edge)
     within = np.searchsorted(k0, a, "right") - 1
-    a, within = a[(within >= 0) & (a < k1[within])], within[(within >= 0) & (a < k1[within])]
+    inside = (within >= 0) & (a < k1[within])
+    a, within = a[inside], within[inside]
     b = np.minimum(np.append(a[1:], len(r)), k1[within])
 
-    same, own, base, put = kind[a] == SAME, pair[a], r[a], o[a]
-    pos = at[a] + 1
-    chars = [chr(c) for c in range(256)]
-    alts = [f"{c},{vcf.NON_REF}" for c in chars]
-    refs, alt, info = [chars[c] for c in base.tolist()], [vcf.NON_REF if x else alts[c] for x, c in zip(same.tolist(), put.tolist(), strict=True)], ["."] * len(a)
-    ends = (at[a] + b - a).tolist()
-    for j in np.flatnonzero(same).tolist():
-        info[j] = f"END={ends[j]}"
-    lost = []
-    for j in np.flatnonzero(kind[a] == GAPPED).tolist():
-        x, y = int(a[j]), int(b[j])
-        before_at = int(at[x]) if based[x] else int(at[x]) + 1
-        held, new = r[x:y][based[x:y]], o[x:y][o[x:y] != GAP]
-        if before_at <= begin_at[own[j]] or not len(held) + len(new):
-            lost.append(j)
-            continue
-        z = x - 1
-        while not based[z]:
-            z -= 1
-        before = chars[r[z]]
-        pos[j], refs[j], alt[j] = before_at, before + held.tobytes().decode(), f"{before}{new.tobytes().decode()},{vcf.NON_REF}"
-    columns = [own.tolist(), pos.tolist(), refs, alt, info]
-    if lost:
-        gone = set(lost)
-        columns = [[v for j, v in enumerate(c) if j not in gone] for c in columns]
-    return tuple(columns)
+    same, own, pos = kind[a] == SAME, pair[a], at[a] + 1
+    ref, alt = LETTERS.take(pa.array(r[a])), ALTS.take(pa.array(np.where(same, len(LETTERS), o[a])))
+    ends = pc.cast(pa.array(at[a] + b - a, mask=~same), pa.string())
+    info = pc.fill_null(pc.binary_join_element_wise("END=", ends, ""), ".")
+    gapped = np.flatnonzero(kind[a] == GAPPED)
+    if len(gapped):
+        put = o != GAP
+        puts = np.append(0, np.cumsum(put))
+        x, y = a[gapped], b[gapped]
+        before_at = at[x] + ~based[x]
+        n_held, n_new = bases[y] - bases[x], puts[y] - puts[x]
+        good = (before_at > starts[own[gapped]]) & (n_held + n_new > 0)
+        lost, gapped, x, y, n_held, n_new = gapped[~good], gapped[good], x[good], y[good], n_held[good], n_new[good]
+        pos[gapped] = before_at[good]
+        within = np.zeros(len(r) + 1, np.int8)
+        np.add.at(within, x, 1)
+        np.subtract.at(within, y, 1)
+        within = np.cumsum(within[:-1], dtype=np.int8) > 0
+        mask = np.zeros(len(a), bool)
+        mask[gapped] = True
+        before = r[base_at[bases[x] - 1]]
+        new = pc.binary_join_element_wise(_texts(before, n_new, o[within & put]), vcf.NON_REF, ",")
+        ref, alt = pc.replace_with_mask(ref, pa.array(mask), _texts(before, n_held, r[within & based])), pc.replace_with_mask(alt, pa.array(mask), new)
+        if len(lost):
+            left = np.delete(np.arange(len(a)), lost)
+            own, pos, (ref, alt, info) = own[left], pos[left], [c.take(pa.array(left)) for c in (ref, alt, info)]
+    return own, pos, ref, alt, info
 
 
 def _forward(blocks: DataFrame) -> DataFrame:
@@ -194,11 +234,10 @@ def maf_to_gvcf(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = Fa
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["file", "contig", "pos", "ref", "alt", "info"]
     for batch in batches:
-        files, contigs, starts, references, others = (batch.column(k).to_pylist() for k in range(5))
+        files, contigs, references, others = (batch.column(k) for k in (0, 1, 3, 4))
         kept: list[list[tuple[int, int]] | None] = []
-        for pieces in batch.column(5).to_pylist():
+        for pieces in batch.column(5).to_pylist() if batch.column(5).null_count < batch.num_rows else ():
             stretches: list[tuple[int, int]] = []
             for piece in pieces or ():  # stretches that go on beyond a bin are one again
                 s, e = piece["s"], piece["e"]
@@ -206,20 +245,60 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     s = stretches.pop()[0]
                 stretches.append((s, e))
             kept.append(None if pieces is None else stretches)
-        low = 0
-        while low < len(starts):
-            high, columns = low + 1, len(references[low])
-            while high < len(starts) and columns + len(references[high]) <= COLUMNS:
-                columns += len(references[high])
-                high += 1
-            own, *found = walked(*[c[low:high] for c in (references, others, starts, kept)])
-            for k in range(0, len(own), RECORDS):
-                which = own[k : k + RECORDS]
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.string()]
-                out = [pa.array([c[low + w] for w in which], pa.string()) for c in (files, contigs)]
-                out += [pa.array(c[k : k + RECORDS], kind) for c, kind in zip(found, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(out, names)
-            low = high
+        starts = np.array(batch.column(2), np.int64)
+        for low, high in _portions(np.array(pc.utf8_length(references), np.int64)):
+            some = slice(low, high)
+            found = _walked(references[some], others[some], starts[some], kept[some] if kept else None)
+            yield from _handed_on(files[some], contigs[some], *found)
+
+
+def _portions(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of pairs of so many columns, of which COLUMNS are compared at once, but for a pair that has more."""
+    upto, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] - sizes[low] + COLUMNS, "right")))
+        yield low, high
+        low = high
+
+
+def _handed_on(files: pa.Array, contigs: pa.Array, own: np.ndarray, pos: np.ndarray, *texts: pa.Array) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(own), RECORDS):
+        which = pa.array(own[k : k + RECORDS])
+        columns = [files.take(which), contigs.take(which), pa.array(pos[k : k + RECORDS]), *[t.slice(k, RECORDS) for t in texts]]
+        yield pa.RecordBatch.from_arrays(columns, ["file", "contig", "pos", "ref", "alt", "info"])
+
+
+def _of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same of batches of blocks (file, rows) as they are; see ``_forward``."""
+    for batch in batches:
+        files, rows = batch.column(0), batch.column(1)
+        sizes = np.array(pc.list_value_length(rows), np.int64)
+        row = dict(zip([f.name for f in maf.ROW_TYPE], rows.flatten().flatten(), strict=True))
+        first = np.cumsum(sizes) - sizes
+        start, size, src_size = (row[c].take(pa.array(first)) for c in ("start", "size", "src_size"))
+        turned = np.array(pc.fill_null(pc.equal(row["strand"].take(pa.array(first)), "-"), False), dtype=bool)
+        at, text = pc.if_else(pa.array(turned), pc.subtract(pc.subtract(src_size, start), size), start), row["text"]
+        if turned.any():
+            of_turned = pa.array(np.repeat(turned, sizes))
+            back = [None if t is None else t.translate(TURNED)[::-1] for t in text.filter(of_turned).to_pylist()]
+            text = pc.replace_with_mask(text, of_turned, pa.array(back, pa.string()))
+        # Pairs of a block's first sequence and each other, of one length.
+        block = np.repeat(np.arange(len(sizes)), sizes)
+        other = np.delete(np.arange(len(block)), first)
+        length = np.array(pc.fill_null(pc.utf8_length(text), -1), np.int64)
+        fits = (length[other] == length[first[block[other]]]) & (length[other] >= 0) & np.array(at.is_valid(), dtype=bool)[block[other]]
+        other = other[fits]
+        block = block[other]
+        starts, contigs = np.array(pc.fill_null(at, 0), np.int64)[block], row["src"]
+        for low, high in _portions(length[other]):
+            own, to = block[low:high], pa.array(first[block[low:high]])
+            found = _walked(text.take(to), text.take(pa.array(other[low:high])), starts[low:high])
+            yield from _handed_on(files.take(pa.array(own)), contigs.take(to), *found)
+
+
+def records_where_read(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``maf_to_gvcf`` of alignment files, without overlaps chosen or gaps filled: a block is walked by the task that reads it."""
+    return maf.mapped_blocks(spark, paths, _of_blocks, SCHEMA)
 
 
 def sample_records(blocks: DataFrame, one_block: bool = False, fill_gaps: bool = False) -> DataFrame:
@@ -227,7 +306,12 @@ def sample_records(blocks: DataFrame, one_block: bool = False, fill_gaps: bool =
 
     ``file`` is the alignment's name without its endings, which is the sample's.
     """
-    rows = maf_to_gvcf(blocks, one_block, fill_gaps).withColumn("file", F.regexp_extract("file", r"([^/]+?)(?:\.maf)?(?:\.gz)?$", 1))
+    return called(maf_to_gvcf(blocks, one_block, fill_gaps))
+
+
+def called(records: DataFrame) -> DataFrame:
+    """Records of ``maf_to_gvcf`` as ``sample_records`` has them."""
+    rows = records.withColumn("file", F.regexp_extract("file", r"([^/]+?)(?:\.maf)?(?:\.gz)?$", 1))
     call = F.when(F.col("alt") == vcf.NON_REF, "0").otherwise("1")
     return as_records(rows.withColumns({"format": F.lit("GT"), "samples": F.array(call)}))
 

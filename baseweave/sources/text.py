@@ -14,15 +14,20 @@ from .blocked import is_blocked, read_blocked
 RUN = 1 << 18
 
 
+def has_blocked(paths: str | list[str]) -> bool:
+    """Whether all these files are blocked ones."""
+    every = [paths] if isinstance(paths, str) else list(paths)
+    return bool(every) and all(is_blocked(p) for p in every)
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
     """(file, ordinal, line); compressed files are read as such, blocked ones in ranges side by side.
 
     ``ordinal`` orders the lines of a file: by the part of the file that a task
     read, then within the task.
     """
-    every = [paths] if isinstance(paths, str) else list(paths)
-    if every and not recursive and all(is_blocked(p) for p in every):
-        return read_blocked(spark, every)
+    if not recursive and has_blocked(paths):
+        return read_blocked(spark, [paths] if isinstance(paths, str) else list(paths))
     reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
     raw = reader.text(paths)
     where = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))

@@ -1,12 +1,16 @@
 """Alignment blocks whose lines lie in several ranges or files, against plain reading; queries on several files against their SQL."""
 
 import contextlib
+import gzip
 import io
+import os
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 
+from baseweave.functions.vcf import as_bigint
 from baseweave.operators import alignment
 from baseweave.plans import contract
 from baseweave.sources import maf, tables
@@ -148,3 +152,76 @@ def test_many_pairs_at_once():
         found[k].append(tuple(record))
     assert found == [plain_walk(*p) for p in pairs]
     assert [list(alignment.walk(*p)) for p in pairs] == found
+
+
+def test_records_need_no_stored_blocks(spark):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = contract.queries()["maf_records"](spark, SMALL)
+    assert sorted(map(tuple, found.collect())) == sorted(by_sql("maf_records"))
+    assert not [n for n in set(os.listdir(folder)) - before if n.startswith("blocks-")]
+
+
+def test_numbers_of_words(spark):
+    words = ["5", "+5", "-5", "007", "5.7", "+", "-", ".", "", "5e3", "0x1", "--5", "5L", "5_0", "\x005", "5\x1f", "\x7f5", "\u0665", None]
+    words += ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809", "0" * 30 + "5", "9" * 30]
+    want = [r.n for r in spark.createDataFrame([(k, w) for k, w in enumerate(words)], "k int, w string").orderBy("k").select(as_bigint("w").alias("n")).collect()]
+    assert maf._numbers(pa.array(words)).to_pylist() == want
+    assert maf._numbers(pa.array(["5", None, "-6"])).to_pylist() == [5, None, -6]
+    assert maf._numbers(pa.array(["5", None, "+6"])).to_pylist() == [5, None, 6]
+
+
+def odd_alignment(rng, plain):
+    """Lines of an alignment: heads with and without a score, blank lines, notes, short lines, both strands; unless ``plain``, blocks without a head and lines that begin as one does."""
+    lines = ["##maf version=1"] if rng.random() < 0.5 else []
+    for k in range(30):
+        lines.append(rng.choice(["a", f"a score={k}", "a "] + ([] if plain else ["", "# no head"])))
+        n = rng.randrange(1, 9)
+        for _ in range(rng.randrange(4)):
+            text = "".join(rng.choice("ACGTacgN-") for _ in range(n if rng.random() < 0.9 else n + 1))
+            size, odd = len(text.replace("-", "")), rng.random()
+            start = rng.choice(["+3", "x", ""]) if odd < 0.05 else str(rng.randrange(30))
+            lines.append(f"s c{rng.randrange(2)} {start} {size} {rng.choice('++-')} 60 {text}" if odd < 0.95 else f"s  c {start}\t{size} + ")
+            if rng.random() < 0.2:
+                lines.append(rng.choice(["", "i q I 0", "# ab", " a", "e q 1 1 + 9 I", "A", "s"] + ([] if plain else ["abc", "as q 1 1 + 9 A"])))
+        if rng.random() < 0.3:
+            lines.append(rng.choice(["", "  "]))
+    return lines
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_blocks_walked_where_they_are_read(spark, tmp_path, monkeypatch, seed):
+    rng, plain = random.Random(seed), seed % 2 == 0
+    for k in range(2):
+        text = rng.choice(["\n", "\r\n"]).join(odd_alignment(rng, plain)) + rng.choice(["", "\n"])
+        (tmp_path / f"f{k}.maf").write_bytes(text.encode())
+    (tmp_path / "g.maf.gz").write_bytes(gzip.compress("\n".join(odd_alignment(rng, plain)).encode()))
+    (tmp_path / "empty.maf").write_text("")
+    paths = [str(tmp_path / n) for n in ("f0.maf", "f1.maf", "g.maf.gz", "empty.maf")]
+    found = lambda df: sorted(map(tuple, df.collect()))
+    want = found(alignment.maf_to_gvcf(maf.read_blocks(spark, paths)))
+    assert want and maf._have_heads(tables.read_lines(spark, paths)) == plain
+    assert found(alignment.records_where_read(spark, paths)) == want
+    for heads in (True, False) if plain else (False,):
+        monkeypatch.setattr(maf, "_have_heads", lambda lines: heads)  # noqa: B023
+        for size in ("37", "113"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            try:
+                assert found(alignment.records_where_read(spark, paths)) == want
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ranges_without_heads_are_read_by_lines(spark, tmp_path):
+    (tmp_path / "x.maf").write_text("a\n" + "s c 0 4 + 9 ACGT\ns x 0 4 + 9 ACTT\n\n" * 9)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        assert not maf._have_heads(tables.read_lines(spark, str(tmp_path / "x.maf")))
+        assert alignment.records_where_read(spark, str(tmp_path / "x.maf")).count() == 27
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "y.maf").write_text("a\ns c 0 4 + 9 " + "A" * maf.LINE_BYTES + "\n")
+    assert not maf._have_heads(tables.read_lines(spark, str(tmp_path / "y.maf")))
+    assert alignment.records_where_read(spark, str(tmp_path / "y.maf")).count() == 0
